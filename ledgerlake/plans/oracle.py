@@ -291,3 +291,89 @@ def q(name: str, deps, body: str) -> None:
 q("gold_customer_360", ["customer_360"], "SELECT * FROM customer_360")
 q("agg_transaction_summary", ["txn_summary"], "SELECT * FROM txn_summary")
 q("agg_ticket_summary", ["ticket_summary"], "SELECT * FROM ticket_summary")
+
+JOIN_KYC = """SELECT c.*, k.kyc_status, k.risk_tier, k.pan_verified, k.aadhar_verified,
+       k.kyc_date, k.kyc_expiry
+FROM silver_customers c LEFT JOIN silver_kyc k USING (customer_id)"""
+cte("join_kyc", ("silver_customers", "silver_kyc"), JOIN_KYC)
+cte("join_txn", ("join_kyc", "txn_summary"),
+    "SELECT * FROM join_kyc LEFT JOIN txn_summary USING (customer_id)")
+cte("join_all", ("join_txn", "ticket_summary"),
+    "SELECT * FROM join_txn LEFT JOIN ticket_summary USING (customer_id)")
+
+q("join_left_kyc", ["join_kyc"], "SELECT * FROM join_kyc")
+q("join_left_txn_summary", ["join_txn"], "SELECT * FROM join_txn")
+q("join_left_ticket_summary", ["join_all"], "SELECT * FROM join_all")
+q("select_columns", ["silver_kyc"], "SELECT " + ", ".join(KYC_COLS) + " FROM silver_kyc")
+q("scd2_stamp", ["join_all"],
+  f"SELECT *, {TS} AS updated_at, {RUN_DATE} AS batch_date, TRUE AS is_current, "
+  f"{RUN_DATE} AS valid_from, DATE '9999-12-31' AS valid_to FROM join_all")
+q("fill_defaults", ["join_all"],
+  "SELECT * REPLACE (COALESCE(total_transactions, 0) AS total_transactions, "
+  "COALESCE(total_spend, 0.0) AS total_spend, COALESCE(fraud_txn_count, 0) AS fraud_txn_count, "
+  "COALESCE(total_tickets, 0) AS total_tickets, COALESCE(open_tickets, 0) AS open_tickets, "
+  "COALESCE(fraud_rate, 0.0) AS fraud_rate) FROM join_all")
+
+DAILY = f"""
+SELECT *, {pct('fraud_count', 'transaction_count')} AS fraud_rate, {TS} AS processed_at FROM (
+  SELECT transaction_date, category, merchant,
+         COUNT(transaction_id) AS transaction_count,
+         {msum('amount')} AS total_amount,
+         {mavg('amount')} AS avg_amount,
+         {cnt_if('is_fraud = 1')} AS fraud_count,
+         {msum('CASE WHEN is_fraud = 1 THEN amount ELSE 0.0 END')} AS fraud_amount
+  FROM silver_transactions GROUP BY transaction_date, category, merchant)"""
+q("agg_daily", ["silver_transactions"], DAILY)
+
+
+def regulatory_sql(where: str, group: str, report_date: str) -> str:
+    return f"""
+SELECT *, {pct('flagged_transactions', 'total_transactions')} AS fraud_rate_pct,
+       {TS} AS generated_at, 'COMPLETE' AS report_status FROM (
+  SELECT COUNT(transaction_id) AS total_transactions,
+         {msum('amount')} AS total_amount,
+         {cnt_if('is_fraud = 1')} AS flagged_transactions,
+         {msum('CASE WHEN is_fraud = 1 THEN amount ELSE 0.0 END')} AS fraud_amount,
+         COUNT(DISTINCT customer_id) AS unique_customers,
+         COUNT(DISTINCT merchant) AS unique_merchants,
+         {mavg('amount')} AS avg_transaction_amount,
+         MAX(amount) AS max_transaction_amount,
+         {report_date} AS report_date
+  FROM silver_transactions {where} {group})"""
+
+
+q("agg_regulatory", ["silver_transactions"],
+  regulatory_sql("", "GROUP BY transaction_date", "transaction_date"))
+q("report_stamp", ["silver_transactions"],
+  regulatory_sql(f"WHERE transaction_date = {DAY}", "", DAY))
+q("filter_day", ["silver_transactions"],
+  f"SELECT * FROM silver_transactions WHERE transaction_date = {DAY}")
+
+DAILY_FRAUD = f"""
+SELECT transaction_date, COUNT(transaction_id) AS total_transactions,
+       CAST(SUM(TRY_CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount,
+       {cnt_if('is_fraud = 1')} AS fraud_count,
+       {rnd('CAST(SUM(TRY_CAST(amount AS DECIMAL(18,2))) AS DOUBLE) / NULLIF(COUNT(amount), 0)')}
+         AS avg_amount,
+       {pct(cnt_if('is_fraud = 1'), 'COUNT(transaction_id)')} AS fraud_rate_pct
+FROM silver_transactions GROUP BY transaction_date ORDER BY transaction_date DESC"""
+q("sql_daily_fraud_summary", ["silver_transactions"], DAILY_FRAUD)
+q("order_desc", ["silver_transactions"], DAILY_FRAUD)
+
+TOP_MERCHANTS = f"""
+SELECT merchant, category, COUNT(transaction_id) AS transaction_count,
+       {rnd(msum('amount'))} AS total_amount,
+       {rnd(mavg('amount'))} AS avg_amount,
+       {cnt_if('is_fraud = 1')} AS fraud_count
+FROM silver_transactions GROUP BY merchant, category
+ORDER BY total_amount DESC NULLS LAST, merchant, category LIMIT 10"""
+q("sql_top_merchants", ["silver_transactions"], TOP_MERCHANTS)
+q("topk_merchants", ["silver_transactions"], TOP_MERCHANTS)
+
+HIGH_RISK_COLS = ("customer_id, total_transactions, total_spend, fraud_txn_count, fraud_rate, "
+                  "risk_tier, kyc_status, total_tickets")
+q("topk_high_risk", ["customer_360"],
+  f"SELECT {HIGH_RISK_COLS} FROM customer_360 WHERE risk_tier = 'HIGH' OR fraud_rate > 10 "
+  "ORDER BY fraud_rate DESC NULLS LAST, customer_id LIMIT 100")
+q("filter_or", ["customer_360"],
+  f"SELECT {HIGH_RISK_COLS} FROM customer_360 WHERE risk_tier = 'HIGH' OR fraud_rate > 10")

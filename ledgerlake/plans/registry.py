@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.operators import clean, marts
+from ledgerlake.operators import clean, marts, reports
 from ledgerlake.plans import defaults as D
 from ledgerlake.sources import bindings as B
 
@@ -64,3 +64,99 @@ def q_agg_transaction_summary(spark, sf_dir):
 @register("agg_ticket_summary")
 def q_agg_ticket_summary(spark, sf_dir):
     return marts.ticket_summary(silver_tickets(spark, sf_dir))
+
+
+@register("join_left_kyc")
+def q_join_left_kyc(spark, sf_dir):
+    return marts.join_left_kyc(silver_customers(spark, sf_dir), silver_kyc(spark, sf_dir))
+
+
+def _join_txn(spark, sf_dir):
+    return marts.join_left_summary(
+        marts.join_left_kyc(silver_customers(spark, sf_dir), silver_kyc(spark, sf_dir)),
+        marts.transaction_summary(silver_transactions(spark, sf_dir)))
+
+
+@register("join_left_txn_summary")
+def q_join_left_txn_summary(spark, sf_dir):
+    return _join_txn(spark, sf_dir)
+
+
+def _join_all(spark, sf_dir):
+    return marts.join_left_summary(_join_txn(spark, sf_dir),
+                                   marts.ticket_summary(silver_tickets(spark, sf_dir)))
+
+
+@register("join_left_ticket_summary")
+def q_join_left_ticket_summary(spark, sf_dir):
+    return _join_all(spark, sf_dir)
+
+
+@register("select_columns")
+def q_select_columns(spark, sf_dir):
+    return silver_kyc(spark, sf_dir).select(*marts.KYC_COLUMNS)
+
+
+@register("scd2_stamp")
+def q_scd2_stamp(spark, sf_dir):
+    return marts.scd2_stamp(_join_all(spark, sf_dir), D.RUN_DATE, D.RUN_TS)
+
+
+@register("fill_defaults")
+def q_fill_defaults(spark, sf_dir):
+    return marts.fill_defaults(_join_all(spark, sf_dir))
+
+
+@register("agg_daily")
+def q_agg_daily(spark, sf_dir):
+    return marts.daily_aggregates(silver_transactions(spark, sf_dir), D.RUN_TS)
+
+
+@register("agg_regulatory")
+def q_agg_regulatory(spark, sf_dir):
+    return marts.regulatory_reports(silver_transactions(spark, sf_dir), D.RUN_TS)
+
+
+@register("report_stamp")
+def q_report_stamp(spark, sf_dir):
+    return marts.regulatory_report(silver_transactions(spark, sf_dir), D.DAY, D.RUN_TS)
+
+
+@register("filter_day")
+def q_filter_day(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from ledgerlake.functions.scalars import date_literal
+    return silver_transactions(spark, sf_dir).filter(
+        F.col("transaction_date") == date_literal(D.DAY))
+
+
+# ---- stored SQL and top-k ---------------------------------------------------
+
+@register("sql_daily_fraud_summary")
+def q_sql_daily_fraud_summary(spark, sf_dir):
+    return reports.sql_daily_fraud_summary(spark, silver_transactions(spark, sf_dir))
+
+
+@register("order_desc")
+def q_order_desc(spark, sf_dir):
+    return reports.daily_fraud_summary(silver_transactions(spark, sf_dir))
+
+
+@register("sql_top_merchants")
+def q_sql_top_merchants(spark, sf_dir):
+    return reports.sql_top_merchants(spark, silver_transactions(spark, sf_dir))
+
+
+@register("topk_merchants")
+def q_topk_merchants(spark, sf_dir):
+    return reports.top_merchants(silver_transactions(spark, sf_dir))
+
+
+@register("topk_high_risk")
+def q_topk_high_risk(spark, sf_dir):
+    return reports.sql_high_risk_customers(spark, gold_customer_360_df(spark, sf_dir))
+
+
+@register("filter_or")
+def q_filter_or(spark, sf_dir):
+    return reports.high_risk_customers(gold_customer_360_df(spark, sf_dir), k=None)
