@@ -24,15 +24,20 @@ DLQ_SOURCES = {"transactions": "transactions", "customers": "customers",
                "kyc": "kyc", "support_tickets": "tickets"}
 
 
-def dedup_by_key(df: DataFrame, key: str, order_by: Sequence[str] = ()) -> DataFrame:
+def dedup_by_key(df: DataFrame, key: str, order_by: Sequence[str] = (),
+                 count_as: str | None = None) -> DataFrame:
     """One row per ``key`` (null is one key): the row that is greatest by
     ``order_by`` descending, then by every other column descending, with
-    nulls lowest. Deterministic, unlike ``dropDuplicates``."""
+    nulls lowest. Deterministic, unlike ``dropDuplicates``. ``count_as``
+    adds the number of input rows of each key."""
     rest = [c for c in df.columns if c != key and c not in order_by]
     packed = F.struct(*[F.col(c) for c in (*order_by, *rest)])
-    kept = df.groupBy(key).agg(F.max(packed).alias("_row"))
+    aggs = [F.max(packed).alias("_row")]
+    if count_as:
+        aggs.append(F.count(F.lit(1)).alias(count_as))
+    kept = df.groupBy(key).agg(*aggs)
     return kept.select(*[F.col(key) if c == key else F.col(f"_row.{c}").alias(c)
-                         for c in df.columns])
+                         for c in df.columns], *([count_as] if count_as else []))
 
 
 def all_rules(rules: dict[str, Column]) -> Column:
@@ -141,3 +146,18 @@ def silver_support_tickets(bronze: DataFrame, run_date, run_ts):
     good, bad = validate_tickets(dedup_by_key(bronze, "ticket_id", ["created_date"]))
     return (stamp_silver(good, run_date, run_ts),
             dlq_rows(bad, DLQ_SOURCES["support_tickets"], run_ts))
+
+
+def row_counts(bronze: DataFrame, key: str, order_by: Sequence[str],
+               rules: dict[str, Column]) -> DataFrame:
+    """Rows in, rows after dedup, duplicates removed, good and bad rows,
+    from one aggregate pass over the deduplicated rows."""
+    ok = F.coalesce(all_rules(rules), F.lit(False))
+    deduped = dedup_by_key(bronze, key, order_by, count_as="_n")
+    return deduped.agg(
+        F.sum("_n").alias("rows_in"),
+        F.count(F.lit(1)).alias("rows_deduped"),
+        (F.sum("_n") - F.count(F.lit(1))).alias("duplicates_removed"),
+        F.count_if(ok).alias("good_rows"),
+        F.count_if(~ok).alias("bad_rows"),
+    )

@@ -377,3 +377,81 @@ q("topk_high_risk", ["customer_360"],
   "ORDER BY fraud_rate DESC NULLS LAST, customer_id LIMIT 100")
 q("filter_or", ["customer_360"],
   f"SELECT {HIGH_RISK_COLS} FROM customer_360 WHERE risk_tier = 'HIGH' OR fraud_rate > 10")
+
+# ---- cleaning ---------------------------------------------------------------
+
+q("dedup_by_key", ["dirty_dedup"], "SELECT * FROM dirty_dedup")
+q("validate_transactions", ["dirty_dedup"], f"SELECT * FROM dirty_dedup WHERE {TXN_RULE}")
+q("except_distinct", ["dirty_dedup"],
+  f"SELECT DISTINCT * FROM dirty_dedup WHERE NOT COALESCE({TXN_RULE}, FALSE)")
+q("validate_customers", ["customers"],
+  "SELECT * FROM customers WHERE customer_id IS NOT NULL AND signup_date IS NOT NULL")
+q("validate_kyc", ["kyc"],
+  "SELECT * FROM kyc WHERE customer_id IS NOT NULL AND kyc_status IS NOT NULL")
+q("validate_tickets", ["support_tickets"],
+  "SELECT * FROM support_tickets WHERE ticket_id IS NOT NULL AND customer_id IS NOT NULL")
+q("mask_pii", ["customers"], f"SELECT {CUST_KEEP}, {MASKED} FROM customers")
+q("stamp_silver", ["transactions"], f"SELECT *, {STAMPS} FROM transactions")
+q("silver_transactions", ["dirty_dedup"],
+  f"SELECT *, {STAMPS} FROM dirty_dedup WHERE {TXN_RULE}")
+q("silver_customers", ["silver_customers"], "SELECT * FROM silver_customers")
+q("silver_kyc", ["silver_kyc"], "SELECT * FROM silver_kyc")
+q("silver_support_tickets", ["silver_tickets"], "SELECT * FROM silver_tickets")
+q("row_count_metrics", ["dirty_transactions", "dirty_dedup"], f"""
+SELECT (SELECT COUNT(*) FROM dirty_transactions) AS rows_in,
+       COUNT(*) AS rows_deduped,
+       (SELECT COUNT(*) FROM dirty_transactions) - COUNT(*) AS duplicates_removed,
+       COUNT(*) FILTER (WHERE COALESCE({TXN_RULE}, FALSE)) AS good_rows,
+       COUNT(*) FILTER (WHERE NOT COALESCE({TXN_RULE}, FALSE)) AS bad_rows
+FROM dirty_dedup""")
+
+# ---- fraud scoring ------------------------------------------------------------
+
+
+def score_sql(amount: str, hour: str, device: str, lat: str) -> tuple[str, str]:
+    """(score, reasons JSON text) with the same rules as the Spark columns."""
+    a = f"(CASE WHEN NOT isnan({amount}) THEN {amount} END)"
+    la = f"(CASE WHEN NOT isnan({lat}) THEN {lat} END)"
+    known = f"COALESCE(starts_with({device}, 'device-'), FALSE)"
+    amt = f"CAST(TRY_CAST({a} AS DECIMAL(18,2)) AS VARCHAR)"
+    h = f"CAST({hour} AS VARCHAR)"
+    rules = [
+        (f"{a} > 100000", 50, f"'very_high_amount:' || {amt}"),
+        (f"{a} <= 100000 AND {a} > 50000", 30, f"'high_amount:' || {amt}"),
+        (f"{a} <= 50000 AND {a} > 20000", 15, f"'elevated_amount:' || {amt}"),
+        (f"{hour} < 5", 25, f"'midnight_transaction:hour_' || {h}"),
+        (f"{hour} >= 5 AND {hour} < 7", 10, f"'early_morning:hour_' || {h}"),
+        (f"NOT {known}", 20, "'unknown_device'"),
+        (f"{la} > 30 OR {la} < 10", 10, f"'unusual_location:' || CAST({la} AS VARCHAR)"),
+        (f"{a} > 50000 AND NOT {known}", 15, "'high_amount_unknown_device'"),
+        (f"{a} > 20000 AND {hour} < 5", 15, "'high_amount_midnight'"),
+    ]
+    score = "LEAST(" + " + ".join(f"(CASE WHEN {c} THEN {p} ELSE 0 END)"
+                                  for c, p, _ in rules) + ", 100)"
+    arr = "[" + ", ".join(f"(CASE WHEN {c} THEN {t} END)" for c, _, t in rules) + "]"
+    reasons = ("'[' || array_to_string(list_transform(list_filter(" + arr +
+               ", lambda x: x IS NOT NULL), lambda x: '\"' || x || '\"'), ', ') || ']'")
+    return score, reasons
+
+
+def decision_sql(score: str) -> str:
+    return (f"CASE WHEN {score} >= 70 THEN 'BLOCK' WHEN {score} >= 40 THEN 'FLAG' "
+            "ELSE 'ALLOW' END")
+
+
+_S, _R = score_sql("amount", "COALESCE(hour(\"timestamp\"), 12)", "device_id", "location_lat")
+cte("scored", ("silver_transactions",),
+    f"SELECT *, CAST({_S} AS INTEGER) AS fraud_score, {_R} AS reasons_json "
+    "FROM silver_transactions")
+q("fraud_score", ["scored"],
+  "SELECT transaction_id, fraud_score, reasons_json AS reasons FROM scored")
+q("fraud_decision", ["scored"],
+  f"SELECT transaction_id, fraud_score, {decision_sql('fraud_score')} AS decision FROM scored")
+q("fraud_result_row", ["scored"], f"""
+SELECT transaction_id, customer_id, CAST(TRY_CAST(amount AS DECIMAL(18,2)) AS VARCHAR) AS amount,
+       COALESCE(merchant, '') AS merchant, fraud_score,
+       {decision_sql('fraud_score')} AS decision, reasons_json AS reasons,
+       COALESCE(CAST(is_fraud AS INTEGER), 0) AS actual_fraud,
+       COALESCE(strftime("timestamp", '%Y-%m-%d %H:%M:%S'), '') AS "timestamp",
+       {TS} AS processed_at, 'rule-engine-v1' AS model_version
+FROM scored""")

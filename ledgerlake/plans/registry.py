@@ -10,6 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlake.functions import scoring
+from ledgerlake.functions.scalars import hour_of, json_string_array
 from ledgerlake.operators import clean, marts, reports
 from ledgerlake.plans import defaults as D
 from ledgerlake.sources import bindings as B
@@ -160,3 +162,107 @@ def q_topk_high_risk(spark, sf_dir):
 @register("filter_or")
 def q_filter_or(spark, sf_dir):
     return reports.high_risk_customers(gold_customer_360_df(spark, sf_dir), k=None)
+
+
+# ---- cleaning (dirty transactions) -------------------------------------------
+
+def dirty_deduped(spark, sf_dir):
+    bronze = B.dirty_transactions(spark, sf_dir)
+    return clean.dedup_by_key(bronze, "transaction_id", ["timestamp", "copy"])
+
+
+@register("dedup_by_key")
+def q_dedup_by_key(spark, sf_dir):
+    return dirty_deduped(spark, sf_dir)
+
+
+@register("validate_transactions")
+def q_validate_transactions(spark, sf_dir):
+    return clean.validate_transactions(dirty_deduped(spark, sf_dir))[0]
+
+
+@register("except_distinct")
+def q_except_distinct(spark, sf_dir):
+    deduped = dirty_deduped(spark, sf_dir)
+    good = clean.validate_transactions(deduped)[0]
+    return deduped.subtract(good)
+
+
+@register("validate_customers")
+def q_validate_customers(spark, sf_dir):
+    return clean.validate_customers(B.customers(spark, sf_dir))[0]
+
+
+@register("validate_kyc")
+def q_validate_kyc(spark, sf_dir):
+    return clean.validate_kyc(B.kyc(spark, sf_dir))[0]
+
+
+@register("validate_tickets")
+def q_validate_tickets(spark, sf_dir):
+    return clean.validate_tickets(B.support_tickets(spark, sf_dir))[0]
+
+
+@register("mask_pii")
+def q_mask_pii(spark, sf_dir):
+    return clean.mask_pii(B.customers(spark, sf_dir))
+
+
+@register("stamp_silver")
+def q_stamp_silver(spark, sf_dir):
+    return clean.stamp_silver(B.transactions(spark, sf_dir), D.RUN_DATE, D.RUN_TS)
+
+
+@register("silver_transactions")
+def q_silver_transactions(spark, sf_dir):
+    return clean.silver_transactions(B.dirty_transactions(spark, sf_dir),
+                                     D.RUN_DATE, D.RUN_TS)[0]
+
+
+@register("silver_customers")
+def q_silver_customers(spark, sf_dir):
+    return silver_customers(spark, sf_dir)
+
+
+@register("silver_kyc")
+def q_silver_kyc(spark, sf_dir):
+    return silver_kyc(spark, sf_dir)
+
+
+@register("silver_support_tickets")
+def q_silver_support_tickets(spark, sf_dir):
+    return silver_tickets(spark, sf_dir)
+
+
+@register("row_count_metrics")
+def q_row_count_metrics(spark, sf_dir):
+    return clean.row_counts(B.dirty_transactions(spark, sf_dir), "transaction_id",
+                            ["timestamp", "copy"], clean.transaction_rules())
+
+
+# ---- fraud scoring (batch) ---------------------------------------------------
+
+def scored_transactions(spark, sf_dir):
+    from pyspark.sql import functions as F
+    txn = silver_transactions(spark, sf_dir)
+    return scoring.score_columns(txn, hour_of("timestamp", is_text=False)), F
+
+
+@register("fraud_score")
+def q_fraud_score(spark, sf_dir):
+    scored, F = scored_transactions(spark, sf_dir)
+    return scored.select("transaction_id", "fraud_score",
+                         json_string_array("reasons").alias("reasons"))
+
+
+@register("fraud_decision")
+def q_fraud_decision(spark, sf_dir):
+    scored, F = scored_transactions(spark, sf_dir)
+    return scored.select("transaction_id", "fraud_score", "decision")
+
+
+@register("fraud_result_row")
+def q_fraud_result_row(spark, sf_dir):
+    scored, F = scored_transactions(spark, sf_dir)
+    return scoring.decision_rows(scored, F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"),
+                                 D.RUN_TS)
