@@ -1,0 +1,22 @@
+"""Joins against a side whose size is only known at run time."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Fixed value: largest key list that is broadcast to every task.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str,
+               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Join ``big`` with a side expected to be small.
+
+    The small side is counted first (a cheap action on a key list); it is
+    broadcast only under ``max_rows``, otherwise both sides shuffle on the
+    key as in any sort-merge join. No row is dropped either way.
+    """
+    n = small.count()
+    side = F.broadcast(small) if n <= max_rows else small
+    return big.join(side, on=on, how=how)

@@ -455,3 +455,179 @@ SELECT transaction_id, customer_id, CAST(TRY_CAST(amount AS DECIMAL(18,2)) AS VA
        COALESCE(strftime("timestamp", '%Y-%m-%d %H:%M:%S'), '') AS "timestamp",
        {TS} AS processed_at, 'rule-engine-v1' AS model_version
 FROM scored""")
+
+# ---- quality ---------------------------------------------------------------------
+
+from ledgerlake.operators import quality as _Q  # noqa: E402
+
+
+def _rule_sql(rule) -> tuple[str, str]:
+    k, c = rule.kind, f'"{rule.column}"' if rule.column else None
+    if k == "exists":
+        return "COUNT(*) > 0", "CAST(NULL AS VARCHAR)"
+    if k == "min_rows":
+        return f"COUNT(*) >= {int(rule.lo)}", "CAST(COUNT(*) AS VARCHAR)"
+    if k == "no_nulls":
+        n = f"COUNT(*) FILTER (WHERE {c} IS NULL)"
+        return f"{n} = 0", f"CAST({n} AS VARCHAR)"
+    if k == "all_positive":
+        bad = f"COUNT(*) FILTER (WHERE NOT COALESCE({c} > 0 AND NOT isnan(CAST({c} AS DOUBLE)), FALSE))"
+        return f"{bad} = 0", f"CAST(COUNT(*) FILTER (WHERE {c} <= 0) AS VARCHAR) || ' negative'"
+    if k == "unique_key":
+        dup = f"(COUNT(*) - COUNT(DISTINCT {c}))"
+        return f"{dup} = 0", f"CAST({dup} AS VARCHAR)"
+    if k == "mean_pct_in_open_range":
+        p = f"(AVG(CAST({c} AS DOUBLE)) * 100)"
+        return (f"COALESCE({p} > {rule.lo} AND {p} < {rule.hi}, FALSE)",
+                f"CAST(CAST({rnd(p)} AS DECIMAL(38,2)) AS VARCHAR) || '%'")
+    if k == "values_in_range":
+        out = (f"COUNT(*) FILTER (WHERE NOT COALESCE({c} BETWEEN {rule.lo} AND {rule.hi} "
+               f"AND NOT isnan(CAST({c} AS DOUBLE)), FALSE))")
+        return (f"{out} = 0",
+                f"'min=' || CAST(CAST({rnd(f'MIN({c})', 1)} AS DECIMAL(38,1)) AS VARCHAR) || "
+                f"' max=' || CAST(CAST({rnd(f'MAX({c})', 1)} AS DECIMAL(38,1)) AS VARCHAR)")
+    raise ValueError(k)
+
+
+def _lit(v) -> str:
+    return "CAST(NULL AS VARCHAR)" if v is None else "'" + str(v).replace("'", "''") + "'"
+
+
+def suite_sql(suite: str, src: str, cols: list[str], rules) -> str:
+    """One aggregate row over ``src``, unpivoted to one row per check."""
+    aggs, selects = [], []
+    for i, rule in enumerate(rules, start=1):
+        if rule.kind in _Q.SCHEMA_KINDS:
+            present = rule.column in cols
+            passed = "TRUE" if present == (rule.kind == "column_present") else "FALSE"
+            actual = "CAST(NULL AS VARCHAR)"
+        else:
+            p, a = _rule_sql(rule)
+            aggs += [f"{p} AS p{i}", f"{a} AS a{i}"]
+            passed, actual = f"p{i}", f"a{i}"
+        selects.append(f"SELECT {_lit(suite)} AS suite, {i} AS check_id, {_lit(rule.check)} "
+                       f"AS \"check\", {passed} AS passed, {actual} AS actual, "
+                       f"{_lit(rule.expected)} AS expected, p1 AS _exists FROM agg_{suite}")
+    agg = f"agg_{suite} AS (SELECT {', '.join(aggs)} FROM {src})"
+    body = " UNION ALL ".join(selects)
+    return agg, (f"SELECT suite, check_id, \"check\", passed, actual, expected FROM ({body}) "
+                 "WHERE _exists OR check_id = 1")
+
+
+SILVER_TXN_COLS = TXN_COLS + ["copy", "processed_date", "silver_timestamp"]
+SILVER_CUST_COLS = (CUST_KEEP.replace(" ", "").split(",")
+                    + ["email_masked", "phone_masked", "name_masked", "address_masked",
+                       "processed_date", "silver_timestamp"])
+C360_COLS = SILVER_CUST_COLS + KYC_COLS[1:] + [
+    "total_transactions", "total_spend", "avg_transaction", "fraud_rate", "total_tickets",
+    "open_tickets", "updated_at", "batch_date", "is_current", "valid_from", "valid_to"]
+
+cte("bronze_day", ("dirty_transactions",),
+    f"SELECT * FROM dirty_transactions WHERE transaction_date = {DAY}")
+cte("silver_day", ("dirty_dedup",),
+    f"SELECT *, {STAMPS} FROM dirty_dedup WHERE {TXN_RULE} AND transaction_date = {DAY}")
+
+SUITES = [
+    ("bronze_transactions", "bronze_day", TXN_COLS + ["copy"], _Q.bronze_transactions_rules()),
+    ("silver_transactions", "silver_day", SILVER_TXN_COLS, _Q.silver_transactions_rules()),
+    ("silver_customers", "silver_customers", SILVER_CUST_COLS, _Q.silver_customers_rules()),
+    ("gold_customer_360", "customer_360", C360_COLS, _Q.gold_customer_360_rules()),
+]
+
+
+def suites_sql(which) -> str:
+    deps, aggs, bodies = [], [], []
+    for suite, src, cols, rules in SUITES:
+        if suite in which:
+            a, b = suite_sql(suite, src, cols, rules)
+            deps.append(src)
+            aggs.append(a)
+            bodies.append(f"({b})")
+    base = with_ctes(deps, "SELECT 1")
+    head = base[:-len("SELECT 1")].rstrip()
+    head = (head + ",\n" if head.startswith("WITH") else "WITH ") + ",\n".join(aggs)
+    return head + "\n" + " UNION ALL ".join(bodies)
+
+
+for _s in SUITES:
+    ORACLE[f"dq_{_s[0]}"] = suites_sql([_s[0]])
+ORACLE["dq_engine"] = suites_sql([s[0] for s in SUITES])
+ORACLE["dq_report"] = (
+    "SELECT suite, bool_and(passed) AS passed, COUNT(*) AS checks, "
+    "COUNT(*) FILTER (WHERE NOT passed) AS failed FROM (" + ORACLE["dq_engine"].replace(
+        "WITH ", "SELECT * FROM (WITH ", 1) + ")) GROUP BY suite")
+_ga, _gb = suite_sql("gate", "silver_day", SILVER_TXN_COLS, _Q.gate_rules())
+ORACLE["dq_gate"] = with_ctes(["silver_day"], "SELECT 1")[:-len("SELECT 1")].rstrip() + \
+    ",\n" + _ga + "\n" + _gb
+
+# ---- profiling -------------------------------------------------------------------
+
+PROFILE_TABLES = [
+    ("transactions", "dirty_transactions",
+     [("transaction_id", True), ("customer_id", True), ("amount", True), ("merchant", False),
+      ("category", False), ("timestamp", False), ("transaction_date", False),
+      ("device_id", False), ("location_lat", True), ("location_lng", True),
+      ("is_fraud", True), ("currency", False), ("copy", True)]),
+    ("customers", "customers",
+     [(c, c in ("customer_id", "avg_spend", "home_lat", "home_lng", "is_active"))
+      for c in CUST_COLS]),
+    ("kyc", "kyc", [(c, c == "customer_id") for c in KYC_COLS]),
+    ("support_tickets", "support_tickets",
+     [(c, c in ("ticket_id", "customer_id")) for c in TICKET_COLS]),
+]
+
+
+def profile_sql(table: str, src: str, cols) -> str:
+    parts = []
+    for c, numeric in cols:
+        q_ = f'"{c}"'
+        null_pct = pct(f"COUNT(*) FILTER (WHERE {q_} IS NULL)", "COUNT(*)", 1)
+        if numeric:
+            dec = f"TRY_CAST({q_} AS DECIMAL(38,10))"
+            stats = (f"CAST(MIN({q_}) AS DOUBLE) AS min, CAST(MAX({q_}) AS DOUBLE) AS max, "
+                     f"{rnd(f'CAST(SUM({dec}) AS DOUBLE) / NULLIF(COUNT({dec}), 0)')} AS mean, "
+                     "CAST(NULL AS VARCHAR) AS sample")
+        else:
+            stats = ("CAST(NULL AS DOUBLE) AS min, CAST(NULL AS DOUBLE) AS max, "
+                     "CAST(NULL AS DOUBLE) AS mean, "
+                     f"substring(CAST(MIN({q_}) AS VARCHAR), 1, 20) AS sample")
+        parts.append(f"SELECT '{table}' AS table_name, '{c}' AS column_name, {null_pct} AS "
+                     f"null_pct, COUNT(DISTINCT {q_}) AS n_distinct, {stats} FROM {src}")
+    return " UNION ALL ".join(parts)
+
+
+q("profile_columns", [t[1] for t in PROFILE_TABLES],
+  " UNION ALL ".join(f"({profile_sql(*t)})" for t in PROFILE_TABLES))
+
+_DUP_KEYS = [("transactions", "dirty_transactions", "transaction_id"),
+             ("customers", "customers", "customer_id"), ("kyc", "kyc", "customer_id"),
+             ("support_tickets", "support_tickets", "ticket_id")]
+q("profile_duplicates", [d[1] for d in _DUP_KEYS], " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{k}' AS key_column, COUNT(*) - (COUNT(DISTINCT {k}) + "
+    f"CASE WHEN COUNT(*) FILTER (WHERE {k} IS NULL) > 0 THEN 1 ELSE 0 END) AS duplicates "
+    f"FROM {src}" for t, src, k in _DUP_KEYS))
+
+
+def dist_sql(table: str, src: str, col: str, value: str) -> str:
+    return (f"SELECT '{table}' AS table_name, '{col}' AS column_name, value, count, "
+            f"{pct('count', f'(SELECT COUNT(*) FROM {src})', 1)} AS pct FROM ("
+            f"SELECT {value} AS value, COUNT(*) AS count FROM {src} WHERE {col} IS NOT NULL "
+            f"GROUP BY 1)")
+
+
+q("profile_distribution", ["dirty_transactions", "kyc", "support_tickets"], " UNION ALL ".join([
+    dist_sql("transactions", "dirty_transactions", "is_fraud",
+             "CASE WHEN is_fraud = 1 THEN 'FRAUD' WHEN is_fraud = 0 THEN 'NORMAL' END"),
+    dist_sql("kyc", "kyc", "kyc_status", "kyc_status"),
+    dist_sql("kyc", "kyc", "risk_tier", "risk_tier"),
+    dist_sql("support_tickets", "support_tickets", "category", "category"),
+]))
+q("profile_layer_totals", ["dirty_transactions", "customers", "kyc", "support_tickets"], """
+SELECT table_name, rows FROM (
+  SELECT 'transactions' AS table_name, COUNT(*) AS rows FROM dirty_transactions
+  UNION ALL SELECT 'customers', COUNT(*) FROM customers
+  UNION ALL SELECT 'kyc', COUNT(*) FROM kyc
+  UNION ALL SELECT 'support_tickets', COUNT(*) FROM support_tickets)
+UNION ALL
+SELECT 'TOTAL', (SELECT COUNT(*) FROM dirty_transactions) + (SELECT COUNT(*) FROM customers)
+  + (SELECT COUNT(*) FROM kyc) + (SELECT COUNT(*) FROM support_tickets)""")

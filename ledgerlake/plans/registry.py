@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.functions import scoring
 from ledgerlake.functions.scalars import hour_of, json_string_array
-from ledgerlake.operators import clean, marts, reports
+from ledgerlake.operators import clean, marts, profiling, quality, reports
 from ledgerlake.plans import defaults as D
 from ledgerlake.sources import bindings as B
 
@@ -266,3 +266,114 @@ def q_fraud_result_row(spark, sf_dir):
     scored, F = scored_transactions(spark, sf_dir)
     return scoring.decision_rows(scored, F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"),
                                  D.RUN_TS)
+
+
+# ---- quality -------------------------------------------------------------------
+
+def _day(df):
+    from pyspark.sql import functions as F
+    from ledgerlake.functions.scalars import date_literal
+    return df.filter(F.col("transaction_date") == date_literal(D.DAY))
+
+
+def _silver_dirty(spark, sf_dir):
+    return clean.silver_transactions(B.dirty_transactions(spark, sf_dir), D.RUN_DATE,
+                                     D.RUN_TS)[0]
+
+
+def dq_suites(spark, sf_dir):
+    return {
+        "bronze_transactions": (_day(B.dirty_transactions(spark, sf_dir)),
+                                quality.bronze_transactions_rules()),
+        "silver_transactions": (_day(_silver_dirty(spark, sf_dir)),
+                                quality.silver_transactions_rules()),
+        "silver_customers": (silver_customers(spark, sf_dir), quality.silver_customers_rules()),
+        "gold_customer_360": (gold_customer_360_df(spark, sf_dir),
+                              quality.gold_customer_360_rules()),
+    }
+
+
+def _suite(name):
+    def run(spark, sf_dir):
+        df, rules = dq_suites(spark, sf_dir)[name]
+        return quality.run_suite(spark, name, df, rules)
+    return run
+
+
+for _name in ("bronze_transactions", "silver_transactions", "silver_customers",
+              "gold_customer_360"):
+    register(f"dq_{_name}")(_suite(_name))
+
+
+def dq_all(spark, sf_dir):
+    out = None
+    for name, (df, rules) in dq_suites(spark, sf_dir).items():
+        r = quality.run_suite(spark, name, df, rules)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@register("dq_engine")
+def q_dq_engine(spark, sf_dir):
+    return dq_all(spark, sf_dir)
+
+
+@register("dq_report")
+def q_dq_report(spark, sf_dir):
+    return quality.suite_verdicts(dq_all(spark, sf_dir))
+
+
+@register("dq_gate")
+def q_dq_gate(spark, sf_dir):
+    return quality.run_suite(spark, "gate", _day(_silver_dirty(spark, sf_dir)),
+                             quality.gate_rules())
+
+
+# ---- profiling -----------------------------------------------------------------
+
+def bronze_tables(spark, sf_dir):
+    return {"transactions": B.dirty_transactions(spark, sf_dir),
+            "customers": B.customers(spark, sf_dir), "kyc": B.kyc(spark, sf_dir),
+            "support_tickets": B.support_tickets(spark, sf_dir)}
+
+
+@register("profile_columns")
+def q_profile_columns(spark, sf_dir):
+    out = None
+    for name, df in bronze_tables(spark, sf_dir).items():
+        p = profiling.profile_columns(df, name)
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+@register("profile_duplicates")
+def q_profile_duplicates(spark, sf_dir):
+    keys = {"transactions": "transaction_id", "customers": "customer_id",
+            "kyc": "customer_id", "support_tickets": "ticket_id"}
+    out = None
+    for name, df in bronze_tables(spark, sf_dir).items():
+        p = profiling.profile_duplicates(df, name, keys[name])
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+@register("profile_distribution")
+def q_profile_distribution(spark, sf_dir):
+    t = bronze_tables(spark, sf_dir)
+    parts = [
+        profiling.profile_distribution(spark, t["transactions"], "transactions", "is_fraud",
+                                       profiling.FRAUD_LABELS),
+        profiling.profile_distribution(spark, t["kyc"], "kyc", "kyc_status"),
+        profiling.profile_distribution(spark, t["kyc"], "kyc", "risk_tier"),
+        profiling.profile_distribution(spark, t["support_tickets"], "support_tickets",
+                                       "category"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("profile_layer_totals")
+def q_profile_layer_totals(spark, sf_dir):
+    return profiling.profile_layer_totals(bronze_tables(spark, sf_dir))
