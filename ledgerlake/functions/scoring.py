@@ -92,16 +92,16 @@ def score_columns(df: DataFrame, hour: Column) -> DataFrame:
 
 
 def decision_rows(scored: DataFrame, timestamp_text: Column,
-                  processed_at: dt.datetime) -> DataFrame:
+                  processed_at: dt.datetime, extra: list[str] = ()) -> DataFrame:
     """The 11-column decision record, one per transaction."""
     return scored.select(
         "transaction_id", "customer_id",
         money_text("amount").alias("amount"),
-        F.coalesce(F.col("merchant"), F.lit("")).alias("merchant"),
-        "fraud_score", "decision",
+        "merchant", "fraud_score", "decision",
         json_string_array("reasons").alias("reasons"),
-        F.coalesce(F.col("is_fraud").cast("int"), F.lit(0)).alias("actual_fraud"),
-        F.coalesce(timestamp_text, F.lit("")).alias("timestamp"),
+        F.col("is_fraud").cast("int").alias("actual_fraud"),
+        timestamp_text.alias("timestamp"),
         ts_literal(processed_at).alias("processed_at"),
         F.lit(MODEL_VERSION).alias("model_version"),
+        *extra,
     )

@@ -12,3 +12,4 @@ RUN_DATE = dt.date(2024, 1, 31)
 RUN_TS = dt.datetime(2024, 1, 31, 1, 0, 0)
 RUN_TS_TEXT = "2024-01-31 01:00:00"
 DAY = dt.date(2024, 1, 15)
+AUDIT_KEY = "audit/batch_id=GDPR-BATCH-20240131010000"

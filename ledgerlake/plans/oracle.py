@@ -449,10 +449,10 @@ q("fraud_decision", ["scored"],
   f"SELECT transaction_id, fraud_score, {decision_sql('fraud_score')} AS decision FROM scored")
 q("fraud_result_row", ["scored"], f"""
 SELECT transaction_id, customer_id, CAST(TRY_CAST(amount AS DECIMAL(18,2)) AS VARCHAR) AS amount,
-       COALESCE(merchant, '') AS merchant, fraud_score,
+       merchant, fraud_score,
        {decision_sql('fraud_score')} AS decision, reasons_json AS reasons,
-       COALESCE(CAST(is_fraud AS INTEGER), 0) AS actual_fraud,
-       COALESCE(strftime("timestamp", '%Y-%m-%d %H:%M:%S'), '') AS "timestamp",
+       CAST(is_fraud AS INTEGER) AS actual_fraud,
+       strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS "timestamp",
        {TS} AS processed_at, 'rule-engine-v1' AS model_version
 FROM scored""")
 
@@ -631,3 +631,170 @@ SELECT table_name, rows FROM (
 UNION ALL
 SELECT 'TOTAL', (SELECT COUNT(*) FROM dirty_transactions) + (SELECT COUNT(*) FROM customers)
   + (SELECT COUNT(*) FROM kyc) + (SELECT COUNT(*) FROM support_tickets)""")
+
+# ---- lake read-backs ----------------------------------------------------------------
+
+WEEK = f"transaction_date BETWEEN {DAY} - INTERVAL 6 DAY AND {DAY}"
+q("scan_parquet_day", ["dirty_transactions"],
+  f"SELECT * FROM dirty_transactions WHERE transaction_date = {DAY}")
+q("scan_parquet", ["customers"], "SELECT * FROM customers")
+q("scan_parquet_listing", ["dirty_transactions"], "SELECT * FROM dirty_transactions")
+q("scan_multi_day_union", ["dirty_transactions"],
+  f"SELECT * FROM dirty_transactions WHERE {WEEK}")
+q("union_files", ["dirty_transactions"], f"SELECT * FROM dirty_transactions WHERE {WEEK}")
+q("scan_lake_table", ["silver_customers"], "SELECT * FROM silver_customers")
+q("write_silver_append", ["dirty_dedup"],
+  f"SELECT *, {STAMPS} FROM dirty_dedup WHERE {TXN_RULE}")
+ORACLE["write_gold_overwrite"] = ORACLE["agg_daily"]
+q("write_dlq", ["dirty_dedup"],
+  f"SELECT *, 'transactions' AS source, 'validation_failed' AS reason, {TS} AS dlq_timestamp, "
+  f"{RUN_DATE} AS run_date FROM dirty_dedup WHERE NOT COALESCE({TXN_RULE}, FALSE)")
+
+# ---- erasure ------------------------------------------------------------------------
+
+cte("pending", ("deletion_requests",),
+    "SELECT * FROM deletion_requests WHERE status = 'PENDING'")
+cte("erase_keys", ("pending",), """
+SELECT DISTINCT TRY_CAST(substring(customer_id, 5) AS BIGINT) AS customer_id FROM pending
+WHERE starts_with(customer_id, 'CUST') AND TRY_CAST(substring(customer_id, 5) AS BIGINT) IS NOT NULL""")
+RUN_STAMP = D.RUN_TS.strftime("%Y%m%d%H%M%S")
+q("scan_pending_requests", ["pending"], "SELECT * FROM pending")
+q("validate_request", ["deletion_requests"], f"""
+SELECT customer_id,
+       CASE WHEN ok THEN 'GDPR-' || customer_id || '-{RUN_STAMP}' END AS request_id,
+       CASE WHEN ok THEN 'VALIDATED' ELSE 'REJECTED' END AS status,
+       CASE WHEN empty THEN 'customer_id is required!'
+            WHEN NOT ok THEN 'Invalid customer_id format: ' || customer_id END AS error,
+       {TS} AS validated_at
+FROM (SELECT customer_id, (customer_id IS NULL OR customer_id = '') AS empty,
+             COALESCE(starts_with(customer_id, 'CUST'), FALSE)
+               AND NOT (customer_id IS NULL OR customer_id = '') AS ok
+      FROM deletion_requests)""")
+INTAKE = """
+SELECT customer_id, requested_at,
+       CASE WHEN empty THEN NULL ELSE 'PENDING' END AS status,
+       CASE WHEN NOT empty THEN 'GDPR-' || customer_id || '-' ||
+            strftime(requested_at, '%Y%m%d%H%M%S') END AS request_id,
+       CASE WHEN NOT empty THEN requested_at + INTERVAL 24 HOUR END AS sla_deadline,
+       CAST(NULL AS TIMESTAMP) AS completed_at,
+       CASE WHEN empty THEN 400 ELSE 200 END AS status_code
+FROM (SELECT customer_id, requested_at, (customer_id IS NULL OR customer_id = '') AS empty
+      FROM deletion_requests)"""
+cte("intake", ("deletion_requests",), INTAKE)
+q("intake_request", ["intake"], "SELECT * FROM intake")
+q("insert_request", ["intake"], "SELECT * EXCLUDE (status_code) FROM intake WHERE status_code = 200")
+q("filter_not_in", ["silver_customers", "erase_keys"],
+  "SELECT * FROM silver_customers s WHERE NOT EXISTS "
+  "(SELECT 1 FROM erase_keys k WHERE k.customer_id = s.customer_id)")
+cte("silver_dirty", ("dirty_dedup",), f"SELECT *, {STAMPS} FROM dirty_dedup WHERE {TXN_RULE}")
+ANTI_TXN = ("SELECT * FROM silver_dirty s WHERE NOT EXISTS "
+            "(SELECT 1 FROM erase_keys k WHERE k.customer_id = s.customer_id)")
+q("anti_join_delete", ["silver_dirty", "erase_keys"], ANTI_TXN)
+q("rewrite_delete", ["silver_dirty", "erase_keys"], ANTI_TXN)
+UPDATED = f"""
+SELECT r.customer_id, r.requested_at, r.request_id, r.sla_deadline,
+       CASE WHEN p.customer_id IS NOT NULL THEN 'COMPLETE' ELSE r.status END AS status,
+       CASE WHEN p.customer_id IS NOT NULL THEN {TS} ELSE r.completed_at END AS completed_at,
+       CASE WHEN p.customer_id IS NOT NULL THEN '{D.AUDIT_KEY}' END AS audit_log_key
+FROM deletion_requests r
+LEFT JOIN (SELECT DISTINCT customer_id, requested_at FROM pending) p
+  ON r.customer_id = p.customer_id AND r.requested_at = p.requested_at"""
+q("update_by_key", ["deletion_requests", "pending"], UPDATED)
+q("update_request_status", ["deletion_requests", "pending"], UPDATED)
+q("gdpr_run", ["deletion_requests", "pending"],
+  f"SELECT * EXCLUDE (audit_log_key) FROM ({UPDATED})")
+
+
+def _erase_count(label: str, src: str) -> str:
+    return (f"SELECT '{label}' AS table_name, COUNT(*) AS rows_before, "
+            f"COUNT(*) FILTER (WHERE customer_id IN (SELECT customer_id FROM erase_keys)) "
+            f"AS rows_deleted, COUNT(*) FILTER (WHERE customer_id IS NULL OR customer_id NOT IN "
+            f"(SELECT customer_id FROM erase_keys)) AS rows_kept, 'OK' AS status FROM {src}")
+
+
+q("gdpr_delete_batch", ["silver_customers", "silver_dirty", "silver_kyc", "silver_tickets",
+                        "customer_360", "erase_keys"], " UNION ALL ".join([
+    _erase_count("silver_customers", "silver_customers"),
+    _erase_count("silver_transactions", "silver_dirty"),
+    _erase_count("silver_kyc", "silver_kyc"),
+    _erase_count("silver_tickets", "silver_tickets"),
+    _erase_count("gold_customer_360", "customer_360")]))
+
+ISO_TS = D.RUN_TS.strftime("%Y-%m-%dT%H:%M:%S")
+q("render_notification", ["intake", "pending"], f"""
+SELECT 'erasure' AS topic, 'GDPR Request Received: ' || request_id AS subject,
+       'GDPR deletion request received!' || chr(10) || 'Customer: ' || customer_id || chr(10) ||
+       'Request ID: ' || request_id || chr(10) || 'SLA deadline: ' ||
+       strftime(sla_deadline, '%Y-%m-%dT%H:%M:%S') || chr(10) ||
+       'Will complete within 24 hours.' AS message, {TS} AS created_at
+FROM intake WHERE request_id IS NOT NULL
+UNION ALL
+SELECT 'erasure', 'GDPR Deletion Complete: ' || request_id,
+       'Your data deletion is complete!' || chr(10) || 'Request ID: ' || request_id || chr(10) ||
+       'Customer: ' || customer_id || chr(10) || 'Completed: {ISO_TS}' || chr(10) ||
+       'All your data has been permanently deleted.', {TS}
+FROM pending""")
+
+# ---- streaming ------------------------------------------------------------------------
+
+cte("stream_rows", ("transactions",), """
+SELECT 1 AS delivery, t.*,
+       CASE WHEN transaction_id % 211 = 0 THEN 'not_base64'
+            WHEN transaction_id % 223 = 0 THEN 'not_json'
+            WHEN transaction_id % 227 = 0 THEN 'amount_text'
+            WHEN transaction_id % 229 = 0 THEN 'amount_null'
+            WHEN transaction_id % 233 = 0 THEN 'amount_absent'
+            WHEN transaction_id % 239 = 0 THEN 'device_null'
+            WHEN transaction_id % 241 = 0 THEN 'device_absent'
+            WHEN transaction_id % 251 = 0 THEN 'timestamp_null' END AS fault
+FROM transactions t
+UNION ALL
+SELECT 2, t.* REPLACE (amount * 2 AS amount), NULL FROM transactions t
+WHERE transaction_id % 50 = 7""")
+cte("stream_decoded", ("stream_rows",), """
+SELECT delivery * 1000000000000 + transaction_id AS seq,
+       CASE WHEN broken THEN NULL ELSE CAST(transaction_id AS VARCHAR) END AS transaction_id,
+       CASE WHEN broken THEN NULL ELSE CAST(customer_id AS VARCHAR) END AS customer_id,
+       CASE WHEN broken OR fault IN ('amount_text', 'amount_null', 'amount_absent') THEN NULL
+            ELSE amount END AS amount,
+       CASE WHEN broken THEN '' ELSE merchant END AS merchant,
+       CASE WHEN broken THEN NULL ELSE category END AS category,
+       CASE WHEN broken THEN '' WHEN fault = 'timestamp_null' THEN NULL
+            ELSE strftime("timestamp", '%Y-%m-%dT%H:%M:%S') END AS "timestamp",
+       CASE WHEN broken OR fault = 'device_absent' THEN '' WHEN fault = 'device_null' THEN NULL
+            ELSE device_id END AS device_id,
+       CASE WHEN broken THEN 0.0 ELSE location_lat END AS location_lat,
+       CASE WHEN broken THEN NULL ELSE location_lng END AS location_lng,
+       CASE WHEN broken THEN 0 ELSE is_fraud END AS is_fraud,
+       CASE WHEN broken THEN NULL ELSE currency END AS currency,
+       CASE fault WHEN 'not_base64' THEN 'not_base64' WHEN 'not_json' THEN 'not_json_object'
+            WHEN 'amount_text' THEN 'bad_amount' WHEN 'amount_null' THEN 'bad_amount'
+            WHEN 'amount_absent' THEN 'bad_amount' WHEN 'device_null' THEN 'bad_device_id'
+       END AS error
+FROM (SELECT *, COALESCE(fault IN ('not_base64', 'not_json'), FALSE) AS broken FROM stream_rows)""")
+q("stream_decode", ["stream_decoded"], "SELECT * FROM stream_decoded")
+q("stream_error_split", ["stream_decoded"],
+  f"SELECT seq, transaction_id, 'fraud_stream' AS source, error AS reason, {TS} AS dlq_timestamp "
+  "FROM stream_decoded WHERE error IS NOT NULL")
+_HS = "COALESCE(TRY_CAST(substring(\"timestamp\", 12, 2) AS INTEGER), 12)"
+_SS, _SR = score_sql("amount", _HS, "device_id", "location_lat")
+cte("stream_scored", ("stream_decoded",),
+    f"SELECT *, CASE WHEN error IS NULL THEN CAST({_SS} AS INTEGER) END AS fraud_score, "
+    f"CASE WHEN error IS NULL THEN {_SR} END AS reasons_json FROM stream_decoded")
+q("batch_metrics", ["stream_scored"], f"""
+SELECT COUNT(*) FILTER (WHERE error IS NULL) AS processed,
+       COUNT(*) FILTER (WHERE error IS NULL AND fraud_score < 40) AS allowed,
+       COUNT(*) FILTER (WHERE error IS NULL AND fraud_score >= 40 AND fraud_score < 70) AS flagged,
+       COUNT(*) FILTER (WHERE error IS NULL AND fraud_score >= 70) AS blocked,
+       COUNT(*) FILTER (WHERE error IS NOT NULL) AS errors
+FROM stream_scored""")
+STREAM_DECISIONS = f"""
+SELECT transaction_id, customer_id,
+       CAST(TRY_CAST(amount AS DECIMAL(18,2)) AS VARCHAR) AS amount, merchant, fraud_score,
+       {decision_sql('fraud_score')} AS decision, reasons_json AS reasons,
+       CAST(is_fraud AS INTEGER) AS actual_fraud, "timestamp", {TS} AS processed_at,
+       'rule-engine-v1' AS model_version
+FROM stream_scored WHERE error IS NULL
+QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY seq DESC) = 1"""
+for _k in ("stream_upsert", "upsert_decisions", "stream_json_source"):
+    q(_k, ["stream_scored"], STREAM_DECISIONS)

@@ -12,9 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.functions import scoring
 from ledgerlake.functions.scalars import hour_of, json_string_array
-from ledgerlake.operators import clean, marts, profiling, quality, reports
+from ledgerlake.functions.scalars import ts_literal
+from ledgerlake.operators import clean, erasure, marts, notify, profiling, quality, reports
 from ledgerlake.plans import defaults as D
+from ledgerlake.plans import pipeline
 from ledgerlake.sources import bindings as B
+from ledgerlake.sources import lake as L
+from ledgerlake.session import scratch_path
+from ledgerlake.streaming import fraud_stream as FS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -377,3 +382,284 @@ def q_profile_distribution(spark, sf_dir):
 @register("profile_layer_totals")
 def q_profile_layer_totals(spark, sf_dir):
     return profiling.profile_layer_totals(bronze_tables(spark, sf_dir))
+
+
+# ---- lake sources and sinks (write, then read back) ---------------------------------
+
+def seed_bronze(spark, sf_dir, tag="lake"):
+    """A fresh lake under the shared folder with the raw files landed."""
+    lake = L.Lake.scratch(spark, tag)
+    L.write_bronze_days(B.dirty_transactions(spark, sf_dir), lake.bronze_path("transactions"))
+    for name, fn in (("customers", B.customers), ("kyc", B.kyc),
+                     ("support_tickets", B.support_tickets)):
+        L.write_bronze_entity(fn(spark, sf_dir), lake.bronze_path(name))
+    return lake
+
+
+def seed_silver_gold(spark, sf_dir, tag="lake"):
+    """A fresh lake holding silver and gold snapshots of all days."""
+    lake = L.Lake.scratch(spark, tag)
+    lake.table("silver", "transactions").write_snapshot(
+        _silver_dirty(spark, sf_dir), partition_by="transaction_date")
+    lake.table("silver", "customers").write_snapshot(silver_customers(spark, sf_dir))
+    lake.table("silver", "kyc").write_snapshot(silver_kyc(spark, sf_dir))
+    lake.table("silver", "support_tickets").write_snapshot(silver_tickets(spark, sf_dir))
+    lake.table("gold", "customer_360").write_snapshot(gold_customer_360_df(spark, sf_dir))
+    return lake
+
+
+def _week(day):
+    import datetime as dt
+    return [day - dt.timedelta(days=i) for i in range(6, -1, -1)]
+
+
+@register("scan_parquet_day")
+def q_scan_parquet_day(spark, sf_dir):
+    lake = seed_bronze(spark, sf_dir)
+    return L.scan_parquet_day(spark, lake.bronze_path("transactions"), D.DAY)
+
+
+@register("scan_parquet")
+def q_scan_parquet(spark, sf_dir):
+    lake = seed_bronze(spark, sf_dir)
+    return L.scan_parquet(spark, lake.bronze_path("customers"))
+
+
+@register("scan_parquet_listing")
+def q_scan_parquet_listing(spark, sf_dir):
+    lake = seed_bronze(spark, sf_dir)
+    return L.scan_parquet_listing(spark, lake.bronze_path("transactions"))
+
+
+@register("scan_multi_day_union")
+def q_scan_multi_day_union(spark, sf_dir):
+    lake = seed_bronze(spark, sf_dir)
+    days = _week(D.DAY)
+    return L.scan_day_range(spark, lake.bronze_path("transactions"), days[0], days[-1])
+
+
+@register("union_files")
+def q_union_files(spark, sf_dir):
+    lake = seed_bronze(spark, sf_dir)
+    return L.union_frames([L.scan_parquet_day(spark, lake.bronze_path("transactions"), d)
+                           for d in _week(D.DAY)])
+
+
+@register("scan_lake_table")
+def q_scan_lake_table(spark, sf_dir):
+    lake = L.Lake.scratch(spark)
+    t = lake.table("silver", "customers")
+    t.write_snapshot(silver_customers(spark, sf_dir))
+    return t.read()
+
+
+@register("write_silver_append")
+def q_write_silver_append(spark, sf_dir):
+    """Every day loaded, then the whole load run again: still one copy."""
+    lake = L.Lake.scratch(spark)
+    t = lake.table("silver", "transactions")
+    for _ in range(2):
+        t.replace_partitions(_silver_dirty(spark, sf_dir), "transaction_date")
+    return t.read()
+
+
+@register("write_gold_overwrite")
+def q_write_gold_overwrite(spark, sf_dir):
+    """All days written, then one day recomputed: only that day replaced."""
+    lake = L.Lake.scratch(spark)
+    t = lake.table("gold", "daily_aggregates")
+    txn = silver_transactions(spark, sf_dir)
+    t.replace_partitions(marts.daily_aggregates(txn, D.RUN_TS), "transaction_date")
+    t.replace_partitions(marts.daily_aggregates(txn, D.RUN_TS, D.DAY), "transaction_date",
+                         days=[D.DAY])
+    return t.read()
+
+
+@register("write_dlq")
+def q_write_dlq(spark, sf_dir):
+    lake = L.Lake.scratch(spark)
+    bad = clean.silver_transactions(B.dirty_transactions(spark, sf_dir), D.RUN_DATE,
+                                    D.RUN_TS)[1]
+    for _ in range(2):
+        L.write_dlq(bad, lake.dlq_path("transactions"), D.RUN_DATE)
+    return spark.read.parquet(lake.dlq_path("transactions"))
+
+
+# ---- erasure ------------------------------------------------------------------------
+
+def requests_df(spark, sf_dir):
+    return B.deletion_requests(spark, sf_dir)
+
+
+@register("scan_pending_requests")
+def q_scan_pending_requests(spark, sf_dir):
+    return erasure.pending_requests(requests_df(spark, sf_dir))
+
+
+@register("validate_request")
+def q_validate_request(spark, sf_dir):
+    return erasure.validate_requests(requests_df(spark, sf_dir), ts_literal(D.RUN_TS))
+
+
+@register("intake_request")
+def q_intake_request(spark, sf_dir):
+    return erasure.intake_requests(requests_df(spark, sf_dir).select("customer_id",
+                                                                     "requested_at"))
+
+
+@register("insert_request")
+def q_insert_request(spark, sf_dir):
+    lake = L.Lake.scratch(spark)
+    t = lake.table("control", "deletion_requests")
+    accepted = erasure.intake_requests(
+        requests_df(spark, sf_dir).select("customer_id", "requested_at"))
+    t.write_snapshot(accepted.filter("status_code = 200").drop("status_code"))
+    return t.read()
+
+
+def _erasure_keys(spark, sf_dir):
+    return erasure.erasure_keys(erasure.pending_requests(requests_df(spark, sf_dir)))
+
+
+@register("filter_not_in")
+def q_filter_not_in(spark, sf_dir):
+    keys = _erasure_keys(spark, sf_dir)
+    return erasure.anti_join_delete(silver_customers(spark, sf_dir), keys, keys.count())
+
+
+@register("anti_join_delete")
+def q_anti_join_delete(spark, sf_dir):
+    keys = _erasure_keys(spark, sf_dir)
+    return erasure.anti_join_delete(_silver_dirty(spark, sf_dir), keys, keys.count())
+
+
+@register("update_by_key")
+def q_update_by_key(spark, sf_dir):
+    reqs = requests_df(spark, sf_dir)
+    return erasure.update_request_status(reqs, erasure.pending_requests(reqs),
+                                         D.AUDIT_KEY, D.RUN_TS)
+
+
+@register("update_request_status")
+def q_update_request_status(spark, sf_dir):
+    lake = L.Lake.scratch(spark)
+    t = lake.table("control", "deletion_requests")
+    reqs = requests_df(spark, sf_dir)
+    t.write_snapshot(reqs)
+    current = t.read()
+    t.write_snapshot(erasure.update_request_status(
+        current, erasure.pending_requests(current), D.AUDIT_KEY, D.RUN_TS))
+    return t.read()
+
+
+@register("rewrite_delete")
+def q_rewrite_delete(spark, sf_dir):
+    lake = seed_silver_gold(spark, sf_dir)
+    erasure.erase_from_lake(lake, _erasure_keys(spark, sf_dir),
+                            targets=[("silver", "transactions", "silver_transactions")])
+    return lake.table("silver", "transactions").read()
+
+
+@register("gdpr_delete_batch")
+def q_gdpr_delete_batch(spark, sf_dir):
+    lake = seed_silver_gold(spark, sf_dir)
+    rows = erasure.erase_from_lake(lake, _erasure_keys(spark, sf_dir))
+    return erasure.summary_frame(spark, rows)
+
+
+@register("gdpr_run")
+def q_gdpr_run(spark, sf_dir):
+    lake = seed_silver_gold(spark, sf_dir)
+    out = pipeline.run_erasure(spark, lake, requests_df(spark, sf_dir), D.RUN_TS)
+    # the audit key names a folder of this run's scratch lake, so it is left out
+    return out["requests"].drop("audit_log_key")
+
+
+@register("write_audit_json")
+def q_write_audit_json(spark, sf_dir):
+    lake = seed_silver_gold(spark, sf_dir)
+    out = pipeline.run_erasure(spark, lake, requests_df(spark, sf_dir), D.RUN_TS)
+    return spark.read.json(f"{out['audit_key']}/ids")
+
+
+@register("render_notification")
+def q_render_notification(spark, sf_dir):
+    reqs = requests_df(spark, sf_dir)
+    intake = erasure.intake_requests(reqs.select("customer_id", "requested_at"))
+    return notify.request_received(intake, D.RUN_TS).unionByName(
+        notify.deletion_complete(erasure.pending_requests(reqs), D.RUN_TS))
+
+
+# ---- streaming (batch twins and the streaming run) --------------------------------------
+
+DECODED_COLUMNS = ["seq", "transaction_id", "customer_id", "amount", "merchant", "category",
+                   "timestamp", "device_id", "location_lat", "location_lng", "is_fraud",
+                   "currency", "error"]
+
+
+def stream_scored(spark, sf_dir):
+    return FS.score_decoded(FS.decode_records(B.stream_records(spark, sf_dir)))
+
+
+@register("stream_decode")
+def q_stream_decode(spark, sf_dir):
+    return FS.decode_records(B.stream_records(spark, sf_dir)).select(*DECODED_COLUMNS)
+
+
+@register("stream_error_split")
+def q_stream_error_split(spark, sf_dir):
+    return FS.error_rows(stream_scored(spark, sf_dir), D.RUN_TS).drop("data")
+
+
+@register("batch_metrics")
+def q_batch_metrics(spark, sf_dir):
+    return FS.batch_metrics(stream_scored(spark, sf_dir))
+
+
+@register("stream_upsert")
+def q_stream_upsert(spark, sf_dir):
+    return FS.latest_per_key(FS.decisions(stream_scored(spark, sf_dir), D.RUN_TS)).drop("seq")
+
+
+@register("upsert_decisions")
+def q_upsert_decisions(spark, sf_dir):
+    """Two deliveries appended as two batches of the decision log."""
+    from pyspark.sql import functions as F
+    path = scratch_path(spark, "decisions")
+    scored = stream_scored(spark, sf_dir)
+    records = B.stream_records(spark, sf_dir)
+    for batch_id, delivery in enumerate((1, 2)):
+        part = FS.score_decoded(FS.decode_records(
+            records.filter(F.col("delivery") == delivery)))
+        pipeline.append_decisions(FS.decisions(part, D.RUN_TS), path, batch_id)
+    del scored
+    return pipeline.current_decisions(spark, path)
+
+
+def run_stream_fixture(spark, sf_dir):
+    """Land the two deliveries as files, then score them with readStream."""
+    from pyspark.sql import functions as F
+    root = scratch_path(spark, "stream")
+    records = B.stream_records(spark, sf_dir)
+    for delivery in (1, 2):
+        (records.filter(F.col("delivery") == delivery).select("kinesis")
+         .write.mode("append").json(f"{root}/incoming"))
+    query = FS.start_scoring_stream(spark, f"{root}/incoming", f"{root}/decisions",
+                                    f"{root}/dlq", f"{root}/checkpoint", D.RUN_TS)
+    query.awaitTermination()
+    return root, query
+
+
+@register("stream_json_source")
+def q_stream_json_source(spark, sf_dir):
+    root, _ = run_stream_fixture(spark, sf_dir)
+    return pipeline.current_decisions(spark, f"{root}/decisions")
+
+
+@register("stream_metrics")
+def q_stream_metrics(spark, sf_dir):
+    root, query = run_stream_fixture(spark, sf_dir)
+    rows = FS.observed_metrics(query)
+    return spark.createDataFrame(
+        rows, "batch_id LONG, processed LONG, allowed LONG, flagged LONG, blocked LONG, "
+              "errors LONG")

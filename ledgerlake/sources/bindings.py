@@ -199,3 +199,85 @@ def deletion_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
                F.col("requested_at") + F.expr("INTERVAL 1 HOURS"))
         .otherwise(F.lit(None).cast("timestamp_ntz")).alias("completed_at"),
     )
+
+
+# Which transaction ids the stream fixture corrupts, and how.
+STREAM_FAULTS = (
+    (211, "not_base64"),
+    (223, "not_json"),
+    (227, "amount_text"),
+    (229, "amount_null"),
+    (233, "amount_absent"),
+    (239, "device_null"),
+    (241, "device_absent"),
+    (251, "timestamp_null"),
+)
+STREAM_REDELIVERY_MOD, STREAM_REDELIVERY_REM = 50, 7
+
+
+def stream_fault(tid: Column) -> Column:
+    expr = None
+    for mod, name in STREAM_FAULTS:
+        expr = (F.when(tid % mod == 0, F.lit(name)) if expr is None
+                else expr.when(tid % mod == 0, F.lit(name)))
+    return expr
+
+
+def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream envelopes built from transactions: delivery 1 carries every
+    transaction (some corrupted by rule), delivery 2 re-sends every 50th
+    with the amount doubled. Timestamps are ISO text with a T."""
+    t = transactions(spark, sf_dir)
+    tid = F.col("transaction_id")
+    first = t.withColumn("delivery", F.lit(1))
+    again = (t.filter(tid % STREAM_REDELIVERY_MOD == STREAM_REDELIVERY_REM)
+             .withColumn("amount", F.col("amount") * 2).withColumn("delivery", F.lit(2)))
+    rows = first.unionByName(again).withColumn(
+        "fault", F.when(F.col("delivery") == 1, stream_fault(tid)))
+    ts_text = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss")
+    fault = F.col("fault")
+
+    def field(name, value, nullable_fault=None, absent_fault=None):
+        v = value
+        if nullable_fault:
+            v = F.when(fault == nullable_fault, F.lit(None)).otherwise(v)
+        return v.alias(name), absent_fault
+
+    base = [
+        (tid.alias("transaction_id"), None),
+        (F.col("customer_id").alias("customer_id"), None),
+        field("amount", F.col("amount"), "amount_null", "amount_absent"),
+        (F.col("merchant").alias("merchant"), None),
+        (F.col("category").alias("category"), None),
+        field("timestamp", ts_text, "timestamp_null"),
+        field("device_id", F.col("device_id"), "device_null", "device_absent"),
+        (F.col("location_lat").alias("location_lat"), None),
+        (F.col("location_lng").alias("location_lng"), None),
+        (F.col("is_fraud").alias("is_fraud"), None),
+        (F.col("currency").alias("currency"), None),
+    ]
+    opts = {"ignoreNullFields": "false"}
+
+    def doc(skip=None, amount_text=False):
+        cols = []
+        for c, absent in base:
+            if skip is not None and absent == skip:
+                continue
+            cols.append(c)
+        if amount_text:
+            cols = [F.col("amount").cast("string").alias("amount") if i == 2 else c
+                    for i, c in enumerate(cols)]
+        return F.to_json(F.struct(*cols), opts)
+
+    json_text = (F.when(fault == "amount_absent", doc(skip="amount_absent"))
+                 .when(fault == "device_absent", doc(skip="device_absent"))
+                 .when(fault == "amount_text", doc(amount_text=True))
+                 .when(fault == "not_json",
+                       F.concat(F.lit("not json "), tid.cast("string")))
+                 .otherwise(doc()))
+    data = (F.when(fault == "not_base64", F.concat(F.lit("!!"), tid.cast("string")))
+            .otherwise(F.base64(json_text.cast("binary"))))
+    seq = F.col("delivery") * F.lit(10 ** 12) + tid
+    return rows.select("delivery", F.struct(data.alias("data"),
+                                            seq.cast("string").alias("sequenceNumber"))
+                       .alias("kinesis"))

@@ -26,9 +26,15 @@ COMMIT_SCHEMA = "version LONG, kind STRING, partition_by STRING, committed_at ST
 
 
 class LakeTable:
-    def __init__(self, spark: SparkSession, path: str):
+    """One versioned table. The committed version is cached after the first
+    log read and after each own commit; writers of a table are serialised
+    (one run at a time), as in the reference deployment."""
+
+    def __init__(self, spark: SparkSession, path: str, new: bool = False):
         self.spark = spark
         self.path = path.rstrip("/")
+        # (version, partition column) once known; False = known to be empty
+        self._head: tuple[int, str | None] | None | bool = False if new else None
 
     @property
     def log_path(self) -> str:
@@ -43,13 +49,17 @@ class LakeTable:
         except AnalysisException:
             return None
 
-    def current(self) -> tuple[int, str | None] | None:
+    def current(self, refresh: bool = False) -> tuple[int, str | None] | None:
         """(version, partition column) of the newest commit, or None."""
-        log = self._commits()
-        if log is None:
+        if self._head is False and not refresh:
             return None
-        row = log.orderBy(F.col("version").desc()).select("version", "partition_by").first()
-        return None if row is None else (int(row[0]), row[1])
+        if self._head is not None and self._head is not False and not refresh:
+            return self._head
+        log = self._commits()
+        row = None if log is None else (
+            log.orderBy(F.col("version").desc()).select("version", "partition_by").first())
+        self._head = False if row is None else (int(row[0]), row[1])
+        return None if row is None else self._head
 
     def exists(self) -> bool:
         return self.current() is not None
@@ -67,15 +77,17 @@ class LakeTable:
         row = [(version, kind, partition_by, dt.datetime.utcnow().isoformat())]
         (self.spark.createDataFrame(row, COMMIT_SCHEMA).coalesce(1)
          .write.mode("append").json(self.log_path))
+        self._head = (version, partition_by)
 
     def write_snapshot(self, df: DataFrame, partition_by: str | None = None,
                        kind: str = "snapshot") -> int:
         """Write ``df`` as the next full version and commit it."""
         cur = self.current()
         version = 1 if cur is None else cur[0] + 1
-        writer = df.write.mode("overwrite")
         if partition_by:
-            writer = writer.partitionBy(partition_by)
+            writer = clustered(df, partition_by).write.mode("overwrite").partitionBy(partition_by)
+        else:
+            writer = df.write.mode("overwrite")
         writer.parquet(self.version_path(version))
         self._commit(version, kind, partition_by)
         return version
@@ -93,8 +105,9 @@ class LakeTable:
             return self.write_snapshot(df, partition_by, kind="partitions")
         version = cur[0]
         obs = Observation()
-        (df.observe(obs, F.count(F.lit(1)).alias("rows"),
-                    F.collect_set(F.col(partition_by).cast("string")).alias("parts"))
+        (clustered(df.observe(obs, F.count(F.lit(1)).alias("rows"),
+                              F.collect_set(F.col(partition_by).cast("string")).alias("parts")),
+                   partition_by)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(partition_by).parquet(self.version_path(version)))
         written = set(obs.get.get("parts") or [])
@@ -111,22 +124,35 @@ class LakeTable:
         return None if cur is None else cur[1]
 
 
+def clustered(df: DataFrame, partition_col: str) -> DataFrame:
+    """Group rows by the output partition before a partitioned write, so a
+    day lands in a few files instead of one per task; AQE splits a day that
+    is too big for one task and merges small ones (REBALANCE)."""
+    return df.hint("rebalance", partition_col)
+
+
 class Lake:
     """Folders of one lake: bronze, silver, gold, dead letters, outbox."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, new: bool = False):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._new = new
+        self._tables: dict[str, LakeTable] = {}
 
     @classmethod
     def scratch(cls, spark: SparkSession, tag: str = "lake") -> "Lake":
-        return cls(spark, scratch_path(spark, tag))
+        """A lake in a new, empty folder under the shared directory."""
+        return cls(spark, scratch_path(spark, tag), new=True)
 
     def bronze_path(self, entity: str) -> str:
         return f"{self.root}/bronze/{entity}"
 
     def table(self, layer: str, name: str) -> LakeTable:
-        return LakeTable(self.spark, f"{self.root}/{layer}/{name}")
+        key = f"{layer}/{name}"
+        if key not in self._tables:
+            self._tables[key] = LakeTable(self.spark, f"{self.root}/{key}", new=self._new)
+        return self._tables[key]
 
     def dlq_path(self, source: str) -> str:
         return f"{self.root}/dlq/{source}"
@@ -142,8 +168,9 @@ class Lake:
 
 def write_bronze_days(df: DataFrame, path: str, ts_col: str = "timestamp") -> None:
     """Land raw rows in ``year=/month=/day=`` folders (the simulators' layout)."""
-    (df.withColumn("year", F.year(ts_col)).withColumn("month", F.month(ts_col))
-     .withColumn("day", F.dayofmonth(ts_col))
+    days = (df.withColumn("year", F.year(ts_col)).withColumn("month", F.month(ts_col))
+            .withColumn("day", F.dayofmonth(ts_col)))
+    (days.hint("rebalance", "year", "month", "day")
      .write.mode("overwrite").partitionBy("year", "month", "day").parquet(path))
 
 
@@ -197,7 +224,7 @@ def write_dlq(df: DataFrame, path: str, run_date: dt.date) -> int:
     Partitioned by run date, so a rerun replaces its own rows (no pile-up).
     """
     obs = Observation()
-    (df.withColumn("run_date", F.lit(run_date))
+    (clustered(df.withColumn("run_date", F.lit(run_date)), "run_date")
      .observe(obs, F.count(F.lit(1)).alias("rows"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("run_date").parquet(path))
