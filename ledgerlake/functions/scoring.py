@@ -64,8 +64,13 @@ def _rules(amount: Column, hour: Column, device: Column, lat: Column):
 
 def fraud_score(amount: Column, hour: Column, device: Column, lat: Column) -> Column:
     """Additive score, capped; a rule whose inputs are null adds nothing."""
-    points = [F.when(cond, F.lit(p)).otherwise(F.lit(0))
-              for cond, p, _ in _rules(amount, hour, device, lat)]
+    return _score_from([cond for cond, _, _ in _rules(amount, hour, device, lat)])
+
+
+def _score_from(flags: list[Column]) -> Column:
+    points = [F.when(f, F.lit(p)).otherwise(F.lit(0))
+              for f, (_, p, _) in zip(flags, _rules(F.lit(0.0), F.lit(12), F.lit(""),
+                                                     F.lit(20.0)))]
     total = points[0]
     for p in points[1:]:
         total = total + p
@@ -84,11 +89,23 @@ def fraud_decision(score: Column) -> Column:
 
 
 def score_columns(df: DataFrame, hour: Column) -> DataFrame:
-    """Add fraud_score, reasons (array) and decision."""
-    args = (F.col("amount"), hour, F.col("device_id"), F.col("location_lat"))
-    return (df.withColumn("fraud_score", fraud_score(*args))
-            .withColumn("reasons", fraud_reasons(*args))
-            .withColumn("decision", fraud_decision(F.col("fraud_score"))))
+    """Add fraud_score, reasons (array) and decision.
+
+    The rule flags are computed once in their own projection and the score
+    and reasons read them, which keeps each generated method small enough
+    for whole-stage codegen.
+    """
+    cols = df.columns
+    staged = df.select("*", hour.alias("_hour"))
+    rules = _rules(F.col("amount"), F.col("_hour"), F.col("device_id"), F.col("location_lat"))
+    flagged = staged.select("*", *[cond.alias(f"_rule{i}") for i, (cond, _, _) in
+                                   enumerate(rules)])
+    flags = [F.col(f"_rule{i}") for i in range(len(rules))]
+    scored = flagged.select(
+        *cols, _score_from(flags).alias("fraud_score"),
+        F.array_compact(F.array(*[F.when(f, text) for f, (_, _, text) in zip(flags, rules)]))
+        .alias("reasons"))
+    return scored.select("*", fraud_decision(F.col("fraud_score")).alias("decision"))
 
 
 def decision_rows(scored: DataFrame, timestamp_text: Column,

@@ -237,44 +237,24 @@ def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts_text = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss")
     fault = F.col("fault")
 
-    def field(name, value, nullable_fault=None, absent_fault=None):
-        v = value
-        if nullable_fault:
-            v = F.when(fault == nullable_fault, F.lit(None)).otherwise(v)
-        return v.alias(name), absent_fault
-
-    base = [
-        (tid.alias("transaction_id"), None),
-        (F.col("customer_id").alias("customer_id"), None),
-        field("amount", F.col("amount"), "amount_null", "amount_absent"),
-        (F.col("merchant").alias("merchant"), None),
-        (F.col("category").alias("category"), None),
-        field("timestamp", ts_text, "timestamp_null"),
-        field("device_id", F.col("device_id"), "device_null", "device_absent"),
-        (F.col("location_lat").alias("location_lat"), None),
-        (F.col("location_lng").alias("location_lng"), None),
-        (F.col("is_fraud").alias("is_fraud"), None),
-        (F.col("currency").alias("currency"), None),
-    ]
-    opts = {"ignoreNullFields": "false"}
-
-    def doc(skip=None, amount_text=False):
-        cols = []
-        for c, absent in base:
-            if skip is not None and absent == skip:
-                continue
-            cols.append(c)
-        if amount_text:
-            cols = [F.col("amount").cast("string").alias("amount") if i == 2 else c
-                    for i, c in enumerate(cols)]
-        return F.to_json(F.struct(*cols), opts)
-
-    json_text = (F.when(fault == "amount_absent", doc(skip="amount_absent"))
-                 .when(fault == "device_absent", doc(skip="device_absent"))
-                 .when(fault == "amount_text", doc(amount_text=True))
-                 .when(fault == "not_json",
-                       F.concat(F.lit("not json "), tid.cast("string")))
-                 .otherwise(doc()))
+    def unless(value, *faults):
+        return F.when(fault.isin(*faults), F.lit(None)).otherwise(value)
+
+    doc = F.struct(
+        tid.alias("transaction_id"), F.col("customer_id"),
+        unless(F.col("amount"), "amount_null", "amount_absent").alias("amount"),
+        F.col("merchant"), F.col("category"),
+        unless(ts_text, "timestamp_null").alias("timestamp"),
+        unless(F.col("device_id"), "device_null", "device_absent").alias("device_id"),
+        F.col("location_lat"), F.col("location_lng"), F.col("is_fraud"), F.col("currency"))
+    # JSON null for *_null faults; dropping nulls instead makes *_absent
+    with_nulls = F.to_json(doc, {"ignoreNullFields": "false"})
+    without_nulls = F.to_json(doc, {"ignoreNullFields": "true"})
+    json_text = (F.when(fault.isin("amount_absent", "device_absent"), without_nulls)
+                 .when(fault == "amount_text",
+                       F.regexp_replace(with_nulls, r'"amount":([-0-9.Ee]+)', '"amount":"$1"'))
+                 .when(fault == "not_json", F.concat(F.lit("not json "), tid.cast("string")))
+                 .otherwise(with_nulls))
     data = (F.when(fault == "not_base64", F.concat(F.lit("!!"), tid.cast("string")))
             .otherwise(F.base64(json_text.cast("binary"))))
     seq = F.col("delivery") * F.lit(10 ** 12) + tid

@@ -40,33 +40,52 @@ def _field(v: Column, name: str) -> Column:
     return F.variant_get(v, f"$.{name}", "variant")
 
 
+KEYS = ("transaction_id", "customer_id", "amount", "merchant", "category", "timestamp",
+        "device_id", "location_lat", "location_lng", "is_fraud", "currency")
+TYPED_KEYS = ("amount", "timestamp", "device_id", "location_lat")
+
+
 def decode_records(records: DataFrame, data: str = "kinesis.data",
                    seq: str = "kinesis.sequenceNumber") -> DataFrame:
     """Envelope -> base64 -> JSON object -> typed columns plus ``error``.
 
     Absent keys take the reference defaults (amount and ids excepted, which
     are errors); a key present with JSON null is an error for amount,
-    device and latitude, and gives hour 12 for the timestamp.
+    device and latitude, and gives hour 12 for the timestamp. The parse,
+    the field lookups and their JSON types are separate projections, so no
+    expression is evaluated twice.
     """
     raw = F.col(data)
-    text = F.try_to_binary(raw, F.lit("base64")).cast("string")
-    v = F.try_parse_json(text)
-    is_obj = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    binary = F.try_to_binary(raw, F.lit("base64"))
+    parsed = records.select(F.col(seq).cast("long").alias("seq"), raw.alias("data"),
+                            binary.isNotNull().alias("_b64"),
+                            F.try_parse_json(binary.cast("string")).alias("_v"))
+    # one lookup turns the object into a struct of variants (null when the
+    # document is not an object); only the checked fields get a type probe
+    shape = "struct<" + ", ".join(f"{k}: variant" for k in KEYS) + ">"
+    fields = parsed.select(
+        "seq", "data", "_b64",
+        F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False)).alias("_obj"),
+        F.try_variant_get("_v", "$", shape).alias("_s"))
+    typed = fields.select(
+        "seq", "data", "_b64", "_obj",
+        *[F.col(f"_s.{k}").alias(f"_f_{k}") for k in KEYS],
+        *[F.schema_of_variant(F.col(f"_s.{k}")).alias(f"_t_{k}") for k in TYPED_KEYS])
 
     def present(n):
-        return _field(v, n).isNotNull()
-
-    def jtype(n):
-        return F.schema_of_variant(_field(v, n))
+        return F.col(f"_f_{n}").isNotNull()
 
     def is_num(n):
-        return F.coalesce(jtype(n).rlike(NUMERIC_TYPES), F.lit(False))
+        return F.coalesce(F.col(f"_t_{n}").rlike(NUMERIC_TYPES), F.lit(False))
 
     def is_str(n):
-        return F.coalesce(jtype(n) == "STRING", F.lit(False))
+        return F.coalesce(F.col(f"_t_{n}") == "STRING", F.lit(False))
+
+    def get(n, t):
+        return F.try_variant_get(F.col(f"_f_{n}"), "$", t)
 
-    error = (F.when(F.try_to_binary(raw, F.lit("base64")).isNull(), F.lit(ERR_BASE64))
-             .when(~is_obj, F.lit(ERR_JSON))
+    error = (F.when(~F.col("_b64"), F.lit(ERR_BASE64))
+             .when(~F.col("_obj"), F.lit(ERR_JSON))
              .when(~present("amount") | ~is_num("amount"), F.lit(ERR_AMOUNT))
              .when(present("device_id") & ~is_str("device_id"), F.lit(ERR_DEVICE))
              .when(present("location_lat") & ~is_num("location_lat"), F.lit(ERR_LAT))
@@ -74,27 +93,24 @@ def decode_records(records: DataFrame, data: str = "kinesis.data",
              .when(~present("customer_id"), F.lit(ERR_CUSTOMER)))
 
     def text_or(n, default):
-        return F.when(~present(n), F.lit(default)).when(is_str(n), F.variant_get(v, f"$.{n}",
-                                                                                  "string"))
-
-    return records.select(
-        F.col(seq).cast("long").alias("seq"),
-        raw.alias("data"),
-        F.variant_get(v, "$.transaction_id", "string").alias("transaction_id"),
-        F.variant_get(v, "$.customer_id", "string").alias("customer_id"),
-        F.when(is_num("amount"), F.try_variant_get(v, "$.amount", "double")).alias("amount"),
-        F.when(~present("merchant"), F.lit("")).otherwise(
-            F.variant_get(v, "$.merchant", "string")).alias("merchant"),
-        F.variant_get(v, "$.category", "string").alias("category"),
+        return F.when(~present(n), F.lit(default)).when(is_str(n), get(n, "string"))
+
+    return typed.select(
+        "seq", "data",
+        get("transaction_id", "string").alias("transaction_id"),
+        get("customer_id", "string").alias("customer_id"),
+        F.when(is_num("amount"), get("amount", "double")).alias("amount"),
+        F.when(~present("merchant"), F.lit("")).otherwise(get("merchant", "string"))
+        .alias("merchant"),
+        get("category", "string").alias("category"),
         text_or("timestamp", "").alias("timestamp"),
         text_or("device_id", "").alias("device_id"),
-        F.when(~present("location_lat"), F.lit(0.0)).when(
-            is_num("location_lat"), F.try_variant_get(v, "$.location_lat", "double"))
-        .alias("location_lat"),
-        F.try_variant_get(v, "$.location_lng", "double").alias("location_lng"),
-        F.when(~present("is_fraud"), F.lit(0)).otherwise(
-            F.try_variant_get(v, "$.is_fraud", "int")).alias("is_fraud"),
-        F.variant_get(v, "$.currency", "string").alias("currency"),
+        F.when(~present("location_lat"), F.lit(0.0))
+        .when(is_num("location_lat"), get("location_lat", "double")).alias("location_lat"),
+        get("location_lng", "double").alias("location_lng"),
+        F.when(~present("is_fraud"), F.lit(0)).otherwise(get("is_fraud", "int"))
+        .alias("is_fraud"),
+        get("currency", "string").alias("currency"),
         error.alias("error"),
     )
 
