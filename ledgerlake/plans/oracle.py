@@ -798,3 +798,60 @@ FROM stream_scored WHERE error IS NULL
 QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY seq DESC) = 1"""
 for _k in ("stream_upsert", "upsert_decisions", "stream_json_source"):
     q(_k, ["stream_scored"], STREAM_DECISIONS)
+
+# ---- scalar function families ------------------------------------------------------
+
+q("f_text", ["transactions"], """
+SELECT transaction_id, sha256(device_id) AS device_hash,
+       starts_with(device_id, 'device-') AS known_device,
+       substring(CAST(transaction_date AS VARCHAR), 1, 4) AS txn_year,
+       substring(CAST(transaction_date AS VARCHAR), 6, 2) AS txn_month,
+       substring(CAST(transaction_date AS VARCHAR), 9, 2) AS txn_day,
+       CAST(TRY_CAST(amount AS DECIMAL(18,2)) AS VARCHAR) AS amount_text,
+       substring(CAST(transaction_date AS VARCHAR), 1, 7) AS month_sample,
+       CASE WHEN is_fraud = 1 THEN 'FRAUD' ELSE 'NORMAL' END AS fraud_label,
+       'TXN-' || CAST(transaction_id AS VARCHAR) || '-' || strftime("timestamp", '%Y%m%d') AS txn_ref
+FROM transactions""")
+q("f_numeric", ["transactions"], f"""
+SELECT transaction_id, {rnd('amount / 3')} AS amount_third,
+       amount / NULLIF(location_lat - 8, 0) AS amount_per_lat,
+       CASE WHEN amount > 100000 THEN 'very_high' WHEN amount > 50000 THEN 'high'
+            WHEN amount > 20000 THEN 'elevated' ELSE 'normal' END AS amount_tier,
+       LEAST(amount / 1000, 100.0) AS capped_thousands,
+       COALESCE(CASE WHEN merchant <> 'm0' THEN merchant END, 'unknown') AS merchant_or_unknown,
+       category IN ('click', 'purchase') AS low_touch,
+       device_id IS NULL AS device_missing
+FROM transactions""")
+q("f_time", ["transactions"], f"""
+SELECT transaction_id,
+       COALESCE(TRY_CAST(substring(strftime("timestamp", '%Y-%m-%dT%H:%M:%S'), 12, 2) AS INTEGER), 12)
+         AS hour_from_text,
+       transaction_date - 1 AS previous_day,
+       "timestamp" + INTERVAL 24 HOUR AS deadline,
+       strftime("timestamp", '%Y%m%d%H%M%S') AS stamp,
+       strftime("timestamp", '%Y%m%d') AS day_key,
+       strftime("timestamp", '%Y-%m-%dT%H:%M:%S') AS iso_ts,
+       DATE '9999-12-31' AS open_end, {TS} AS run_ts
+FROM transactions""")
+q("f_codec", ["transactions"], """
+SELECT transaction_id, to_base64(encode(merchant)) AS merchant_b64,
+       decode(from_base64(to_base64(encode(merchant)))) AS merchant_decoded,
+       CAST(NULL AS VARCHAR) AS junk_decoded,
+       merchant AS merchant_from_json,
+       array_to_string(list_filter([CASE WHEN is_fraud = 1 THEN 'fraud' END,
+                                    CASE WHEN amount > 50000 THEN 'big' END],
+                                   lambda x: x IS NOT NULL), ',') AS tags,
+       len(list_filter([CASE WHEN is_fraud = 1 THEN 'fraud' END,
+                        CASE WHEN amount > 50000 THEN 'big' END], lambda x: x IS NOT NULL)) AS n_tags,
+       map_extract_value(MAP(['merchant', 'category'], [merchant, category]), 'category')
+         AS category_from_map
+FROM transactions""")
+
+# ---- catalog and the daily run ---------------------------------------------------
+
+q("catalog_register", ["dirty_transactions"],
+  "SELECT *, year(\"timestamp\") AS year, month(\"timestamp\") AS month, "
+  "day(\"timestamp\") AS day FROM dirty_transactions")
+ORACLE["daily_run"] = with_ctes(["silver_day"], "SELECT 1")[:-len("SELECT 1")] + \
+    regulatory_sql("", "", DAY).replace("FROM silver_transactions", "FROM silver_day").replace(
+        "SELECT *, ", "SELECT * REPLACE (CAST(total_transactions AS BIGINT) AS total_transactions), ", 0)

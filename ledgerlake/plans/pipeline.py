@@ -30,15 +30,17 @@ def default_run_date(today: dt.date | None = None) -> dt.date:
     return (today or dt.date.today()) - dt.timedelta(days=1)
 
 
-def refresh_catalog(spark: SparkSession, lake: L.Lake, database: str = "bronze",
+def refresh_catalog(spark: SparkSession, lake: L.Lake, database: str | None = None,
                     table: str = "transactions") -> str:
     """Register the bronze transactions folder as a partitioned table and
     pick up new day folders. New columns are not added by a repair; read
     with ``mergeSchema`` and ALTER TABLE for those."""
+    database = database or lake.catalog_database
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     name = f"{database}.{table}"
+    # schema and the year/month/day partitioning are inferred from the folder
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet "
-              f"PARTITIONED BY (year, month, day) LOCATION '{lake.bronze_path('transactions')}'")
+              f"LOCATION '{lake.bronze_path('transactions')}'")
     spark.sql(f"MSCK REPAIR TABLE {name}")
     return name
 

@@ -145,6 +145,13 @@ class Lake:
         """A lake in a new, empty folder under the shared directory."""
         return cls(spark, scratch_path(spark, tag), new=True)
 
+    @property
+    def catalog_database(self) -> str:
+        """Catalog namespace of this lake's raw tables (unique per scratch lake)."""
+        if self._new:
+            return "bronze_" + self.root.rsplit("-", 1)[-1]
+        return "bronze"
+
     def bronze_path(self, entity: str) -> str:
         return f"{self.root}/bronze/{entity}"
 
