@@ -74,7 +74,7 @@ class LakeTable:
         return self.spark.read.option("basePath", path).parquet(path)
 
     def _commit(self, version: int, kind: str, partition_by: str | None) -> None:
-        row = [(version, kind, partition_by, dt.datetime.utcnow().isoformat())]
+        row = [(version, kind, partition_by, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat())]
         (self.spark.createDataFrame(row, COMMIT_SCHEMA).coalesce(1)
          .write.mode("append").json(self.log_path))
         self._head = (version, partition_by)
