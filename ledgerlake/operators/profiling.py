@@ -22,36 +22,52 @@ def _is_numeric(df: DataFrame, c: str) -> bool:
     return isinstance(df.schema[c].dataType, NumericType)
 
 
-def profile_columns(df: DataFrame, table_name: str, exact_distinct: bool = True) -> DataFrame:
+def profile_columns(df: DataFrame, table_name: str) -> DataFrame:
     """Per column: null %, distinct count (nulls skipped); numeric columns
     also min/max/mean (2 places); others a 20-character sample (the least
-    value, so the report is stable)."""
-    distinct = (F.countDistinct if exact_distinct
-                else (lambda c: F.approx_count_distinct(c, 0.01)))
-    n = F.count(F.lit(1))
-    aggs = [n.alias("_rows")]
-    entries = []
-    for i, c in enumerate(df.columns):
+    value, so the report is stable).
+
+    One scan explodes each row into narrow (column, value) pairs; a first
+    aggregate per (column, value) collapses repeats map-side (a value held
+    by a third of the rows costs one row per task), and a second aggregate
+    per column turns the distinct values into the statistics. This replaces
+    the multi-distinct Expand, which would shuffle every input row once per
+    column with all aggregate inputs attached.
+    """
+    cols = df.columns
+    pairs = []
+    for i, c in enumerate(cols):
         col = F.col(f"`{c}`")
-        aggs += [F.count_if(col.isNull()).alias(f"n{i}"), distinct(col).alias(f"d{i}")]
-        if _is_numeric(df, c):
-            dec = col.try_cast("decimal(38,10)")
-            aggs += [F.min(col).cast("double").alias(f"lo{i}"),
-                     F.max(col).cast("double").alias(f"hi{i}"),
-                     F.round(F.try_divide(F.sum(dec).cast("double"), F.count(dec)), 2)
-                     .alias(f"m{i}")]
-            lo, hi, mean, sample = (F.col(f"lo{i}"), F.col(f"hi{i}"), F.col(f"m{i}"),
-                                    F.lit(None).cast("string"))
-        else:
-            aggs.append(F.substring(F.min(col).cast("string"), 1, SAMPLE_CHARS).alias(f"s{i}"))
-            lo = hi = mean = F.lit(None).cast("double")
-            sample = F.col(f"s{i}")
-        entries.append(F.struct(
-            F.lit(table_name).alias("table_name"), F.lit(c).alias("column_name"),
-            F.round(F.try_divide(F.col(f"n{i}"), F.col("_rows")) * 100, 1).alias("null_pct"),
-            F.col(f"d{i}").alias("n_distinct"), lo.alias("min"), hi.alias("max"),
-            mean.alias("mean"), sample.alias("sample")))
-    return df.agg(*aggs).select(F.inline(F.array(*entries)))
+        numeric = _is_numeric(df, c)
+        if numeric and df.schema[c].dataType.typeName() in ("double", "float"):
+            col = F.when(col == 0, F.lit(0.0)).otherwise(col)  # -0.0 and 0.0 are one value
+        pairs.append(F.struct(
+            F.lit(i).alias("i"),
+            col.cast("string").alias("k"),
+            (col.try_cast("decimal(38,10)") if numeric
+             else F.lit(None).cast("decimal(38,10)")).alias("num"),
+            (col.cast("double") if numeric else F.lit(None).cast("double")).alias("dbl")))
+    exploded = df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
+    per_value = exploded.groupBy("i", "k").agg(
+        F.count(F.lit(1)).alias("c"), F.sum("num").alias("s"), F.count("num").alias("n"),
+        F.max("dbl").alias("d"))
+    per_column = per_value.groupBy("i").agg(
+        F.sum("c").alias("rows"),
+        F.sum(F.when(F.col("k").isNull(), F.col("c")).otherwise(0)).alias("nulls"),
+        F.count("k").alias("n_distinct"),
+        F.min("d").alias("min"), F.max("d").alias("max"),
+        F.try_divide(F.sum("s").cast("double"), F.sum("n")).alias("_mean"),
+        F.min("k").alias("_least"))
+    numeric_idx = [i for i, c in enumerate(cols) if _is_numeric(df, c)]
+    names = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("i") + 1)
+    is_num = F.col("i").isin(numeric_idx) if numeric_idx else F.lit(False)
+    return per_column.select(
+        F.lit(table_name).alias("table_name"), names.alias("column_name"),
+        F.round(F.try_divide(F.col("nulls"), F.col("rows")) * 100, 1).alias("null_pct"),
+        "n_distinct",
+        F.when(is_num, F.col("min")).alias("min"), F.when(is_num, F.col("max")).alias("max"),
+        F.when(is_num, F.round("_mean", 2)).alias("mean"),
+        F.when(~is_num, F.substring("_least", 1, SAMPLE_CHARS)).alias("sample"))
 
 
 def profile_duplicates(df: DataFrame, table_name: str, key: str) -> DataFrame:

@@ -93,17 +93,27 @@ def _small(df: DataFrame, limit: int = 1_000_000) -> bool:
     return df.count() <= limit
 
 
-def run_gold(spark: SparkSession, lake: L.Lake, run_date: dt.date,
-             run_ts: dt.datetime) -> dict:
-    silver = {n: lake.table("silver", n).read()
-              for n in ("transactions", "customers", "kyc", "support_tickets")}
-    counts = {}
+def _silver(lake: L.Lake) -> dict:
+    return {n: lake.table("silver", n).read()
+            for n in ("transactions", "customers", "kyc", "support_tickets")}
+
+
+def run_gold_customer_360(spark: SparkSession, lake: L.Lake, run_date: dt.date,
+                          run_ts: dt.datetime) -> int:
+    """Rebuild customer_360 from the current silver versions (a snapshot)."""
+    silver = _silver(lake)
     c360 = marts.customer_360(silver["customers"], silver["kyc"], silver["transactions"],
                               silver["support_tickets"], run_date, run_ts)
     obs = Observation()
     lake.table("gold", "customer_360").write_snapshot(
         c360.observe(obs, F.count(F.lit(1)).alias("rows")))
-    counts["gold_customer_360"] = int(obs.get.get("rows") or 0)
+    return int(obs.get.get("rows") or 0)
+
+
+def run_gold(spark: SparkSession, lake: L.Lake, run_date: dt.date,
+             run_ts: dt.datetime) -> dict:
+    counts = {"gold_customer_360": run_gold_customer_360(spark, lake, run_date, run_ts)}
+    silver = _silver(lake)
     daily = marts.daily_aggregates(silver["transactions"], run_ts, run_date)
     lake.table("gold", "daily_aggregates").replace_partitions(
         daily, "transaction_date", days=[run_date])
