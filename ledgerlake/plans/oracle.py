@@ -855,3 +855,28 @@ q("catalog_register", ["dirty_transactions"],
 ORACLE["daily_run"] = with_ctes(["silver_day"], "SELECT 1")[:-len("SELECT 1")] + \
     regulatory_sql("", "", DAY).replace("FROM silver_transactions", "FROM silver_day").replace(
         "SELECT *, ", "SELECT * REPLACE (CAST(total_transactions AS BIGINT) AS total_transactions), ", 0)
+
+# ---- gold composites and the quality alert ------------------------------------------
+
+q("gold_daily_aggregates", ["silver_dirty"],
+  DAILY.replace("FROM silver_transactions GROUP BY",
+                f"FROM silver_dirty WHERE transaction_date = {DAY} GROUP BY"))
+q("gold_regulatory_report", ["silver_dirty"],
+  regulatory_sql(f"WHERE transaction_date = {DAY}", "", DAY).replace(
+      "FROM silver_transactions", "FROM silver_dirty"))
+
+_ALERT = (f"SELECT 'alerts' AS topic, 'DATA QUALITY ALERT' AS subject, "
+          f"'DATA QUALITY FAILURE' || chr(10) || 'Date: {D.DAY.isoformat()}' || chr(10) || "
+          "'Failed checks: [' || string_agg('''' || suite || '''', ', ' ORDER BY suite) || ']' "
+          "|| chr(10) || 'Action: Investigate before running ETL!' AS message, "
+          f"{TS} AS created_at FROM (SELECT suite FROM dq_rows GROUP BY suite "
+          "HAVING NOT bool_and(passed)) HAVING COUNT(*) > 0")
+_base = ORACLE["render_notification"]
+_dq = ORACLE["dq_engine"]
+_dq_ctes, _dq_body = _dq.split("\n(SELECT suite", 1)
+_dq_body = "(SELECT suite" + _dq_body
+_rn_body = _base[len(with_ctes(["intake", "pending"], "")):]
+ORACLE["render_notification"] = (
+    _dq_ctes.replace("WITH ", "WITH " + with_ctes(["intake", "pending"], "")[5:].rstrip() + ",\n", 1)
+    + f",\ndq_rows AS ({_dq_body})\n"
+    + f"SELECT * FROM ({_rn_body}) UNION ALL {_ALERT}")

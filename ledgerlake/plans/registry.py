@@ -586,8 +586,10 @@ def q_write_audit_json(spark, sf_dir):
 def q_render_notification(spark, sf_dir):
     reqs = requests_df(spark, sf_dir)
     intake = erasure.intake_requests(reqs.select("customer_id", "requested_at"))
-    return notify.request_received(intake, D.RUN_TS).unionByName(
-        notify.deletion_complete(erasure.pending_requests(reqs), D.RUN_TS))
+    verdicts = quality.suite_verdicts(dq_all(spark, sf_dir))
+    return (notify.request_received(intake, D.RUN_TS)
+            .unionByName(notify.deletion_complete(erasure.pending_requests(reqs), D.RUN_TS))
+            .unionByName(notify.quality_failure(verdicts, D.DAY, D.RUN_TS)))
 
 
 # ---- streaming (batch twins and the streaming run) --------------------------------------
@@ -706,3 +708,31 @@ def q_daily_run(spark, sf_dir):
     lake = seed_bronze(spark, sf_dir)
     pipeline.run_daily(spark, lake, D.DAY, D.RUN_TS, min_rows=DAILY_RUN_MIN_ROWS)
     return lake.table("gold", "regulatory_reports").read()
+
+
+# ---- gold composites written to the lake -------------------------------------------
+
+def _silver_lake(spark, sf_dir):
+    lake = L.Lake.scratch(spark)
+    lake.table("silver", "transactions").write_snapshot(
+        _silver_dirty(spark, sf_dir), partition_by="transaction_date")
+    return lake
+
+
+@register("gold_daily_aggregates")
+def q_gold_daily_aggregates(spark, sf_dir):
+    """Filter the run day, aggregate, replace that day of the gold table."""
+    lake = _silver_lake(spark, sf_dir)
+    silver = lake.table("silver", "transactions").read()
+    lake.table("gold", "daily_aggregates").replace_partitions(
+        marts.daily_aggregates(silver, D.RUN_TS, D.DAY), "transaction_date", days=[D.DAY])
+    return lake.table("gold", "daily_aggregates").read()
+
+
+@register("gold_regulatory_report")
+def q_gold_regulatory_report(spark, sf_dir):
+    lake = _silver_lake(spark, sf_dir)
+    silver = lake.table("silver", "transactions").read()
+    lake.table("gold", "regulatory_reports").replace_partitions(
+        marts.regulatory_report(silver, D.DAY, D.RUN_TS), "report_date", days=[D.DAY])
+    return lake.table("gold", "regulatory_reports").read()
