@@ -31,8 +31,18 @@ SIGNUP_EPOCH = dt.date(2020, 1, 1)
 REQUEST_EPOCH = "2024-02-01 00:00:00"
 
 
+_SCANS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table. The input folders are read-only, so one scan
+    DataFrame per session and path is reused (no repeated listing or footer
+    reads while plans are built)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(path)
+    return _SCANS[key]
 
 
 def _k(props: Column) -> Column:
