@@ -599,13 +599,21 @@ DECODED_COLUMNS = ["seq", "transaction_id", "customer_id", "amount", "merchant",
                    "currency", "error"]
 
 
+def landed_records(spark, sf_dir):
+    """The stream fixture as the source sees it: JSON envelope lines in the
+    shared folder, one sub-folder per delivery."""
+    path = scratch_path(spark, "records")
+    B.stream_records(spark, sf_dir).write.partitionBy("delivery").json(path)
+    return spark.read.schema(FS.ENVELOPE_SCHEMA + ", delivery INT").json(path)
+
+
 def stream_scored(spark, sf_dir):
-    return FS.score_decoded(FS.decode_records(B.stream_records(spark, sf_dir)))
+    return FS.score_decoded(FS.decode_records(landed_records(spark, sf_dir)))
 
 
 @register("stream_decode")
 def q_stream_decode(spark, sf_dir):
-    return FS.decode_records(B.stream_records(spark, sf_dir)).select(*DECODED_COLUMNS)
+    return FS.decode_records(landed_records(spark, sf_dir)).select(*DECODED_COLUMNS)
 
 
 @register("stream_error_split")
@@ -628,13 +636,11 @@ def q_upsert_decisions(spark, sf_dir):
     """Two deliveries appended as two batches of the decision log."""
     from pyspark.sql import functions as F
     path = scratch_path(spark, "decisions")
-    scored = stream_scored(spark, sf_dir)
-    records = B.stream_records(spark, sf_dir)
+    records = landed_records(spark, sf_dir)
     for batch_id, delivery in enumerate((1, 2)):
         part = FS.score_decoded(FS.decode_records(
             records.filter(F.col("delivery") == delivery)))
         pipeline.append_decisions(FS.decisions(part, D.RUN_TS), path, batch_id)
-    del scored
     return pipeline.current_decisions(spark, path)
 
 
