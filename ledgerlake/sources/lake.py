@@ -74,9 +74,13 @@ class LakeTable:
         return self.spark.read.option("basePath", path).parquet(path)
 
     def _commit(self, version: int, kind: str, partition_by: str | None) -> None:
-        row = [(version, kind, partition_by, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat())]
-        (self.spark.createDataFrame(row, COMMIT_SCHEMA).coalesce(1)
-         .write.mode("append").json(self.log_path))
+        """Append the commit row; the version counts from this point on."""
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat()
+        row = self.spark.range(1).select(
+            F.lit(version).cast("long").alias("version"), F.lit(kind).alias("kind"),
+            F.lit(partition_by).cast("string").alias("partition_by"),
+            F.lit(now).alias("committed_at"))
+        row.write.mode("append").json(self.log_path)
         self._head = (version, partition_by)
 
     def write_snapshot(self, df: DataFrame, partition_by: str | None = None,
