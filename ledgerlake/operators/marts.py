@@ -33,17 +33,25 @@ CUSTOMER_360_ZERO_FILL = {
 REPORT_STATUS = "COMPLETE"
 
 
-def transaction_summary(txn: DataFrame, exact_distinct: bool = True) -> DataFrame:
+DISTINCT_DIMENSIONS = (("transaction_date", "active_days"), ("merchant", "unique_merchants"),
+                       ("category", "unique_categories"), ("device_id", "unique_devices"))
+
+
+def transaction_summary(txn: DataFrame, distinct: str = "expand") -> DataFrame:
     """Per customer: 15 aggregates plus two ratios and the latest location.
 
-    ``exact_distinct=False`` swaps the four distinct counts for HyperLogLog
-    sketches, which avoids the Expand of multi-distinct aggregation.
+    ``distinct`` picks how the four distinct counts are computed:
+    ``"expand"`` is one pass (Spark's multi-distinct rewrite, each row
+    expanded five-fold before the partial aggregate) and suits an input that
+    is itself expensive to produce; ``"narrow"`` reads the input a second
+    time with only the key and the four dimensions, explodes them into narrow
+    (customer, dimension, value) rows and deduplicates those, which is about
+    twice as fast and suits a stored, column-pruned table; ``"approx"``
+    swaps in HyperLogLog sketches.
     """
-    distinct = (F.countDistinct if exact_distinct
-                else (lambda c: F.approx_count_distinct(c, 0.01)))
     latest = F.max_by(F.struct("location_lat", "location_lng"),
                       F.struct("timestamp", "transaction_id"))
-    summary = txn.groupBy("customer_id").agg(
+    plain = [
         F.count("transaction_id").alias("total_transactions"),
         money_sum("amount").alias("total_spend"),
         money_avg("amount").alias("avg_transaction"),
@@ -51,18 +59,28 @@ def transaction_summary(txn: DataFrame, exact_distinct: bool = True) -> DataFram
         F.min("amount").alias("min_transaction"),
         F.min("transaction_date").alias("first_transaction_date"),
         F.max("transaction_date").alias("last_transaction_date"),
-        distinct("transaction_date").alias("active_days"),
         count_when(F.col("is_fraud") == 1).alias("fraud_txn_count"),
         count_when(F.col("is_fraud") == 0).alias("normal_txn_count"),
-        distinct("merchant").alias("unique_merchants"),
-        distinct("category").alias("unique_categories"),
-        distinct("device_id").alias("unique_devices"),
         F.max("location_lat").alias("last_location_lat"),
         F.max("location_lng").alias("last_location_lng"),
         latest.alias("_latest"),
-    )
+    ]
+    if distinct == "narrow":
+        summary = txn.groupBy("customer_id").agg(*plain).join(
+            distinct_counts(txn), on="customer_id", how="left").fillna(
+            {name: 0 for _, name in DISTINCT_DIMENSIONS})
+    else:
+        count = (F.countDistinct if distinct == "expand"
+                 else (lambda c: F.approx_count_distinct(c, 0.01)))
+        summary = txn.groupBy("customer_id").agg(
+            *plain, *[count(c).alias(name) for c, name in DISTINCT_DIMENSIONS])
+    order = ["customer_id", "total_transactions", "total_spend", "avg_transaction",
+             "max_transaction", "min_transaction", "first_transaction_date",
+             "last_transaction_date", "active_days", "fraud_txn_count", "normal_txn_count",
+             "unique_merchants", "unique_categories", "unique_devices", "last_location_lat",
+             "last_location_lng"]
     return summary.select(
-        *[c for c in summary.columns if c != "_latest"],
+        *order,
         ratio_pct("fraud_txn_count", "total_transactions").alias("fraud_rate"),
         ratio("total_transactions", "active_days").alias("txn_per_active_day"),
         F.col("_latest.location_lat").alias("latest_location_lat"),
@@ -70,6 +88,19 @@ def transaction_summary(txn: DataFrame, exact_distinct: bool = True) -> DataFram
     )
 
 
+def distinct_counts(txn: DataFrame) -> DataFrame:
+    """Exact distinct counts of the four dimensions per customer from narrow
+    (customer, dimension, value) rows; repeats collapse map-side."""
+    pairs = txn.select("customer_id", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("d"), F.col(c).cast("string").alias("v"))
+        for i, (c, _) in enumerate(DISTINCT_DIMENSIONS)])).alias("p"))
+    values = (pairs.select("customer_id", "p.d", "p.v").filter(F.col("v").isNotNull())
+              .distinct())
+    return values.groupBy("customer_id").agg(
+        *[F.count_if(F.col("d") == i).alias(name)
+          for i, (_, name) in enumerate(DISTINCT_DIMENSIONS)])
+
+
 def ticket_summary(tickets: DataFrame) -> DataFrame:
     """Per customer: ticket total, three status counts, two category counts."""
     status, category = F.col("status"), F.col("category")
@@ -109,11 +140,11 @@ def fill_defaults(df: DataFrame, defaults: dict | None = None) -> DataFrame:
 
 def customer_360(customers: DataFrame, kyc: DataFrame, txn: DataFrame,
                  tickets: DataFrame, run_date: dt.date, run_ts: dt.datetime,
-                 exact_distinct: bool = True) -> DataFrame:
+                 distinct: str = "expand") -> DataFrame:
     """One row per silver customer with kyc, spend and ticket summaries."""
     joined = join_left_summary(
         join_left_summary(join_left_kyc(customers, kyc),
-                          transaction_summary(txn, exact_distinct)),
+                          transaction_summary(txn, distinct)),
         ticket_summary(tickets))
     return fill_defaults(scd2_stamp(joined, run_date, run_ts))
 

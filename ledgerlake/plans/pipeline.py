@@ -102,8 +102,10 @@ def run_gold_customer_360(spark: SparkSession, lake: L.Lake, run_date: dt.date,
                           run_ts: dt.datetime) -> int:
     """Rebuild customer_360 from the current silver versions (a snapshot)."""
     silver = _silver(lake)
+    # silver is stored and columnar: a second, narrow read of the
+    # transactions beats expanding every row five-fold for distinct counts
     c360 = marts.customer_360(silver["customers"], silver["kyc"], silver["transactions"],
-                              silver["support_tickets"], run_date, run_ts)
+                              silver["support_tickets"], run_date, run_ts, distinct="narrow")
     obs = Observation()
     lake.table("gold", "customer_360").write_snapshot(
         c360.observe(obs, F.count(F.lit(1)).alias("rows")))

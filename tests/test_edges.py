@@ -242,3 +242,13 @@ def test_version_survives_reopen(spark):
     reopened = L.Lake(spark, lake.root)
     assert reopened.table("gold", "x").current()[0] == 2
     assert reopened.table("gold", "x").read().count() == 2
+
+
+def test_summary_distinct_strategies_agree(spark):
+    from conftest import SF_SMALL
+    from ledgerlake.plans import registry as R
+    txn = R._silver_dirty(spark, SF_SMALL)
+    a = marts.transaction_summary(txn, "expand")
+    b = marts.transaction_summary(txn, "narrow")
+    assert a.columns == b.columns
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
