@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import clean, erasure, marts, notify, quality
+from ledgerlake.operators.joins import join_small
 from ledgerlake.sources import lake as L
 
 
@@ -42,9 +43,23 @@ def refresh_catalog(spark: SparkSession, lake: L.Lake, database: str | None = No
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet "
               f"LOCATION '{lake.bronze_path('transactions')}'")
     spark.sql(f"MSCK REPAIR TABLE {name}")
+    add_new_columns(spark, name, lake.bronze_path("transactions"))
     return name
 
 
+def add_new_columns(spark: SparkSession, name: str, path: str) -> list[str]:
+    """Add columns that newer files carry but the table does not: a repair
+    finds new folders only, so the merged file schema is compared with the
+    table's and the difference is added with ALTER TABLE."""
+    merged = spark.read.option("mergeSchema", "true").parquet(path).schema
+    known = {f.name.lower() for f in spark.table(name).schema}
+    new = [f for f in merged if f.name.lower() not in known]
+    if new:
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({cols})")
+    return [f.name for f in new]
+
+
 def _observed_write(df: DataFrame, write) -> int:
     obs = Observation()
     write(df.observe(obs, F.count(F.lit(1)).alias("rows")))
@@ -68,8 +83,7 @@ def run_silver(spark: SparkSession, lake: L.Lake, run_date: dt.date, run_ts: dt.
     def keep(df):
         if suppressed is None:
             return df
-        return df.join(F.broadcast(suppressed) if _small(suppressed) else suppressed,
-                       on="customer_id", how="left_anti")
+        return join_small(df, suppressed, on="customer_id", how="left_anti")
 
     good, bad = clean.silver_transactions(keep(day_txn), run_date, run_ts)
     table = lake.table("silver", "transactions")
@@ -89,10 +103,6 @@ def run_silver(spark: SparkSession, lake: L.Lake, run_date: dt.date, run_ts: dt.
     return counts
 
 
-def _small(df: DataFrame, limit: int = 1_000_000) -> bool:
-    return df.count() <= limit
-
-
 def _silver(lake: L.Lake) -> dict:
     return {n: lake.table("silver", n).read()
             for n in ("transactions", "customers", "kyc", "support_tickets")}

@@ -252,3 +252,22 @@ def test_summary_distinct_strategies_agree(spark):
     b = marts.transaction_summary(txn, "narrow")
     assert a.columns == b.columns
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_catalog_picks_up_new_days_and_columns(spark):
+    lake = L.Lake.scratch(spark, "t")
+    path = lake.bronze_path("transactions")
+    first = txn(spark, [{"transaction_id": "a"}])
+    L.write_bronze_days(first, path)
+    name = pipeline.refresh_catalog(spark, lake)
+    assert spark.table(name).count() == 1
+    later = txn(spark, [{"transaction_id": "b", "timestamp": dt.datetime(2024, 1, 16, 9)}]) \
+        .withColumn("channel", F.lit("app"))
+    later.withColumn("year", F.year("timestamp")).withColumn("month", F.month("timestamp")) \
+        .withColumn("day", F.dayofmonth("timestamp")).write.mode("append") \
+        .partitionBy("year", "month", "day").parquet(path)
+    pipeline.refresh_catalog(spark, lake)
+    spark.catalog.refreshTable(name)
+    rows = spark.table(name).orderBy("transaction_id").collect()
+    assert [r["transaction_id"] for r in rows] == ["a", "b"]
+    assert "channel" in spark.table(name).columns
