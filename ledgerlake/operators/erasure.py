@@ -159,6 +159,10 @@ def audit_record(spark: SparkSession, batch_id: str, processed_at: dt.datetime,
         AUDIT_SCHEMA)
 
 
+AUDIT_IDS_SCHEMA = ("batch_id STRING, customer_id STRING, request_id STRING, "
+                    "requested_at TIMESTAMP_NTZ")
+
+
 def audit_ids(pending: DataFrame, batch_id: str) -> DataFrame:
     return pending.select(F.lit(batch_id).alias("batch_id"), "customer_id", "request_id",
                           "requested_at")

@@ -880,3 +880,12 @@ ORACLE["render_notification"] = (
     _dq_ctes.replace("WITH ", "WITH " + with_ctes(["intake", "pending"], "")[5:].rstrip() + ",\n", 1)
     + f",\ndq_rows AS ({_dq_body})\n"
     + f"SELECT * FROM ({_rn_body}) UNION ALL {_ALERT}")
+
+# ---- audit ids and stream progress counters ------------------------------------------
+
+q("write_audit_json", ["pending"],
+  f"SELECT 'GDPR-BATCH-{RUN_STAMP}' AS batch_id, customer_id, request_id, requested_at "
+  "FROM pending")
+ORACLE["stream_metrics"] = ORACLE["batch_metrics"].replace(
+    "SELECT COUNT(*) FILTER (WHERE error IS NULL) AS processed,",
+    "SELECT CAST(0 AS BIGINT) AS batch_id, COUNT(*) FILTER (WHERE error IS NULL) AS processed,")

@@ -579,7 +579,7 @@ def q_gdpr_run(spark, sf_dir):
 def q_write_audit_json(spark, sf_dir):
     lake = seed_silver_gold(spark, sf_dir)
     out = pipeline.run_erasure(spark, lake, requests_df(spark, sf_dir), D.RUN_TS)
-    return spark.read.json(f"{out['audit_key']}/ids")
+    return spark.read.schema(erasure.AUDIT_IDS_SCHEMA).json(f"{out['audit_key']}/ids")
 
 
 @register("render_notification")

@@ -271,3 +271,37 @@ def test_catalog_picks_up_new_days_and_columns(spark):
     rows = spark.table(name).orderBy("transaction_id").collect()
     assert [r["transaction_id"] for r in rows] == ["a", "b"]
     assert "channel" in spark.table(name).columns
+
+
+def test_hot_customer_summary_matches_brute_force(spark):
+    """One customer holds a third of all rows; results stay whole and exact."""
+    import collections
+    rows = []
+    for i in range(3000):
+        cust = "hot" if i % 3 == 0 else f"c{i % 97}"
+        rows.append({"transaction_id": f"t{i}", "customer_id": cust,
+                     "amount": float(i % 500) + 0.25, "merchant": f"m{i % 12}",
+                     "device_id": f"device-{i % 41}", "is_fraud": int(i % 20 == 0),
+                     "transaction_date": RUN_DATE - dt.timedelta(days=i % 9)})
+    df = txn(spark, rows)
+    expect = collections.defaultdict(lambda: {"n": 0, "spend": 0.0, "m": set(), "d": set(),
+                                              "days": set(), "fraud": 0})
+    for r in rows:
+        e = expect[r["customer_id"]]
+        e["n"] += 1
+        e["spend"] += r["amount"]
+        e["m"].add(r["merchant"])
+        e["d"].add(r["device_id"])
+        e["days"].add(r["transaction_date"])
+        e["fraud"] += r["is_fraud"]
+    for mode in ("expand", "narrow"):
+        got = {r["customer_id"]: r for r in marts.transaction_summary(df, mode).collect()}
+        assert set(got) == set(expect)
+        for cust, e in expect.items():
+            g = got[cust]
+            assert g["total_transactions"] == e["n"] and g["fraud_txn_count"] == e["fraud"]
+            assert g["total_spend"] == round(e["spend"], 2)
+            assert (g["unique_merchants"], g["unique_devices"], g["active_days"]) == \
+                (len(e["m"]), len(e["d"]), len(e["days"]))
+    deduped = clean.dedup_by_key(df.unionByName(df), "transaction_id", ["timestamp"])
+    assert deduped.count() == 3000
