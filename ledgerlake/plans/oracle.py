@@ -841,8 +841,9 @@ SELECT transaction_id, to_base64(encode(merchant)) AS merchant_b64,
        array_to_string(list_filter([CASE WHEN is_fraud = 1 THEN 'fraud' END,
                                     CASE WHEN amount > 50000 THEN 'big' END],
                                    lambda x: x IS NOT NULL), ',') AS tags,
-       len(list_filter([CASE WHEN is_fraud = 1 THEN 'fraud' END,
-                        CASE WHEN amount > 50000 THEN 'big' END], lambda x: x IS NOT NULL)) AS n_tags,
+       CAST(len(list_filter([CASE WHEN is_fraud = 1 THEN 'fraud' END,
+                        CASE WHEN amount > 50000 THEN 'big' END], lambda x: x IS NOT NULL))
+            AS INTEGER) AS n_tags,
        map_extract_value(MAP(['merchant', 'category'], [merchant, category]), 'category')
          AS category_from_map
 FROM transactions""")
@@ -850,8 +851,9 @@ FROM transactions""")
 # ---- catalog and the daily run ---------------------------------------------------
 
 q("catalog_register", ["dirty_transactions"],
-  "SELECT *, year(\"timestamp\") AS year, month(\"timestamp\") AS month, "
-  "day(\"timestamp\") AS day FROM dirty_transactions")
+  "SELECT *, CAST(year(\"timestamp\") AS INTEGER) AS year, "
+  "CAST(month(\"timestamp\") AS INTEGER) AS month, "
+  "CAST(day(\"timestamp\") AS INTEGER) AS day FROM dirty_transactions")
 ORACLE["daily_run"] = with_ctes(["silver_day"], "SELECT 1")[:-len("SELECT 1")] + \
     regulatory_sql("", "", DAY).replace("FROM silver_transactions", "FROM silver_day").replace(
         "SELECT *, ", "SELECT * REPLACE (CAST(total_transactions AS BIGINT) AS total_transactions), ", 0)

@@ -55,6 +55,25 @@ def rows_multiset(cols, rows):
     return Counter(tuple(canon(r[i]) for i in order) for r in rows)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP",
+                 "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT",
+                 "tinyint": "TINYINT"}
+
+
+def type_mismatches(df, res) -> list[str]:
+    """Columns whose Spark and DuckDB types differ (decimals by precision/scale)."""
+    duck = {c[0]: str(c[1]) for c in res.description}
+    out = []
+    for f in df.schema.fields:
+        s_t = f.dataType.simpleString()
+        want = SPARK_TO_DUCK.get(s_t, s_t.upper())
+        got = duck.get(f.name, "?").upper()
+        if got != want:
+            out.append(f"{f.name}: spark {s_t} vs duckdb {got}")
+    return out
+
+
 def duck_conn(sf_dir):
     con = duckdb.connect()
     for t in TABLES:
@@ -77,6 +96,9 @@ def compare(spark, name, fn, sql, sf_dir, con):
     d_rows = res.fetchall()
     out = dict(name=name, rows=len(s_rows), oracle_rows=len(d_rows),
                spark_s=round(t1 - t0, 2))
+    types = type_mismatches(df, res)
+    if types:
+        out["types"] = types
     if sorted(s_cols) != sorted(d_cols):
         out.update(ok=False, why=f"cols spark-only={sorted(set(s_cols)-set(d_cols))} "
                                  f"oracle-only={sorted(set(d_cols)-set(s_cols))}")
