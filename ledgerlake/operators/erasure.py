@@ -34,6 +34,8 @@ ERASURE_TARGETS = (
     ("silver", "kyc", "silver_kyc"),
     ("silver", "support_tickets", "silver_tickets"),
     ("gold", "customer_360", "gold_customer_360"),
+    ("gold", "txn_customer_day", "gold_txn_customer_day"),
+    ("gold", "txn_customer_values", "gold_txn_customer_values"),
 )
 
 

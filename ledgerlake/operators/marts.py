@@ -142,13 +142,87 @@ def customer_360(customers: DataFrame, kyc: DataFrame, txn: DataFrame,
                  tickets: DataFrame, run_date: dt.date, run_ts: dt.datetime,
                  distinct: str = "expand") -> DataFrame:
     """One row per silver customer with kyc, spend and ticket summaries."""
+    return customer_360_from_summary(customers, kyc, transaction_summary(txn, distinct),
+                                     tickets, run_date, run_ts)
+
+
+def customer_360_from_summary(customers: DataFrame, kyc: DataFrame, summary: DataFrame,
+                              tickets: DataFrame, run_date: dt.date,
+                              run_ts: dt.datetime) -> DataFrame:
     joined = join_left_summary(
-        join_left_summary(join_left_kyc(customers, kyc),
-                          transaction_summary(txn, distinct)),
-        ticket_summary(tickets))
+        join_left_summary(join_left_kyc(customers, kyc), summary), ticket_summary(tickets))
     return fill_defaults(scd2_stamp(joined, run_date, run_ts))
 
 
+# ---- incremental state for the customer summary ---------------------------------------
+# Two tables partitioned by transaction_date, each replaced one day at a time:
+# per (customer, day) partial aggregates, and the distinct (customer, dimension,
+# value) rows of the day. The summary re-aggregates these instead of scanning
+# the whole transaction history every day.
+
+def customer_day_partials(txn: DataFrame) -> DataFrame:
+    c = F.col("amount")
+    finite = c.try_cast("decimal(18,2)")
+    return txn.groupBy("customer_id", "transaction_date").agg(
+        F.count("transaction_id").alias("n_txn"),
+        F.count(c).alias("n_amount"),
+        F.sum(finite).alias("amount_exact"),
+        F.sum(F.when(c.isNotNull() & finite.isNull(), c)).alias("amount_rest"),
+        F.max(c).alias("max_amount"), F.min(c).alias("min_amount"),
+        count_when(F.col("is_fraud") == 1).alias("n_fraud"),
+        count_when(F.col("is_fraud") == 0).alias("n_normal"),
+        F.max("location_lat").alias("max_lat"), F.max("location_lng").alias("max_lng"),
+        F.max(F.struct("timestamp", "transaction_id")).alias("latest_key"),
+        F.max_by(F.struct("location_lat", "location_lng"),
+                 F.struct("timestamp", "transaction_id")).alias("latest_value"))
+
+
+def customer_day_values(txn: DataFrame) -> DataFrame:
+    """Distinct (customer, dimension, value) rows of each day."""
+    dims = DISTINCT_DIMENSIONS[1:]  # active days come from the partials
+    pairs = txn.select("customer_id", "transaction_date", F.explode(F.array(*[
+        F.struct(F.lit(i + 1).alias("d"), F.col(c).cast("string").alias("v"))
+        for i, (c, _) in enumerate(dims)])).alias("p"))
+    return (pairs.select("customer_id", "transaction_date", "p.d", "p.v")
+            .filter(F.col("v").isNotNull()).distinct())
+
+
+def summary_from_state(partials: DataFrame, values: DataFrame) -> DataFrame:
+    """The transaction summary, re-aggregated from the daily state."""
+    exact = F.sum("amount_exact").cast("double")
+    spend = F.coalesce(F.sum("amount_rest") + F.coalesce(exact, F.lit(0.0)), exact)
+    base = partials.groupBy("customer_id").agg(
+        F.sum("n_txn").alias("total_transactions"),
+        spend.alias("total_spend"),
+        F.try_divide(spend, F.sum("n_amount")).alias("avg_transaction"),
+        F.max("max_amount").alias("max_transaction"),
+        F.min("min_amount").alias("min_transaction"),
+        F.min("transaction_date").alias("first_transaction_date"),
+        F.max("transaction_date").alias("last_transaction_date"),
+        F.count("transaction_date").alias("active_days"),
+        F.sum("n_fraud").alias("fraud_txn_count"),
+        F.sum("n_normal").alias("normal_txn_count"),
+        F.max("max_lat").alias("last_location_lat"),
+        F.max("max_lng").alias("last_location_lng"),
+        F.max_by("latest_value", "latest_key").alias("_latest"))
+    counts = (values.select("customer_id", "d", "v").distinct().groupBy("customer_id")
+              .agg(*[F.count_if(F.col("d") == i).alias(name)
+                     for i, (_, name) in enumerate(DISTINCT_DIMENSIONS) if i > 0]))
+    summary = base.join(counts, on="customer_id", how="left").fillna(
+        {name: 0 for _, name in DISTINCT_DIMENSIONS[1:]})
+    order = ["customer_id", "total_transactions", "total_spend", "avg_transaction",
+             "max_transaction", "min_transaction", "first_transaction_date",
+             "last_transaction_date", "active_days", "fraud_txn_count", "normal_txn_count",
+             "unique_merchants", "unique_categories", "unique_devices", "last_location_lat",
+             "last_location_lng"]
+    return summary.select(
+        *order,
+        ratio_pct("fraud_txn_count", "total_transactions").alias("fraud_rate"),
+        ratio("total_transactions", "active_days").alias("txn_per_active_day"),
+        F.col("_latest.location_lat").alias("latest_location_lat"),
+        F.col("_latest.location_lng").alias("latest_location_lng"))
+
+
 def daily_aggregates(txn: DataFrame, run_ts: dt.datetime,
                      run_date: dt.date | None = None) -> DataFrame:
     """By (transaction_date, category, merchant); one run date or all days."""

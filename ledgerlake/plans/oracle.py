@@ -712,13 +712,24 @@ def _erase_count(label: str, src: str) -> str:
             f"(SELECT customer_id FROM erase_keys)) AS rows_kept, 'OK' AS status FROM {src}")
 
 
+cte("state_days", ("silver_dirty",),
+    "SELECT customer_id FROM silver_dirty GROUP BY customer_id, transaction_date")
+cte("state_values", ("silver_dirty",), """
+SELECT DISTINCT customer_id, transaction_date, d, v FROM (
+  SELECT customer_id, transaction_date, 1 AS d, merchant AS v FROM silver_dirty
+  UNION ALL SELECT customer_id, transaction_date, 2, category FROM silver_dirty
+  UNION ALL SELECT customer_id, transaction_date, 3, device_id FROM silver_dirty)
+WHERE v IS NOT NULL""")
 q("gdpr_delete_batch", ["silver_customers", "silver_dirty", "silver_kyc", "silver_tickets",
-                        "customer_360", "erase_keys"], " UNION ALL ".join([
-    _erase_count("silver_customers", "silver_customers"),
-    _erase_count("silver_transactions", "silver_dirty"),
-    _erase_count("silver_kyc", "silver_kyc"),
-    _erase_count("silver_tickets", "silver_tickets"),
-    _erase_count("gold_customer_360", "customer_360")]))
+                        "customer_360", "state_days", "state_values", "erase_keys"],
+  " UNION ALL ".join([
+      _erase_count("silver_customers", "silver_customers"),
+      _erase_count("silver_transactions", "silver_dirty"),
+      _erase_count("silver_kyc", "silver_kyc"),
+      _erase_count("silver_tickets", "silver_tickets"),
+      _erase_count("gold_customer_360", "customer_360"),
+      _erase_count("gold_txn_customer_day", "state_days"),
+      _erase_count("gold_txn_customer_values", "state_values")]))
 
 ISO_TS = D.RUN_TS.strftime("%Y-%m-%dT%H:%M:%S")
 q("render_notification", ["intake", "pending"], f"""

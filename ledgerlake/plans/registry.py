@@ -404,7 +404,7 @@ def seed_silver_gold(spark, sf_dir, tag="lake"):
     lake.table("silver", "customers").write_snapshot(silver_customers(spark, sf_dir))
     lake.table("silver", "kyc").write_snapshot(silver_kyc(spark, sf_dir))
     lake.table("silver", "support_tickets").write_snapshot(silver_tickets(spark, sf_dir))
-    pipeline.run_gold_customer_360(spark, lake, D.RUN_DATE, D.RUN_TS)
+    pipeline.run_gold_customer_360(spark, lake, D.RUN_DATE, D.RUN_TS, incremental=True)
     return lake
 
 
