@@ -11,8 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-PROFILE_SCHEMA = ("table_name STRING, column_name STRING, null_pct DOUBLE, n_distinct LONG, "
-                  "min DOUBLE, max DOUBLE, mean DOUBLE, sample STRING")
 # Sample width and the labels of the fraud flag.
 SAMPLE_CHARS = 20
 FRAUD_LABELS = {1: "FRAUD", 0: "NORMAL"}

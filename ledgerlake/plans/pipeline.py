@@ -60,12 +60,6 @@ def add_new_columns(spark: SparkSession, name: str, path: str) -> list[str]:
     return [f.name for f in new]
 
 
-def _observed_write(df: DataFrame, write) -> int:
-    obs = Observation()
-    write(df.observe(obs, F.count(F.lit(1)).alias("rows")))
-    return int(obs.get.get("rows") or 0)
-
-
 def run_silver(spark: SparkSession, lake: L.Lake, run_date: dt.date, run_ts: dt.datetime,
                suppressed: DataFrame | None = None) -> dict:
     """Bronze -> silver for one day of transactions plus the three entity

@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 
 # Fixed values of the payment data model.
 CURRENCY = "INR"
-KYC_STATUSES = ("VERIFIED", "PENDING", "REJECTED")
-RISK_TIERS = ("LOW", "MEDIUM", "HIGH")
 TICKET_CATEGORY_BY_PRIORITY = {
     "1-URGENT": "fraud_report",
     "2-HIGH": "transaction_dispute",
