@@ -114,12 +114,14 @@ AUDIT_SCHEMA = ("batch_id STRING, processed_at TIMESTAMP_NTZ, total_requests INT
                 "deletion_summary MAP<STRING, BIGINT>, status STRING")
 
 
-def erase_from_lake(lake, keys: DataFrame, targets=ERASURE_TARGETS) -> list[tuple]:
+def erase_from_lake(lake, keys: DataFrame, targets=ERASURE_TARGETS,
+                    from_versions: dict[str, int] | None = None) -> list[tuple]:
     """Write a new version of every target without the erased keys.
 
     Returns one tuple per target: (table_name, rows_before, rows_deleted,
     rows_kept, status). A target that fails keeps its old version and is
-    reported FAILED, which makes the batch PARTIAL.
+    reported FAILED, which makes the batch PARTIAL. ``from_versions`` names
+    the version to start from per table (default: the current one).
     """
     keys = keys.cache()
     key_count = keys.count()
@@ -131,8 +133,9 @@ def erase_from_lake(lake, keys: DataFrame, targets=ERASURE_TARGETS) -> list[tupl
             if cur is None:
                 rows.append((label, 0, 0, 0, "MISSING"))
                 continue
+            base = (from_versions or {}).get(label, cur[0])
             obs = Observation()
-            kept = delete_with_counts(table.read(cur[0]), keys, key_count, obs)
+            kept = delete_with_counts(table.read(base), keys, key_count, obs)
             table.write_snapshot(kept, partition_by=cur[1], kind="erase")
             m = obs.get
             before, deleted = int(m["rows_before"]), int(m["rows_deleted"])

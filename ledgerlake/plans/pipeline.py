@@ -200,7 +200,7 @@ def suppression_list(spark: SparkSession, lake: L.Lake) -> DataFrame | None:
 
 
 def run_erasure(spark: SparkSession, lake: L.Lake, requests: DataFrame,
-                run_ts: dt.datetime) -> dict:
+                run_ts: dt.datetime, from_versions: dict[str, int] | None = None) -> dict:
     """Pending requests -> delete from silver and gold -> audit -> status ->
     notifications. Returns the per-table summary rows and the batch id."""
     pending = erasure.pending_requests(requests).cache()
@@ -216,7 +216,7 @@ def run_erasure(spark: SparkSession, lake: L.Lake, requests: DataFrame,
     prior = control.read() if control.exists() else None
     control.write_snapshot(erased_now if prior is None else
                            prior.unionByName(erased_now).distinct())
-    rows = erasure.erase_from_lake(lake, keys)
+    rows = erasure.erase_from_lake(lake, keys, from_versions=from_versions)
     audit_key = f"{lake.audit_path()}/batch_id={batch_id}"
     erasure.audit_record(spark, batch_id, run_ts, n_pending, rows).coalesce(1) \
         .write.mode("overwrite").json(f"{audit_key}/header")

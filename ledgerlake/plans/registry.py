@@ -386,9 +386,27 @@ def q_profile_layer_totals(spark, sf_dir):
 
 # ---- lake sources and sinks (write, then read back) ---------------------------------
 
+# Fixture lakes are built once per session and input folder. Queries read
+# them (bronze), or start from their seed versions and write new versions
+# (erasure), so every call sees the same starting state.
+_FIXTURES: dict[tuple, object] = {}
+
+
+def _fixture(spark, sf_dir, kind, build):
+    key = (id(spark._jsparkSession), sf_dir.rstrip("/"), kind)
+    if key not in _FIXTURES:
+        _FIXTURES[key] = build(spark, sf_dir)
+    return _FIXTURES[key]
+
+
 def seed_bronze(spark, sf_dir, tag="lake"):
+    """The landed raw files of ``sf_dir`` (written once per session)."""
+    return _fixture(spark, sf_dir, "bronze", _build_bronze)
+
+
+def _build_bronze(spark, sf_dir):
     """A fresh lake under the shared folder with the raw files landed."""
-    lake = L.Lake.scratch(spark, tag)
+    lake = L.Lake.scratch(spark, "bronze")
     L.write_bronze_days(B.dirty_transactions(spark, sf_dir), lake.bronze_path("transactions"))
     for name, fn in (("customers", B.customers), ("kyc", B.kyc),
                      ("support_tickets", B.support_tickets)):
@@ -396,9 +414,17 @@ def seed_bronze(spark, sf_dir, tag="lake"):
     return lake
 
 
+SEED_VERSIONS = {label: 1 for _, _, label in erasure.ERASURE_TARGETS}
+
+
 def seed_silver_gold(spark, sf_dir, tag="lake"):
-    """A fresh lake holding silver and gold snapshots of all days."""
-    lake = L.Lake.scratch(spark, tag)
+    """Silver and gold snapshots of all days (written once per session);
+    erasure queries start from these versions (``SEED_VERSIONS``)."""
+    return _fixture(spark, sf_dir, "silver_gold", _build_silver_gold)
+
+
+def _build_silver_gold(spark, sf_dir):
+    lake = L.Lake.scratch(spark, "silver-gold")
     lake.table("silver", "transactions").write_snapshot(
         _silver_dirty(spark, sf_dir), partition_by="transaction_date")
     lake.table("silver", "customers").write_snapshot(silver_customers(spark, sf_dir))
@@ -556,21 +582,24 @@ def q_update_request_status(spark, sf_dir):
 def q_rewrite_delete(spark, sf_dir):
     lake = seed_silver_gold(spark, sf_dir)
     erasure.erase_from_lake(lake, _erasure_keys(spark, sf_dir),
-                            targets=[("silver", "transactions", "silver_transactions")])
+                            targets=[("silver", "transactions", "silver_transactions")],
+                            from_versions=SEED_VERSIONS)
     return lake.table("silver", "transactions").read()
 
 
 @register("gdpr_delete_batch")
 def q_gdpr_delete_batch(spark, sf_dir):
     lake = seed_silver_gold(spark, sf_dir)
-    rows = erasure.erase_from_lake(lake, _erasure_keys(spark, sf_dir))
+    rows = erasure.erase_from_lake(lake, _erasure_keys(spark, sf_dir),
+                                   from_versions=SEED_VERSIONS)
     return erasure.summary_frame(spark, rows)
 
 
 @register("gdpr_run")
 def q_gdpr_run(spark, sf_dir):
     lake = seed_silver_gold(spark, sf_dir)
-    out = pipeline.run_erasure(spark, lake, requests_df(spark, sf_dir), D.RUN_TS)
+    out = pipeline.run_erasure(spark, lake, requests_df(spark, sf_dir), D.RUN_TS,
+                               from_versions=SEED_VERSIONS)
     # the audit key names a folder of this run's scratch lake, so it is left out
     return out["requests"].drop("audit_log_key")
 
@@ -578,7 +607,8 @@ def q_gdpr_run(spark, sf_dir):
 @register("write_audit_json")
 def q_write_audit_json(spark, sf_dir):
     lake = seed_silver_gold(spark, sf_dir)
-    out = pipeline.run_erasure(spark, lake, requests_df(spark, sf_dir), D.RUN_TS)
+    out = pipeline.run_erasure(spark, lake, requests_df(spark, sf_dir), D.RUN_TS,
+                               from_versions=SEED_VERSIONS)
     return spark.read.schema(erasure.AUDIT_IDS_SCHEMA).json(f"{out['audit_key']}/ids")
 
 
@@ -699,7 +729,7 @@ def q_f_codec(spark, sf_dir):
 
 @register("catalog_register")
 def q_catalog_register(spark, sf_dir):
-    lake = seed_bronze(spark, sf_dir)
+    lake = L.Lake.scratch(spark, bronze_root=seed_bronze(spark, sf_dir).bronze_path(""))
     name = pipeline.refresh_catalog(spark, lake)
     return spark.table(name)
 
@@ -711,7 +741,7 @@ DAILY_RUN_MIN_ROWS = 100
 
 @register("daily_run")
 def q_daily_run(spark, sf_dir):
-    lake = seed_bronze(spark, sf_dir)
+    lake = L.Lake.scratch(spark, bronze_root=seed_bronze(spark, sf_dir).bronze_path(""))
     pipeline.run_daily(spark, lake, D.DAY, D.RUN_TS, min_rows=DAILY_RUN_MIN_ROWS)
     return lake.table("gold", "regulatory_reports").read()
 

@@ -138,16 +138,20 @@ def clustered(df: DataFrame, partition_col: str) -> DataFrame:
 class Lake:
     """Folders of one lake: bronze, silver, gold, dead letters, outbox."""
 
-    def __init__(self, spark: SparkSession, root: str, new: bool = False):
+    def __init__(self, spark: SparkSession, root: str, new: bool = False,
+                 bronze_root: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self._new = new
+        self._bronze_root = (bronze_root or f"{self.root}/bronze").rstrip("/")
         self._tables: dict[str, LakeTable] = {}
 
     @classmethod
-    def scratch(cls, spark: SparkSession, tag: str = "lake") -> "Lake":
-        """A lake in a new, empty folder under the shared directory."""
-        return cls(spark, scratch_path(spark, tag), new=True)
+    def scratch(cls, spark: SparkSession, tag: str = "lake",
+                bronze_root: str | None = None) -> "Lake":
+        """A lake in a new, empty folder under the shared directory; raw
+        files may come from another lake's bronze folder."""
+        return cls(spark, scratch_path(spark, tag), new=True, bronze_root=bronze_root)
 
     @property
     def catalog_database(self) -> str:
@@ -157,7 +161,7 @@ class Lake:
         return "bronze"
 
     def bronze_path(self, entity: str) -> str:
-        return f"{self.root}/bronze/{entity}"
+        return f"{self._bronze_root}/{entity}"
 
     def table(self, layer: str, name: str) -> LakeTable:
         key = f"{layer}/{name}"

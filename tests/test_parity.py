@@ -39,7 +39,8 @@ def test_daily_run_gate_halts_small_day(spark):
     from ledgerlake.operators.quality import QualityGateError
     from ledgerlake.plans import defaults as D, registry as R
     from ledgerlake.plans import pipeline
-    lake = R.seed_bronze(spark, SF_SMALL)
+    from ledgerlake.sources.lake import Lake
+    lake = Lake.scratch(spark, bronze_root=R.seed_bronze(spark, SF_SMALL).bronze_path(""))
     with pytest.raises(QualityGateError):
         pipeline.run_daily(spark, lake, D.DAY, D.RUN_TS, min_rows=R.DAILY_RUN_MIN_ROWS)
     notes = spark.read.parquet(lake.outbox_path()).collect()
