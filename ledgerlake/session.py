@@ -36,6 +36,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
+        # static: skip capturing the Python call site of every DataFrame call
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in SESSION_CONF.items():
         builder = builder.config(key, value)
