@@ -116,9 +116,16 @@ def dlq_rows(bad: DataFrame, source: str, run_ts: dt.datetime,
 
 
 # Composite silver jobs: each returns (silver rows, dead-letter rows).
+# ``prepare`` is applied to the deduplicated rows before the split; the daily
+# job passes a persist so the two writes share one dedup shuffle.
 
-def silver_transactions(bronze: DataFrame, run_date, run_ts, reject_nan=False):
-    deduped = dedup_by_key(bronze, "transaction_id", _txn_order(bronze))
+def _same(df: DataFrame) -> DataFrame:
+    return df
+
+
+def silver_transactions(bronze: DataFrame, run_date, run_ts, reject_nan=False,
+                        prepare=_same):
+    deduped = prepare(dedup_by_key(bronze, "transaction_id", _txn_order(bronze)))
     good, bad = validate_transactions(deduped, reject_nan)
     return (stamp_silver(good, run_date, run_ts),
             dlq_rows(bad, DLQ_SOURCES["transactions"], run_ts))
@@ -128,22 +135,22 @@ def _txn_order(df: DataFrame) -> list[str]:
     return [c for c in ("timestamp", "copy") if c in df.columns]
 
 
-def silver_customers(bronze: DataFrame, run_date, run_ts):
+def silver_customers(bronze: DataFrame, run_date, run_ts, prepare=_same):
     # Masking runs before the split so no raw PII reaches the dead letters.
-    masked = mask_pii(dedup_by_key(bronze, "customer_id"))
+    masked = prepare(mask_pii(dedup_by_key(bronze, "customer_id")))
     good, bad = validate_customers(masked)
     return (stamp_silver(good, run_date, run_ts),
             dlq_rows(bad, DLQ_SOURCES["customers"], run_ts))
 
 
-def silver_kyc(bronze: DataFrame, run_date, run_ts):
-    good, bad = validate_kyc(dedup_by_key(bronze, "customer_id"))
+def silver_kyc(bronze: DataFrame, run_date, run_ts, prepare=_same):
+    good, bad = validate_kyc(prepare(dedup_by_key(bronze, "customer_id")))
     return (stamp_silver(good, run_date, run_ts),
             dlq_rows(bad, DLQ_SOURCES["kyc"], run_ts))
 
 
-def silver_support_tickets(bronze: DataFrame, run_date, run_ts):
-    good, bad = validate_tickets(dedup_by_key(bronze, "ticket_id", ["created_date"]))
+def silver_support_tickets(bronze: DataFrame, run_date, run_ts, prepare=_same):
+    good, bad = validate_tickets(prepare(dedup_by_key(bronze, "ticket_id", ["created_date"])))
     return (stamp_silver(good, run_date, run_ts),
             dlq_rows(bad, DLQ_SOURCES["support_tickets"], run_ts))
 

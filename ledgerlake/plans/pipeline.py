@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,19 +32,28 @@ def default_run_date(today: dt.date | None = None) -> dt.date:
     return (today or dt.date.today()) - dt.timedelta(days=1)
 
 
-def refresh_catalog(spark: SparkSession, lake: L.Lake, database: str | None = None,
-                    table: str = "transactions") -> str:
-    """Register the bronze transactions folder as a partitioned table and
-    pick up new day folders. New columns are not added by a repair; read
-    with ``mergeSchema`` and ALTER TABLE for those."""
+def refresh_catalog(spark: SparkSession, lake: L.Lake, run_date: dt.date | None = None,
+                    database: str | None = None, table: str = "transactions") -> str:
+    """Register the bronze transactions folder as a partitioned table.
+
+    With ``run_date`` only that day's folder is added and only its files are
+    checked for new columns (new folders only, as a daily crawl); without it
+    every folder is discovered (MSCK REPAIR) and all files are checked.
+    """
     database = database or lake.catalog_database
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     name = f"{database}.{table}"
+    root = lake.bronze_path("transactions")
     # schema and the year/month/day partitioning are inferred from the folder
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet "
-              f"LOCATION '{lake.bronze_path('transactions')}'")
-    spark.sql(f"MSCK REPAIR TABLE {name}")
-    add_new_columns(spark, name, lake.bronze_path("transactions"))
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{root}'")
+    if run_date is None:
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+        add_new_columns(spark, name, root)
+    else:
+        spec = f"year={run_date.year}, month={run_date.month}, day={run_date.day}"
+        folder = f"{root}/year={run_date.year}/month={run_date.month}/day={run_date.day}"
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({spec})")
+        add_new_columns(spark, name, folder)
     return name
 
 
@@ -51,7 +61,10 @@ def add_new_columns(spark: SparkSession, name: str, path: str) -> list[str]:
     """Add columns that newer files carry but the table does not: a repair
     finds new folders only, so the merged file schema is compared with the
     table's and the difference is added with ALTER TABLE."""
-    merged = spark.read.option("mergeSchema", "true").parquet(path).schema
+    try:
+        merged = spark.read.option("mergeSchema", "true").parquet(path).schema
+    except Exception:  # no files for that folder yet
+        return []
     known = {f.name.lower() for f in spark.table(name).schema}
     new = [f for f in merged if f.name.lower() not in known]
     if new:
@@ -79,21 +92,30 @@ def run_silver(spark: SparkSession, lake: L.Lake, run_date: dt.date, run_ts: dt.
             return df
         return join_small(df, suppressed, on="customer_id", how="left_anti")
 
-    good, bad = clean.silver_transactions(keep(day_txn), run_date, run_ts)
+    held: list[DataFrame] = []
+
+    def hold(df: DataFrame) -> DataFrame:
+        """Keep the deduplicated rows for the good and the dead-letter write."""
+        held.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return held[-1]
+
+    good, bad = clean.silver_transactions(keep(day_txn), run_date, run_ts, prepare=hold)
     table = lake.table("silver", "transactions")
     obs = Observation()
     table.replace_partitions(good.observe(obs, F.count(F.lit(1)).alias("rows")),
                              "transaction_date", days=[run_date])
     counts["silver_transactions"] = int(obs.get.get("rows") or 0)
     counts["dlq_transactions"] = L.write_dlq(bad, lake.dlq_path("transactions"), run_date)
+    held.pop().unpersist()
     for name, (bronze, job) in entities.items():
-        good, bad = job(keep(bronze), run_date, run_ts)
+        good, bad = job(keep(bronze), run_date, run_ts, prepare=hold)
         obs = Observation()
         lake.table("silver", name).write_snapshot(
             good.observe(obs, F.count(F.lit(1)).alias("rows")))
         counts[f"silver_{name}"] = int(obs.get.get("rows") or 0)
         counts[f"dlq_{name}"] = L.write_dlq(bad, lake.dlq_path(clean.DLQ_SOURCES[name]),
                                             run_date)
+        held.pop().unpersist()
     return counts
 
 
@@ -170,7 +192,7 @@ def run_daily(spark: SparkSession, lake: L.Lake, run_date: dt.date | None = None
     step = "catalog"
     try:
         if register_catalog:
-            refresh_catalog(spark, lake)
+            refresh_catalog(spark, lake, run_date)
         step = "silver"
         suppressed = suppression_list(spark, lake)
         report.counts.update(run_silver(spark, lake, run_date, run_ts, suppressed))

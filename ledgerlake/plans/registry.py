@@ -393,7 +393,7 @@ _FIXTURES: dict[tuple, object] = {}
 
 
 def _fixture(spark, sf_dir, kind, build):
-    key = (id(spark._jsparkSession), sf_dir.rstrip("/"), kind)
+    key = (id(getattr(spark, "_jsparkSession", spark)), sf_dir.rstrip("/"), kind)
     if key not in _FIXTURES:
         _FIXTURES[key] = build(spark, sf_dir)
     return _FIXTURES[key]

@@ -332,3 +332,13 @@ def test_incremental_customer_360_equals_full_recompute(spark):
     inc, full = inc.select(*full.columns), full
     assert inc.count() == full.count() > 0
     assert inc.exceptAll(full).count() == 0 and full.exceptAll(inc).count() == 0
+
+
+def test_daily_catalog_refresh_adds_only_the_run_day(spark):
+    lake = L.Lake.scratch(spark, "t")
+    path = lake.bronze_path("transactions")
+    days = [dt.date(2024, 1, 14), RUN_DATE]
+    L.write_bronze_days(txn(spark, [{"transaction_id": str(d), "timestamp":
+                                     dt.datetime.combine(d, dt.time(9))} for d in days]), path)
+    name = pipeline.refresh_catalog(spark, lake, RUN_DATE)
+    assert [r["transaction_id"] for r in spark.table(name).collect()] == [str(RUN_DATE)]
