@@ -631,10 +631,27 @@ DECODED_COLUMNS = ["seq", "transaction_id", "customer_id", "amount", "merchant",
 
 def landed_records(spark, sf_dir):
     """The stream fixture as the source sees it: JSON envelope lines in the
-    shared folder, one sub-folder per delivery."""
+    shared folder, one sub-folder per delivery (landed once per session)."""
+    path = _fixture(spark, sf_dir, "records", _land_records)
+    return spark.read.schema(FS.ENVELOPE_SCHEMA + ", delivery INT").json(path)
+
+
+def _land_records(spark, sf_dir):
     path = scratch_path(spark, "records")
     B.stream_records(spark, sf_dir).write.partitionBy("delivery").json(path)
-    return spark.read.schema(FS.ENVELOPE_SCHEMA + ", delivery INT").json(path)
+    return path
+
+
+def _land_incoming(spark, sf_dir):
+    """The two deliveries as files in one watched folder, the second landed
+    after the first (landed once per session)."""
+    from pyspark.sql import functions as F
+    path = scratch_path(spark, "incoming")
+    records = B.stream_records(spark, sf_dir)
+    for delivery in (1, 2):
+        (records.filter(F.col("delivery") == delivery).select("kinesis")
+         .write.mode("append").json(path))
+    return path
 
 
 def stream_scored(spark, sf_dir):
@@ -675,14 +692,11 @@ def q_upsert_decisions(spark, sf_dir):
 
 
 def run_stream_fixture(spark, sf_dir):
-    """Land the two deliveries as files, then score them with readStream."""
-    from pyspark.sql import functions as F
+    """Score the landed deliveries with readStream into a fresh decision log
+    (new checkpoint per call, so every call processes all files)."""
+    incoming = _fixture(spark, sf_dir, "incoming", _land_incoming)
     root = scratch_path(spark, "stream")
-    records = B.stream_records(spark, sf_dir)
-    for delivery in (1, 2):
-        (records.filter(F.col("delivery") == delivery).select("kinesis")
-         .write.mode("append").json(f"{root}/incoming"))
-    query = FS.start_scoring_stream(spark, f"{root}/incoming", f"{root}/decisions",
+    query = FS.start_scoring_stream(spark, incoming, f"{root}/decisions",
                                     f"{root}/dlq", f"{root}/checkpoint", D.RUN_TS)
     query.awaitTermination()
     return root, query
