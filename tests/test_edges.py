@@ -342,3 +342,24 @@ def test_daily_catalog_refresh_adds_only_the_run_day(spark):
                                      dt.datetime.combine(d, dt.time(9))} for d in days]), path)
     name = pipeline.refresh_catalog(spark, lake, RUN_DATE)
     assert [r["transaction_id"] for r in spark.table(name).collect()] == [str(RUN_DATE)]
+
+
+def test_erased_customers_stay_erased_after_reload(spark):
+    from conftest import SF_MID
+    from ledgerlake.plans import defaults as D, registry as R
+    from ledgerlake.sources import bindings as B
+    bronze = R.seed_bronze(spark, SF_MID)
+    lake = L.Lake.scratch(spark, "t", bronze_root=bronze.bronze_path(""))
+    pipeline.run_daily(spark, lake, D.DAY, D.RUN_TS, min_rows=100)
+    requests = B.deletion_requests(spark, SF_MID)
+    erased = {r[0] for r in erasure.erasure_keys(erasure.pending_requests(requests)).collect()}
+    out = pipeline.run_erasure(spark, lake, requests, D.RUN_TS)
+    assert out["status"] == erasure.STATUS_COMPLETE
+    pipeline.run_daily(spark, lake, D.DAY, D.RUN_TS, min_rows=100)  # reload from raw
+    for layer, name in (("silver", "customers"), ("silver", "transactions"),
+                        ("silver", "kyc"), ("silver", "support_tickets"),
+                        ("gold", "customer_360"), ("gold", "txn_customer_day")):
+        ids = {r[0] for r in lake.table(layer, name).read().select("customer_id").collect()}
+        assert ids and not (ids & erased), (layer, name)
+    done = out["requests"].filter(F.col("status") == "COMPLETE").count()
+    assert done == requests.filter(F.col("status").isin("PENDING", "COMPLETE")).count()
