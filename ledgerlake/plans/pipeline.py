@@ -41,7 +41,9 @@ def refresh_catalog(spark: SparkSession, lake: L.Lake, run_date: dt.date | None
     every folder is discovered (MSCK REPAIR) and all files are checked.
     """
     database = database or lake.catalog_database
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    # the namespace lives with the lake, not in a local warehouse folder
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} "
+              f"LOCATION '{lake.root}/catalog/{database}.db'")
     name = f"{database}.{table}"
     root = lake.bronze_path("transactions")
     # schema and the year/month/day partitioning are inferred from the folder
