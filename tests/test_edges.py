@@ -363,3 +363,24 @@ def test_erased_customers_stay_erased_after_reload(spark):
         assert ids and not (ids & erased), (layer, name)
     done = out["requests"].filter(F.col("status") == "COMPLETE").count()
     assert done == requests.filter(F.col("status").isin("PENDING", "COMPLETE")).count()
+
+
+def test_listing_scan_of_missing_prefix_is_a_no_data_verdict(spark):
+    lake = L.Lake.scratch(spark, "t")
+    df = L.scan_parquet_listing(spark, lake.bronze_path("nothing_here"))
+    assert df is None
+    res = quality.run_suite(spark, "bronze", df, quality.bronze_transactions_rules())
+    row = res.collect()
+    assert len(row) == 1 and row[0]["check"] == "Data exists for date" and not row[0]["passed"]
+
+
+def test_quality_alert_lists_failed_suites(spark):
+    from ledgerlake.operators import notify
+    verdicts = spark.createDataFrame(
+        [("silver_customers", False), ("bronze_transactions", False), ("gold", True)],
+        "suite string, passed boolean")
+    msg = notify.quality_failure(verdicts, RUN_DATE, RUN_TS).collect()
+    assert len(msg) == 1 and msg[0]["subject"] == "DATA QUALITY ALERT"
+    assert "Failed checks: ['bronze_transactions', 'silver_customers']" in msg[0]["message"]
+    ok = spark.createDataFrame([("gold", True)], "suite string, passed boolean")
+    assert notify.quality_failure(ok, RUN_DATE, RUN_TS).count() == 0
