@@ -17,13 +17,13 @@ pieces AS (
 lengths AS (SELECT DISTINCT n FROM pieces),
 docs AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
 grams AS (
-  SELECT r, n, unnest(range(1, len(w) - n + 2)) AS at,
+  SELECT r, n, unnest(range(1, len(w) - n + 2)) AS pos,
          unnest(list_transform(range(1, len(w) - n + 2),
                                lambda i: array_to_string(w[i:i + n - 1], ' '))) AS win
   FROM docs, lengths WHERE len(w) >= n),
-hits AS (SELECT g.r, g.at, g.n, p.item_id FROM grams g JOIN pieces p USING (n, win)),
+hits AS (SELECT g.r, g.pos, g.n, p.item_id FROM grams g JOIN pieces p USING (n, win)),
 words AS (SELECT r, count(DISTINCT k) AS n_hit
-          FROM (SELECT r, unnest(range(at, at + n)) AS k FROM hits) GROUP BY r),
+          FROM (SELECT r, unnest(range(pos, pos + n)) AS k FROM hits) GROUP BY r),
 ids AS (SELECT r, count(*) AS n_items,
                string_agg(id, ',' ORDER BY id) AS s
         FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY r)
