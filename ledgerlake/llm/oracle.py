@@ -7,6 +7,35 @@ _WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), '" + _UPPER + "', '
           + r"'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
 
 ORACLE: dict[str, str] = {
+    "op1_line_dedup": r"""
+WITH split AS (
+  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
+         unnest(range(len(string_split(text, chr(10))))) AS i FROM documents),
+full_lines AS (
+  SELECT doc_id, i, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line,
+         len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n
+  FROM split WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+sums AS (
+  SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM full_lines),
+spans AS (
+  SELECT a.doc_id, a.i AS lo, min(b.i) AS hi FROM sums a JOIN sums b
+    ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.n >= 50
+  GROUP BY ALL),
+wins AS (
+  SELECT s.doc_id, s.lo, s.hi, string_agg(l.line, chr(10) ORDER BY l.i) AS w
+  FROM spans s JOIN full_lines l ON l.doc_id = s.doc_id AND l.i BETWEEN s.lo AND s.hi
+  GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY w ORDER BY doc_id, lo) AS k FROM wins),
+gone AS (SELECT DISTINCT doc_id, unnest(range(lo, hi + 1)) AS i FROM ranked WHERE k > 1),
+kept AS (
+  SELECT s.doc_id, string_agg(s.line, chr(10) ORDER BY s.i) AS text
+  FROM split s ANTI JOIN gone g ON s.doc_id = g.doc_id AND s.i = g.i GROUP BY s.doc_id),
+counted AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
+       CASE WHEN d.text IS NULL THEN 0 ELSE len(string_split(d.text, chr(10))) END AS n_lines,
+       coalesce(c.n, 0) AS n_removed
+FROM documents d LEFT JOIN kept k USING (doc_id) LEFT JOIN counted c USING (doc_id)
+""",
     "op7_decontamination": f"""
 WITH items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
 pieces AS (

@@ -7,10 +7,39 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import decontam, mixing, simhash, tokens
+from ledgerlake.llm import (chat, decontam, html, lines, mixing, quality, simhash, tokens,
+                            toxicity)
 from ledgerlake.llm.common import table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return d.select("doc_id", "text", "line_counts.n_lines", "line_counts.n_removed")
+
+
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))[0]
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                               table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"),
+                         F.col("toxicity").alias("score"),
+                         (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+
+
+# The conversation the query adds.
+EXTRA_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-1, 0, "user", EXTRA_TEXT), (-1, 1, "assistant", EXTRA_TEXT)],
+                                  rows.schema)
+    return chat.read_back(chat.render(rows.unionByName(extra)))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     return tokens.token_counts(table(spark, sf_dir, "documents"),
@@ -32,14 +61,23 @@ def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("doc_id", simhash.hexed(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(table(spark, sf_dir, "pages"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_usage(spark, table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
+    "op2_quality_rules": op2_quality_rules,
+    "op4_toxicity": op4_toxicity,
+    "op5_chat_format": op5_chat_format,
     "op6_token_counts": op6_token_counts,
     "op7_decontamination": op7_decontamination,
     "op8_simhash_dedup": op8_simhash_dedup,
+    "op9_html_extraction": op9_html_extraction,
     "op10_mixing": op10_mixing,
 }
