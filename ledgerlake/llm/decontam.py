@@ -19,15 +19,17 @@ one task. Columns of documents are read by name, extra ones never clash.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (ArrayType, IntegerType, LongType, StringType, StructField,
+                               StructType)
 
-from ledgerlake.llm.common import Words, byte_set, chunks, materialize, mix, prepare, text_bytes
+from ledgerlake.llm.common import (Words, byte_set, chunks, fresh, materialize, mix, prepare,
+                                   text_bytes)
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
@@ -124,39 +126,34 @@ def item_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple]]
         yield [tuple(r) for r in b.where(part == k).collect()]
 
 
-SPANS = "n_words long, spans array<struct<lo:int,hi:int>>, items array<string>"
-
-
 def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
          block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """docs with n_words, spans (word ranges lo..hi, hi excluded, merged) and items (sorted ids)."""
+    """docs with n_words, spans (word ranges lo..hi, hi excluded, merged) and items (sorted ids).
+
+    Where docs has such a name, the added column is named by ``common.fresh``.
+    """
     spark = docs.sparkSession
     prepare(spark)
-    kept = [c for c in docs.columns if c not in ("n_words", "spans", "items")]
-    out = docs.select(*kept).withColumn("spans", F.lit(None).cast(
-        "array<struct<lo:int,hi:int>>")).withColumn("items", F.lit(None).cast("array<string>"))
-    blocks = item_blocks(benchmark, block_bytes)
-    for k, items in enumerate(blocks):
+    names = [fresh(docs.columns, c) for c in ("n_words", "spans", "items")]
+    span = ArrayType(StructType([StructField("lo", IntegerType()), StructField("hi", IntegerType())]))
+    added = [LongType(), span, ArrayType(StringType())]
+    schema = StructType([*docs.schema.fields, *map(StructField, names, added)])
+    text = docs.columns.index("text")
+    out = docs.select("*", *[F.lit(None).cast(t).alias(c) for c, t in zip(names, added)])
+    for k, items in enumerate(item_blocks(benchmark, block_bytes)):
         if k:
-            out = materialize(out.drop("n_words"), "decontam")
+            out = materialize(out, "decontam")
         sent = spark.sparkContext.broadcast(build(items, window))
-        out = out.drop("n_words").mapInArrow(_searcher(sent), _schema(out.drop("n_words")))
+        out = out.mapInArrow(_searcher(sent, text), schema)
     return out
 
 
-def _schema(df: DataFrame) -> str:
-    from pyspark.sql.types import LongType, StructField, StructType
-    own = [f for f in df.schema.fields]
-    return StructType([*own, StructField("n_words", LongType())])
-
-
-def _searcher(sent):
+def _searcher(sent, text: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = sent.value
         for b in batches:
-            texts = text_bytes(b.column("text"))
-            before = b.column("spans").to_pylist()
-            items_before = b.column("items").to_pylist()
+            texts = text_bytes(b.column(text))
+            before, items_before = b.column(-2).to_pylist(), b.column(-1).to_pylist()
             counts, spans, items = [], [], []
             for lo, hi in chunks(texts, CHUNK):
                 w = Words(texts[lo:hi], WORD_BYTES)
@@ -173,11 +170,8 @@ def _searcher(sent):
                     old = [(s["lo"], s["hi"]) for s in before[lo + i] or []]
                     spans.append(_merged(old + hit.get(i, [])))
                     items.append(sorted(ids.get(i, set()) | set(items_before[lo + i] or [])))
-            cols = {c: b.column(c) for c in b.schema.names}
-            cols["spans"] = pa.array(spans, b.schema.field("spans").type)
-            cols["items"] = pa.array(items, b.schema.field("items").type)
-            cols["n_words"] = pa.array(counts, pa.int64())
-            yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
+            new = [pa.array(v, f.type) for v, f in zip((counts, spans, items), list(b.schema)[-3:])]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-3], *new], schema=b.schema)
     return run
 
 
@@ -189,7 +183,3 @@ def _merged(spans: list[tuple[int, int]]) -> list[dict]:
         else:
             out.append({"lo": lo, "hi": hi})
     return out
-
-
-def items_digest(items: list[str]) -> str:
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()

@@ -99,15 +99,17 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """docs with text without repeated runs, and line_counts (n_lines, n_removed)."""
     prepare(docs.sparkSession)
     runs = repeated_runs(docs, min_words)
-    row, key, tie, counts = (fresh(docs.columns, c) for c in ("row", "key", "tie", "line_counts"))
+    row, key, tie, counts, own, own_tie, spans = (fresh(docs.columns, c) for c in (
+        "row", "key", "tie", "line_counts", "id", "id_tie", "runs"))
+    runs = runs.toDF(own, own_tie, spans)
     text = F.col("text")
     d = docs.withColumn(tie, F.xxhash64("text"))
-    joined = d.join(runs, F.col("doc_id").eqNullSafe(F.col("id"))
-                    & (F.col(tie) == F.col("id_tie")), "left")
+    joined = d.join(runs, F.col("doc_id").eqNullSafe(F.col(own))
+                    & (F.col(tie) == F.col(own_tie)), "left")
     lines = joined.withColumn(key, F.split(F.coalesce(text, F.lit("")), "\n", -1))
-    gone = F.flatten(F.transform("runs", lambda r: F.sequence(r["lo"], r["hi"])))
+    gone = F.flatten(F.transform(spans, lambda r: F.sequence(r["lo"], r["hi"])))
     left = F.array_except(F.sequence(F.lit(0), F.size(key) - 1), gone)
-    lines = lines.withColumn(row, F.when(F.col("runs").isNotNull(), left))
+    lines = lines.withColumn(row, F.when(F.col(spans).isNotNull(), left))
     new = F.when(F.col(row).isNull(), text).otherwise(
         F.array_join(F.transform(row, lambda i: F.get(F.col(key), i)), "\n"))
     n = F.when(text.isNull(), 0).otherwise(F.size(key)).cast("long")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import (chat, decontam, html, lines, mixing, quality, simhash, tokens,
+from ledgerlake.llm import (chat, decontam, html, lines, lm, mixing, quality, simhash, tokens,
                             toxicity)
 from ledgerlake.llm.common import table
 
@@ -21,6 +21,13 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))[0]
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(7))
+    scored = lm.score(table(spark, sf_dir, "documents"), fold != 2)
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known",
+                         "train_tokens", "base_score", "score")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"),
                                table(spark, sf_dir, "labels"))
@@ -73,6 +80,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_rules": op2_quality_rules,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_toxicity": op4_toxicity,
     "op5_chat_format": op5_chat_format,
     "op6_token_counts": op6_token_counts,

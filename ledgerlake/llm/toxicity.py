@@ -31,8 +31,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ledgerlake.llm.common import chunks, materialize, prepare, text_bytes
+from ledgerlake.llm.common import chunks, fresh, materialize, prepare, text_bytes
 
 SAMPLE_ROWS = 20_000
 FOLD, FOLDS = 0, 5
@@ -270,21 +271,20 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> t
 
 
 def score(docs: DataFrame, fitted: tuple) -> DataFrame:
-    """docs with a column toxicity (a column of that name is replaced)."""
+    """docs with the score in a column toxicity (``fresh`` where that name is taken)."""
     sent = docs.sparkSession.sparkContext.broadcast(fitted)
-    kept = [c for c in docs.columns if c.lower() != "toxicity"]
+    name = fresh(docs.columns, "toxicity")
+    at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(*sent.value)
         for b in batches:
-            s = [min(1.0, max(0.0, scorer(t or ""))) for t in b.column("text").to_pylist()]
+            s = [min(1.0, max(0.0, scorer(t or ""))) for t in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(s, pa.float64())], names=[*b.schema.names, "toxicity"])
+                [*b.columns, pa.array(s, pa.float64())], names=[*b.schema.names, name])
 
-    d = docs.select(*[F.col(f"`{c}`") for c in kept])
-    from pyspark.sql.types import DoubleType, StructField, StructType
-    schema = StructType([*d.schema.fields, StructField("toxicity", DoubleType())])
-    return d.mapInArrow(run, schema)
+    schema = StructType([*docs.schema.fields, StructField(name, DoubleType())])
+    return docs.mapInArrow(run, schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
