@@ -35,6 +35,33 @@ SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') EN
        CASE WHEN d.text IS NULL THEN 0 ELSE len(string_split(d.text, chr(10))) END AS n_lines,
        coalesce(c.n, 0) AS n_removed
 FROM documents d LEFT JOIN kept k USING (doc_id) LEFT JOIN counted c USING (doc_id)
+""",
+    "op5_chat_format": r"""
+WITH src AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'),
+                   (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+parts AS (
+  SELECT *, CASE role WHEN 'user' THEN ' [/INST]' WHEN 'assistant' THEN ' </s>'
+                      WHEN 'system' THEN chr(10) || '<</SYS>>' || chr(10) || chr(10)
+                      ELSE ' [/TURN]' END AS tail,
+         CASE role WHEN 'user' THEN 10 WHEN 'assistant' THEN 1 WHEN 'system' THEN 8
+                   ELSE 14 + length(role) END AS head,
+         len(regexp_extract_all(text,
+           '[<\[]\\*(/?s>|/?INST\]|<SYS>>|</SYS>>|/?ROLE\]|/TURN\])')) AS controls
+  FROM src),
+sized AS (
+  SELECT *, head + length(text) + length(tail) + CASE
+    WHEN strpos(text || tail, tail) = length(text) + 1 AND NOT regexp_matches(text,
+      '[<\[]\\+(/?s>|/?INST\]|<SYS>>|</SYS>>|/?ROLE\]|/TURN\])') THEN 0
+    ELSE controls END AS chars FROM parts)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role) FILTER (role = 'assistant'), ''))
+         AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
 """,
     "op7_decontamination": f"""
 WITH items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
