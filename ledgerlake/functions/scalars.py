@@ -11,7 +11,10 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Sums take each amount at two places (money has no smaller unit); amounts that do not fit
+# are summed as doubles beside them.
 MONEY = "decimal(18,2)"
+MONEY_WIDE = "decimal(38,2)"
 
 
 def col(c: str | Column) -> Column:
@@ -52,8 +55,11 @@ def ratio(num: str | Column, den: str | Column, places: int = 2) -> Column:
 
 
 def money_text(c: str | Column) -> Column:
-    """Money as fixed two-decimal text, e.g. 245010.00."""
-    return col(c).try_cast(MONEY).cast("string")
+    """Money as fixed two-decimal text, e.g. 245010.00; a finite or infinite amount that
+    no decimal holds keeps its plain text, so it is never lost."""
+    c = col(c)
+    return F.coalesce(c.try_cast(MONEY_WIDE).cast("string"),
+                      F.when(~F.isnan(c), c.cast("string")))
 
 
 def hour_of(ts: str | Column, is_text: bool) -> Column:

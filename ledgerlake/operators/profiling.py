@@ -7,65 +7,75 @@ count, which Spark runs once and inlines; no join is needed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import DecimalType, FractionalType, NumericType
 
 # Sample width and the labels of the fraud flag.
 SAMPLE_CHARS = 20
-FRAUD_LABELS = {1: "FRAUD", 0: "NORMAL"}
+EXACT = "decimal(38,4)"
+FRAUD_LABELS, FRAUD_OTHER = {1: "FRAUD"}, "NORMAL"
 
 
-def _is_numeric(df: DataFrame, c: str) -> bool:
-    return isinstance(df.schema[c].dataType, NumericType)
+def _statistics(df: DataFrame, c: str) -> tuple[Column, ...]:
+    """(nulls, min, max, min_exact, max_exact, mean, least text) of one column, as aggregates.
+
+    Whole numbers and decimals keep their exact least and greatest value beside the double,
+    and their mean comes from an exact sum. Doubles that no decimal holds are summed as
+    doubles, so no value leaves the mean.
+    """
+    col, kind = F.col(f"`{c}`"), df.schema[c].dataType
+    none, exact_null = F.lit(None).cast("double"), F.lit(None).cast(EXACT)
+    nulls = F.count_if(col.isNull())
+    if not isinstance(kind, NumericType):
+        return (nulls, none, none, exact_null, exact_null, none, F.min(col.cast("string")))
+    low, high = F.min(col), F.max(col)
+    if isinstance(kind, FractionalType) and not isinstance(kind, DecimalType):
+        held = col.try_cast("decimal(38,10)")
+        rest = F.sum(F.when(col.isNotNull() & held.isNull(), col.cast("double")))
+        total = F.coalesce(rest + F.coalesce(F.sum(held).cast("double"), F.lit(0.0)),
+                           F.sum(held).cast("double"))
+        exact = (exact_null, exact_null)
+    else:
+        total = F.sum(col.cast("decimal(38,10)")).cast("double")
+        exact = (low.cast(EXACT), high.cast(EXACT))
+    return (nulls, low.cast("double"), high.cast("double"), *exact,
+            F.try_divide(total, F.count(col)), F.lit(None).cast("string"))
 
 
 def profile_columns(df: DataFrame, table_name: str) -> DataFrame:
     """Per column: null %, distinct count (nulls skipped); numeric columns
-    also min/max/mean (2 places); others a 20-character sample (the least
-    value, so the report is stable).
-
-    One scan explodes each row into narrow (column, value) pairs; a first
-    aggregate per (column, value) collapses repeats map-side (a value held
-    by a third of the rows costs one row per task), and a second aggregate
-    per column turns the distinct values into the statistics. This replaces
-    the multi-distinct Expand, which would shuffle every input row once per
-    column with all aggregate inputs attached.
+    also min/max/mean (2 places; whole numbers min_exact/max_exact too);
+    others a 20-character sample (the least value, so the report is stable).
+
+    One plain aggregate over native types gives all but the distinct counts:
+    a row per task is shuffled. Those come from narrow (column, value) pairs,
+    collapsed map-side (a value held by a third of the rows costs one row per
+    task), instead of a multi-distinct Expand, which would shuffle every row
+    once per column with all aggregate inputs attached.
     """
     cols = df.columns
-    pairs = []
+    pairs, entries, aggs = [], [], []
     for i, c in enumerate(cols):
         col = F.col(f"`{c}`")
-        numeric = _is_numeric(df, c)
-        if numeric and df.schema[c].dataType.typeName() in ("double", "float"):
+        if df.schema[c].dataType.typeName() in ("double", "float"):
             col = F.when(col == 0, F.lit(0.0)).otherwise(col)  # -0.0 and 0.0 are one value
-        pairs.append(F.struct(
-            F.lit(i).alias("i"),
-            col.cast("string").alias("k"),
-            (col.try_cast("decimal(38,10)") if numeric
-             else F.lit(None).cast("decimal(38,10)")).alias("num"),
-            (col.cast("double") if numeric else F.lit(None).cast("double")).alias("dbl")))
-    exploded = df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
-    per_value = exploded.groupBy("i", "k").agg(
-        F.count(F.lit(1)).alias("c"), F.sum("num").alias("s"), F.count("num").alias("n"),
-        F.max("dbl").alias("d"))
-    per_column = per_value.groupBy("i").agg(
-        F.sum("c").alias("rows"),
-        F.sum(F.when(F.col("k").isNull(), F.col("c")).otherwise(0)).alias("nulls"),
-        F.count("k").alias("n_distinct"),
-        F.min("d").alias("min"), F.max("d").alias("max"),
-        F.try_divide(F.sum("s").cast("double"), F.sum("n")).alias("_mean"),
-        F.min("k").alias("_least"))
-    numeric_idx = [i for i, c in enumerate(cols) if _is_numeric(df, c)]
-    names = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("i") + 1)
-    is_num = F.col("i").isin(numeric_idx) if numeric_idx else F.lit(False)
-    return per_column.select(
-        F.lit(table_name).alias("table_name"), names.alias("column_name"),
+        pairs.append(F.struct(F.lit(i).alias("i"), col.cast("string").alias("k")))
+        names = ("nulls", "min", "max", "min_exact", "max_exact", "mean", "least")
+        aggs += [x.alias(f"{n}{i}") for n, x in zip(names, _statistics(df, c))]
+        entries.append(F.struct(F.lit(i).alias("i"), F.lit(c).alias("column_name"),
+                                F.col("rows").alias("rows"),
+                                *[F.col(f"{n}{i}").alias(n) for n in names]))
+    stats = df.agg(F.count(F.lit(1)).alias("rows"), *aggs).select(F.inline(F.array(*entries)))
+    distinct = (df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
+                .filter(F.col("k").isNotNull()).distinct()
+                .groupBy(F.col("i").alias("di")).agg(F.count(F.lit(1)).alias("n_distinct")))
+    return stats.join(distinct, F.col("i") == F.col("di"), "left").select(
+        F.lit(table_name).alias("table_name"), "column_name",
         F.round(F.try_divide(F.col("nulls"), F.col("rows")) * 100, 1).alias("null_pct"),
-        "n_distinct",
-        F.when(is_num, F.col("min")).alias("min"), F.when(is_num, F.col("max")).alias("max"),
-        F.when(is_num, F.round("_mean", 2)).alias("mean"),
-        F.when(~is_num, F.substring("_least", 1, SAMPLE_CHARS)).alias("sample"))
+        F.coalesce("n_distinct", F.lit(0)).cast("long").alias("n_distinct"),
+        "min", "max", "min_exact", "max_exact", F.round("mean", 2).alias("mean"),
+        F.substring("least", 1, SAMPLE_CHARS).alias("sample"))
 
 
 def profile_duplicates(df: DataFrame, table_name: str, key: str) -> DataFrame:
@@ -77,14 +87,18 @@ def profile_duplicates(df: DataFrame, table_name: str, key: str) -> DataFrame:
 
 
 def profile_distribution(spark: SparkSession, df: DataFrame, table_name: str,
-                         column: str, labels: dict | None = None) -> DataFrame:
-    """Value counts (nulls left out) with their share of ALL rows, 1 place."""
+                         column: str, labels: dict | None = None,
+                         other: str | None = None) -> DataFrame:
+    """Value counts (nulls left out) with their share of ALL rows, 1 place.
+
+    With ``labels`` a value is shown by its label, one without by ``other``.
+    """
     value = F.col(column)
     if labels:
         expr = None
         for k, v in labels.items():
             expr = F.when(value == k, v) if expr is None else expr.when(value == k, v)
-        value = expr
+        value = expr.otherwise(F.lit(other))
     counts = (df.filter(F.col(column).isNotNull())
               .groupBy(value.cast("string").alias("value"))
               .agg(F.count(F.lit(1)).alias("count")))

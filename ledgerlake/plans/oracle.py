@@ -577,6 +577,9 @@ PROFILE_TABLES = [
 ]
 
 
+PROFILE_DOUBLES = {"amount", "location_lat", "location_lng", "avg_spend", "home_lat", "home_lng"}
+
+
 def profile_sql(table: str, src: str, cols) -> str:
     parts = []
     for c, numeric in cols:
@@ -584,11 +587,16 @@ def profile_sql(table: str, src: str, cols) -> str:
         null_pct = pct(f"COUNT(*) FILTER (WHERE {q_} IS NULL)", "COUNT(*)", 1)
         if numeric:
             dec = f"TRY_CAST({q_} AS DECIMAL(38,10))"
+            whole = ("CAST(NULL AS DECIMAL(38,4))" if c in PROFILE_DOUBLES
+                     else f"CAST({{}}({q_}) AS DECIMAL(38,4))")
             stats = (f"CAST(MIN({q_}) AS DOUBLE) AS min, CAST(MAX({q_}) AS DOUBLE) AS max, "
+                     f"{whole.format('MIN')} AS min_exact, {whole.format('MAX')} AS max_exact, "
                      f"{rnd(f'CAST(SUM({dec}) AS DOUBLE) / NULLIF(COUNT({dec}), 0)')} AS mean, "
                      "CAST(NULL AS VARCHAR) AS sample")
         else:
             stats = ("CAST(NULL AS DOUBLE) AS min, CAST(NULL AS DOUBLE) AS max, "
+                     "CAST(NULL AS DECIMAL(38,4)) AS min_exact, "
+                     "CAST(NULL AS DECIMAL(38,4)) AS max_exact, "
                      "CAST(NULL AS DOUBLE) AS mean, "
                      f"substring(CAST(MIN({q_}) AS VARCHAR), 1, 20) AS sample")
         parts.append(f"SELECT '{table}' AS table_name, '{c}' AS column_name, {null_pct} AS "
@@ -617,7 +625,7 @@ def dist_sql(table: str, src: str, col: str, value: str) -> str:
 
 q("profile_distribution", ["dirty_transactions", "kyc", "support_tickets"], " UNION ALL ".join([
     dist_sql("transactions", "dirty_transactions", "is_fraud",
-             "CASE WHEN is_fraud = 1 THEN 'FRAUD' WHEN is_fraud = 0 THEN 'NORMAL' END"),
+             "CASE WHEN is_fraud = 1 THEN 'FRAUD' ELSE 'NORMAL' END"),
     dist_sql("kyc", "kyc", "kyc_status", "kyc_status"),
     dist_sql("kyc", "kyc", "risk_tier", "risk_tier"),
     dist_sql("support_tickets", "support_tickets", "category", "category"),
@@ -763,7 +771,9 @@ UNION ALL
 SELECT 2, t.* REPLACE (amount * 2 AS amount), NULL FROM transactions t
 WHERE transaction_id % 50 = 7""")
 cte("stream_decoded", ("stream_rows",), """
-SELECT delivery * 1000000000000 + transaction_id AS seq,
+SELECT CASE WHEN NOT (delivery = 1 AND transaction_id % 257 = 0)
+            THEN CAST(delivery AS VARCHAR) || lpad(CAST(transaction_id AS VARCHAR), 55, '0')
+       END AS seq,
        CASE WHEN broken THEN NULL ELSE CAST(transaction_id AS VARCHAR) END AS transaction_id,
        CASE WHEN broken THEN NULL ELSE CAST(customer_id AS VARCHAR) END AS customer_id,
        CASE WHEN broken OR fault IN ('amount_text', 'amount_null', 'amount_absent') THEN NULL
@@ -801,12 +811,13 @@ SELECT COUNT(*) FILTER (WHERE error IS NULL) AS processed,
 FROM stream_scored""")
 STREAM_DECISIONS = f"""
 SELECT transaction_id, customer_id,
-       CAST(TRY_CAST(amount AS DECIMAL(18,2)) AS VARCHAR) AS amount, merchant, fraud_score,
+       CAST(TRY_CAST(amount AS DECIMAL(38,2)) AS VARCHAR) AS amount, merchant, fraud_score,
        {decision_sql('fraud_score')} AS decision, reasons_json AS reasons,
        CAST(is_fraud AS INTEGER) AS actual_fraud, "timestamp", {TS} AS processed_at,
        'rule-engine-v1' AS model_version
 FROM stream_scored WHERE error IS NULL
-QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY seq DESC) = 1"""
+QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY coalesce(length(seq), 0) DESC,
+                           seq DESC NULLS LAST) = 1"""
 for _k in ("stream_upsert", "upsert_decisions", "stream_json_source"):
     q(_k, ["stream_scored"], STREAM_DECISIONS)
 

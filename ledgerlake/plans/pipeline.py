@@ -267,10 +267,22 @@ def append_decisions(decisions: DataFrame, path: str, batch_id: int) -> None:
 
 def current_decisions(spark: SparkSession, path: str) -> DataFrame:
     """Latest decision per transaction_id: the last batch wins, then the
-    last arrival inside it (a hash aggregate, not a window)."""
-    log = spark.read.parquet(path)
-    order = ["batch_id"] + (["seq"] if "seq" in log.columns else [])
-    return clean.dedup_by_key(log, "transaction_id", order).drop("batch_id", "seq")
+    last arrival inside it (one aggregate, not a window)."""
+    log = spark.read.option("mergeSchema", "true").parquet(path)
+    return last_arrival(log, ["batch_id"]).drop("batch_id", "seq")
+
+
+def last_arrival(decided: DataFrame, before: list[str]) -> DataFrame:
+    """The last row per transaction_id by ``before``, then by sequence number.
+
+    Sequence numbers are text of digits: the longer is the later, then the
+    greater; one without a number comes first.
+    """
+    if "seq" not in decided.columns:
+        return clean.dedup_by_key(decided, "transaction_id", before)
+    digits = decided.withColumn("_digits", F.coalesce(F.length("seq"), F.lit(0)))
+    return clean.dedup_by_key(digits, "transaction_id", [*before, "_digits", "seq"]) \
+        .drop("_digits")
 
 
 def compact_decisions(spark: SparkSession, path: str, target: L.LakeTable) -> int:

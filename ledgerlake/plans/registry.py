@@ -367,7 +367,7 @@ def q_profile_distribution(spark, sf_dir):
     t = bronze_tables(spark, sf_dir)
     parts = [
         profiling.profile_distribution(spark, t["transactions"], "transactions", "is_fraud",
-                                       profiling.FRAUD_LABELS),
+                                       profiling.FRAUD_LABELS, profiling.FRAUD_OTHER),
         profiling.profile_distribution(spark, t["kyc"], "kyc", "kyc_status"),
         profiling.profile_distribution(spark, t["kyc"], "kyc", "risk_tier"),
         profiling.profile_distribution(spark, t["support_tickets"], "support_tickets",
@@ -710,11 +710,8 @@ def q_stream_json_source(spark, sf_dir):
 
 @register("stream_metrics")
 def q_stream_metrics(spark, sf_dir):
-    root, query = run_stream_fixture(spark, sf_dir)
-    rows = FS.observed_metrics(query)
-    return spark.createDataFrame(
-        rows, "batch_id LONG, processed LONG, allowed LONG, flagged LONG, blocked LONG, "
-              "errors LONG")
+    root, _ = run_stream_fixture(spark, sf_dir)
+    return FS.stored_metrics(spark, f"{root}/decisions_metrics")
 
 
 # ---- scalar function families ---------------------------------------------------

@@ -221,6 +221,7 @@ STREAM_FAULTS = (
     (251, "timestamp_null"),
 )
 STREAM_REDELIVERY_MOD, STREAM_REDELIVERY_REM = 50, 7
+STREAM_NO_SEQUENCE_MOD = 257
 
 
 def stream_fault(tid: Column) -> Column:
@@ -265,7 +266,9 @@ def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                  .otherwise(with_nulls))
     data = (F.when(fault == "not_base64", F.concat(F.lit("!!"), tid.cast("string")))
             .otherwise(F.base64(json_text.cast("binary"))))
-    seq = F.col("delivery") * F.lit(10 ** 12) + tid
-    return rows.select("delivery", F.struct(data.alias("data"),
-                                            seq.cast("string").alias("sequenceNumber"))
+    # 56 digits, and absent for some first deliveries
+    seq = F.when(~((F.col("delivery") == 1) & (tid % STREAM_NO_SEQUENCE_MOD == 0)),
+                 F.concat(F.col("delivery").cast("string"),
+                          F.lpad(tid.cast("string"), 55, "0")))
+    return rows.select("delivery", F.struct(data.alias("data"), seq.alias("sequenceNumber"))
                        .alias("kinesis"))

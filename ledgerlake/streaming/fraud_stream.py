@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions import scoring
 from ledgerlake.functions.scalars import hour_of, ts_literal
-from ledgerlake.operators.clean import dedup_by_key
 from ledgerlake.plans import pipeline
 
 ENVELOPE_SCHEMA = "kinesis STRUCT<data: STRING, sequenceNumber: STRING>"
@@ -35,6 +34,7 @@ ERR_AMOUNT = "bad_amount"
 ERR_DEVICE = "bad_device_id"
 ERR_LAT = "bad_location_lat"
 STREAM_SOURCE = "fraud_stream"
+MAX_FILES_PER_TRIGGER = 1000
 
 
 KEYS = ("transaction_id", "customer_id", "amount", "merchant", "category", "timestamp",
@@ -54,7 +54,8 @@ def decode_records(records: DataFrame, data: str = "kinesis.data",
     """
     raw = F.col(data)
     binary = F.try_to_binary(raw, F.lit("base64"))
-    parsed = records.select(F.col(seq).cast("long").alias("seq"), raw.alias("data"),
+    # sequence numbers are text: they may have far more digits than a bigint
+    parsed = records.select(F.col(seq).alias("seq"), raw.alias("data"),
                             binary.isNotNull().alias("_b64"),
                             F.try_parse_json(binary.cast("string")).alias("_v"))
     # one lookup turns the object into a struct of variants (null when the
@@ -150,20 +151,26 @@ def error_rows(scored: DataFrame, processed_at: dt.datetime) -> DataFrame:
 
 def latest_per_key(decided: DataFrame) -> DataFrame:
     """Upsert semantics inside one input: the last arrival per transaction."""
-    return dedup_by_key(decided, "transaction_id", ["seq"])
+    return pipeline.last_arrival(decided, [])
 
 
 # ---- the streaming job ---------------------------------------------------------------
 
 def start_scoring_stream(spark: SparkSession, source_dir: str, decisions_path: str,
                          dlq_path: str, checkpoint: str, processed_at: dt.datetime,
-                         available_now: bool = True, max_files_per_trigger: int | None = None):
-    """readStream -> decode -> score -> observe -> foreachBatch(log + DLQ)."""
-    reader = spark.readStream.schema(ENVELOPE_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+                         available_now: bool = True,
+                         max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
+                         metrics_path: str | None = None):
+    """readStream -> decode -> score -> foreachBatch(log + DLQ + counters).
+
+    ``max_files_per_trigger`` bounds a batch, so a backlog is read in many.
+    The counters of each batch are a row of the table at ``metrics_path``
+    (default: beside the decision log), keyed by batch: a replay replaces it.
+    """
+    metrics = metrics_path or f"{decisions_path.rstrip('/')}_metrics"
+    reader = spark.readStream.schema(ENVELOPE_SCHEMA) \
+        .option("maxFilesPerTrigger", max_files_per_trigger)
     scored = score_decoded(decode_records(reader.json(source_dir)))
-    observed = scored.observe("batch_metrics", *batch_metric_columns())
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -172,20 +179,23 @@ def start_scoring_stream(spark: SparkSession, source_dir: str, decisions_path: s
             errors = error_rows(batch, processed_at).withColumn("batch_id", F.lit(batch_id))
             (errors.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").parquet(dlq_path))
+            (batch_metrics(batch).withColumn("batch_id", F.lit(batch_id))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch_id").parquet(metrics))
         finally:
             batch.unpersist()
 
-    writer = (observed.writeStream.foreachBatch(write_batch)
+    writer = (scored.writeStream.foreachBatch(write_batch)
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()
 
 
-def observed_metrics(query) -> list[dict]:
-    """Per-batch counters from the progress reports of a finished query."""
-    out = []
-    for p in query.recentProgress:
-        m = (p.observedMetrics or {}).get("batch_metrics")
-        if m is not None:
-            out.append({"batch_id": p.batchId, **m.asDict()})
-    return out
+METRICS_SCHEMA = ("processed LONG, allowed LONG, flagged LONG, blocked LONG, errors LONG, "
+                  "batch_id LONG")
+
+
+def stored_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """The counters of every batch a stream has written, one row per batch."""
+    return spark.read.schema(METRICS_SCHEMA).parquet(path).select(
+        "batch_id", "processed", "allowed", "flagged", "blocked", "errors")
