@@ -36,7 +36,9 @@ SHARD_SLOTS = 4096
 SEED = 11
 # The source list is collected and broadcast; more sources raise an error.
 MAX_SOURCES = 100_000
-OFFSET_BUCKET_ROWS = 50_000
+# Prefix sums run over about so many rows each, and over at most so many sums of them.
+OFFSET_BUCKET_ROWS = 2_000
+MAX_OFFSET_BUCKETS = 100_000
 SHARD_GROUP = 1024
 
 
@@ -81,13 +83,12 @@ def permuted(x: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
 def packed(docs: DataFrame, by_source: DataFrame) -> DataFrame:
     """docs (doc_id, source, size, ...) with sid and offset, its place in the source's stream."""
     n = docs.count()
-    buckets = max(1, n // OFFSET_BUCKET_ROWS)
+    buckets = min(MAX_OFFSET_BUCKETS, max(1, n // OFFSET_BUCKET_ROWS))
     d = docs.join(F.broadcast(by_source), docs["source"].eqNullSafe(by_source["__source"])) \
         .drop("__source").withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)))
     sums = d.groupBy("sid", "bucket").agg(F.sum("size").alias("n"))
     base = sums.select("sid", "bucket", (F.sum("n").over(
         Window.partitionBy("sid").orderBy("bucket")) - F.col("n")).alias("base"))
-    # Rows of a hot (source, bucket) are about OFFSET_BUCKET_ROWS narrow rows at most.
     inside = Window.partitionBy("sid", "bucket").orderBy("doc_id", "k1", "k2") \
         .rowsBetween(Window.unboundedPreceding, 0)
     return d.withColumn("inside", F.sum("size").over(inside) - F.col("size")) \
