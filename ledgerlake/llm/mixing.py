@@ -34,6 +34,7 @@ MAX_REPEAT = 3
 BLOCK_WORDS = 32
 SHARD_SLOTS = 4096
 SEED = 11
+TASK_SLOTS = 250_000
 # The source list is collected and broadcast; more sources raise an error.
 MAX_SOURCES = 100_000
 # Prefix sums run over about so many rows each, and over at most so many sums of them.
@@ -151,7 +152,9 @@ def draw_slots(spark, sources: list[dict], block_words: int = BLOCK_WORDS,
                 "shard": np.repeat(b["shard"].to_numpy(), k), "sid": sid[i], "epoch": epoch,
                 "block": permuted(j % n[i], n[i], key)})[epoch < max_repeat]
 
-    return placed.mapInPandas(fill, "shard long, sid long, epoch long, block long")
+    # a few counts become very many slots: deal them out by what they become
+    tasks = max(1, int(want.sum()) // TASK_SLOTS)
+    return placed.repartition(tasks, "shard", "i").mapInPandas(fill, "shard long, sid long, epoch long, block long")
 
 
 def _parts(spark, docs: DataFrame, with_text: bool, weights, block_words, max_repeat, seed):
@@ -189,7 +192,8 @@ def mix_usage(spark, docs: DataFrame, weights=WEIGHTS, block_words: int = BLOCK_
     d, sizes, by_source, slots = _parts(spark, docs, False, weights, block_words, max_repeat, seed)
     placed = materialize(packed(sizes, by_source), "mix-placed")
     used = slots.groupBy("sid", "block").agg(F.count("*").alias("times"))
-    taken = _pieces(placed, block_words).join(used, ["sid", "block"]) \
+    # Spark takes the slots for as small as the shards they are drawn from: never broadcast them
+    taken = _pieces(placed, block_words).join(used.hint("merge"), ["sid", "block"]) \
         .groupBy("sid", "offset").agg(F.sum(F.col("n") * F.col("times")).alias("taken")) \
         .withColumnRenamed("sid", "s").withColumnRenamed("offset", "o")
     # a text without words shares its offset with the next one, but is in no block
@@ -231,7 +235,7 @@ def mix_documents(spark, docs: DataFrame, weights=WEIGHTS, block_words: int = BL
         F.first("source").alias("source"), F.sum("p.n").alias("n_words"),
         F.sort_array(F.collect_list(F.struct("offset", "doc_id", F.col("p.text").alias("text"))))
         .alias("parts"))
-    return slots.join(blocks, ["sid", "block"]).select(
+    return slots.hint("merge").join(blocks, ["sid", "block"]).select(
         "shard", "source", "epoch", "block", "n_words",
         F.col("parts.doc_id").alias("doc_ids"),
         F.array_join(F.col("parts.text"), " ").alias("text"))
