@@ -8,9 +8,11 @@ text. Words that consist of letters with no run of three have one path and
 need no decoding; each distinct other token is decoded once per task.
 
 The toxicity of a word is learned from a bounded sample of labelled rows
-(``sample_rows``): a word is kept if its share of toxic documents beats the
-base rate by more than chance over all words tested. A document's score is a
-noisy-or over its kept words above the rate of documents that have none.
+(``sample_rows``). Copies are no evidence of their own: of the sampled rows
+that share their least three-word shingle hash, one stands for all, with their
+mean label. A word is kept if its share of toxic documents beats the base rate
+by more than chance over all words tested. A document's score is a noisy-or
+over its kept words above the rate of documents that have none.
 
 Edge cases: null and empty texts score the base rate; a null label is no
 label, a document labelled several times is toxic if any of its labels is;
@@ -29,6 +31,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
@@ -50,6 +53,9 @@ RUN = re.compile(r"(.)\1\1")
 # Signs around a word: sentence marks, and any sign that is repeated.
 EDGE = re.compile(r"^[\"'(\[{<*_~.,;:?#%&-]+|(?:[\"')\]}>*_~.,;:?!#%&-]|([#*$%&|<>@+!])\1+)+$")
 CLASSES = 28
+STEM = 4
+# How much a word must beat the number of words tested, in nats: exp(-SURE) chance words.
+SURE = 1.0
 
 
 def letter_class(c: str) -> int:
@@ -157,6 +163,11 @@ class Decoder:
         return self.viterbi(core).split()
 
 
+def features(words: list[str]) -> list[str]:
+    """The words, and the beginnings of longer ones: variants of a word share theirs."""
+    return words + ["^" + w[:STEM] for w in words if len(w) > STEM + 1]
+
+
 def spaced(words: list[str]) -> list[str]:
     """Runs of three or more single signs, with their blanks."""
     if sum(len(w) == 1 for w in words) < 3:
@@ -169,7 +180,7 @@ def spaced(words: list[str]) -> list[str]:
 
 
 class Restorer:
-    """Distinct restored words of texts, with a bounded memory of tokens."""
+    """Distinct features of texts' restored words, with a bounded memory of tokens."""
 
     def __init__(self, model: np.ndarray):
         self.decoder, self.memory = Decoder(model), {}
@@ -185,7 +196,7 @@ class Restorer:
             r = known.get(t)
             if r is None:
                 r = self.decoder.viterbi(t).split() if " " in t else self.decoder.restore(t)
-                known[t] = r
+                r = known[t] = features(r)
             out.update(r)
         return out
 
@@ -206,7 +217,7 @@ class Scorer:
             self.seen, self.toxic = set(), {}
         for t in tokens - self.seen:
             r = self.decoder.viterbi(t).split() if " " in t else self.decoder.restore(t)
-            if own := [w for w in r if w in self.words]:
+            if own := [w for w in features(r) if w in self.words]:
                 self.toxic[t] = own
         self.seen |= tokens
         clean = 1.0 - self.rest
@@ -215,6 +226,13 @@ class Scorer:
         return 1.0 - clean
 
 
+def least_shingle(text: bytes) -> int:
+    """The least hash of the text's three-word shingles: near copies mostly share it."""
+    w = text.lower().split()
+    shingles = map(b" ".join, zip(w, w[1:], w[2:])) if len(w) > 2 else [b" ".join(w)]
+    return min(map(xxhash.xxh64_intdigest, shingles)) >> 1
+
+
 def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))), F.lit(FOLDS)) == FOLD
 
@@ -228,8 +246,20 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> t
                          & ~held_out(F.col("doc_id"))) \
         .groupBy(F.col("doc_id").alias("id")).agg(F.max("toxic").alias("toxic"))
     known = known.orderBy(F.xxhash64("id"), "id").limit(sample_rows)
-    sample = materialize(docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("id"))
-                         .select("text", "toxic").repartition(32), "toxic-sample")
+
+    def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = [least_shingle(t) for t in text_bytes(b.column("text"))]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("text"), b.column("toxic"), pa.array(own, pa.int64())],
+                names=["text", "toxic", "copies"])
+
+    rows = docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("id")) \
+        .select("text", F.col("toxic").cast("double").alias("toxic")).repartition(32) \
+        .mapInArrow(group, "text string, toxic double, copies long")
+    sample = materialize(rows.groupBy("copies").agg(
+        F.min("text").alias("text"), (F.avg("toxic") >= 0.5).cast("int").alias("toxic"))
+        .select("text", "toxic").repartition(32), "toxic-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restore = Restorer(sent.value)
@@ -252,7 +282,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> t
     m, bad, good = F.col("bad") + F.col("good"), F.col("bad"), F.col("good")
     gain = bad * F.log(bad / (m * base)) + F.when(
         good > 0, good * F.log(good / (m * (1 - base)))).otherwise(0.0)
-    kept = stats.where((bad > m * base) & (gain > math.log(tested) + 2.0)
+    kept = stats.where((bad > m * base) & (gain > math.log(tested) + SURE)
                        & (bad > good)).collect()
     words = {r.word: (r.bad + 2 * base) / (r.bad + r.good + 2) for r in kept}
 
