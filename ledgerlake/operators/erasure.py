@@ -1,25 +1,30 @@
 """Customer erasure: request intake and validation, deletion from the lake,
 audit record, request status, notifications.
 
-Requests are a table, not a list on the driver: the ids to erase are
-anti-joined against each target (broadcast only below a counted size), and
-the deleted/kept counts come from ``observe`` in the same pass that writes
-the new version. A null ``customer_id`` row never matches, so it is kept
-(``NOT IN`` would drop it and count it as deleted).
+Requests are a table, not a list on the driver: the ids to erase are joined
+with each target, and Spark broadcasts them only if it measures them as small.
+A semi-join finds the days that hold rows to delete; only those are read in
+full and written anew, and their old files are deleted. A null ``customer_id``
+row never matches, so it is kept (``NOT IN`` would drop it and count it as
+deleted).
+
+Requests carry ids as text; where tables use another type, the caller passes
+the mapping ``to_key``. Ids that are empty, lack the prefix or have no key are
+malformed: such requests are rejected, and get no audit row and no notice.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.scalars import ts_literal
-from ledgerlake.operators.joins import BROADCAST_MAX_ROWS
-from ledgerlake.sources.bindings import CUSTOMER_PREFIX, customer_key
 
 # Fixed values of the erasure flow.
+CUSTOMER_PREFIX = "CUST"
 STATUS_PENDING = "PENDING"
 STATUS_COMPLETE = "COMPLETE"
 STATUS_PARTIAL = "PARTIAL"
@@ -37,6 +42,13 @@ ERASURE_TARGETS = (
     ("gold", "txn_customer_day", "gold_txn_customer_day"),
     ("gold", "txn_customer_values", "gold_txn_customer_values"),
 )
+# Written only when there is something to write: absent is not missing.
+OPTIONAL_TARGETS = (
+    ("dlq", "transactions", "dlq_transactions"),
+    ("dlq", "customers", "dlq_customers"),
+    ("dlq", "kyc", "dlq_kyc"),
+    ("dlq", "tickets", "dlq_tickets"),
+)
 
 
 def _stamp(ts: Column) -> Column:
@@ -84,64 +96,116 @@ def pending_requests(requests: DataFrame) -> DataFrame:
     return requests.filter(F.col("status") == STATUS_PENDING)
 
 
-def erasure_keys(pending: DataFrame) -> DataFrame:
-    """Distinct table keys of pending requests with a well-formed id."""
-    return (pending.select(customer_key(F.col("customer_id")).alias("customer_id"))
-            .filter(F.col("customer_id").isNotNull()).distinct())
+def same_key(customer_id: Column) -> Column:
+    """The key of tables that use the requests' own ids."""
+    return customer_id
 
 
-def anti_join_delete(df: DataFrame, keys: DataFrame, key_count: int,
-                     key: str = "customer_id") -> DataFrame:
-    """Rows of ``df`` whose key is not being erased; null keys are kept."""
-    side = F.broadcast(keys) if key_count <= BROADCAST_MAX_ROWS else keys
-    return df.join(side, on=key, how="left_anti")
+def well_formed(to_key: Callable[[Column], Column] = same_key) -> Column:
+    cid = F.col("customer_id")
+    return F.coalesce(cid.startswith(CUSTOMER_PREFIX) & to_key(cid).isNotNull(), F.lit(False))
 
 
-def delete_with_counts(df: DataFrame, keys: DataFrame, key_count: int,
-                       obs: Observation, key: str = "customer_id") -> DataFrame:
-    """Kept rows, with rows_before / rows_deleted observed in the same pass."""
-    hits = keys.select(F.col(key), F.lit(True).alias("_erase"))
-    side = F.broadcast(hits) if key_count <= BROADCAST_MAX_ROWS else hits
-    marked = df.join(side, on=key, how="left")
-    marked = marked.observe(obs, F.count(F.lit(1)).alias("rows_before"),
-                            F.count_if(F.col("_erase").isNotNull()).alias("rows_deleted"))
-    return marked.filter(F.col("_erase").isNull()).drop("_erase").select(*df.columns)
+def erasure_keys(pending: DataFrame,
+                 to_key: Callable[[Column], Column] = same_key) -> DataFrame:
+    """Distinct table keys of pending requests with a well-formed id."""
+    return (pending.filter(well_formed(to_key))
+            .select(to_key(F.col("customer_id")).alias("customer_id")).distinct())
+
+
+def anti_join_delete(df: DataFrame, keys: DataFrame, key: str = "customer_id") -> DataFrame:
+    """Rows of ``df`` whose key is not being erased; null keys are kept."""
+    return df.join(keys, on=key, how="left_anti")
 
 
 SUMMARY_SCHEMA = ("table_name STRING, rows_before LONG, rows_deleted LONG, rows_kept LONG, "
-                  "status STRING")
+                  "status STRING, error STRING")
 AUDIT_SCHEMA = ("batch_id STRING, processed_at TIMESTAMP_NTZ, total_requests INT, "
-                "deletion_summary MAP<STRING, BIGINT>, status STRING")
+                "deletion_summary MAP<STRING, BIGINT>, errors MAP<STRING, STRING>, "
+                "status STRING")
+
+
+def erase_table(table, keys: DataFrame, key: str = "customer_id") -> tuple[int, int]:
+    """Delete the keys' rows from a lake table; (rows before, rows deleted).
+
+    Of a table with days only the days that hold such rows are written anew, without a
+    shuffle: rows already lie by day. The names of those days reach the driver.
+    """
+    df, by = table.read(), table.partition_by()
+    before = df.count()
+    hits = df.select(key, *([by] if by else [])).join(keys, key, "left_semi")
+    if not by:
+        deleted = hits.count()
+        if deleted:
+            table.write_snapshot(anti_join_delete(df, keys, key))
+        return before, deleted
+    days = {r[0]: r[1] for r in hits.groupBy(by).count().collect()}
+    if days:
+        named = [d for d in days if d is not None]
+        touched = F.col(by).isin(named) if named else F.lit(False)
+        if None in days:
+            touched = touched | F.col(by).isNull()
+        table.replace_partitions(anti_join_delete(df.filter(touched), keys, key), by,
+                                 days=list(days), cluster=False)
+    return before, sum(days.values())
+
+
+def erase_from_log(spark: SparkSession, path: str, keys: DataFrame, scratch: str,
+                   key: str = "customer_id", by: str = "batch_id") -> tuple[int, int]:
+    """Delete the keys' rows from an append-only Parquet log with a folder per batch.
+
+    The batches that hold such rows are written to ``scratch`` first and then put in place,
+    so a rerun after a crash finds either the old or the new rows of a batch.
+    """
+    df = spark.read.option("mergeSchema", "true").parquet(path)
+    keys = keys.select(F.col("customer_id").cast("string").alias(key))
+    before = df.count()
+    counts = {r[0]: r[1] for r in df.join(keys, key, "left_semi").groupBy(by).count().collect()}
+    if counts:
+        kept = anti_join_delete(df.filter(F.col(by).isin(list(counts))), keys, key)
+        kept.write.mode("overwrite").partitionBy(by).parquet(scratch)
+        from ledgerlake.sources.lake import file_system, folders
+        staged = set(folders(spark, scratch))
+        for batch in counts:
+            fs, old = file_system(spark, f"{path}/{by}={batch}")
+            fs.delete(old, True)
+            if f"{by}={batch}" in staged:
+                fs.rename(file_system(spark, f"{scratch}/{by}={batch}")[1], old)
+        fs.delete(file_system(spark, scratch)[1], True)
+    return before, sum(counts.values())
 
 
 def erase_from_lake(lake, keys: DataFrame, targets=ERASURE_TARGETS,
-                    from_versions: dict[str, int] | None = None) -> list[tuple]:
-    """Write a new version of every target without the erased keys.
+                    optional=OPTIONAL_TARGETS, logs: dict[str, str] | None = None) -> list[tuple]:
+    """Delete the keys from every target, and from the logs (label -> path).
 
     Returns one tuple per target: (table_name, rows_before, rows_deleted,
-    rows_kept, status). A target that fails keeps its old version and is
-    reported FAILED, which makes the batch PARTIAL. ``from_versions`` names
-    the version to start from per table (default: the current one).
+    rows_kept, status, error). A target that is MISSING, or FAILED and so left
+    as it was, makes the batch PARTIAL.
     """
     keys = keys.cache()
-    key_count = keys.count()
     rows = []
+
+    def entry(label: str, work: Callable[[], tuple[int, int]]) -> None:
+        try:
+            before, deleted = work()
+            rows.append((label, before, deleted, before - deleted, "OK", None))
+        except Exception as e:  # keep the batch going; the audit names the error
+            rows.append((label, 0, 0, 0, "FAILED", f"{type(e).__name__}: {str(e)[:500]}"))
+
     for layer, name, label in targets:
         table = lake.table(layer, name)
-        try:
-            cur = table.current()
-            if cur is None:
-                rows.append((label, 0, 0, 0, "MISSING"))
-                continue
-            base = (from_versions or {}).get(label, cur[0])
-            obs = Observation()
-            kept = delete_with_counts(table.read(base), keys, key_count, obs)
-            table.write_snapshot(kept, partition_by=cur[1], kind="erase")
-            m = obs.get
-            before, deleted = int(m["rows_before"]), int(m["rows_deleted"])
-            rows.append((label, before, deleted, before - deleted, "OK"))
-        except Exception:  # keep the batch going; the audit says PARTIAL
-            rows.append((label, 0, 0, 0, "FAILED"))
+        if not table.exists():
+            rows.append((label, 0, 0, 0, "MISSING", f"no table {table.name}"))
+        else:
+            entry(label, lambda: erase_table(table, keys))
+    for layer, name, label in optional:
+        table = lake.table(layer, name)
+        if table.exists():
+            entry(label, lambda: erase_table(table, keys))
+    for label, path in (logs or {}).items():
+        entry(label, lambda: erase_from_log(lake.spark, path, keys,
+                                            f"{lake.root}/staging/{label}"))
     keys.unpersist()
     return rows
 
@@ -151,7 +215,7 @@ def summary_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
 
 
 def batch_status(rows: list[tuple]) -> str:
-    return STATUS_COMPLETE if all(r[4] in ("OK", "MISSING") for r in rows) else STATUS_PARTIAL
+    return STATUS_COMPLETE if all(r[4] == "OK" for r in rows) else STATUS_PARTIAL
 
 
 def audit_record(spark: SparkSession, batch_id: str, processed_at: dt.datetime,
@@ -159,8 +223,9 @@ def audit_record(spark: SparkSession, batch_id: str, processed_at: dt.datetime,
     """The audit header: one row per batch. The erased ids themselves go to
     ``audit_ids`` (one row each), so no id list is gathered into one row."""
     summary = {r[0]: int(r[2]) for r in rows}
+    errors = {r[0]: r[5] for r in rows if r[5]}
     return spark.createDataFrame(
-        [(batch_id, processed_at, int(total_requests), summary, batch_status(rows))],
+        [(batch_id, processed_at, int(total_requests), summary, errors, batch_status(rows))],
         AUDIT_SCHEMA)
 
 
@@ -174,19 +239,23 @@ def audit_ids(pending: DataFrame, batch_id: str) -> DataFrame:
 
 
 def update_request_status(requests: DataFrame, processed: DataFrame, audit_key: str,
-                          completed_at: dt.datetime) -> DataFrame:
-    """Mark processed (customer_id, requested_at) keys COMPLETE."""
-    done = processed.select("customer_id", "requested_at",
-                            F.lit(True).alias("_done")).distinct()
-    joined = requests.join(done, on=["customer_id", "requested_at"], how="left")
-    hit = F.col("_done").isNotNull()
+                          completed_at: dt.datetime,
+                          rejected: DataFrame | None = None) -> DataFrame:
+    """Mark processed (customer_id, requested_at) keys COMPLETE, rejected ones REJECTED."""
+    marks = processed.select("customer_id", "requested_at",
+                             F.lit(STATUS_COMPLETE).alias("_new"))
+    if rejected is not None:
+        marks = marks.unionByName(rejected.select("customer_id", "requested_at",
+                                                  F.lit(STATUS_REJECTED).alias("_new")))
+    joined = requests.join(marks.distinct(), on=["customer_id", "requested_at"], how="left")
+    done = F.col("_new") == STATUS_COMPLETE
     cols = [c for c in requests.columns if c not in ("status", "completed_at", "audit_log_key")]
     return joined.select(
         *cols,
-        F.when(hit, F.lit(STATUS_COMPLETE)).otherwise(F.col("status")).alias("status"),
-        F.when(hit, ts_literal(completed_at)).otherwise(F.col("completed_at"))
+        F.coalesce(F.col("_new"), F.col("status")).alias("status"),
+        F.when(done, ts_literal(completed_at)).otherwise(F.col("completed_at"))
         .alias("completed_at"),
-        F.when(hit, F.lit(audit_key)).otherwise(
+        F.when(done, F.lit(audit_key)).otherwise(
             F.col("audit_log_key") if "audit_log_key" in requests.columns
             else F.lit(None).cast("string")).alias("audit_log_key"),
     )

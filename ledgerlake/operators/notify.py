@@ -80,5 +80,8 @@ def pipeline_success(spark: SparkSession, pipeline: str, run_date: dt.date,
         [(TOPIC_ALERTS, f"SUCCESS: {pipeline}", msg, at)], OUTBOX_SCHEMA)
 
 
-def write_outbox(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def write_outbox(df: DataFrame, path: str, key: str) -> None:
+    """Put notices into the outbox under the key of what they are about: a rerun replaces
+    its own notices and adds none."""
+    (df.withColumn("notice_key", F.lit(key)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("notice_key").parquet(path))

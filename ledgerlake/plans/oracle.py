@@ -699,17 +699,20 @@ ANTI_TXN = ("SELECT * FROM silver_dirty s WHERE NOT EXISTS "
             "(SELECT 1 FROM erase_keys k WHERE k.customer_id = s.customer_id)")
 q("anti_join_delete", ["silver_dirty", "erase_keys"], ANTI_TXN)
 q("rewrite_delete", ["silver_dirty", "erase_keys"], ANTI_TXN)
+cte("valid", ("pending",), "SELECT * FROM pending WHERE starts_with(customer_id, 'CUST') "
+    "AND TRY_CAST(substring(customer_id, 5) AS BIGINT) IS NOT NULL")
 UPDATED = f"""
 SELECT r.customer_id, r.requested_at, r.request_id, r.sla_deadline,
-       CASE WHEN p.customer_id IS NOT NULL THEN 'COMPLETE' ELSE r.status END AS status,
-       CASE WHEN p.customer_id IS NOT NULL THEN {TS} ELSE r.completed_at END AS completed_at,
-       CASE WHEN p.customer_id IS NOT NULL THEN '{D.AUDIT_KEY}' END AS audit_log_key
+       CASE WHEN v.customer_id IS NOT NULL THEN 'COMPLETE'
+            WHEN r.status = 'PENDING' THEN 'REJECTED' ELSE r.status END AS status,
+       CASE WHEN v.customer_id IS NOT NULL THEN {TS} ELSE r.completed_at END AS completed_at,
+       CASE WHEN v.customer_id IS NOT NULL THEN '{D.AUDIT_KEY}' END AS audit_log_key
 FROM deletion_requests r
-LEFT JOIN (SELECT DISTINCT customer_id, requested_at FROM pending) p
-  ON r.customer_id = p.customer_id AND r.requested_at = p.requested_at"""
-q("update_by_key", ["deletion_requests", "pending"], UPDATED)
-q("update_request_status", ["deletion_requests", "pending"], UPDATED)
-q("gdpr_run", ["deletion_requests", "pending"],
+LEFT JOIN (SELECT DISTINCT customer_id, requested_at FROM valid) v
+  ON r.customer_id = v.customer_id AND r.requested_at = v.requested_at"""
+q("update_by_key", ["deletion_requests", "valid"], UPDATED)
+q("update_request_status", ["deletion_requests", "valid"], UPDATED)
+q("gdpr_run", ["deletion_requests", "valid"],
   f"SELECT * EXCLUDE (audit_log_key) FROM ({UPDATED})")
 
 
@@ -717,7 +720,8 @@ def _erase_count(label: str, src: str) -> str:
     return (f"SELECT '{label}' AS table_name, COUNT(*) AS rows_before, "
             f"COUNT(*) FILTER (WHERE customer_id IN (SELECT customer_id FROM erase_keys)) "
             f"AS rows_deleted, COUNT(*) FILTER (WHERE customer_id IS NULL OR customer_id NOT IN "
-            f"(SELECT customer_id FROM erase_keys)) AS rows_kept, 'OK' AS status FROM {src}")
+            f"(SELECT customer_id FROM erase_keys)) AS rows_kept, 'OK' AS status, "
+            f"CAST(NULL AS VARCHAR) AS error FROM {src}")
 
 
 cte("state_days", ("silver_dirty",),
@@ -728,19 +732,20 @@ SELECT DISTINCT customer_id, transaction_date, d, v FROM (
   UNION ALL SELECT customer_id, transaction_date, 2, category FROM silver_dirty
   UNION ALL SELECT customer_id, transaction_date, 3, device_id FROM silver_dirty)
 WHERE v IS NOT NULL""")
-q("gdpr_delete_batch", ["silver_customers", "silver_dirty", "silver_kyc", "silver_tickets",
-                        "customer_360", "state_days", "state_values", "erase_keys"],
-  " UNION ALL ".join([
-      _erase_count("silver_customers", "silver_customers"),
-      _erase_count("silver_transactions", "silver_dirty"),
-      _erase_count("silver_kyc", "silver_kyc"),
-      _erase_count("silver_tickets", "silver_tickets"),
-      _erase_count("gold_customer_360", "customer_360"),
-      _erase_count("gold_txn_customer_day", "state_days"),
-      _erase_count("gold_txn_customer_values", "state_values")]))
+_ERASED = " UNION ALL ".join([
+    _erase_count("silver_customers", "silver_customers"),
+    _erase_count("silver_transactions", "silver_dirty"),
+    _erase_count("silver_kyc", "silver_kyc"),
+    _erase_count("silver_tickets", "silver_tickets"),
+    _erase_count("gold_customer_360", "customer_360"),
+    _erase_count("gold_txn_customer_day", "state_days"),
+    _erase_count("gold_txn_customer_values", "state_values")])
+_ERASED_FROM = ["silver_customers", "silver_dirty", "silver_kyc", "silver_tickets",
+                "customer_360", "state_days", "state_values", "erase_keys"]
+q("gdpr_delete_batch", _ERASED_FROM, _ERASED)
 
 ISO_TS = D.RUN_TS.strftime("%Y-%m-%dT%H:%M:%S")
-q("render_notification", ["intake", "pending"], f"""
+q("render_notification", ["intake", "valid"], f"""
 SELECT 'erasure' AS topic, 'GDPR Request Received: ' || request_id AS subject,
        'GDPR deletion request received!' || chr(10) || 'Customer: ' || customer_id || chr(10) ||
        'Request ID: ' || request_id || chr(10) || 'SLA deadline: ' ||
@@ -752,7 +757,16 @@ SELECT 'erasure', 'GDPR Deletion Complete: ' || request_id,
        'Your data deletion is complete!' || chr(10) || 'Request ID: ' || request_id || chr(10) ||
        'Customer: ' || customer_id || chr(10) || 'Completed: {ISO_TS}' || chr(10) ||
        'All your data has been permanently deleted.', {TS}
-FROM pending""")
+FROM valid
+UNION ALL
+SELECT 'alerts', 'ALERT: daily_pipeline failed on silver',
+       'PIPELINE FAILURE ALERT' || chr(10) || 'Pipeline: daily_pipeline' || chr(10) ||
+       'Step: silver' || chr(10) || 'Date: {D.DAY.isoformat()}' || chr(10) || 'Time: {ISO_TS}' ||
+       chr(10) || 'Action: Check the job logs.', {TS}
+UNION ALL
+SELECT 'alerts', 'SUCCESS: daily_pipeline',
+       'Daily pipeline succeeded.' || chr(10) || 'Date: {D.DAY.isoformat()}' || chr(10) ||
+       'Time: {ISO_TS}' || chr(10) || 'Gold tables updated.', {TS}""")
 
 # ---- streaming ------------------------------------------------------------------------
 
@@ -872,10 +886,12 @@ FROM transactions""")
 
 # ---- catalog and the daily run ---------------------------------------------------
 
-q("catalog_register", ["dirty_transactions"],
+q("catalog_register", ["dirty_transactions", "customers", "kyc", "support_tickets"],
   "SELECT *, CAST(year(\"timestamp\") AS INTEGER) AS year, "
   "CAST(month(\"timestamp\") AS INTEGER) AS month, "
-  "CAST(day(\"timestamp\") AS INTEGER) AS day FROM dirty_transactions")
+  "CAST(day(\"timestamp\") AS INTEGER) AS day, "
+  "(SELECT COUNT(*) FROM customers) AS n_customers, (SELECT COUNT(*) FROM kyc) AS n_kyc, "
+  "(SELECT COUNT(*) FROM support_tickets) AS n_support_tickets FROM dirty_transactions")
 ORACLE["daily_run"] = with_ctes(["silver_day"], "SELECT 1")[:-len("SELECT 1")] + \
     regulatory_sql("", "", DAY).replace("FROM silver_transactions", "FROM silver_day").replace(
         "SELECT *, ", "SELECT * REPLACE (CAST(total_transactions AS BIGINT) AS total_transactions), ", 0)
@@ -899,17 +915,19 @@ _base = ORACLE["render_notification"]
 _dq = ORACLE["dq_engine"]
 _dq_ctes, _dq_body = _dq.split("\n(SELECT suite", 1)
 _dq_body = "(SELECT suite" + _dq_body
-_rn_body = _base[len(with_ctes(["intake", "pending"], "")):]
+_rn_body = _base[len(with_ctes(["intake", "valid"], "")):]
 ORACLE["render_notification"] = (
-    _dq_ctes.replace("WITH ", "WITH " + with_ctes(["intake", "pending"], "")[5:].rstrip() + ",\n", 1)
+    _dq_ctes.replace("WITH ", "WITH " + with_ctes(["intake", "valid"], "")[5:].rstrip() + ",\n", 1)
     + f",\ndq_rows AS ({_dq_body})\n"
     + f"SELECT * FROM ({_rn_body}) UNION ALL {_ALERT}")
 
 # ---- audit ids and stream progress counters ------------------------------------------
 
-q("write_audit_json", ["pending"],
-  f"SELECT 'GDPR-BATCH-{RUN_STAMP}' AS batch_id, customer_id, request_id, requested_at "
-  "FROM pending")
+q("write_audit_json", ["valid", *_ERASED_FROM],
+  f"SELECT 'GDPR-BATCH-{RUN_STAMP}' AS batch_id, customer_id, request_id, requested_at, "
+  f"{TS} AS processed_at, CAST((SELECT COUNT(*) FROM valid) AS INTEGER) AS total_requests, "
+  f"'COMPLETE' AS status, 7 AS n_tables, (SELECT CAST(SUM(rows_deleted) AS BIGINT) FROM "
+  f"({_ERASED})) AS rows_deleted FROM valid")
 ORACLE["stream_metrics"] = ORACLE["batch_metrics"].replace(
     "SELECT COUNT(*) FILTER (WHERE error IS NULL) AS processed,",
     "SELECT CAST(0 AS BIGINT) AS batch_id, COUNT(*) FILTER (WHERE error IS NULL) AS processed,")

@@ -11,12 +11,14 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
+from collections.abc import Callable
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import clean, erasure, marts, notify, quality
-from ledgerlake.operators.joins import join_small
 from ledgerlake.sources import lake as L
 
 
@@ -32,19 +34,22 @@ def default_run_date(today: dt.date | None = None) -> dt.date:
     return (today or dt.date.today()) - dt.timedelta(days=1)
 
 
+BRONZE_ENTITIES = ("customers", "kyc", "support_tickets")
+
+
 def refresh_catalog(spark: SparkSession, lake: L.Lake, run_date: dt.date | None = None,
-                    database: str | None = None, table: str = "transactions") -> str:
-    """Register the bronze transactions folder as a partitioned table.
+                    database: str | None = None) -> str:
+    """Register the four raw datasets; returns the database.
 
-    With ``run_date`` only that day's folder is added and only its files are
-    checked for new columns (new folders only, as a daily crawl); without it
-    every folder is discovered (MSCK REPAIR) and all files are checked.
+    Transactions are a table partitioned by day. With ``run_date`` only that day's folder is
+    added and only its files are checked for new columns (new folders only, as a daily crawl);
+    without it every folder is discovered (MSCK REPAIR) and all files are checked.
     """
-    database = database or lake.catalog_database
+    database = database or f"{lake.database}_bronze"
     # the namespace lives with the lake, not in a local warehouse folder
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} "
               f"LOCATION '{lake.root}/catalog/{database}.db'")
-    name = f"{database}.{table}"
+    name = f"{database}.transactions"
     root = lake.bronze_path("transactions")
     # schema and the year/month/day partitioning are inferred from the folder
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{root}'")
@@ -53,21 +58,34 @@ def refresh_catalog(spark: SparkSession, lake: L.Lake, run_date: dt.date | None
         add_new_columns(spark, name, root)
     else:
         spec = f"year={run_date.year}, month={run_date.month}, day={run_date.day}"
-        folder = f"{root}/year={run_date.year}/month={run_date.month}/day={run_date.day}"
         spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({spec})")
-        add_new_columns(spark, name, folder)
-    return name
+        add_new_columns(spark, name, L.day_folder(root, run_date))
+    for entity in BRONZE_ENTITIES:
+        path = lake.bronze_path(entity)
+        if L.path_exists(spark, path):
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{entity} USING parquet "
+                      f"LOCATION '{path}'")
+            add_new_columns(spark, f"{database}.{entity}", path)
+            spark.catalog.refreshTable(f"{database}.{entity}")
+    return database
 
 
 def add_new_columns(spark: SparkSession, name: str, path: str) -> list[str]:
     """Add columns that newer files carry but the table does not: a repair
     finds new folders only, so the merged file schema is compared with the
-    table's and the difference is added with ALTER TABLE."""
+    table's and the difference is added with ALTER TABLE. A column whose type
+    changed is an error, a missing folder is not."""
     try:
         merged = spark.read.option("mergeSchema", "true").parquet(path).schema
-    except Exception:  # no files for that folder yet
-        return []
-    known = {f.name.lower() for f in spark.table(name).schema}
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return []
+        raise
+    known = {f.name.lower(): f.dataType for f in spark.table(name).schema}
+    for f in merged:
+        if known.get(f.name.lower(), f.dataType) != f.dataType:
+            raise L.SchemaConflict(f"{name}.{f.name} is {known[f.name.lower()].simpleString()}, "
+                                   f"not {f.dataType.simpleString()}")
     new = [f for f in merged if f.name.lower() not in known]
     if new:
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
@@ -92,7 +110,7 @@ def run_silver(spark: SparkSession, lake: L.Lake, run_date: dt.date, run_ts: dt.
     def keep(df):
         if suppressed is None:
             return df
-        return join_small(df, suppressed, on="customer_id", how="left_anti")
+        return df.join(suppressed, on="customer_id", how="left_anti")
 
     held: list[DataFrame] = []
 
@@ -107,7 +125,7 @@ def run_silver(spark: SparkSession, lake: L.Lake, run_date: dt.date, run_ts: dt.
     table.replace_partitions(good.observe(obs, F.count(F.lit(1)).alias("rows")),
                              "transaction_date", days=[run_date])
     counts["silver_transactions"] = int(obs.get.get("rows") or 0)
-    counts["dlq_transactions"] = L.write_dlq(bad, lake.dlq_path("transactions"), run_date)
+    counts["dlq_transactions"] = L.write_dlq(bad, lake.table("dlq", "transactions"), run_date)
     held.pop().unpersist()
     for name, (bronze, job) in entities.items():
         good, bad = job(keep(bronze), run_date, run_ts, prepare=hold)
@@ -115,8 +133,8 @@ def run_silver(spark: SparkSession, lake: L.Lake, run_date: dt.date, run_ts: dt.
         lake.table("silver", name).write_snapshot(
             good.observe(obs, F.count(F.lit(1)).alias("rows")))
         counts[f"silver_{name}"] = int(obs.get.get("rows") or 0)
-        counts[f"dlq_{name}"] = L.write_dlq(bad, lake.dlq_path(clean.DLQ_SOURCES[name]),
-                                            run_date)
+        counts[f"dlq_{name}"] = L.write_dlq(
+            bad, lake.table("dlq", clean.DLQ_SOURCES[name]), run_date)
         held.pop().unpersist()
     return counts
 
@@ -207,10 +225,11 @@ def run_daily(spark: SparkSession, lake: L.Lake, run_date: dt.date | None = None
         report.counts.update(run_gold(spark, lake, run_date, run_ts))
     except Exception:
         notify.write_outbox(notify.pipeline_failure(spark, "daily_pipeline", step, run_date,
-                                                    run_ts), lake.outbox_path())
+                                                    run_ts), lake.outbox_path(),
+                            f"daily-{run_date}")
         raise
     notify.write_outbox(notify.pipeline_success(spark, "daily_pipeline", run_date, run_ts),
-                        lake.outbox_path())
+                        lake.outbox_path(), f"daily-{run_date}")
     return report
 
 
@@ -223,35 +242,55 @@ def suppression_list(spark: SparkSession, lake: L.Lake) -> DataFrame | None:
     return t.read().select("customer_id").distinct() if t.exists() else None
 
 
-def run_erasure(spark: SparkSession, lake: L.Lake, requests: DataFrame,
-                run_ts: dt.datetime, from_versions: dict[str, int] | None = None) -> dict:
-    """Pending requests -> delete from silver and gold -> audit -> status ->
-    notifications. Returns the per-table summary rows and the batch id."""
-    pending = erasure.pending_requests(requests).cache()
-    n_pending = pending.count()
+REQUEST_KEY = ["customer_id", "requested_at"]
+
+
+def insert_requests(lake: L.Lake, requests: DataFrame) -> int:
+    """Add requests to the stored table; one that is there already stays as it is."""
+    return lake.table("control", "deletion_requests").append(requests, REQUEST_KEY)
+
+
+def run_erasure(spark: SparkSession, lake: L.Lake, requests: DataFrame | None,
+                run_ts: dt.datetime, to_key: Callable[[Column], Column] = erasure.same_key,
+                logs: dict[str, str] | None = None) -> dict:
+    """Pending requests -> delete from the lake -> audit -> status -> notices.
+
+    ``requests`` are inserted into the stored table first, and the new status is stored there:
+    COMPLETE for the requests of a complete batch, REJECTED for malformed ids; requests of a
+    PARTIAL batch stay PENDING for the next run. ``to_key`` maps a request's id to the tables'
+    key; ``logs`` are further Parquet logs (label -> path) to erase from. Returns the batch id,
+    the summary per table, and the stored requests.
+    """
+    stored = lake.table("control", "deletion_requests")
+    if requests is not None:
+        insert_requests(lake, requests)
+    pending = erasure.pending_requests(stored.read()).cache()
+    valid = pending.filter(erasure.well_formed(to_key))
+    malformed = pending.filter(~erasure.well_formed(to_key))
+    n_valid, n_pending = valid.count(), pending.count()
     if n_pending == 0:
         pending.unpersist()
-        return {"batch_id": None, "summary": [], "requests": requests}
+        return {"batch_id": None, "summary": [], "requests": stored.read()}
     batch_id = f"GDPR-BATCH-{run_ts.strftime('%Y%m%d%H%M%S')}"
-    keys = erasure.erasure_keys(pending)
-    # record the suppression first: a crash after this point re-runs safely
-    control = lake.table("control", "erased_customers")
-    erased_now = keys.select("customer_id", F.lit(batch_id).alias("batch_id"))
-    prior = control.read() if control.exists() else None
-    control.write_snapshot(erased_now if prior is None else
-                           prior.unionByName(erased_now).distinct())
-    rows = erasure.erase_from_lake(lake, keys, from_versions=from_versions)
+    keys = erasure.erasure_keys(valid, to_key)
     audit_key = f"{lake.audit_path()}/batch_id={batch_id}"
-    erasure.audit_record(spark, batch_id, run_ts, n_pending, rows).coalesce(1) \
-        .write.mode("overwrite").json(f"{audit_key}/header")
-    erasure.audit_ids(pending, batch_id).write.mode("overwrite").json(f"{audit_key}/ids")
-    status = erasure.batch_status(rows)
-    updated = requests
+    rows, status = [], None
+    if n_valid:
+        # record the suppression first: a crash after this point re-runs safely
+        lake.table("control", "erased_customers").append(
+            keys.select("customer_id", F.lit(batch_id).alias("batch_id")), ["customer_id"])
+        rows = erasure.erase_from_lake(lake, keys, logs=logs)
+        erasure.audit_record(spark, batch_id, run_ts, n_valid, rows).coalesce(1) \
+            .write.mode("overwrite").json(f"{audit_key}/header")
+        erasure.audit_ids(valid, batch_id).write.mode("overwrite").json(f"{audit_key}/ids")
+        status = erasure.batch_status(rows)
+    done = valid if status == erasure.STATUS_COMPLETE else valid.limit(0)
     if status == erasure.STATUS_COMPLETE:
-        updated = erasure.update_request_status(requests, pending, audit_key, run_ts)
-        notify.write_outbox(notify.deletion_complete(pending, run_ts), lake.outbox_path())
+        notify.write_outbox(notify.deletion_complete(valid, run_ts), lake.outbox_path(), batch_id)
+    stored.write_snapshot(erasure.update_request_status(stored.read(), done, audit_key, run_ts,
+                                                        malformed))
     pending.unpersist()
-    return {"batch_id": batch_id, "summary": rows, "requests": updated,
+    return {"batch_id": batch_id, "summary": rows, "requests": stored.read(),
             "audit_key": audit_key, "status": status}
 
 
@@ -285,6 +324,25 @@ def last_arrival(decided: DataFrame, before: list[str]) -> DataFrame:
         .drop("_digits")
 
 
-def compact_decisions(spark: SparkSession, path: str, target: L.LakeTable) -> int:
-    """Fold the log into one deduplicated version (periodic maintenance)."""
-    return target.write_snapshot(current_decisions(spark, path))
+def compact_decisions(spark: SparkSession, path: str) -> int:
+    """Fold the log into its newest batch and delete the older ones (run between batches).
+
+    The folded rows are staged first and then put in place; returns the rows left. A crash
+    between the two leaves rows that the next read resolves to the same decisions.
+    """
+    log = spark.read.option("mergeSchema", "true").parquet(path)
+    last = log.agg(F.max("batch_id")).first()[0]
+    if last is None:
+        return 0
+    folded = last_arrival(log, ["batch_id"]).drop("batch_id")
+    stage = f"{path.rstrip('/')}_compact"
+    folded.write.mode("overwrite").parquet(stage)
+    batches = L.folders(spark, path)
+    fs, staged = L.file_system(spark, stage)
+    newest = f"batch_id={last}"
+    fs.delete(L.file_system(spark, f"{path}/{newest}")[1], True)
+    fs.rename(staged, L.file_system(spark, f"{path}/{newest}")[1])
+    for b in batches:
+        if b != newest:
+            fs.delete(L.file_system(spark, f"{path}/{b}")[1], True)
+    return spark.read.parquet(path).count()

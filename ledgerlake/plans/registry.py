@@ -387,8 +387,8 @@ def q_profile_layer_totals(spark, sf_dir):
 # ---- lake sources and sinks (write, then read back) ---------------------------------
 
 # Fixture lakes are built once per session and input folder. Queries read
-# them (bronze), or start from their seed versions and write new versions
-# (erasure), so every call sees the same starting state.
+# them (bronze), or take their tables over by reference into a lake of their
+# own (erasure), so every call sees the same starting state.
 _FIXTURES: dict[tuple, object] = {}
 
 
@@ -414,12 +414,8 @@ def _build_bronze(spark, sf_dir):
     return lake
 
 
-SEED_VERSIONS = {label: 1 for _, _, label in erasure.ERASURE_TARGETS}
-
-
 def seed_silver_gold(spark, sf_dir, tag="lake"):
-    """Silver and gold snapshots of all days (written once per session);
-    erasure queries start from these versions (``SEED_VERSIONS``)."""
+    """Silver and gold tables of all days (written once per session)."""
     return _fixture(spark, sf_dir, "silver_gold", _build_silver_gold)
 
 
@@ -434,6 +430,11 @@ def _build_silver_gold(spark, sf_dir):
     return lake
 
 
+def own_lake(spark, sf_dir):
+    """A lake of its own that starts with the seed's tables."""
+    return L.Lake.scratch(spark, "own").share(seed_silver_gold(spark, sf_dir))
+
+
 def _week(day):
     import datetime as dt
     return [day - dt.timedelta(days=i) for i in range(6, -1, -1)]
@@ -467,8 +468,8 @@ def q_scan_multi_day_union(spark, sf_dir):
 @register("union_files")
 def q_union_files(spark, sf_dir):
     lake = seed_bronze(spark, sf_dir)
-    return L.union_frames([L.scan_parquet_day(spark, lake.bronze_path("transactions"), d)
-                           for d in _week(D.DAY)])
+    root = lake.bronze_path("transactions")
+    return L.union_frames([L.scan_parquet_day(spark, root, d) for d in _week(D.DAY)])
 
 
 @register("scan_lake_table")
@@ -506,9 +507,10 @@ def q_write_dlq(spark, sf_dir):
     lake = L.Lake.scratch(spark)
     bad = clean.silver_transactions(B.dirty_transactions(spark, sf_dir), D.RUN_DATE,
                                     D.RUN_TS)[1]
+    t = lake.table("dlq", "transactions")
     for _ in range(2):
-        L.write_dlq(bad, lake.dlq_path("transactions"), D.RUN_DATE)
-    return spark.read.parquet(lake.dlq_path("transactions"))
+        L.write_dlq(bad, t, D.RUN_DATE)
+    return t.read()
 
 
 # ---- erasure ------------------------------------------------------------------------
@@ -535,81 +537,88 @@ def q_intake_request(spark, sf_dir):
 
 @register("insert_request")
 def q_insert_request(spark, sf_dir):
+    """The accepted requests, inserted in two goes; the second brings some again."""
     lake = L.Lake.scratch(spark)
-    t = lake.table("control", "deletion_requests")
     accepted = erasure.intake_requests(
-        requests_df(spark, sf_dir).select("customer_id", "requested_at"))
-    t.write_snapshot(accepted.filter("status_code = 200").drop("status_code"))
-    return t.read()
+        requests_df(spark, sf_dir).select("customer_id", "requested_at")) \
+        .filter("status_code = 200").drop("status_code")
+    pipeline.insert_requests(lake, accepted.filter("second(requested_at) % 2 = 0"))
+    pipeline.insert_requests(lake, accepted)
+    return lake.table("control", "deletion_requests").read()
 
 
 def _erasure_keys(spark, sf_dir):
-    return erasure.erasure_keys(erasure.pending_requests(requests_df(spark, sf_dir)))
+    return erasure.erasure_keys(erasure.pending_requests(requests_df(spark, sf_dir)),
+                                B.customer_key)
 
 
 @register("filter_not_in")
 def q_filter_not_in(spark, sf_dir):
-    keys = _erasure_keys(spark, sf_dir)
-    return erasure.anti_join_delete(silver_customers(spark, sf_dir), keys, keys.count())
+    return erasure.anti_join_delete(silver_customers(spark, sf_dir),
+                                    _erasure_keys(spark, sf_dir))
 
 
 @register("anti_join_delete")
 def q_anti_join_delete(spark, sf_dir):
-    keys = _erasure_keys(spark, sf_dir)
-    return erasure.anti_join_delete(_silver_dirty(spark, sf_dir), keys, keys.count())
+    return erasure.anti_join_delete(_silver_dirty(spark, sf_dir), _erasure_keys(spark, sf_dir))
+
+
+def _updated(requests):
+    pending = erasure.pending_requests(requests)
+    ok = erasure.well_formed(B.customer_key)
+    return erasure.update_request_status(requests, pending.filter(ok), D.AUDIT_KEY, D.RUN_TS,
+                                         pending.filter(~ok))
 
 
 @register("update_by_key")
 def q_update_by_key(spark, sf_dir):
-    reqs = requests_df(spark, sf_dir)
-    return erasure.update_request_status(reqs, erasure.pending_requests(reqs),
-                                         D.AUDIT_KEY, D.RUN_TS)
+    return _updated(requests_df(spark, sf_dir))
 
 
 @register("update_request_status")
 def q_update_request_status(spark, sf_dir):
-    lake = L.Lake.scratch(spark)
-    t = lake.table("control", "deletion_requests")
-    reqs = requests_df(spark, sf_dir)
-    t.write_snapshot(reqs)
-    current = t.read()
-    t.write_snapshot(erasure.update_request_status(
-        current, erasure.pending_requests(current), D.AUDIT_KEY, D.RUN_TS))
+    t = L.Lake.scratch(spark).table("control", "deletion_requests")
+    t.write_snapshot(requests_df(spark, sf_dir))
+    t.write_snapshot(_updated(t.read()))
     return t.read()
 
 
 @register("rewrite_delete")
 def q_rewrite_delete(spark, sf_dir):
-    lake = seed_silver_gold(spark, sf_dir)
+    lake = own_lake(spark, sf_dir)
     erasure.erase_from_lake(lake, _erasure_keys(spark, sf_dir),
-                            targets=[("silver", "transactions", "silver_transactions")],
-                            from_versions=SEED_VERSIONS)
+                            targets=[("silver", "transactions", "silver_transactions")])
     return lake.table("silver", "transactions").read()
 
 
 @register("gdpr_delete_batch")
 def q_gdpr_delete_batch(spark, sf_dir):
-    lake = seed_silver_gold(spark, sf_dir)
-    rows = erasure.erase_from_lake(lake, _erasure_keys(spark, sf_dir),
-                                   from_versions=SEED_VERSIONS)
+    rows = erasure.erase_from_lake(own_lake(spark, sf_dir), _erasure_keys(spark, sf_dir))
     return erasure.summary_frame(spark, rows)
 
 
 @register("gdpr_run")
 def q_gdpr_run(spark, sf_dir):
-    lake = seed_silver_gold(spark, sf_dir)
-    out = pipeline.run_erasure(spark, lake, requests_df(spark, sf_dir), D.RUN_TS,
-                               from_versions=SEED_VERSIONS)
+    """The stored requests after the run."""
+    out = pipeline.run_erasure(spark, own_lake(spark, sf_dir), requests_df(spark, sf_dir),
+                               D.RUN_TS, B.customer_key)
     # the audit key names a folder of this run's scratch lake, so it is left out
     return out["requests"].drop("audit_log_key")
 
 
 @register("write_audit_json")
 def q_write_audit_json(spark, sf_dir):
-    lake = seed_silver_gold(spark, sf_dir)
-    out = pipeline.run_erasure(spark, lake, requests_df(spark, sf_dir), D.RUN_TS,
-                               from_versions=SEED_VERSIONS)
-    return spark.read.schema(erasure.AUDIT_IDS_SCHEMA).json(f"{out['audit_key']}/ids")
+    """The audit as read back: each erased request with its batch's header."""
+    from pyspark.sql import functions as F
+    out = pipeline.run_erasure(spark, own_lake(spark, sf_dir), requests_df(spark, sf_dir),
+                               D.RUN_TS, B.customer_key)
+    header = spark.read.schema(erasure.AUDIT_SCHEMA).json(f"{out['audit_key']}/header")
+    ids = spark.read.schema(erasure.AUDIT_IDS_SCHEMA).json(f"{out['audit_key']}/ids")
+    deleted = F.aggregate(F.map_values("deletion_summary"), F.lit(0).cast("long"),
+                          lambda n, x: n + x)
+    return ids.join(header.select(
+        "batch_id", "processed_at", "total_requests", "status",
+        F.size("deletion_summary").alias("n_tables"), deleted.alias("rows_deleted")), "batch_id")
 
 
 @register("render_notification")
@@ -618,8 +627,12 @@ def q_render_notification(spark, sf_dir):
     intake = erasure.intake_requests(reqs.select("customer_id", "requested_at"))
     verdicts = quality.suite_verdicts(dq_all(spark, sf_dir))
     return (notify.request_received(intake, D.RUN_TS)
-            .unionByName(notify.deletion_complete(erasure.pending_requests(reqs), D.RUN_TS))
-            .unionByName(notify.quality_failure(verdicts, D.DAY, D.RUN_TS)))
+            .unionByName(notify.deletion_complete(erasure.pending_requests(reqs).filter(
+                erasure.well_formed(B.customer_key)), D.RUN_TS))
+            .unionByName(notify.quality_failure(verdicts, D.DAY, D.RUN_TS))
+            .unionByName(notify.pipeline_failure(spark, "daily_pipeline", "silver", D.DAY,
+                                                 D.RUN_TS))
+            .unionByName(notify.pipeline_success(spark, "daily_pipeline", D.DAY, D.RUN_TS)))
 
 
 # ---- streaming (batch twins and the streaming run) --------------------------------------
@@ -740,9 +753,15 @@ def q_f_codec(spark, sf_dir):
 
 @register("catalog_register")
 def q_catalog_register(spark, sf_dir):
+    """The registered transactions; the other three datasets are counted beside them."""
+    from pyspark.sql import functions as F
     lake = L.Lake.scratch(spark, bronze_root=seed_bronze(spark, sf_dir).bronze_path(""))
-    name = pipeline.refresh_catalog(spark, lake)
-    return spark.table(name)
+    database = pipeline.refresh_catalog(spark, lake)
+    out = spark.table(f"{database}.transactions")
+    for entity in pipeline.BRONZE_ENTITIES:
+        n = spark.table(f"{database}.{entity}").agg(F.count(F.lit(1)).alias(f"n_{entity}"))
+        out = out.join(F.broadcast(n))  # one row
+    return out
 
 
 # FIXTURES: the reference's 1000 rows per day do not fit ~330 events a day at

@@ -1,131 +1,214 @@
-"""Lake layout: bronze day folders, versioned silver/gold tables, dead letters.
-
-A versioned table is a folder of full Parquet versions ``v=000001`` plus a
-commit log ``_commits`` of JSON rows written by Spark. A version counts once
-its commit row exists, so a job that dies mid-write leaves the previous
-version current, and a rerun simply writes the next version. Daily loads
-replace only their own day inside the current version (dynamic partition
-overwrite); deletes and snapshot loads write a whole new version, because an
-overwrite in place would first empty the folder it reads from.
-
-Plain Parquet has no MERGE or DELETE; where a table format with them is on
-the classpath, ``LakeTable`` is the one place to swap.
+"""Lake layout: bronze day folders, catalog tables for silver, gold, control and dead letters.
+
+A lake table is an external Parquet table of the Spark catalog. Every write
+goes to a new folder; the table, or the days it brings, are then pointed at
+that folder (``ALTER TABLE ... SET LOCATION``), and the folder it replaces is
+deleted. A job that dies before the swap leaves the table as it was, and a
+rerun starts a new folder. Readers see the catalog's schema: columns that come
+later are added to it, and are null in older files.
+
+A cluster needs a persistent catalog (a metastore) for tables to outlive the
+session; the lake itself only issues catalog statements.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerlake.session import scratch_path
 
-COMMIT_SCHEMA = "version LONG, kind STRING, partition_by STRING, committed_at STRING"
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+class SchemaConflict(ValueError):
+    """A column arrives with another type than the table has."""
 
 
 class LakeTable:
-    """One versioned table. The committed version is cached after the first
-    log read and after each own commit; writers of a table are serialised
+    """One catalog table whose data lies below ``root``; writers are serialised
     (one run at a time), as in the reference deployment."""
 
-    def __init__(self, spark: SparkSession, path: str, new: bool = False):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        # (version, partition column) once known; False = known to be empty
-        self._head: tuple[int, str | None] | None | bool = False if new else None
+    def __init__(self, spark: SparkSession, name: str, root: str):
+        self.spark, self.name, self.root = spark, name, root.rstrip("/")
 
-    @property
-    def log_path(self) -> str:
-        return f"{self.path}/_commits"
+    # ---- reading ----
 
-    def version_path(self, version: int) -> str:
-        return f"{self.path}/v={version:06d}"
+    def exists(self) -> bool:
+        return self.spark.catalog.tableExists(self.name)
 
-    def _commits(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(COMMIT_SCHEMA).json(self.log_path)
-        except AnalysisException:
-            return None
-
-    def current(self, refresh: bool = False) -> tuple[int, str | None] | None:
-        """(version, partition column) of the newest commit, or None."""
-        if self._head is False and not refresh:
-            return None
-        if self._head is not None and self._head is not False and not refresh:
-            return self._head
-        log = self._commits()
-        row = None if log is None else (
-            log.orderBy(F.col("version").desc()).select("version", "partition_by").first())
-        self._head = False if row is None else (int(row[0]), row[1])
-        return None if row is None else self._head
+    def read(self) -> DataFrame:
+        if not self.exists():
+            raise FileNotFoundError(f"no table {self.name}")
+        return self.spark.table(self.name)
 
-    def exists(self) -> bool:
-        return self.current() is not None
-
-    def read(self, version: int | None = None) -> DataFrame:
-        if version is None:
-            cur = self.current()
-            if cur is None:
-                raise FileNotFoundError(f"no committed version under {self.path}")
-            version = cur[0]
-        path = self.version_path(version)
-        return self.spark.read.option("basePath", path).parquet(path)
-
-    def _commit(self, version: int, kind: str, partition_by: str | None) -> None:
-        """Append the commit row; the version counts from this point on."""
-        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat()
-        row = self.spark.range(1).select(
-            F.lit(version).cast("long").alias("version"), F.lit(kind).alias("kind"),
-            F.lit(partition_by).cast("string").alias("partition_by"),
-            F.lit(now).alias("committed_at"))
-        row.write.mode("append").json(self.log_path)
-        self._head = (version, partition_by)
-
-    def write_snapshot(self, df: DataFrame, partition_by: str | None = None,
-                       kind: str = "snapshot") -> int:
-        """Write ``df`` as the next full version and commit it."""
-        cur = self.current()
-        version = 1 if cur is None else cur[0] + 1
+    def partition_by(self) -> str | None:
+        parts = [c.name for c in self.spark.catalog.listColumns(self.name) if c.isPartition]
+        return parts[0] if parts else None
+
+    def location(self, spec: str = "") -> str | None:
+        """The folder of the table, or of the partition ``spec``; None if there is none."""
+        try:
+            rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name} {spec}") \
+                .filter("col_name = 'Location'").collect()
+        except AnalysisException as e:
+            if e.getCondition() and "PARTITION" in e.getCondition():
+                return None
+            raise
+        return rows[0]["data_type"] if rows else None
+
+    # ---- writing ----
+
+    def _stage(self, df: DataFrame, partition_by: str | None, cluster: bool = True) -> str:
+        path = f"{self.root}/load-{uuid.uuid4().hex[:12]}"
         if partition_by:
-            writer = clustered(df, partition_by).write.mode("overwrite").partitionBy(partition_by)
+            out = clustered(df, partition_by) if cluster else df
+            out.write.partitionBy(partition_by).parquet(path)
         else:
-            writer = df.write.mode("overwrite")
-        writer.parquet(self.version_path(version))
-        self._commit(version, kind, partition_by)
-        return version
-
-    def replace_partitions(self, df: DataFrame, partition_by: str,
-                           days: list | None = None) -> int:
-        """Replace the partitions present in ``df`` inside the current version.
-
-        When ``days`` names partitions that ``df`` leaves empty, those days
-        are removed by writing a new version without them (an emptied
-        partition would otherwise survive a dynamic overwrite).
+            df.write.parquet(path)
+        return path
+
+    def _declare(self, schema: StructType, partition_by: str | None, path: str) -> bool:
+        """Create the table, or add the columns it does not know; True if it is new."""
+        if not self.exists():
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+            by = f"PARTITIONED BY (`{partition_by}`)" if partition_by else ""
+            self.spark.sql(f"CREATE TABLE {self.name} ({cols}) USING parquet {by} "
+                           f"LOCATION '{path}'")
+            return True
+        known = {f.name: f.dataType for f in self.spark.table(self.name).schema}
+        for f in schema:
+            if f.name in known and known[f.name] != f.dataType:
+                raise SchemaConflict(f"{self.name}.{f.name} is {known[f.name].simpleString()}, "
+                                     f"not {f.dataType.simpleString()}")
+        new = [f for f in schema if f.name not in known]
+        if new:
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+            self.spark.sql(f"ALTER TABLE {self.name} ADD COLUMNS ({cols})")
+        return False
+
+    def write_snapshot(self, df: DataFrame, partition_by: str | None = None) -> None:
+        """Replace the whole table by ``df``."""
+        if partition_by:
+            self.replace_partitions(df, partition_by, drop_others=True)
+            return
+        path = self._stage(df, None)
+        old = self.location() if self.exists() else None
+        if not self._declare(df.schema, None, path):
+            self.spark.sql(f"ALTER TABLE {self.name} SET LOCATION '{path}'")
+            self._purge(old)
+
+    def replace_partitions(self, df: DataFrame, partition_by: str, days: list | None = None,
+                           drop_others: bool = False, cluster: bool = True) -> None:
+        """Replace the days that ``df`` holds, each by a swap of its folder.
+
+        A day named in ``days`` that ``df`` leaves empty is dropped, if the table has it;
+        nothing else is touched. The names of the days in this load reach the driver, as
+        catalog statements need them.
         """
-        cur = self.current()
-        if cur is None:
-            return self.write_snapshot(df, partition_by, kind="partitions")
-        version = cur[0]
-        obs = Observation()
-        (clustered(df.observe(obs, F.count(F.lit(1)).alias("rows"),
-                              F.collect_set(F.col(partition_by).cast("string")).alias("parts")),
-                   partition_by)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(partition_by).parquet(self.version_path(version)))
-        written = set(obs.get.get("parts") or [])
-        emptied = [d for d in (days or []) if str(d) not in written]
-        if emptied:
-            keep = self.read(version).filter(
-                ~F.col(partition_by).cast("string").isin([str(d) for d in emptied]))
-            return self.write_snapshot(keep, partition_by, kind="remove-partitions")
-        self._commit(version, "partitions", partition_by)
-        return version
+        path = self._stage(df, partition_by, cluster)
+        new_table = self._declare(df.schema, partition_by, path)
+        staged = folders(self.spark, path)
+        there = set() if new_table else self._partitions(
+            None if drop_others else [f"{partition_by}={d}" for d in days or []] + staged)
+        add = [p for p in staged if p not in there]
+        if add:
+            self.spark.sql(f"ALTER TABLE {self.name} ADD IF NOT EXISTS " + " ".join(
+                f"{spec_of(p)} LOCATION '{path}/{p}'" for p in add))
+        for p in (p for p in staged if p in there):
+            self.spark.sql(f"ALTER TABLE {self.name} {spec_of(p)} SET LOCATION '{path}/{p}'")
+        gone = sorted(there.difference(staged))
+        if gone:
+            self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS "
+                           + ", ".join(map(spec_of, gone)))
+        self._purge_days(path, [*staged, *gone])
+
+    def append(self, df: DataFrame, key: list[str]) -> int:
+        """Insert the rows whose key the table does not hold; returns their number."""
+        if not self.exists():
+            self.write_snapshot(df.dropDuplicates(key))
+            return self.read().count()
+        self._declare(df.schema, None, self.location())
+        known = self.read()
+        new = df.dropDuplicates(key).join(known.select(*key), key, "left_anti")
+        rows = new.select(*[F.col(c) if c in new.columns else F.lit(None).cast(t).alias(c)
+                            for c, t in known.dtypes])
+        before = known.count()
+        rows.write.mode("append").insertInto(self.name)
+        return self.read().count() - before
+
+    def share(self, other: "LakeTable") -> None:
+        """Make this table read another's folder, which is never purged from here.
+
+        The other's days must all lie in the folder of its first load.
+        """
+        by = other.partition_by()
+        self._declare(other.read().schema, by, other.location())
+        if by:
+            self.spark.sql(f"MSCK REPAIR TABLE {self.name}")
+            if self._partitions(None) != other._partitions(None):
+                raise ValueError(f"{other.name} was loaded in several steps")
 
-    def partition_by(self) -> str | None:
-        cur = self.current()
-        return None if cur is None else cur[1]
+    def _partitions(self, wanted: list[str] | None) -> set[str]:
+        """The partitions the table has, of the wanted ones or of all."""
+        if wanted is not None and len(wanted) <= 8:
+            return {p for p in wanted if self.location(spec_of(p)) is not None}
+        have = {r["partition"] for r in
+                self.spark.sql(f"SHOW PARTITIONS {self.name}").collect()}
+        return have if wanted is None else have & set(wanted)
+
+    def _purge(self, path: str | None) -> None:
+        """Delete a replaced folder, if it is this table's own."""
+        if path and norm(path).startswith(norm(self.root) + "/"):
+            fs, target = file_system(self.spark, path)
+            fs.delete(target, True)
+
+    def _purge_days(self, path: str, days: list[str]) -> None:
+        """Delete these days' folders of all earlier loads (a crashed one's too)."""
+        fs, root = file_system(self.spark, self.root)
+        for load in (f.getPath() for f in fs.listStatus(root) if f.isDirectory()):
+            if load.getName() != path.rsplit("/", 1)[-1]:
+                for name in set(days).intersection(folders(self.spark, load.toString())):
+                    fs.delete(file_system(self.spark, f"{load.toString()}/{name}")[1], True)
+
+
+def norm(path: str) -> str:
+    """One spelling of a local path's scheme."""
+    return "file:/" + path.removeprefix("file:").lstrip("/") if path.startswith(("file:", "/")) \
+        else path
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it takes it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the partition folders directly below a path."""
+    fs, target = file_system(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(target)
+                  if f.isDirectory() and "=" in f.getPath().getName())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = file_system(spark, path)
+    return fs.exists(target)
+
+
+def spec_of(folder: str) -> str:
+    """``PARTITION (col='value')`` of a partition folder's name."""
+    col, _, value = folder.partition("=")
+    value = unquote(value)
+    if value == NO_VALUE:
+        return f"PARTITION (`{col}`=NULL)"
+    return "PARTITION (`{}`='{}')".format(col, value.replace("\\", "\\\\").replace("'", "\\'"))
 
 
 def clustered(df: DataFrame, partition_col: str) -> DataFrame:
@@ -136,41 +219,42 @@ def clustered(df: DataFrame, partition_col: str) -> DataFrame:
 
 
 class Lake:
-    """Folders of one lake: bronze, silver, gold, dead letters, outbox."""
+    """Folders and catalog tables of one lake.
 
-    def __init__(self, spark: SparkSession, root: str, new: bool = False,
-                 bronze_root: str | None = None):
+    The tables are ``<database>.<layer>_<name>``; the database lies with the lake and is
+    named after its folder.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, bronze_root: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._new = new
         self._bronze_root = (bronze_root or f"{self.root}/bronze").rstrip("/")
-        self._tables: dict[str, LakeTable] = {}
+        tail = "".join(c if c.isalnum() else "_" for c in self.root.rsplit("/", 1)[-1])
+        self.database = f"lake_{tail}".lower()
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} "
+                  f"LOCATION '{self.root}/catalog'")
 
     @classmethod
     def scratch(cls, spark: SparkSession, tag: str = "lake",
                 bronze_root: str | None = None) -> "Lake":
         """A lake in a new, empty folder under the shared directory; raw
         files may come from another lake's bronze folder."""
-        return cls(spark, scratch_path(spark, tag), new=True, bronze_root=bronze_root)
+        return cls(spark, scratch_path(spark, tag), bronze_root=bronze_root)
 
-    @property
-    def catalog_database(self) -> str:
-        """Catalog namespace of this lake's raw tables (unique per scratch lake)."""
-        if self._new:
-            return "bronze_" + self.root.rsplit("-", 1)[-1]
-        return "bronze"
+    def share(self, other: "Lake") -> "Lake":
+        """Take over another lake's tables by reference: no data is copied, and what this
+        lake writes or deletes never touches the other's folders."""
+        for row in self.spark.sql(f"SHOW TABLES IN {other.database}").collect():
+            layer, _, name = row["tableName"].partition("_")
+            self.table(layer, name).share(other.table(layer, name))
+        return self
 
     def bronze_path(self, entity: str) -> str:
         return f"{self._bronze_root}/{entity}"
 
     def table(self, layer: str, name: str) -> LakeTable:
-        key = f"{layer}/{name}"
-        if key not in self._tables:
-            self._tables[key] = LakeTable(self.spark, f"{self.root}/{key}", new=self._new)
-        return self._tables[key]
-
-    def dlq_path(self, source: str) -> str:
-        return f"{self.root}/dlq/{source}"
+        return LakeTable(self.spark, f"{self.database}.{layer}_{name}",
+                         f"{self.root}/{layer}/{name}")
 
     def outbox_path(self) -> str:
         return f"{self.root}/outbox"
@@ -193,31 +277,41 @@ def write_bronze_entity(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def scan_parquet_day(spark: SparkSession, root: str, day: dt.date) -> DataFrame:
-    """One day of a day-partitioned folder; the filter prunes partitions."""
-    df = spark.read.parquet(root)
-    return (df.filter((F.col("year") == day.year) & (F.col("month") == day.month)
-                      & (F.col("day") == day.day))
+def day_folder(root: str, day: dt.date) -> str:
+    return f"{root}/year={day.year}/month={day.month}/day={day.day}"
+
+
+def _days(spark: SparkSession, root: str, days: list[dt.date]) -> DataFrame:
+    """The days' files only: other days are not even listed. A day without a
+    folder has no rows; columns that only some of the files have are kept."""
+    there = [f for f in (day_folder(root, d) for d in days) if path_exists(spark, f)]
+    if not there:
+        return spark.read.parquet(root).limit(0).drop("year", "month", "day")
+    return (spark.read.option("basePath", root).option("mergeSchema", "true").parquet(*there)
             .drop("year", "month", "day"))
 
 
+def scan_parquet_day(spark: SparkSession, root: str, day: dt.date) -> DataFrame:
+    """One day of a day-partitioned folder."""
+    return _days(spark, root, [day])
+
+
 def scan_day_range(spark: SparkSession, root: str, first: dt.date,
                    last: dt.date) -> DataFrame:
     """Days first..last of a day-partitioned folder, as one read."""
-    df = spark.read.parquet(root)
-    day = F.make_date("year", "month", "day")
-    return df.filter(day.between(F.lit(first), F.lit(last))).drop("year", "month", "day")
+    return _days(spark, root, [first + dt.timedelta(days=i)
+                               for i in range((last - first).days + 1)])
 
 
 def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return spark.read.option("mergeSchema", "true").parquet(path)
 
 
 def scan_parquet_listing(spark: SparkSession, prefix: str) -> DataFrame | None:
     """Every ``*.parquet`` file under a prefix, at any depth; None when the
     prefix is missing or holds no such file."""
     try:
-        df = (spark.read.option("pathGlobFilter", "*.parquet")
+        df = (spark.read.option("pathGlobFilter", "*.parquet").option("mergeSchema", "true")
               .option("recursiveFileLookup", "true").parquet(prefix))
     except AnalysisException:
         return None
@@ -233,14 +327,12 @@ def union_frames(frames: list[DataFrame]) -> DataFrame:
 
 # ---- sinks ----------------------------------------------------------------------
 
-def write_dlq(df: DataFrame, path: str, run_date: dt.date) -> int:
+def write_dlq(df: DataFrame, table: LakeTable, run_date: dt.date) -> int:
     """Replace this run date's dead letters for one source; returns the count.
 
-    Partitioned by run date, so a rerun replaces its own rows (no pile-up).
+    Partitioned by run date, so a rerun replaces its own rows, and one without
+    bad rows clears them.
     """
-    obs = Observation()
-    (clustered(df.withColumn("run_date", F.lit(run_date)), "run_date")
-     .observe(obs, F.count(F.lit(1)).alias("rows"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("run_date").parquet(path))
-    return int(obs.get.get("rows") or 0)
+    table.replace_partitions(df.withColumn("run_date", F.lit(run_date)), "run_date",
+                             days=[run_date])
+    return table.read().filter(F.col("run_date") == F.lit(run_date)).count()

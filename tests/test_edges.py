@@ -173,7 +173,7 @@ def test_null_customer_is_kept_by_erasure(spark):
     df = txn(spark, [{"customer_id": None}, {"customer_id": "1"}]).withColumn(
         "customer_id", F.col("customer_id").cast("bigint"))
     keys = spark.createDataFrame([(1,)], "customer_id bigint")
-    assert erasure.anti_join_delete(df, keys, 1).count() == 1
+    assert erasure.anti_join_delete(df, keys).count() == 1
 
 
 def test_quality_suite_pass_and_fail(spark):
@@ -231,17 +231,167 @@ def test_delete_twice_deletes_nothing_the_second_time(spark):
     keys = spark.createDataFrame([(1,)], "customer_id bigint")
     targets = [("silver", "transactions", "silver_transactions")]
     first = erasure.erase_from_lake(lake, keys, targets)
+    assert first[0][4] == "OK", first
     second = erasure.erase_from_lake(lake, keys, targets)
     assert first[0][2] == 1 and second[0][2] == 0 and second[0][3] == 2
 
 
-def test_version_survives_reopen(spark):
+def test_table_survives_reopen_and_keeps_one_copy(spark):
     lake = L.Lake.scratch(spark, "t")
     lake.table("gold", "x").write_snapshot(txn(spark, [{}]))
     lake.table("gold", "x").write_snapshot(txn(spark, [{}, {"transaction_id": "b"}]))
     reopened = L.Lake(spark, lake.root)
-    assert reopened.table("gold", "x").current()[0] == 2
     assert reopened.table("gold", "x").read().count() == 2
+    assert spark.read.option("recursiveFileLookup", "true") \
+        .parquet(f"{lake.root}/gold/x").count() == 2  # the replaced folder is gone
+
+
+def test_absent_day_touches_nothing(spark):
+    t = L.Lake.scratch(spark, "t").table("silver", "transactions")
+    df = txn(spark, [{"transaction_id": "a"}])
+    t.write_snapshot(df, "transaction_date")
+    before = sorted(r[0] for r in t.read().select(F.input_file_name()).collect())
+    t.replace_partitions(df.filter(F.lit(False)), "transaction_date",
+                         days=[dt.date(2031, 1, 1)])
+    assert sorted(r[0] for r in t.read().select(F.input_file_name()).collect()) == before
+
+
+def test_later_columns_reach_silver_and_day_scans(spark):
+    lake = L.Lake.scratch(spark, "t")
+    later = txn(spark, [{"transaction_id": "b", "transaction_date": dt.date(2024, 1, 16)}]) \
+        .withColumn("channel", F.lit("app"))
+    t = lake.table("silver", "transactions")
+    t.replace_partitions(txn(spark, [{"transaction_id": "a"}]), "transaction_date")
+    t.replace_partitions(later, "transaction_date")
+    assert {r["transaction_id"]: r["channel"] for r in t.read().collect()} == \
+        {"a": None, "b": "app"}
+    with pytest.raises(L.SchemaConflict):
+        t.replace_partitions(later.withColumn("channel", F.lit(1)), "transaction_date")
+    path = lake.bronze_path("transactions")
+    L.write_bronze_days(txn(spark, [{"transaction_id": "a"}]), path)
+    day2 = txn(spark, [{"transaction_id": "b", "timestamp": dt.datetime(2024, 1, 16, 9)}])
+    folder = L.day_folder(path, dt.date(2024, 1, 16))
+    day2.withColumn("channel", F.lit("app")).write.parquet(folder)
+    day2.write.mode("append").parquet(folder)
+    assert L.scan_parquet_day(spark, path, dt.date(2024, 1, 16)).filter(
+        "channel = 'app'").count() == 1
+    assert "channel" in L.scan_day_range(spark, path, RUN_DATE, dt.date(2024, 1, 16)).columns
+    one = L.scan_parquet_day(spark, path, dt.date(2024, 1, 16))
+    assert len(one.inputFiles()) == len(spark.read.parquet(folder).inputFiles())
+    assert L.scan_parquet_day(spark, path, dt.date(2031, 1, 1)).count() == 0
+
+
+def test_rerun_without_bad_rows_clears_the_dead_letters(spark):
+    t = L.Lake.scratch(spark, "t").table("dlq", "transactions")
+    bad = txn(spark, [{"transaction_id": "a"}])
+    assert L.write_dlq(bad, t, RUN_DATE) == 1
+    assert L.write_dlq(bad.filter(F.lit(False)), t, RUN_DATE) == 0
+    assert t.read().count() == 0
+
+
+def text_lake(spark):
+    """A lake of text ids CUST0001..CUST0004, a dead letter and a decision log."""
+    lake = L.Lake.scratch(spark, "t")
+    ids = [f"CUST{i:04d}" for i in range(1, 5)]
+    rows = txn(spark, [{"transaction_id": f"{i}-{d}", "customer_id": i,
+                        "transaction_date": dt.date(2024, 1, 10 + d)}
+                       for d, i in enumerate(ids)])
+    entity = spark.createDataFrame([(i, "x") for i in ids], "customer_id string, v string")
+    for layer, name, _ in erasure.ERASURE_TARGETS:
+        if "transactions" in name or name.startswith("txn_"):
+            lake.table(layer, name).write_snapshot(rows, "transaction_date")
+        else:
+            lake.table(layer, name).write_snapshot(entity)
+    L.write_dlq(rows, lake.table("dlq", "transactions"), RUN_DATE)
+    log = f"{lake.root}/decisions"
+    entity.withColumn("batch_id", F.expr("int(substring(customer_id, 8, 1)) % 2")) \
+        .write.partitionBy("batch_id").parquet(log)
+    return lake, log
+
+
+def text_requests(spark, *ids):
+    return spark.createDataFrame(
+        [(i, dt.datetime(2024, 1, 20, 1, n), "PENDING", f"R{n}", None, None)
+         for n, i in enumerate(ids)],
+        "customer_id string, requested_at timestamp_ntz, status string, request_id string, "
+        "sla_deadline timestamp_ntz, completed_at timestamp_ntz")
+
+
+def test_erasure_of_text_ids_leaves_no_copy_on_disk(spark):
+    lake, log = text_lake(spark)
+    asked = text_requests(spark, "CUST0002", "USER0003", "")
+    t = lake.table("silver", "transactions")
+    kept_day = [r[0] for r in t.read().filter("customer_id = 'CUST0001'")
+                .select(F.input_file_name()).collect()]
+    out = pipeline.run_erasure(spark, lake, asked, RUN_TS, logs={"decisions": log})
+    assert out["status"] == erasure.STATUS_COMPLETE, out["summary"]
+    status = {r["customer_id"]: r["status"] for r in
+              lake.table("control", "deletion_requests").read().collect()}
+    assert status == {"CUST0002": "COMPLETE", "USER0003": "REJECTED", "": "REJECTED"}
+    # other days keep their files; no file of any target holds the id
+    assert kept_day == [r[0] for r in t.read().filter("customer_id = 'CUST0001'")
+                        .select(F.input_file_name()).collect()]
+    for layer in ("silver", "gold", "dlq", "decisions"):
+        for name in (L.file_system(spark, f"{lake.root}/{layer}")[0].listStatus(
+                L.file_system(spark, f"{lake.root}/{layer}")[1])):
+            ids = {r[0] for r in spark.read.option("recursiveFileLookup", "true")
+                   .schema("customer_id string").option("pathGlobFilter", "*.parquet")
+                   .parquet(name.getPath().toString()).collect()}
+            assert "CUST0002" not in ids and ids <= {"CUST0001", "CUST0003", "CUST0004"}
+    assert spark.read.parquet(log).count() == 3
+    notices = spark.read.parquet(lake.outbox_path())
+    assert [r["subject"] for r in notices.collect()] == ["GDPR Deletion Complete: R0"]
+    # a rerun finds nothing pending and changes nothing
+    again = pipeline.run_erasure(spark, lake, asked, RUN_TS, logs={"decisions": log})
+    assert again["batch_id"] is None
+    assert spark.read.parquet(lake.outbox_path()).count() == 1
+
+
+def test_missing_target_makes_the_batch_partial(spark):
+    lake, _ = text_lake(spark)
+    spark.sql(f"DROP TABLE {lake.table('gold', 'customer_360').name}")
+    out = pipeline.run_erasure(spark, lake, text_requests(spark, "CUST0001"), RUN_TS)
+    assert out["status"] == erasure.STATUS_PARTIAL
+    assert {r[0]: r[4] for r in out["summary"]}["gold_customer_360"] == "MISSING"
+    assert [r["status"] for r in out["requests"].collect()] == ["PENDING"]
+    header = spark.read.schema(erasure.AUDIT_SCHEMA).json(f"{out['audit_key']}/header").first()
+    assert "gold_customer_360" in header["errors"]
+    assert not L.path_exists(spark, lake.outbox_path())
+
+
+def test_compaction_keeps_the_decisions_and_truncates_the_log(spark):
+    path = f"{L.Lake.scratch(spark, 't').root}/log"
+    for b in range(3):
+        pipeline.append_decisions(spark.createDataFrame(
+            [("a", f"{b}", b), (f"only{b}", None, b)],
+            "transaction_id string, seq string, v int"), path, b)
+    want = sorted(map(tuple, pipeline.current_decisions(spark, path).collect()))
+    assert pipeline.compact_decisions(spark, path) == 4
+    assert sorted(map(tuple, pipeline.current_decisions(spark, path).collect())) == want
+    assert spark.read.parquet(path).count() == 4
+
+
+def test_gate_lists_every_failure(spark):
+    res = spark.createDataFrame([("s", i, f"check {i}", False) for i in range(30)],
+                                "suite string, check_id int, check string, passed boolean")
+    with pytest.raises(quality.QualityGateError) as e:
+        quality.gate(res)
+    assert all(f"check {i}" in str(e.value) for i in range(30))
+
+
+def test_huge_amounts_keep_their_reason_and_text(spark):
+    from ledgerlake.functions import scoring
+    df = txn(spark, [{"amount": 1e17}, {"amount": 1e40}])
+    got = scoring.score_columns(df, F.lit(12)).select("reasons", "amount").collect()
+    assert got[0]["reasons"][0] == "very_high_amount:100000000000000000.00"
+    assert any(r.startswith("very_high_amount:1.0E40") for r in got[1]["reasons"])
+
+
+def test_profile_keeps_whole_numbers_exact(spark):
+    from ledgerlake.operators import profiling
+    df = spark.createDataFrame([(2 ** 53 + 1, 1e30), (5, 2e30)], "k bigint, d double")
+    got = {r["column_name"]: r for r in profiling.profile_columns(df, "t").collect()}
+    assert int(got["k"]["max_exact"]) == 2 ** 53 + 1 and got["d"]["mean"] == pytest.approx(1.5e30)
 
 
 def test_summary_distinct_strategies_agree(spark):
@@ -259,7 +409,7 @@ def test_catalog_picks_up_new_days_and_columns(spark):
     path = lake.bronze_path("transactions")
     first = txn(spark, [{"transaction_id": "a"}])
     L.write_bronze_days(first, path)
-    name = pipeline.refresh_catalog(spark, lake)
+    name = pipeline.refresh_catalog(spark, lake) + ".transactions"
     assert spark.table(name).count() == 1
     later = txn(spark, [{"transaction_id": "b", "timestamp": dt.datetime(2024, 1, 16, 9)}]) \
         .withColumn("channel", F.lit("app"))
@@ -340,7 +490,7 @@ def test_daily_catalog_refresh_adds_only_the_run_day(spark):
     days = [dt.date(2024, 1, 14), RUN_DATE]
     L.write_bronze_days(txn(spark, [{"transaction_id": str(d), "timestamp":
                                      dt.datetime.combine(d, dt.time(9))} for d in days]), path)
-    name = pipeline.refresh_catalog(spark, lake, RUN_DATE)
+    name = pipeline.refresh_catalog(spark, lake, RUN_DATE) + ".transactions"
     assert [r["transaction_id"] for r in spark.table(name).collect()] == [str(RUN_DATE)]
 
 
@@ -352,8 +502,9 @@ def test_erased_customers_stay_erased_after_reload(spark):
     lake = L.Lake.scratch(spark, "t", bronze_root=bronze.bronze_path(""))
     pipeline.run_daily(spark, lake, D.DAY, D.RUN_TS, min_rows=100)
     requests = B.deletion_requests(spark, SF_MID)
-    erased = {r[0] for r in erasure.erasure_keys(erasure.pending_requests(requests)).collect()}
-    out = pipeline.run_erasure(spark, lake, requests, D.RUN_TS)
+    erased = {r[0] for r in erasure.erasure_keys(erasure.pending_requests(requests),
+                                                 B.customer_key).collect()}
+    out = pipeline.run_erasure(spark, lake, requests, D.RUN_TS, B.customer_key)
     assert out["status"] == erasure.STATUS_COMPLETE
     pipeline.run_daily(spark, lake, D.DAY, D.RUN_TS, min_rows=100)  # reload from raw
     for layer, name in (("silver", "customers"), ("silver", "transactions"),
@@ -362,7 +513,7 @@ def test_erased_customers_stay_erased_after_reload(spark):
         ids = {r[0] for r in lake.table(layer, name).read().select("customer_id").collect()}
         assert ids and not (ids & erased), (layer, name)
     done = out["requests"].filter(F.col("status") == "COMPLETE").count()
-    assert done == requests.filter(F.col("status").isin("PENDING", "COMPLETE")).count()
+    assert done == len(erased) + requests.filter(F.col("status") == "COMPLETE").count()
 
 
 def test_listing_scan_of_missing_prefix_is_a_no_data_verdict(spark):
