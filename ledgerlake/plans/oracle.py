@@ -9,6 +9,8 @@ text), so both engines give identical doubles.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from ledgerlake.plans import defaults as D
 
 
@@ -458,7 +460,95 @@ FROM scored""")
 
 # ---- quality ---------------------------------------------------------------------
 
-from ledgerlake.operators import quality as _Q  # noqa: E402
+@dataclass(frozen=True)
+class R:
+    """A check as the twin states it."""
+    kind: str
+    check: str
+    column: str | None = None
+    lo: float | None = None
+    hi: float | None = None
+
+    @property
+    def expected(self) -> str | None:
+        if self.kind == "min_rows":
+            return f">={self.lo:g}"
+        if self.kind == "mean_pct_in_open_range":
+            return f"{self.lo:g}-{self.hi:g}%"
+        if self.kind == "values_in_range":
+            return f"{self.lo:g}-{self.hi:g}"
+        return {"no_nulls": "0", "all_positive": "0 negative",
+                "unique_key": "0 duplicates"}.get(self.kind)
+
+
+# Labels and thresholds of the checks, stated here anew so that the twin
+# proves those of the operator.
+BRONZE_CHECKS = [
+    R("exists", "Data exists for date"),
+    R("column_present", "Column exists: transaction_id", column="transaction_id"),
+    R("column_present", "Column exists: customer_id", column="customer_id"),
+    R("column_present", "Column exists: amount", column="amount"),
+    R("column_present", "Column exists: merchant", column="merchant"),
+    R("column_present", "Column exists: category", column="category"),
+    R("column_present", "Column exists: timestamp", column="timestamp"),
+    R("column_present", "Column exists: is_fraud", column="is_fraud"),
+    R("column_present", "Column exists: currency", column="currency"),
+    R("min_rows", "Minimum row count", lo=1000),
+    R("no_nulls", "No nulls on transaction_id", column="transaction_id"),
+    R("no_nulls", "No nulls on customer_id", column="customer_id"),
+    R("no_nulls", "No nulls on amount", column="amount"),
+    R("all_positive", "Amount always positive", column="amount"),
+    R("unique_key", "No duplicate transaction_ids", column="transaction_id"),
+    R("mean_pct_in_open_range",
+      "Fraud rate within expected range", column="is_fraud", lo=0, hi=20),
+]
+SILVER_CHECKS = [
+    R("exists", "Silver data exists for date"),
+    R("min_rows", "Minimum row count in Silver", lo=1000),
+    R("column_absent", "PII column removed: email", column="email"),
+    R("column_absent", "PII column removed: phone", column="phone"),
+    R("column_absent", "PII column removed: name", column="name"),
+    R("column_absent", "PII column removed: address", column="address"),
+    R("no_nulls", "No nulls on transaction_id in Silver", column="transaction_id"),
+    R("column_present", "processed_date column exists", column="processed_date"),
+    R("column_present", "silver_timestamp column exists", column="silver_timestamp"),
+]
+CUSTOMER_CHECKS = [
+    R("exists", "Customer data exists in Silver"),
+    R("min_rows", "Minimum customer count", lo=100),
+    R("column_absent", "PII column removed: email", column="email"),
+    R("column_absent", "PII column removed: phone", column="phone"),
+    R("column_absent", "PII column removed: name", column="name"),
+    R("column_absent", "PII column removed: address", column="address"),
+    R("column_present", "Masked column exists: email_masked", column="email_masked"),
+    R("column_present", "Masked column exists: phone_masked", column="phone_masked"),
+    R("column_present", "Masked column exists: name_masked", column="name_masked"),
+    R("unique_key", "No duplicate customer_ids", column="customer_id"),
+]
+GOLD_CHECKS = [
+    R("exists", "Customer 360 exists in Gold"),
+    R("min_rows", "Minimum customer count in Gold", lo=100),
+    R("column_present", "Required column exists: customer_id", column="customer_id"),
+    R("column_present", "Required column exists: kyc_status", column="kyc_status"),
+    R("column_present", "Required column exists: risk_tier", column="risk_tier"),
+    R("column_present", "Required column exists: total_transactions", column="total_transactions"),
+    R("column_present", "Required column exists: total_spend", column="total_spend"),
+    R("column_present", "Required column exists: fraud_rate", column="fraud_rate"),
+    R("column_present", "Required column exists: total_tickets", column="total_tickets"),
+    R("column_present", "Required column exists: updated_at", column="updated_at"),
+    R("column_absent", "No PII in Gold: email", column="email"),
+    R("column_absent", "No PII in Gold: phone", column="phone"),
+    R("column_absent", "No PII in Gold: name", column="name"),
+    R("unique_key", "No duplicate customers in Gold", column="customer_id"),
+    R("values_in_range", "Fraud rate between 0-100%", column="fraud_rate", lo=0, hi=100),
+]
+GATE_CHECKS = [
+    R("exists", "Silver data exists for date"),
+    R("min_rows", "Minimum row count in Silver", lo=1000),
+    R("no_nulls", "No nulls on transaction_id in Silver", column="transaction_id"),
+    R("column_absent", "PII column removed: email", column="email"),
+]
+
 
 
 def _rule_sql(rule) -> tuple[str, str]:
@@ -497,7 +587,7 @@ def suite_sql(suite: str, src: str, cols: list[str], rules) -> str:
     """One aggregate row over ``src``, unpivoted to one row per check."""
     aggs, selects = [], []
     for i, rule in enumerate(rules, start=1):
-        if rule.kind in _Q.SCHEMA_KINDS:
+        if rule.kind in ("column_present", "column_absent"):
             present = rule.column in cols
             passed = "TRUE" if present == (rule.kind == "column_present") else "FALSE"
             actual = "CAST(NULL AS VARCHAR)"
@@ -528,10 +618,10 @@ cte("silver_day", ("dirty_dedup",),
     f"SELECT *, {STAMPS} FROM dirty_dedup WHERE {TXN_RULE} AND transaction_date = {DAY}")
 
 SUITES = [
-    ("bronze_transactions", "bronze_day", TXN_COLS + ["copy"], _Q.bronze_transactions_rules()),
-    ("silver_transactions", "silver_day", SILVER_TXN_COLS, _Q.silver_transactions_rules()),
-    ("silver_customers", "silver_customers", SILVER_CUST_COLS, _Q.silver_customers_rules()),
-    ("gold_customer_360", "customer_360", C360_COLS, _Q.gold_customer_360_rules()),
+    ("bronze_transactions", "bronze_day", TXN_COLS + ["copy"], BRONZE_CHECKS),
+    ("silver_transactions", "silver_day", SILVER_TXN_COLS, SILVER_CHECKS),
+    ("silver_customers", "silver_customers", SILVER_CUST_COLS, CUSTOMER_CHECKS),
+    ("gold_customer_360", "customer_360", C360_COLS, GOLD_CHECKS),
 ]
 
 
@@ -556,7 +646,7 @@ ORACLE["dq_report"] = (
     "SELECT suite, bool_and(passed) AS passed, COUNT(*) AS checks, "
     "COUNT(*) FILTER (WHERE NOT passed) AS failed FROM (" + ORACLE["dq_engine"].replace(
         "WITH ", "SELECT * FROM (WITH ", 1) + ")) GROUP BY suite")
-_ga, _gb = suite_sql("gate", "silver_day", SILVER_TXN_COLS, _Q.gate_rules())
+_ga, _gb = suite_sql("gate", "silver_day", SILVER_TXN_COLS, GATE_CHECKS)
 ORACLE["dq_gate"] = with_ctes(["silver_day"], "SELECT 1")[:-len("SELECT 1")].rstrip() + \
     ",\n" + _ga + "\n" + _gb
 
@@ -896,6 +986,26 @@ ORACLE["daily_run"] = with_ctes(["silver_day"], "SELECT 1")[:-len("SELECT 1")] +
     regulatory_sql("", "", DAY).replace("FROM silver_transactions", "FROM silver_day").replace(
         "SELECT *, ", "SELECT * REPLACE (CAST(total_transactions AS BIGINT) AS total_transactions), ", 0)
 
+# The tables that the daily run writes, for its one day.
+cte("txn_summary_day", ("silver_day",), txn_summary_sql("silver_day"))
+q("daily_silver_transactions", ["silver_day"],
+  f"SELECT * REPLACE ({DAY} AS processed_date) FROM silver_day")
+for _t, _c in (("daily_silver_customers", "silver_customers"), ("daily_silver_kyc", "silver_kyc"),
+               ("daily_silver_support_tickets", "silver_tickets")):
+    q(_t, [_c], f"SELECT * REPLACE ({DAY} AS processed_date) FROM {_c}")
+q("daily_customer_360", ["silver_customers", "silver_kyc", "txn_summary_day", "ticket_summary"],
+  f"SELECT * REPLACE ({DAY} AS processed_date, {DAY} AS batch_date, {DAY} AS valid_from) FROM ("
+  + CUSTOMER_360.replace("LEFT JOIN txn_summary t", "LEFT JOIN txn_summary_day t") + ")")
+q("daily_aggregates", ["silver_day"],
+  DAILY.replace("FROM silver_transactions GROUP BY", "FROM silver_day GROUP BY"))
+cte("dirty_day", ("dirty_transactions",),
+    f"SELECT * FROM dirty_transactions WHERE transaction_date = {DAY}")
+cte("dirty_day_dedup", ("dirty_day",),
+    _dedup("dirty_day", "transaction_id", TXN_COLS + ["copy"], ["timestamp", "copy"]))
+q("daily_dlq_transactions", ["dirty_day_dedup"],
+  f"SELECT *, 'transactions' AS source, 'validation_failed' AS reason, {TS} AS dlq_timestamp, "
+  f"{DAY} AS run_date FROM dirty_day_dedup WHERE NOT COALESCE({TXN_RULE}, FALSE)")
+
 # ---- gold composites and the quality alert ------------------------------------------
 
 q("gold_daily_aggregates", ["silver_dirty"],

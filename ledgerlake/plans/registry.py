@@ -58,9 +58,23 @@ def gold_customer_360_df(spark, sf_dir):
 
 # ---- gold -------------------------------------------------------------------
 
+def _clean_silver(spark, sf_dir):
+    """The silver tables of the clean transactions, stored once per session."""
+    def build(spark, sf_dir):
+        lake = L.Lake.scratch(spark, "clean-silver")
+        lake.table("silver", "transactions").write_snapshot(
+            silver_transactions(spark, sf_dir), partition_by="transaction_date")
+        lake.table("silver", "customers").write_snapshot(silver_customers(spark, sf_dir))
+        lake.table("silver", "kyc").write_snapshot(silver_kyc(spark, sf_dir))
+        lake.table("silver", "support_tickets").write_snapshot(silver_tickets(spark, sf_dir))
+        return lake
+    return _fixture(spark, sf_dir, "clean_silver", build)
+
+
 @register("gold_customer_360")
 def q_gold_customer_360(spark, sf_dir):
-    return gold_customer_360_df(spark, sf_dir)
+    """From stored silver, as the gold job reads it."""
+    return pipeline.customer_360_of(_clean_silver(spark, sf_dir), D.RUN_DATE, D.RUN_TS)
 
 
 @register("agg_transaction_summary")
@@ -776,6 +790,36 @@ def q_daily_run(spark, sf_dir):
     return lake.table("gold", "regulatory_reports").read()
 
 
+def _daily_lake(spark, sf_dir):
+    """One daily run, made once per session; the queries below read what it wrote."""
+    def build(spark, sf_dir):
+        lake = L.Lake.scratch(spark, bronze_root=seed_bronze(spark, sf_dir).bronze_path(""))
+        pipeline.run_daily(spark, lake, D.DAY, D.RUN_TS, min_rows=DAILY_RUN_MIN_ROWS)
+        return lake
+    return _fixture(spark, sf_dir, "daily", build)
+
+
+DAILY_TABLES = {
+    "daily_silver_transactions": ("silver", "transactions"),
+    "daily_silver_customers": ("silver", "customers"),
+    "daily_silver_kyc": ("silver", "kyc"),
+    "daily_silver_support_tickets": ("silver", "support_tickets"),
+    "daily_customer_360": ("gold", "customer_360"),
+    "daily_aggregates": ("gold", "daily_aggregates"),
+    "daily_dlq_transactions": ("dlq", "transactions"),
+}
+
+
+def _daily_table(layer, name):
+    def read(spark, sf_dir):
+        return _daily_lake(spark, sf_dir).table(layer, name).read()
+    return read
+
+
+for _name, _table in DAILY_TABLES.items():
+    register(_name)(_daily_table(*_table))
+
+
 # ---- gold composites written to the lake -------------------------------------------
 
 def _silver_lake(spark, sf_dir):

@@ -8,7 +8,7 @@ import __spark_entry__ as E
 from conftest import SF_MID, SF_SMALL
 from parity import compare, duck_conn
 
-from ledgerlake.plans.registry import QUERIES as OWN
+from ledgerlake.plans.registry import DAILY_TABLES, QUERIES as OWN
 
 QUERIES = {k: v for k, v in E.queries().items() if k in OWN}
 ORACLE = E.oracle_sql()
@@ -21,7 +21,7 @@ def con():
 
 # At sf0.001 a day holds ~33 transactions, under the daily gate's 100 rows,
 # so the daily run halts there by design; it is checked at sf0.01 below.
-GATED = {"daily_run"}
+GATED = {"daily_run", *DAILY_TABLES}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - GATED))
@@ -31,12 +31,23 @@ def test_query_matches_oracle(spark, con, name):
     assert "types" not in r, r
 
 
-def test_daily_run_matches_oracle_at_sf001(spark):
-    r = compare(spark, "daily_run", QUERIES["daily_run"], ORACLE["daily_run"], SF_MID,
-                duck_conn(SF_MID))
+@pytest.mark.parametrize("name", sorted(GATED))
+def test_daily_run_matches_oracle_at_sf001(spark, name):
+    r = compare(spark, name, QUERIES[name], ORACLE[name], SF_MID, duck_conn(SF_MID))
     assert r.get("ok") is True, r
 
 
+def test_reference_gate_halts_a_day_under_1000_rows(spark):
+    """The registered run gates at 100 rows; with the default of 1000 the same day halts."""
+    from ledgerlake.operators.quality import DAILY_MIN_ROWS, QualityGateError
+    from ledgerlake.plans import defaults as D, pipeline, registry as R
+    from ledgerlake.sources.lake import Lake
+    assert DAILY_MIN_ROWS == 1000
+    lake = Lake.scratch(spark, bronze_root=R.seed_bronze(spark, SF_MID).bronze_path(""))
+    with pytest.raises(QualityGateError, match="Minimum row count"):
+        pipeline.run_daily(spark, lake, D.DAY, D.RUN_TS)
+
+
 def test_daily_run_gate_halts_small_day(spark):
     from ledgerlake.operators.quality import QualityGateError
     from ledgerlake.plans import defaults as D, registry as R
