@@ -41,6 +41,8 @@ ERASURE_TARGETS = (
     ("gold", "customer_360", "gold_customer_360"),
     ("gold", "txn_customer_day", "gold_txn_customer_day"),
     ("gold", "txn_customer_values", "gold_txn_customer_values"),
+    ("gold", "txn_customer_total", "gold_txn_customer_total"),
+    ("gold", "txn_customer_seen", "gold_txn_customer_seen"),
 )
 # Written only when there is something to write: absent is not missing.
 OPTIONAL_TARGETS = (

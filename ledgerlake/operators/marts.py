@@ -155,10 +155,11 @@ def customer_360_from_summary(customers: DataFrame, kyc: DataFrame, summary: Dat
 
 
 # ---- incremental state for the customer summary ---------------------------------------
-# Two tables partitioned by transaction_date, each replaced one day at a time:
-# per (customer, day) partial aggregates, and the distinct (customer, dimension,
-# value) rows of the day. The summary re-aggregates these instead of scanning
-# the whole transaction history every day.
+# Two tables partitioned by transaction_date hold what each day brings: per (customer, day)
+# partial aggregates, and the distinct (customer, dimension, value) rows of the day. Two more
+# hold what all days up to one have brought: a row of totals per customer (as_of that day), and
+# each (customer, dimension, value) with the day it was first seen. The daily run merges its
+# one day into the totals of the day before; the history is read only to start anew.
 
 def customer_day_partials(txn: DataFrame) -> DataFrame:
     c = F.col("amount")
@@ -187,6 +188,80 @@ def customer_day_values(txn: DataFrame) -> DataFrame:
             .filter(F.col("v").isNotNull()).distinct())
 
 
+_SUMS = ("n_txn", "n_amount", "n_fraud", "n_normal", "active_days", "u1", "u2", "u3")
+
+
+def _merged(rows: DataFrame) -> DataFrame:
+    """One row of totals per customer from several."""
+    return rows.groupBy("customer_id").agg(
+        *[F.sum(c).cast("long").alias(c) for c in _SUMS],
+        F.sum("amount_exact").cast("decimal(38,2)").alias("amount_exact"),
+        F.sum("amount_rest").alias("amount_rest"),
+        F.max("max_amount").alias("max_amount"), F.min("min_amount").alias("min_amount"),
+        F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"),
+        F.max("max_lat").alias("max_lat"), F.max("max_lng").alias("max_lng"),
+        F.max("latest_key").alias("latest_key"),
+        F.max_by("latest_value", "latest_key").alias("latest_value"))
+
+
+def customer_totals(partials: DataFrame, new_values: DataFrame) -> DataFrame:
+    """Totals per customer of the days in ``partials``; ``new_values`` are the (customer,
+    dimension, value) rows that these days brought first."""
+    counts = new_values.groupBy("customer_id").agg(
+        *[F.count_if(F.col("d") == i).alias(f"u{i}") for i in (1, 2, 3)])
+    rows = partials.select(
+        "customer_id", "n_txn", "n_amount", "n_fraud", "n_normal",
+        F.when(F.col("transaction_date").isNotNull(), 1).otherwise(0).alias("active_days"),
+        *[F.lit(0).cast("long").alias(f"u{i}") for i in (1, 2, 3)],
+        F.col("amount_exact").cast("decimal(38,2)").alias("amount_exact"), "amount_rest",
+        "max_amount", "min_amount", F.col("transaction_date").alias("first_date"),
+        F.col("transaction_date").alias("last_date"), "max_lat", "max_lng", "latest_key",
+        "latest_value")
+    totals = _merged(rows)
+    joined = totals.drop("u1", "u2", "u3").join(counts, "customer_id", "left")
+    return joined.select(*[F.coalesce(c, F.lit(0)).cast("long").alias(c) if c.startswith("u")
+                           else F.col(c) for c in totals.columns])
+
+
+def add_totals(before: DataFrame, day: DataFrame) -> DataFrame:
+    """The totals up to the day before, and those of the day, as one."""
+    return _merged(before.select(*day.columns).unionByName(day))
+
+
+def first_seen(values: DataFrame) -> DataFrame:
+    """(customer, dimension, value) with the day it was first seen, over all days."""
+    return values.groupBy("customer_id", "d", "v").agg(
+        F.coalesce(F.min("transaction_date"), F.lit(dt.date(1900, 1, 1))).alias("first_day"))
+
+
+def newly_seen(day_values: DataFrame, seen_before: DataFrame) -> DataFrame:
+    """The day's (customer, dimension, value) rows that no earlier day brought."""
+    return day_values.select("customer_id", "d", "v").join(
+        seen_before.select("customer_id", "d", "v"), ["customer_id", "d", "v"], "left_anti")
+
+
+def summary_from_totals(totals: DataFrame) -> DataFrame:
+    """The transaction summary from the totals: a projection, no aggregate."""
+    exact = F.col("amount_exact").cast("double")
+    spend = F.coalesce(F.col("amount_rest") + F.coalesce(exact, F.lit(0.0)), exact)
+    base = totals.select(
+        "customer_id", F.col("n_txn").alias("total_transactions"), spend.alias("total_spend"),
+        F.try_divide(spend, F.col("n_amount")).alias("avg_transaction"),
+        F.col("max_amount").alias("max_transaction"), F.col("min_amount").alias("min_transaction"),
+        F.col("first_date").alias("first_transaction_date"),
+        F.col("last_date").alias("last_transaction_date"), "active_days",
+        F.col("n_fraud").alias("fraud_txn_count"), F.col("n_normal").alias("normal_txn_count"),
+        F.col("u1").alias("unique_merchants"), F.col("u2").alias("unique_categories"),
+        F.col("u3").alias("unique_devices"), F.col("max_lat").alias("last_location_lat"),
+        F.col("max_lng").alias("last_location_lng"), "latest_value")
+    return base.select(
+        *[c for c in base.columns if c != "latest_value"],
+        ratio_pct("fraud_txn_count", "total_transactions").alias("fraud_rate"),
+        ratio("total_transactions", "active_days").alias("txn_per_active_day"),
+        F.col("latest_value.location_lat").alias("latest_location_lat"),
+        F.col("latest_value.location_lng").alias("latest_location_lng"))
+
+
 def summary_from_state(partials: DataFrame, values: DataFrame) -> DataFrame:
     """The transaction summary, re-aggregated from the daily state."""
     exact = F.sum("amount_exact").cast("double")

@@ -829,7 +829,11 @@ _ERASED = " UNION ALL ".join([
     _erase_count("silver_tickets", "silver_tickets"),
     _erase_count("gold_customer_360", "customer_360"),
     _erase_count("gold_txn_customer_day", "state_days"),
-    _erase_count("gold_txn_customer_values", "state_values")])
+    _erase_count("gold_txn_customer_values", "state_values"),
+    _erase_count("gold_txn_customer_total",
+                 "(SELECT DISTINCT customer_id FROM silver_dirty)"),
+    _erase_count("gold_txn_customer_seen",
+                 "(SELECT DISTINCT customer_id, d, v FROM state_values)")])
 _ERASED_FROM = ["silver_customers", "silver_dirty", "silver_kyc", "silver_tickets",
                 "customer_360", "state_days", "state_values", "erase_keys"]
 q("gdpr_delete_batch", _ERASED_FROM, _ERASED)
@@ -1036,7 +1040,7 @@ ORACLE["render_notification"] = (
 q("write_audit_json", ["valid", *_ERASED_FROM],
   f"SELECT 'GDPR-BATCH-{RUN_STAMP}' AS batch_id, customer_id, request_id, requested_at, "
   f"{TS} AS processed_at, CAST((SELECT COUNT(*) FROM valid) AS INTEGER) AS total_requests, "
-  f"'COMPLETE' AS status, 7 AS n_tables, (SELECT CAST(SUM(rows_deleted) AS BIGINT) FROM "
+  f"'COMPLETE' AS status, 9 AS n_tables, (SELECT CAST(SUM(rows_deleted) AS BIGINT) FROM "
   f"({_ERASED})) AS rows_deleted FROM valid")
 ORACLE["stream_metrics"] = ORACLE["batch_metrics"].replace(
     "SELECT COUNT(*) FILTER (WHERE error IS NULL) AS processed,",
