@@ -70,14 +70,18 @@ class EliasFano:
         mask = np.uint64((1 << self.width) - 1)
         inside = np.flatnonzero(h < len(s) - 1)
         at, end, low = s[h[inside]], s[h[inside] + 1], x[inside] & mask
-        while len(inside):
-            live = at < end
-            inside, at, end, low = inside[live], at[live], end[live], low[live]
-            got = _unpacked(self.low, self.width, at)
-            hit = got == low
-            out[inside[hit]] = at[hit]
-            go = got < low  # sorted within the bucket
-            inside, at, end, low = inside[go], at[go] + 1, end[go], low[go]
+        # A frequent context's successors fill whole buckets: halve them, do not walk.
+        lo, hi = at.copy(), end.copy()
+        todo = np.flatnonzero(lo < hi)
+        while len(todo):
+            mid = (lo[todo] + hi[todo]) >> 1
+            less = _unpacked(self.low, self.width, mid) < low[todo]
+            lo[todo[less]] = mid[less] + 1
+            hi[todo[~less]] = mid[~less]
+            todo = todo[lo[todo] < hi[todo]]
+        own = np.flatnonzero(lo < end)
+        hit = own[_unpacked(self.low, self.width, lo[own]) == low[own]]
+        out[inside[hit]] = lo[hit]
         return out
 
     def values(self) -> np.ndarray:
