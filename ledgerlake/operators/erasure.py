@@ -130,26 +130,29 @@ AUDIT_SCHEMA = ("batch_id STRING, processed_at TIMESTAMP_NTZ, total_requests INT
 def erase_table(table, keys: DataFrame, key: str = "customer_id") -> tuple[int, int]:
     """Delete the keys' rows from a lake table; (rows before, rows deleted).
 
-    Of a table with days only the days that hold such rows are written anew, without a
-    shuffle: rows already lie by day. The names of those days reach the driver.
+    One pass over the key and day columns counts rows and hits by day. Of a table with days
+    only the days that hold such rows are then read in full and written anew, without a
+    shuffle: rows already lie by day. The days' counts reach the driver.
     """
     df, by = table.read(), table.partition_by()
-    before = df.count()
-    hits = df.select(key, *([by] if by else [])).join(keys, key, "left_semi")
+    marked = df.select(key, *([by] if by else [])).join(
+        keys.select(key, F.lit(True).alias("_erase")), key, "left")
+    counts = marked.groupBy(*([by] if by else [])).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("_erase")).alias("hits")).collect()
+    before, deleted = sum(r["rows"] for r in counts), sum(r["hits"] for r in counts)
+    if not deleted:
+        return before, 0
     if not by:
-        deleted = hits.count()
-        if deleted:
-            table.write_snapshot(anti_join_delete(df, keys, key))
+        table.write_snapshot(anti_join_delete(df, keys, key))
         return before, deleted
-    days = {r[0]: r[1] for r in hits.groupBy(by).count().collect()}
-    if days:
-        named = [d for d in days if d is not None]
-        touched = F.col(by).isin(named) if named else F.lit(False)
-        if None in days:
-            touched = touched | F.col(by).isNull()
-        table.replace_partitions(anti_join_delete(df.filter(touched), keys, key), by,
-                                 days=list(days), cluster=False)
-    return before, sum(days.values())
+    days = [r[by] for r in counts if r["hits"]]
+    named = [d for d in days if d is not None]
+    touched = F.col(by).isin(named) if named else F.lit(False)
+    if None in days:
+        touched = touched | F.col(by).isNull()
+    table.replace_partitions(anti_join_delete(df.filter(touched), keys, key), by,
+                             days=days, cluster=False)
+    return before, deleted
 
 
 def erase_from_log(spark: SparkSession, path: str, keys: DataFrame, scratch: str,
