@@ -81,15 +81,18 @@ def positions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Rows id, tie, runs: the line ranges of a text that occurred earlier."""
     chosen = materialize(positions(docs, min_words), "line-positions")
-    often = chosen.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1") \
-        .select(F.col("fp").alias("f"))
+    # Counts and minima are written before they are joined: Spark splits a hot key's rows
+    # in a join of two plain shuffles, not in the stage that also sums them up.
+    often = materialize(chosen.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1")
+                        .select(F.col("fp").alias("f")), "line-often")
     found = materialize(
         chosen.join(often, F.col("fp") == F.col("f"))
         .select("doc_id", "tie", F.explode("windows").alias("x"))
         .select("doc_id", "tie", "x.w", "x.lo", "x.hi"), "line-windows")
     place = F.struct(F.col("doc_id").isNull().alias("void"), "doc_id", "tie", "lo")
-    first = found.groupBy("w").agg(F.min(place).alias("first"), F.count("*").alias("n")) \
-        .where("n > 1").select(F.col("w").alias("fw"), "first")
+    first = materialize(
+        found.groupBy("w").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+        .where("n > 1").select(F.col("w").alias("fw"), "first"), "line-first")
     later = found.join(first, F.col("w") == F.col("fw")).where(place != F.col("first"))
     return later.groupBy(F.col("doc_id").alias("id"), F.col("tie").alias("id_tie")).agg(
         F.collect_set(F.struct("lo", "hi")).alias("runs"))
