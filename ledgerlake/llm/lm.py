@@ -36,7 +36,7 @@ from ledgerlake.llm.common import SPACE_WORDS, Words, chunks, materialize, mix,
 from ledgerlake.llm.eliasfano import Trie
 
 BLOCK_BYTES = 8 << 20
-SHARD_TOKENS = 2_500_000
+SHARD_TOKENS = 1_000_000
 LEAST_SHARDS = 16
 DISCOUNT = 0.75
 # The hashes of a text's end and begin.
