@@ -254,7 +254,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> t
                 [b.column("text"), b.column("toxic"), pa.array(own, pa.int64())],
                 names=["text", "toxic", "copies"])
 
-    rows = docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("id")) \
+    # at most sample_rows ids: broadcast, so that the texts are not shuffled
+    rows = docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("id")) \
         .select("text", F.col("toxic").cast("double").alias("toxic")).repartition(32) \
         .mapInArrow(group, "text string, toxic double, copies long")
     sample = materialize(rows.groupBy("copies").agg(
