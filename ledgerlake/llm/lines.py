@@ -1,13 +1,16 @@
 """Line dedup: winnowing over line hashes.
 
 A window is the shortest run of lines, blank ones aside, with ``min_words``
-words. Its line of the smallest hash (the last of equals) is its fingerprint:
-any run of at least ``min_words`` words that occurs twice holds a whole window
-in both places, and so the same fingerprint. Positions are joined on their
-fingerprints; those whose fingerprint occurs once are out. From each position
-left, the match is extended both ways, line by line, over the windows that
-chose it; a window whose lines occurred earlier (by doc_id, then line) is
-deleted, and with it the whole repeated run, as neighbouring windows overlap.
+words: forward from each line, and backward from each line. Its line of the
+smallest hash (the last of equals) is its fingerprint: any run of at least
+``min_words`` words that occurs twice holds a whole window in both places, and
+so the same fingerprint. Positions are joined on their fingerprints; those
+whose fingerprint occurs once are out. From each position left, the match is
+extended both ways over the windows that chose it; a window whose lines
+occurred earlier (by doc_id, then line) is deleted, and with it the whole
+repeated run: a line of the run is either the end of a backward window within
+the run, or too near the run's first line for that, and then within that
+line's forward window.
 
 Every deleted line is still there at an earlier place: its window's first
 occurrence, or what that one repeats. A line that is very common meets only
@@ -41,6 +44,7 @@ def windows(text: bytes, min_words: int = MIN_WORDS) -> dict[int, list[tuple[byt
              ((i, line.strip()) for i, line in enumerate(text.split(b"\n"))) if s]
     digests = [blake2b(s, digest_size=16).digest() for _, s, _ in lines]
     out: dict[int, list[tuple[bytes, int, int]]] = {}
+    spans: set[tuple[int, int]] = set()
     end, words = 0, 0
     for a in range(len(lines)):
         while end < len(lines) and words < min_words:
@@ -48,11 +52,21 @@ def windows(text: bytes, min_words: int = MIN_WORDS) -> dict[int, list[tuple[byt
             end += 1
         if words < min_words:
             break
+        spans.add((a, end))
+        words -= lines[a][2]
+    a, words = 0, 0
+    for end in range(1, len(lines) + 1):
+        words += lines[end - 1][2]
+        while words - lines[a][2] >= min_words:
+            words -= lines[a][2]
+            a += 1
+        if words >= min_words:
+            spans.add((a, end))
+    for a, end in sorted(spans):
         part = digests[a:end]
         chosen = a + max(range(len(part)), key=lambda k: (-int.from_bytes(part[k][:8]), k))
         out.setdefault(chosen, []).append(
             (blake2b(b"".join(part), digest_size=16).digest(), lines[a][0], lines[end - 1][0]))
-        words -= lines[a][2]
     return {k: (digests[k], v) for k, v in out.items()}
 
 

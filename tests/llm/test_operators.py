@@ -93,6 +93,46 @@ def test_line_dedup_runs_of_lines(spark):
     assert got[3].line_counts.n_removed == 0  # under min_words
 
 
+def test_line_dedup_short_last_lines(spark):
+    """A repeated run goes up to its last line, though no window begins there."""
+    sixty, ten = "word " * 59 + "end", "ten " * 9 + "end"
+    copy = "\n".join([sixty, ten, *(f"few words {i}" for i in range(4))])
+    d = frame(spark, [(1, f"{sixty}\n{ten}", "a"), (2, f"{sixty}\n{ten}", "a"),
+                      (3, f"{ten}\n{sixty}\n{ten}\nlast", "a"), (4, copy, "a"), (5, copy, "a")])
+    got = {r.doc_id: r.text for r in lines.dedup_lines(d).collect()}
+    assert got[1] == f"{sixty}\n{ten}" and got[2] == "" and got[3] == f"{ten}\nlast"
+    assert got[4].split("\n") == copy.split("\n")[2:] and got[5] == ""
+
+
+def test_line_dedup_equals_extended_matches(spark, documents):
+    """Against pairs of equal lines, extended line by line both ways."""
+    own = {i: [(n, x.strip(" \t\v\f\r")) for n, x in enumerate(t.split("\n")) if WORD.search(x)]
+           for i, t in documents.items()}
+    places = defaultdict(list)
+    for i in sorted(own):
+        for k, (_, x) in enumerate(own[i]):
+            places[x].append((i, k))
+    gone = defaultdict(set)
+    for at in places.values():
+        for p, (i, a) in enumerate(at):
+            for j, b in at[p + 1:]:
+                if a and b and own[i][a - 1][1] == own[j][b - 1][1]:
+                    continue  # not the match's first line
+                n = words = 0
+                while (a + n < len(own[i]) and b + n < len(own[j])
+                       and own[i][a + n][1] == own[j][b + n][1]):
+                    words += len(WORD.findall(own[j][b + n][1]))
+                    n += 1
+                if words >= lines.MIN_WORDS:
+                    lo, hi = own[j][b][0], own[j][b + n - 1][0]
+                    gone[j].update(range(lo, hi + 1))
+    assert gone
+    for r in QUERIES["op1_line_dedup"](spark, SF).collect():
+        kept = [x for n, x in enumerate(documents[r.doc_id].split("\n")) if n not in gone[r.doc_id]]
+        assert (r.text or "") == "\n".join(kept), r.doc_id
+        assert r.n_removed == len(gone[r.doc_id])
+
+
 # 2 ------------------------------------------------------------- quality rules
 
 def base_of(text):
