@@ -1,11 +1,17 @@
 """Toxicity of texts whose words may be disguised: noisy-channel decoding, then scoring.
 
 A disguised word is a lattice: a leetspeak sign may stand for letters, a
-repeated letter or a sign may be an insertion, and the blank between single
-letters may be kept or dropped. The Viterbi path under a trigram model of
-letters (counted over all documents) and the channel's costs is the restored
-text. Words that consist of letters with no run of three have one path and
-need no decoding; each distinct other token is decoded once per task.
+repeated letter or a sign may be an insertion, and a blank may be kept or
+dropped. The Viterbi path under a trigram model of letters (counted over all
+documents) and the channel's costs is the restored text. Words that consist of
+letters, none doubled, have one path and need no decoding; each distinct other
+token is decoded once per task. Signs that may stand for letters stay in the
+lattice at a word's ends too. Of words with a doubled letter, and of words
+within such signs, the plain reading counts beside the path. Whether the path
+drops a blank hangs on the two signs on either side: each run of words of up to
+``LONGEST`` signs whose blanks it drops is read as a whole, beside its words,
+when a text is scored; the words themselves are learned from undivided tokens,
+as chance neighbours that the path joins would be learned as words otherwise.
 
 The toxicity of a word is learned from a bounded sample of labelled rows
 (``sample_rows``). Copies are no evidence of their own: of the sampled rows
@@ -27,7 +33,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import groupby, product
 
 import numpy as np
 import pyarrow as pa
@@ -49,8 +55,18 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb",
 SUBSTITUTE, INSERTED, SPLIT, BLANK_KEPT, BLANK_DROPPED, REPEATED = -1.0, -2.5, -3.0, -0.3, -1.5, -1.0
 # A token of letters, perhaps in punctuation: one path through the lattice, itself.
 PLAIN = re.compile(r"[^\W\d_]+")
-RUN = re.compile(r"(.)\1\1")
-# Signs around a word: sentence marks, and any sign that is repeated.
+TWICE, RUN = re.compile(r"(.)\1+"), re.compile(r"(.)\1\1")
+# Words of letters between blanks that are dropped: joined, they are the path.
+PIECES = re.compile(r"[^\W\d_]{2,}(?: [^\W\d_]{2,})+")
+OTHER, SIGN = re.compile(r"[\W\d_]+"), re.compile("[" + re.escape("".join(LEET)) + "]")
+# Letters that one sign may stand for are one kind, and so is the sign.
+FOLDED = str.maketrans({"l": "i", "g": "b"} | {
+    c: {"l": "i", "g": "b"}.get(x[0], x[0]) for c, x in LEET.items()})
+# Signs of words that are read without the blanks between them.
+LONGEST = 20
+# Marks around a word that stand for no letter.
+MARKS = re.compile(r"^[\"'\[{<*_~.,;:?#%&-]+|[\"')\]}<>*_~.,;:?#%&-]+$")
+# Signs around a plain word: sentence marks, and any sign that is repeated.
 EDGE = re.compile(r"^[\"'(\[{<*_~.,;:?#%&-]+|(?:[\"')\]}>*_~.,;:?!#%&-]|([#*$%&|<>@+!])\1+)+$")
 CLASSES = 28
 STEM = 4
@@ -109,7 +125,7 @@ class Decoder:
     """Restores tokens; ``model`` is the letter model."""
 
     def __init__(self, model: np.ndarray):
-        self.model = model.tolist()
+        self.model, self.blanks = model.tolist(), {}
 
     def choices(self, text: str, i: int) -> list[tuple[str, float]]:
         """What the sign at i may have been: (letter, blank or nothing, log cost)."""
@@ -152,15 +168,56 @@ class Decoder:
         return "".join(reversed(out))
 
     def restore(self, token: str) -> list[str]:
-        """The words of a lower-case token."""
-        if PLAIN.fullmatch(token) and not RUN.search(token):
+        """The words of a lower-case token, or of several with blanks that the path drops."""
+        if PLAIN.fullmatch(token) and not TWICE.search(token):
             return [token]
-        core = EDGE.sub("", token)
-        if not core:
-            return []
-        if PLAIN.fullmatch(core) and not RUN.search(core):
-            return [core]
-        return self.viterbi(core).split()
+        if PIECES.fullmatch(token) and not TWICE.search(token):
+            return [token.replace(" ", "")]
+        if " " in token:
+            return self.viterbi(token).split()
+        out: dict[str, None] = {}
+        for own in dict.fromkeys((MARKS.sub("", token), EDGE.sub("", token))):
+            plain = PLAIN.fullmatch(own) and not RUN.search(own)
+            if plain:
+                out[own] = None
+            if own and not (plain and not TWICE.search(own)):
+                out.update(dict.fromkeys(self.viterbi(own).split()))
+        return list(out)
+
+    def drops(self, key: str) -> bool:
+        """Whether the best path drops a blank, by two signs before it and two after."""
+        x, y = key.split(" ")
+        if not (x[-1] in LEET or x[-1].isalpha()) or not (y[0] in LEET or y[0].isalpha()):
+            return False
+        kept = dropped = -math.inf
+        for own in product(*([(letter_class(k), SUBSTITUTE) for k in LEET.get(c, "")]
+                             or [(letter_class(c), 0.0)] for c in (" " + x)[-2:] + (y + " ")[:2])):
+            (a, b, c, d), cost = (k for k, _ in own), sum(v for _, v in own)
+            m = self.model
+            kept = max(kept, cost + BLANK_KEPT + m[a][b][0] + m[b][0][c] + m[0][c][d])
+            dropped = max(dropped, cost + BLANK_DROPPED + m[a][b][c] + m[b][c][d])
+        return dropped > kept
+
+    def joined(self, words: list[str]) -> list[str]:
+        """Neighbouring words, with the blanks that the best path drops."""
+        if len(self.blanks) > MEMORY:
+            self.blanks = {}
+        known, glue, out = self.blanks, [], []
+        for x, y in zip(words, words[1:]):
+            key = x[-2:] + " " + y[:2]
+            drop = known.get(key)
+            if drop is None:
+                drop = known[key] = self.drops(key)
+            glue.append(drop)
+        for i in range(len(glue)):
+            j, size = i, len(words[i])
+            while j < len(glue) and glue[j]:
+                j += 1
+                size += len(words[j])
+                if size > LONGEST:
+                    break
+                out.append(" ".join(words[i:j + 1]))
+        return out
 
 
 def features(words: list[str]) -> list[str]:
@@ -168,6 +225,17 @@ def features(words: list[str]) -> list[str]:
     return words + ["^" + w[:STEM] for w in words if len(w) > STEM + 1]
 
 
+def squeezed(text: str) -> str:
+    """The letters of a text, repeated ones once."""
+    return TWICE.sub(r"\1", OTHER.sub("", text))
+
+
+def follows(word: str, letters: str) -> bool:
+    """Whether a word's letters occur in this order."""
+    at = iter(letters)
+    return all(c in at for c in word)
+
+
 def spaced(words: list[str]) -> list[str]:
     """Runs of three or more single signs, with their blanks."""
     if sum(len(w) == 1 for w in words) < 3:
@@ -180,23 +248,21 @@ def spaced(words: list[str]) -> list[str]:
 
 
 class Restorer:
-    """Distinct features of texts' restored words, with a bounded memory of tokens."""
+    """Distinct features of texts' restored tokens, with a bounded memory of them."""
 
     def __init__(self, model: np.ndarray):
         self.decoder, self.memory = Decoder(model), {}
 
     def __call__(self, text: str) -> set[str]:
         words = text.lower().split()
-        tokens = set(words)
-        tokens.update(spaced(words))
+        tokens = {*words, *spaced(words)}
         if len(self.memory) > MEMORY:
             self.memory = {}
         known, out = self.memory, set()
         for t in tokens:
             r = known.get(t)
             if r is None:
-                r = self.decoder.viterbi(t).split() if " " in t else self.decoder.restore(t)
-                r = known[t] = features(r)
+                r = known[t] = features(self.decoder.restore(t))
             out.update(r)
         return out
 
@@ -208,24 +274,51 @@ class Scorer:
         self.decoder, self.words, self.rest = Decoder(model), words, rest
         self.seen: set[str] = set()
         self.toxic: dict[str, list[str]] = {}
+        self.bare = {w: squeezed(w) for w in words if w[0] != "^"}
+        folds = {w: w.translate(FOLDED) for w in self.bare}
+        self.folds = {w: (x, frozenset(x)) for w, x in folds.items()}
 
     def __call__(self, text: str) -> float:
         words = text.lower().split()
-        tokens = set(words)
-        tokens.update(spaced(words))
+        tokens = {*words, *spaced(words)}
         if len(self.seen) > MEMORY:
             self.seen, self.toxic = set(), {}
         for t in tokens - self.seen:
-            r = self.decoder.viterbi(t).split() if " " in t else self.decoder.restore(t)
-            if own := [w for w in features(r) if w in self.words]:
+            if own := [w for w in features(self.decoder.restore(t)) if w in self.words]:
                 self.toxic[t] = own
         self.seen |= tokens
+        found = {w for t in tokens & self.toxic.keys() for w in self.toxic[t]}
+        found.update(self.across(words, found))
         clean = 1.0 - self.rest
-        for w in {w for t in tokens & self.toxic.keys() for w in self.toxic[t]}:
+        for w in found:
             clean *= 1.0 - self.words[w]
         return 1.0 - clean
 
 
+    def across(self, words: list[str], found: set[str]) -> Iterator[str]:
+        """Toxic words that lie across dropped blanks.
+
+        The path keeps every letter but repeated ones: without signs that stand for
+        letters, a word can only come out if its squeezed letters are in the text's.
+        """
+        letters = squeezed("".join(words))
+        bare = [own for w, own in self.bare.items() if w not in found and own in letters]
+        if not bare and not SIGN.search("".join(words)):
+            return
+        left = [x for w, x in self.folds.items() if w not in found]
+        for t in set(self.decoder.joined(words)):
+            if SIGN.search(t):
+                letters = t.translate(FOLDED)
+                kinds = set(letters)
+                # the word's letters come from the text's signs in their order
+                far = not any(own <= kinds and follows(x, letters) for x, own in left)
+            else:
+                far = not (bare and any(map(squeezed(t).__contains__, bare)))
+            if not far:
+                r = self.decoder.restore(MARKS.sub("", t))
+                yield from (w for w in r if w in self.words)
+
+
 def least_shingle(text: bytes) -> int:
     """The least hash of the text's three-word shingles: near copies mostly share it."""
     w = text.lower().split()

@@ -255,6 +255,38 @@ def test_decoding(model, token, word):
     assert got == [word]
 
 
+@pytest.fixture(scope="module")
+def wide_model():
+    import numpy as np
+    counts = np.zeros((28, 28, 28))
+    for w in ["idiot", "stupid", "ass", "hell", "clown", "reading", "nation", "other"] * 40:
+        c = [0, 0, *map(toxicity.letter_class, w), 0]
+        for a, b, k in zip(c, c[1:], c[2:]):
+            counts[a, b, k] += 1
+    return toxicity.letter_model(counts)
+
+
+@pytest.mark.parametrize("text,word", [
+    ("stuupid", "stupid"), ("iddiot", "idiot"), ("a$$", "ass"), ("he||", "hell"),
+    ("(lown", "clown"), ("(idiot", "idiot"), ("idiot!!", "idiot"), ("hell", "hell"),
+    ("st upid", "stupid"), ("id iot.", "idiot"), ("st up id", "stupid"), ("s tupid", "stupid"),
+    ("st up1d", "stupid"), ("\"st upid\"", "stupid")])
+def test_disguises_reach_the_decoder(wide_model, text, word):
+    """Doubled letters, signs at a word's ends, and words of a few pieces."""
+    scorer = toxicity.Scorer(wide_model, {word: 0.9}, 0.0)
+    assert scorer(f"reading {text} nation") == pytest.approx(0.9)
+
+
+def test_joins_follow_the_viterbi_path(wide_model):
+    """Two signs on either side decide as the decoder does over both words."""
+    d = toxicity.Decoder(wide_model)
+    words = ["st", "upid", "id", "iot", "reading", "nation", "other", "stupid", "hel", "clown"]
+    for x in words:
+        for y in words:
+            assert (d.joined([x, y]) == [f"{x} {y}"]) == (d.viterbi(f"{x} {y}").count(" ") == 0)
+    assert d.joined(["reading,", "nation"]) == d.joined(["other"]) == d.joined([]) == []
+
+
 def test_viterbi_is_the_best_path(model):
     """Against every path of short lattices."""
     d = toxicity.Decoder(model)
