@@ -7,12 +7,14 @@ two bits at least six. The postings list a fingerprint under every choice of
 which any such pair must share; for the pairs that a list brings together the
 shared positional bytes are tallied, pairs below the guaranteed minimum fall
 out, and the bits of the rest are compared.
+Single positional bytes are not indexed: their lists would be too long.
 
 Only distinct fingerprints are indexed, so exact copies never meet in a list.
 A list of more than ``max_list`` fingerprints is not paired: its members are
 listed again under each value one bit away in their remaining bytes, where any
 two of a list are within two bits by construction. That path is exact, linear,
-and its lists hold 33 fingerprints at most.
+and its lists hold 33 fingerprints at most. It tallies no bytes; bits are
+still compared.
 
 Edge cases: null and blank texts have fingerprint zero and link like others;
 repeated rows count once each; a null doc_id gets its component's smallest
