@@ -86,5 +86,26 @@ ids AS (SELECT r, count(*) AS n_items,
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN words USING (r) LEFT JOIN ids USING (r)
+""",
+    "op12_lexical_search": f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+sizes AS (SELECT r, doc_id, len(w)::BIGINT AS n FROM docs WHERE len(w) > 0),
+totals AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM sizes),
+counts AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(w) AS term FROM docs)
+           GROUP BY r, term),
+wanted AS (SELECT DISTINCT item_id, unnest({_WORDS}) AS term FROM benchmark),
+weights AS (
+  SELECT term, floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2 * df + 1)))::BIGINT AS weight
+  FROM (SELECT term, count(*) AS df FROM counts GROUP BY term), totals),
+scores AS (
+  SELECT item_id, r, sum(weight * ((1000000000 * tf)
+           // (1000 * tf + 8 * (100 - 90 + ((90 * n * n_docs) // n_terms)))))::BIGINT AS score
+  FROM wanted JOIN weights USING (term) JOIN counts USING (term) JOIN sizes USING (r), totals
+  GROUP BY item_id, r),
+ranked AS (
+  SELECT item_id, doc_id, score,
+         row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scores JOIN sizes USING (r) WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
 """,
 }

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import (chat, decontam, html, lines, lm, mixing, quality, simhash, tokens,
-                            toxicity)
-from ledgerlake.llm.common import table
+from ledgerlake.llm import (chat, decontam, html, lines, lm, mixing, quality, runs, search, shards,
+                            simhash, tokens, toxicity)
+from ledgerlake.llm.common import WORD, table
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +77,48 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where the words of each document with h % 10 = 0 end in a period.
+
+    h is the crc32 of the id in decimals (null: the empty string), g = floor(h / 10); from word
+    a = g % n on, the words repeat with period 1 + floor((n - a) / (3 + g % 8)).
+    """
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(f"({WORD})"), F.lit(0))
+    d = docs.select("doc_id", "text", h.alias("h"), F.expr("0L").alias("g"))
+    d = d.withColumn("g", F.expr("h div 10")) \
+        .withColumn("w", F.when(F.col("h") % 10 == 0, words)) \
+        .withColumn("n", F.size("w")) \
+        .withColumn("a", F.expr("if(n > 0, g % n, 0)")) \
+        .withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    planted = F.expr("array_join(transform(sequence(0L, n - 1L), "
+                     "i -> w[cast(if(i < a, i, a + (i - a) % p) as int)]), ' ')")
+    return d.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text"))
+                    .alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.word_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    lines_of = F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length",
+        "best.period", F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines_of, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("query").alias("item_id"), "rank", "doc_id", "score")
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = shards.shard_documents(table(spark, sf_dir, "documents"), columns=["doc_id"])
+    return d.select("doc_id", "size", "text_crc32", "law", "shard", "slot",
+                    F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -88,4 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_html_extraction": op9_html_extraction,
     "op10_mixing": op10_mixing,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_sharding": op13_sharding,
 }
