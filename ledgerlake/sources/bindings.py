@@ -236,6 +236,22 @@ def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream envelopes built from transactions: delivery 1 carries every
     transaction (some corrupted by rule), delivery 2 re-sends every 50th
     with the amount doubled. Timestamps are ISO text with a T."""
+    return _stream_records(spark, sf_dir).select("delivery", "kinesis")
+
+
+# Fixed value: the event day that begins the second arrival; a record sent again comes with the
+# arrival after its own.
+SECOND_ARRIVAL = dt.date(2024, 1, 16)
+
+
+def arriving_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``stream_records`` with the arrival (1 to 3) that brings each, by event time."""
+    own = F.when(F.col("timestamp") < F.lit(SECOND_ARRIVAL), 1).otherwise(2)
+    return _stream_records(spark, sf_dir).select(
+        (own + F.col("delivery") - 1).alias("arrival"), "kinesis")
+
+
+def _stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = transactions(spark, sf_dir)
     tid = F.col("transaction_id")
     first = t.withColumn("delivery", F.lit(1))
@@ -270,5 +286,5 @@ def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     seq = F.when(~((F.col("delivery") == 1) & (tid % STREAM_NO_SEQUENCE_MOD == 0)),
                  F.concat(F.col("delivery").cast("string"),
                           F.lpad(tid.cast("string"), 55, "0")))
-    return rows.select("delivery", F.struct(data.alias("data"), seq.alias("sequenceNumber"))
-                       .alias("kinesis"))
+    return rows.select("delivery", "timestamp",
+                       F.struct(data.alias("data"), seq.alias("sequenceNumber")).alias("kinesis"))
