@@ -50,6 +50,7 @@ OPTIONAL_TARGETS = (
     ("dlq", "customers", "dlq_customers"),
     ("dlq", "kyc", "dlq_kyc"),
     ("dlq", "tickets", "dlq_tickets"),
+    ("gold", "customer_360_history", "gold_customer_360_history"),
 )
 
 

@@ -18,7 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import clean, erasure, marts, notify, quality
+from ledgerlake.operators import clean, erasure, history, marts, notify, quality
 from ledgerlake.sources import lake as L
 
 
@@ -239,10 +239,21 @@ def run_gold_customer_360(spark: SparkSession, lake: L.Lake, run_date: dt.date,
     return int(obs.get.get("rows") or 0)
 
 
+HISTORY_TABLE = ("gold", "customer_360_history")
+
+
+def update_customer_history(lake: L.Lake, run_date: dt.date) -> None:
+    """Load the gold customer_360 of run_date into its type-2 history."""
+    history.load_history(lake.table(*HISTORY_TABLE), lake.table("gold", "customer_360").read(),
+                         "customer_id", run_date)
+
+
 def run_gold(spark: SparkSession, lake: L.Lake, run_date: dt.date,
-             run_ts: dt.datetime, incremental: bool = True) -> dict:
+             run_ts: dt.datetime, incremental: bool = True, keep_history: bool = False) -> dict:
     counts = {"gold_customer_360": run_gold_customer_360(spark, lake, run_date, run_ts,
                                                          incremental)}
+    if keep_history:
+        update_customer_history(lake, run_date)
     silver = _silver(lake)
     daily = marts.daily_aggregates(silver["transactions"], run_ts, run_date)
     lake.table("gold", "daily_aggregates").replace_partitions(
@@ -255,8 +266,11 @@ def run_gold(spark: SparkSession, lake: L.Lake, run_date: dt.date,
 
 def run_daily(spark: SparkSession, lake: L.Lake, run_date: dt.date | None = None,
               run_ts: dt.datetime | None = None, min_rows: int = quality.DAILY_MIN_ROWS,
-              register_catalog: bool = True) -> RunReport:
-    """catalog refresh -> silver -> quality gate -> gold -> notification."""
+              register_catalog: bool = True, keep_history: bool = False) -> RunReport:
+    """catalog refresh -> silver -> quality gate -> gold -> notification.
+
+    ``keep_history`` also loads customer_360 into its type-2 history.
+    """
     run_date = run_date or default_run_date()
     run_ts = run_ts or dt.datetime.combine(run_date + dt.timedelta(days=1), dt.time(1))
     report = RunReport(run_date)
@@ -273,7 +287,7 @@ def run_daily(spark: SparkSession, lake: L.Lake, run_date: dt.date | None = None
         report.quality = quality.gate(
             quality.run_suite(spark, "gate", day, quality.gate_rules(min_rows)))
         step = "gold"
-        report.counts.update(run_gold(spark, lake, run_date, run_ts))
+        report.counts.update(run_gold(spark, lake, run_date, run_ts, keep_history=keep_history))
     except Exception:
         notify.write_outbox(notify.pipeline_failure(spark, "daily_pipeline", step, run_date,
                                                     run_ts), lake.outbox_path(),

@@ -153,6 +153,31 @@ def kyc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# How kyc and customers differ between the three loads of the history fixture.
+HISTORY_LOADS = (dt.date(2024, 1, 10), dt.date(2024, 1, 20), dt.date(2024, 1, 31))
+RAISED_MOD, REJECTED_MOD, ABSENT_MOD, GONE_MOD = 7, 11, 13, 97
+
+
+def kyc_load(spark: SparkSession, sf_dir: str, load: int) -> DataFrame:
+    """kyc as the load 0, 1 or 2 finds it: from 1 on some tiers are raised, from 2 on some
+    customers rejected; some rows are missing in load 1 only."""
+    key = F.col("customer_id")
+    out = kyc(spark, sf_dir)
+    if load >= 1:
+        out = out.withColumn("risk_tier", F.when(key % RAISED_MOD == 0, "HIGH")
+                             .otherwise(F.col("risk_tier")))
+    if load >= 2:
+        out = out.withColumn("kyc_status", F.when(key % REJECTED_MOD == 0, "REJECTED")
+                             .otherwise(F.col("kyc_status")))
+    return out.filter(key % ABSENT_MOD != 0) if load == 1 else out
+
+
+def customers_load(spark: SparkSession, sf_dir: str, load: int) -> DataFrame:
+    """customers of a load; some are gone in load 1 and back in load 2."""
+    out = customers(spark, sf_dir)
+    return out.filter(F.col("customer_id") % GONE_MOD != 0) if load == 1 else out
+
+
 def _mapped(col: Column, mapping: dict) -> Column:
     expr = None
     for src, dst in mapping.items():
