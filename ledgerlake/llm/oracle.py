@@ -15,18 +15,18 @@ full_lines AS (
   SELECT doc_id, i, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line,
          len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n
   FROM split WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
-sums AS (
-  SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM full_lines),
-spans AS (
-  SELECT a.doc_id, a.i AS lo, min(b.i) AS hi FROM sums a JOIN sums b
-    ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.n >= 50
-  GROUP BY ALL),
-wins AS (
-  SELECT s.doc_id, s.lo, s.hi, string_agg(l.line, chr(10) ORDER BY l.i) AS w
-  FROM spans s JOIN full_lines l ON l.doc_id = s.doc_id AND l.i BETWEEN s.lo AND s.hi
-  GROUP BY ALL),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY w ORDER BY doc_id, lo) AS k FROM wins),
-gone AS (SELECT DISTINCT doc_id, unnest(range(lo, hi + 1)) AS i FROM ranked WHERE k > 1),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM full_lines),
+pairs AS (  -- each line with every earlier place of an equal one
+  SELECT a.doc_id AS first_doc, b.doc_id, a.k AS first_k, b.k, b.i, b.n
+  FROM numbered a JOIN numbered b
+    ON a.line = b.line AND (a.doc_id < b.doc_id OR (a.doc_id = b.doc_id AND a.k < b.k))),
+runs AS (  -- neighbouring pairs are one match, whole both ways
+  SELECT doc_id, min(i) AS lo, max(i) AS hi FROM (
+    SELECT *, k - row_number() OVER (PARTITION BY first_doc, doc_id, k - first_k ORDER BY k)
+      AS island FROM pairs)
+  GROUP BY first_doc, doc_id, k - first_k, island HAVING sum(n) >= 50),
+gone AS (SELECT DISTINCT doc_id, unnest(range(lo, hi + 1)) AS i FROM runs),
 kept AS (
   SELECT s.doc_id, string_agg(s.line, chr(10) ORDER BY s.i) AS text
   FROM split s ANTI JOIN gone g ON s.doc_id = g.doc_id AND s.i = g.i GROUP BY s.doc_id),
