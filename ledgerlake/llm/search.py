@@ -56,6 +56,8 @@ LISTS = 5_000
 QUERY_TERMS = 200_000
 # Documents whose essential postings are added up together.
 RANGE = 2048
+# Shards that one task searches, keeping its heaps.
+SHARDS_A_TASK = 4
 # Terms [^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+ once A-Z are lower-cased.
 TERM_BYTES = byte_set((0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F))
 # Fixed values of the score: contribution (SCALE * tf) div (1000 * tf + 8 * m),
@@ -336,15 +338,17 @@ def search_index(index: DataFrame, queries: DataFrame, query_id: str = "item_id"
     """``search`` on a stored index."""
     spark = index.sparkSession
     prepare(spark)
-    n_docs, n_terms = index.where(F.col("term").isNull()).agg(
-        F.coalesce(F.sum("df"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0))).first()
+    n_docs, n_terms, n_shards = index.where(F.col("term").isNull()).agg(
+        F.coalesce(F.sum("df"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0)),
+        F.count("*")).first()
+    tasks = max(1, -(-n_shards // SHARDS_A_TASK))
     wanted = materialize(query_terms(queries, query_id, "text"), "search-queries")
     blocks = max(1, -(-wanted.count() // query_terms_a_block))
     id_type = index.schema["ids"].dataType.elementType.simpleString()
     found = None
     for b in range(blocks):
         own = wanted.where(F.pmod(F.xxhash64("query"), F.lit(blocks)) == b)
-        out = _search_block(index, own, int(n_docs), int(n_terms), k, id_type)
+        out = _search_block(index, own, int(n_docs), int(n_terms), k, id_type, tasks)
         found = out if found is None else found.unionByName(out)
     place = Window.partitionBy("query").orderBy(
         F.col("score").desc(), F.col("doc_id").asc_nulls_last())
@@ -353,7 +357,7 @@ def search_index(index: DataFrame, queries: DataFrame, query_id: str = "item_id"
 
 
 def _search_block(index: DataFrame, own: DataFrame, n_docs: int, n_terms: int, k: int,
-                  id_type: str) -> DataFrame:
+                  id_type: str, tasks: int) -> DataFrame:
     spark = index.sparkSession
     terms = own.select(F.col("term").alias("wanted")).distinct()
     lists = materialize(index.join(terms, F.col("term") == F.col("wanted"), "left_semi"),
@@ -368,7 +372,7 @@ def _search_block(index: DataFrame, own: DataFrame, n_docs: int, n_terms: int, k
         [(r.query, [(x.term, x.w) for x in r.own]) for r in grouped.collect()])
     kind = own.schema["query"].dataType.simpleString()
     by_shard = lists.unionByName(index.where(F.col("term").isNull())) \
-        .repartitionByRange("shard").sortWithinPartitions("shard", F.col("term").asc_nulls_first())
+        .repartitionByRange(tasks, "shard").sortWithinPartitions("shard", F.col("term").asc_nulls_first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heaps: list[list[tuple]] = [[] for _ in sent.value]
