@@ -8,10 +8,18 @@ letters, none doubled, have one path and need no decoding; each distinct other
 token is decoded once per task. Signs that may stand for letters stay in the
 lattice at a word's ends too. Of words with a doubled letter, and of words
 within such signs, the plain reading counts beside the path. Whether the path
-drops a blank hangs on the two signs on either side: each run of words of up to
-``LONGEST`` signs whose blanks it drops is read as a whole, beside its words,
-when a text is scored; the words themselves are learned from undivided tokens,
-as chance neighbours that the path joins would be learned as words otherwise.
+drops a blank hangs on the two signs on either side; where neighbouring words lose
+theirs, each stretch of them that can spell a toxic word across a dropped blank is read as
+a whole, beside its words, when a text is scored. Words themselves are learned
+from undivided tokens, as chance neighbours that the path joins would be learned
+as words otherwise.
+
+When texts are scored, only what can spell a toxic word is decoded: the lattice
+keeps every letter but repeated ones, so a word can come out only if its letters
+follow each other in the token, with nothing but signs, blanks and repeated
+letters between. One automaton over all toxic words (``Spelling``) tests that in
+one pass. It never rejects what the decoder would find (tested), so scores are those of
+decoding everything.
 
 The toxicity of a word is learned from a bounded sample of labelled rows
 (``sample_rows``). Copies are no evidence of their own: of the sampled rows
@@ -58,17 +66,13 @@ PLAIN = re.compile(r"[^\W\d_]+")
 TWICE, RUN = re.compile(r"(.)\1+"), re.compile(r"(.)\1\1")
 # Words of letters between blanks that are dropped: joined, they are the path.
 PIECES = re.compile(r"[^\W\d_]{2,}(?: [^\W\d_]{2,})+")
-OTHER, SIGN = re.compile(r"[\W\d_]+"), re.compile("[" + re.escape("".join(LEET)) + "]")
-# Letters that one sign may stand for are one kind, and so is the sign.
-FOLDED = str.maketrans({"l": "i", "g": "b"} | {
-    c: {"l": "i", "g": "b"}.get(x[0], x[0]) for c, x in LEET.items()})
-# Signs of words that are read without the blanks between them.
-LONGEST = 20
 # Marks around a word that stand for no letter.
 MARKS = re.compile(r"^[\"'\[{<*_~.,;:?#%&-]+|[\"')\]}<>*_~.,;:?#%&-]+$")
 # Signs around a plain word: sentence marks, and any sign that is repeated.
 EDGE = re.compile(r"^[\"'(\[{<*_~.,;:?#%&-]+|(?:[\"')\]}>*_~.,;:?!#%&-]|([#*$%&|<>@+!])\1+)+$")
 CLASSES = 28
+# Kinds of two signs at a word's end: a-z, leetspeak signs, another letter, another sign, a blank.
+KINDS = (26 + len(LEET) + 3) ** 2
 STEM = 4
 # How much a word must beat the number of words tested, in nats: exp(-SURE) chance words.
 SURE = 1.0
@@ -125,7 +129,7 @@ class Decoder:
     """Restores tokens; ``model`` is the letter model."""
 
     def __init__(self, model: np.ndarray):
-        self.model, self.blanks = model.tolist(), {}
+        self.model = model.tolist()
 
     def choices(self, text: str, i: int) -> list[tuple[str, float]]:
         """What the sign at i may have been: (letter, blank or nothing, log cost)."""
@@ -198,44 +202,12 @@ class Decoder:
             dropped = max(dropped, cost + BLANK_DROPPED + m[a][b][c] + m[b][c][d])
         return dropped > kept
 
-    def joined(self, words: list[str]) -> list[str]:
-        """Neighbouring words, with the blanks that the best path drops."""
-        if len(self.blanks) > MEMORY:
-            self.blanks = {}
-        known, glue, out = self.blanks, [], []
-        for x, y in zip(words, words[1:]):
-            key = x[-2:] + " " + y[:2]
-            drop = known.get(key)
-            if drop is None:
-                drop = known[key] = self.drops(key)
-            glue.append(drop)
-        for i in range(len(glue)):
-            j, size = i, len(words[i])
-            while j < len(glue) and glue[j]:
-                j += 1
-                size += len(words[j])
-                if size > LONGEST:
-                    break
-                out.append(" ".join(words[i:j + 1]))
-        return out
-
 
 def features(words: list[str]) -> list[str]:
     """The words, and the beginnings of longer ones: variants of a word share theirs."""
     return words + ["^" + w[:STEM] for w in words if len(w) > STEM + 1]
 
 
-def squeezed(text: str) -> str:
-    """The letters of a text, repeated ones once."""
-    return TWICE.sub(r"\1", OTHER.sub("", text))
-
-
-def follows(word: str, letters: str) -> bool:
-    """Whether a word's letters occur in this order."""
-    at = iter(letters)
-    return all(c in at for c in word)
-
-
 def spaced(words: list[str]) -> list[str]:
     """Runs of three or more single signs, with their blanks."""
     if sum(len(w) == 1 for w in words) < 3:
@@ -267,56 +239,197 @@ class Restorer:
         return out
 
 
+class Spelling:
+    """Which texts can spell one of some words, by one pass of a bit-parallel automaton.
+
+    A bit stands for a letter of a word, set while the word's letters up to it follow each
+    other. A sign moves on to letters that it may stand for, and may be skipped; a letter moves
+    on to itself, and may be skipped where it repeats the one before.
+    """
+
+    def __init__(self, words: list[str]):
+        letters = "".join(words)
+        at = np.cumsum([0, *map(len, words)]).tolist()
+        self.begins = [1 << a for a in at[:-1]]
+        self.ends = [1 << (b - 1) for b in at[1:]]
+        self.begin, self.end = sum(self.begins), sum(self.ends)
+        self.bits: dict[str, int] = {}
+        for i, c in enumerate(letters):
+            self.bits[c] = self.bits.get(c, 0) | 1 << i
+        self.every = (1 << len(letters)) - 1
+        self.known: dict[str, tuple[int, int]] = {}
+
+    def masks(self, c: str) -> tuple[int, int]:
+        """(letters that c may be, letters after which c may be skipped)."""
+        got = self.known.get(c)
+        if got is None:
+            own = self.bits.get(c, 0)
+            if c in LEET:
+                own = 0
+                for x in LEET[c]:
+                    own |= self.bits.get(x, 0)
+                got = own, self.every
+            elif c.isalpha():
+                got = own, own
+            else:
+                got = 0, self.every
+            if len(self.known) < MEMORY:
+                self.known[c] = got
+        return got
+
+    def step(self, state: int, text: str, begin: int) -> tuple[int, bool]:
+        """The state after a text, and whether a word was complete in it."""
+        hit, masks, known = False, self.masks, self.known
+        for c in text:
+            own, stay = known.get(c) or masks(c)
+            state = (state << 1 & ~self.begin | begin) & own | state & stay
+            if state & self.end:
+                hit = True
+        return state, hit
+
+    def spells(self, text: str) -> bool:
+        return self.step(0, text, self.begin)[1]
+
+
 class Scorer:
-    """Scores of texts; tokens are looked at once, texts only meet the toxic ones as sets."""
+    """Scores of texts; each distinct token is looked at once in the memory's time."""
 
     def __init__(self, model: np.ndarray, words: dict[str, float], rest: float):
         self.decoder, self.words, self.rest = Decoder(model), words, rest
-        self.seen: set[str] = set()
-        self.toxic: dict[str, list[str]] = {}
-        self.bare = {w: squeezed(w) for w in words if w[0] != "^"}
-        folds = {w: w.translate(FOLDED) for w in self.bare}
-        self.folds = {w: (x, frozenset(x)) for w, x in folds.items()}
+        self.whole = whole = [w for w in words if w[0] != "^"]
+        # the stem of a longer word is the beginning of its letters
+        self.spelling = Spelling(whole + [w[1:] for w in words if w[0] == "^"])
+        self.stems = {w[1:] for w in words if w[0] == "^"}
+        self.across_spelling = Spelling(whole)
+        self.reverse = Spelling([w[::-1] for w in whole])
+        # by the last two signs of a word and the first two of the next: is the blank dropped
+        self.kinds: dict[str, int] = {}
+        self.glue = np.full((KINDS, KINDS), -1, np.int8)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.ids: dict[str, int] = {}
+        self.toxic: dict[int, list[str]] = {}
+        # states of the automaton after a word, and kinds of two signs, as they are met
+        self.tails: dict[int, int] = {}
+        self.two: dict[str, int] = {}
+        size = 2 * MEMORY
+        self.is_toxic, self.is_single = np.zeros(size, bool), np.zeros(size, bool)
+        self.last, self.first = np.zeros(size, np.int32), np.zeros(size, np.int32)
+
+    def _add(self, token: str) -> int:
+        i = self.ids[token] = len(self.ids)
+        if i == len(self.last):  # one text of very many words
+            for name in ("is_toxic", "is_single", "last", "first"):
+                old = getattr(self, name)
+                setattr(self, name, np.concatenate([old, np.zeros_like(old)]))
+        own = self._toxic_of(token)
+        if own:
+            self.toxic[i], self.is_toxic[i] = own, True
+        if len(token) == 1:
+            self.is_single[i] = True
+        self.last[i], self.first[i] = self._kind((" " + token)[-2:]), self._kind((token + " ")[:2])
+        return i
+
+    def _toxic_of(self, token: str) -> list[str]:
+        if PLAIN.fullmatch(token) and not TWICE.search(token):
+            if token not in self.words and token[:STEM] not in self.stems:
+                return []
+            own = features([token])
+        elif self.spelling.spells(token):
+            own = features(self.decoder.restore(token))
+        else:
+            return []
+        return [w for w in own if w in self.words]
+
+    def _kind(self, two: str) -> int:
+        """A number for two signs, as far as blanks beside them go."""
+        got = self.two.get(two)
+        if got is None:
+            code = "".join(c if c == " " or c in LEET or "a" <= c <= "z" else
+                           "\u00e0" if c.isalpha() else "." for c in two)
+            got = self.two[two] = self.kinds.setdefault(code, len(self.kinds))
+        return got
+
+    def _dropped(self, ids: np.ndarray, words: list[str]) -> np.ndarray:
+        """Places of words after which the path drops the blank."""
+        last, first = self.last[ids[:-1]], self.first[ids[1:]]
+        drop = self.glue[last, first]
+        for i in np.flatnonzero(drop < 0).tolist():
+            x, y = words[i], words[i + 1]
+            drop[i] = self.glue[last[i], first[i]] = self.decoder.drops(x[-2:] + " " + y[:2])
+        return np.flatnonzero(drop > 0)
 
     def __call__(self, text: str) -> float:
+        if not self.words:
+            return self.rest
         words = text.lower().split()
-        tokens = {*words, *spaced(words)}
-        if len(self.seen) > MEMORY:
-            self.seen, self.toxic = set(), {}
-        for t in tokens - self.seen:
-            if own := [w for w in features(self.decoder.restore(t)) if w in self.words]:
-                self.toxic[t] = own
-        self.seen |= tokens
-        found = {w for t in tokens & self.toxic.keys() for w in self.toxic[t]}
-        found.update(self.across(words, found))
+        if len(self.ids) > MEMORY:
+            self._forget()
+        ids = list(map(self.ids.get, words))
+        if None in ids:
+            for i, w in enumerate(words):
+                if ids[i] is None:
+                    own = self.ids.get(w)
+                    ids[i] = self._add(w) if own is None else own
+        at = np.array(ids, np.int64)
+        found = {w for i in set(at[self.is_toxic[at]].tolist()) for w in self.toxic[i]}
+        if self.is_single[at].sum() >= 3:
+            for t in spaced(words):
+                if self.spelling.spells(t):
+                    found.update(w for w in features(self.decoder.restore(t)) if w in self.words)
+        if len(words) > 1:
+            found.update(self.across(words, ids, self._dropped(at, words), found.copy()))
         clean = 1.0 - self.rest
-        for w in found:
+        for w in sorted(found):
             clean *= 1.0 - self.words[w]
         return 1.0 - clean
 
+    def across(self, words: list[str], ids: list[int], dropped: np.ndarray,
+               found: set[str]) -> Iterator[str]:
+        """Toxic words beside ``found`` across dropped blanks (``dropped``: places before them).
 
-    def across(self, words: list[str], found: set[str]) -> Iterator[str]:
-        """Toxic words that lie across dropped blanks.
-
-        The path keeps every letter but repeated ones: without signs that stand for
-        letters, a word can only come out if its squeezed letters are in the text's.
+        For each word that may end a toxic word begun before it, the shortest such stretch of
+        words is decoded.
         """
-        letters = squeezed("".join(words))
-        bare = [own for w, own in self.bare.items() if w not in found and own in letters]
-        if not bare and not SIGN.search("".join(words)):
-            return
-        left = [x for w, x in self.folds.items() if w not in found]
-        for t in set(self.decoder.joined(words)):
-            if SIGN.search(t):
-                letters = t.translate(FOLDED)
-                kinds = set(letters)
-                # the word's letters come from the text's signs in their order
-                far = not any(own <= kinds and follows(x, letters) for x, own in left)
-            else:
-                far = not (bare and any(map(squeezed(t).__contains__, bare)))
-            if not far:
-                r = self.decoder.restore(MARKS.sub("", t))
-                yield from (w for w in r if w in self.words)
+        own, tails = self.across_spelling, self.tails
+        ends, inner, known = own.end, ~own.begin, own.known
+        left = {k for k, w in enumerate(self.whole) if w not in found}
+        carry, last = 0, -2  # toxic words begun before word i, and still under way after it
+        lo = 0
+        for i in dropped.tolist():
+            if i != last + 1:
+                carry, lo = 0, i
+            last = i
+            tail = tails.get(ids[i])
+            if tail is None:
+                tail = tails[ids[i]] = own.step(0, words[i], own.begin)[0]
+            carry |= tail
+            ended = 0
+            for c in words[i + 1] if carry else "":
+                be, stay = known.get(c) or own.masks(c)
+                carry = carry << 1 & inner & be | carry & stay
+                if not carry:
+                    break
+                ended |= carry & ends
+            if ended:
+                for k in self._decoded(words, lo, i + 1, [
+                        k for k in left if ended & own.ends[k]]):
+                    left.discard(k)
+                    yield self.whole[k]
+
+    def _decoded(self, words: list[str], lo: int, j: int, ending: list[int]) -> list[int]:
+        """Toxic words that the shortest stretch up to word j gives, of those that may end there."""
+        back = self.reverse
+        state, _ = back.step(0, words[j][::-1], sum(back.begins[k] for k in ending))
+        for i in range(j - 1, lo - 1, -1):
+            state, hit = back.step(state, words[i][::-1], 0)
+            if hit:
+                r = self.decoder.restore(MARKS.sub("", " ".join(words[i:j + 1])))
+                return [k for k in range(len(self.whole)) if self.whole[k] in r]
+            if not state:
+                break
+        return []
 
 
 def least_shingle(text: bytes) -> int:

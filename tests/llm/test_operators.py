@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -283,8 +284,65 @@ def test_joins_follow_the_viterbi_path(wide_model):
     words = ["st", "upid", "id", "iot", "reading", "nation", "other", "stupid", "hel", "clown"]
     for x in words:
         for y in words:
-            assert (d.joined([x, y]) == [f"{x} {y}"]) == (d.viterbi(f"{x} {y}").count(" ") == 0)
-    assert d.joined(["reading,", "nation"]) == d.joined(["other"]) == d.joined([]) == []
+            assert d.drops(f"{x[-2:]} {y[:2]}") == (d.viterbi(f"{x} {y}").count(" ") == 0)
+    assert not d.drops("g, na")
+
+
+LEETED = {"o": "0", "i": "1!", "s": "5$", "a": "4@", "e": "3", "t": "7+", "l": "1|", "c": "("}
+
+
+def disguise(rng, word):
+    out = []
+    for c in word:
+        c = rng.choice(LEETED[c]) if c in LEETED and rng.random() < .3 else c
+        out.append(c * rng.choice([1, 1, 1, 2, 3]))
+        if rng.random() < .15:
+            out.append(rng.choice(".-*!1$"))
+    return "".join(out)
+
+
+def test_filter_never_rejects_what_the_decoder_finds(wide_model):
+    """Scores of single tokens are those of decoding every token."""
+    rng = random.Random(9)
+    words = {"idiot": .5, "stupid": .6, "ass": .7, "hell": .4, "^clow": .3}
+    s = toxicity.Scorer(wide_model, words, 0.0)
+    pool = ["idiot", "stupid", "ass", "hell", "clowning", "reading", "nation", "assess", "shell"]
+    found = 0
+    for _ in range(3000):
+        t = disguise(rng, rng.choice(pool)) + rng.choice(["", "", ".", "!!", ",", disguise(rng, "in")])
+        want = [w for w in toxicity.features(s.decoder.restore(t)) if w in words]
+        assert sorted(s._toxic_of(t)) == sorted(want), t
+        found += bool(want)
+    assert found > 500
+
+
+def test_spelling_equals_all_paths(wide_model):
+    """A word comes out of some path of the lattice exactly if the automaton says so."""
+    d, spelling = toxicity.Decoder(wide_model), toxicity.Spelling(["ass", "hell", "lit"])
+
+    def outputs(text, i=0):
+        if i == len(text):
+            yield ""
+            return
+        for letter, _ in d.choices(text, i):
+            for rest in outputs(text, i + 1):
+                yield letter + rest
+
+    rng = random.Random(2)
+    for _ in range(400):
+        t = "".join(rng.choice("asheliat15$|. ") for _ in range(rng.randint(1, 7)))
+        can = any(w in x for x in outputs(t) for w in ("ass", "hell", "lit"))
+        assert not can or spelling.spells(t), t
+
+
+def test_divided_words_of_any_length(wide_model):
+    """No bound on the signs of a divided word, nor on the words beside it."""
+    s = toxicity.Scorer(wide_model, {"stupid": .9, "idiot": .8}, 0.0)
+    assert s("st" + "u" * 30 + " pid") == pytest.approx(.9)
+    assert s("reading st up id iot nation") == pytest.approx(1 - .1 * .2)
+    assert s("5 + u p 1 d " * 2000) == pytest.approx(.9)
+    long = " ".join(["st"] * 3000)
+    assert s(long) == 0.0 and s(long + " upid " + long) == pytest.approx(.9)
 
 
 def test_viterbi_is_the_best_path(model):
