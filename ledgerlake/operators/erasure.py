@@ -156,29 +156,52 @@ def erase_table(table, keys: DataFrame, key: str = "customer_id") -> tuple[int,
     return before, deleted
 
 
+READY = "_ready"
+
+
 def erase_from_log(spark: SparkSession, path: str, keys: DataFrame, scratch: str,
                    key: str = "customer_id", by: str = "batch_id") -> tuple[int, int]:
     """Delete the keys' rows from an append-only Parquet log with a folder per batch.
 
-    The batches that hold such rows are written to ``scratch`` first and then put in place,
-    so a rerun after a crash finds either the old or the new rows of a batch.
+    What is left of the batches that hold such rows is written to ``scratch``, in full, and
+    marked as ready; then each old batch is replaced by its staged one. A run that finds a ready
+    stage goes on replacing before it looks for rows, so whenever a run stops, the rows to
+    keep are in the log or in the stage. A stage that is not ready is thrown away.
+    Batches without a row to keep are staged as empty folders.
     """
+    from ledgerlake.sources import lake as L
+    if L.path_exists(spark, f"{scratch}/{READY}"):
+        _put_in_place(spark, path, scratch)
+    L.delete(spark, scratch)
     df = spark.read.option("mergeSchema", "true").parquet(path)
     keys = keys.select(F.col("customer_id").cast("string").alias(key))
     before = df.count()
-    counts = {r[0]: r[1] for r in df.join(keys, key, "left_semi").groupBy(by).count().collect()}
-    if counts:
-        kept = anti_join_delete(df.filter(F.col(by).isin(list(counts))), keys, key)
-        kept.write.mode("overwrite").partitionBy(by).parquet(scratch)
-        from ledgerlake.sources.lake import file_system, folders
-        staged = set(folders(spark, scratch))
-        for batch in counts:
-            fs, old = file_system(spark, f"{path}/{by}={batch}")
-            fs.delete(old, True)
-            if f"{by}={batch}" in staged:
-                fs.rename(file_system(spark, f"{scratch}/{by}={batch}")[1], old)
-        fs.delete(file_system(spark, scratch)[1], True)
-    return before, sum(counts.values())
+    hits = df.join(keys, key, "left_semi").groupBy(by).count()
+    hits.write.parquet(f"{scratch}/_hits")
+    hits = spark.read.parquet(f"{scratch}/_hits")
+    deleted = hits.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+    if deleted:
+        kept = anti_join_delete(df.join(hits.select(by), by, "left_semi"), keys, key)
+        kept.write.mode("append").partitionBy(by).parquet(scratch)
+        staged = set(L.folders(spark, scratch))
+        for row in hits.select(by).toLocalIterator():
+            if f"{by}={row[0]}" not in staged:  # all its rows go
+                L.make_folder(spark, f"{scratch}/{by}={row[0]}")
+        L.touch(spark, f"{scratch}/{READY}")
+        _put_in_place(spark, path, scratch)
+    L.delete(spark, scratch)
+    return before, deleted
+
+
+def _put_in_place(spark: SparkSession, path: str, scratch: str) -> None:
+    """Replace each old batch by the staged one; the staged folder is gone once that is done."""
+    from ledgerlake.sources import lake as L
+    for batch in L.folders(spark, scratch):
+        L.delete(spark, f"{path}/{batch}")
+        if [n for n in L.names(spark, f"{scratch}/{batch}") if not n.startswith("_")]:
+            L.rename(spark, f"{scratch}/{batch}", f"{path}/{batch}")
+        else:
+            L.delete(spark, f"{scratch}/{batch}")
 
 
 def erase_from_lake(lake, keys: DataFrame, targets=ERASURE_TARGETS,

@@ -389,25 +389,46 @@ def last_arrival(decided: DataFrame, before: list[str]) -> DataFrame:
         .drop("_digits")
 
 
-def compact_decisions(spark: SparkSession, path: str) -> int:
-    """Fold the log into its newest batch and delete the older ones (run between batches).
+# Folded batches get ids below all stream batches; a later fold the greater one.
+FOLDED_BASE = -(1 << 50)
+FOLD_MARK = "_folded-"
+
 
-    The folded rows are staged first and then put in place; returns the rows left. A crash
-    between the two leaves rows that the next read resolves to the same decisions.
+def compact_decisions(spark: SparkSession, path: str) -> int:
+    """Fold the log into one folder and delete the batches it holds (run between batches).
+
+    The folded rows come under a new batch id, FOLDED_BASE + the last batch folded, which every
+    stream batch outranks and every earlier fold does not. A mark says that they are
+    whole; only then are the batches they hold deleted. A fold without a mark is
+    of a run that was stopped while writing, and is made anew. So whenever a run stops,
+    each decision is in a whole fold or in its batch, and a reader gets the same latest
+    ones. A batch that the stream replays after it was folded brings the rows it had.
+    Returns the rows left.
     """
-    log = spark.read.option("mergeSchema", "true").parquet(path)
-    last = log.agg(F.max("batch_id")).first()[0]
-    if last is None:
-        return 0
-    folded = last_arrival(log, ["batch_id"]).drop("batch_id")
-    stage = f"{path.rstrip('/')}_compact"
-    folded.write.mode("overwrite").parquet(stage)
-    batches = L.folders(spark, path)
-    fs, staged = L.file_system(spark, stage)
-    newest = f"batch_id={last}"
-    fs.delete(L.file_system(spark, f"{path}/{newest}")[1], True)
-    fs.rename(staged, L.file_system(spark, f"{path}/{newest}")[1])
-    for b in batches:
-        if b != newest:
-            fs.delete(L.file_system(spark, f"{path}/{b}")[1], True)
-    return spark.read.parquet(path).count()
+    def log() -> DataFrame:
+        return spark.read.option("mergeSchema", "true").parquet(path)
+
+    whole = [int(n.removeprefix(FOLD_MARK)) for n in L.names(spark, path)
+             if n.startswith(FOLD_MARK)]
+    if whole:
+        _drop_folded(spark, path, max(whole))
+    last = log().filter(F.col("batch_id") >= 0).agg(F.max("batch_id")).first()[0]
+    if last is not None:
+        target = FOLDED_BASE + last
+        L.delete(spark, f"{path}/batch_id={target}")  # not whole, or it would hold this batch
+        (last_arrival(log(), ["batch_id"]).withColumn("batch_id", F.lit(target))
+         .write.mode("append").partitionBy("batch_id").parquet(path))
+        L.touch(spark, f"{path}/{FOLD_MARK}{last}")
+        _drop_folded(spark, path, last)
+    return log().count()
+
+
+def _drop_folded(spark: SparkSession, path: str, last: int) -> None:
+    """Delete what the whole fold of the batches up to ``last`` holds."""
+    for folder in L.folders(spark, path):
+        batch = int(folder.rsplit("=", 1)[1])
+        if batch <= last and batch != FOLDED_BASE + last:
+            L.delete(spark, f"{path}/{folder}")
+    for name in L.names(spark, path):
+        if name.startswith(FOLD_MARK) and name != f"{FOLD_MARK}{last}":
+            L.delete(spark, f"{path}/{name}")

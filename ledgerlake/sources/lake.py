@@ -197,6 +197,39 @@ def folders(spark: SparkSession, path: str) -> list[str]:
                   if f.isDirectory() and "=" in f.getPath().getName())
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly below a path; none if it is missing."""
+    fs, target = file_system(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(target)) if fs.exists(target) \
+        else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there."""
+    fs, target = file_system(spark, path)
+    if not fs.delete(target, True) and fs.exists(target):
+        raise OSError(f"cannot delete {path}")
+
+
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    """Move a folder to a place that is free."""
+    fs, source = file_system(spark, old)
+    target = file_system(spark, new)[1]
+    if fs.exists(target) or not fs.rename(source, target):
+        raise OSError(f"cannot move {old} to {new}")
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, target = file_system(spark, path)
+    fs.mkdirs(target)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Write an empty file: a mark that Spark's readers do not see if its name begins with _."""
+    fs, target = file_system(spark, path)
+    fs.create(target, True).close()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, target = file_system(spark, path)
     return fs.exists(target)
