@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from ledgerlake.plans.oracle import cte, q
+from ledgerlake.plans import history_oracle  # noqa: F401  (kyc_loads, kyc_versions)
+from ledgerlake.plans.oracle import cte, decision_sql, q
 
 LATENESS = "INTERVAL 72 HOURS"
 
@@ -92,3 +93,35 @@ SELECT merchant, transaction_id, seq, ts AS event_time, count(*) AS n_missed
 FROM (SELECT *, unnest(range((ms // 14400000) * 14400000, ms - 43200000, -14400000)) AS start_ms
       FROM record_windows)
 WHERE make_timestamp((start_ms + 43200000) * 1000) <= mark GROUP BY ALL""")
+
+# ---- enrichment ---------------------------------------------------------------------------
+cte("decided", ("stream_scored",), f"""
+SELECT transaction_id, seq, customer_id, {decision_sql('fraud_score')} AS decision, fraud_score,
+       strptime("timestamp", '%Y-%m-%dT%H:%M:%S') AS event_time,
+       coalesce(seq LIKE '2%', FALSE) AS again
+FROM stream_scored WHERE error IS NULL""")
+# a record's arrival goes by its transaction's time, which its text may lack
+cte("decided_arrivals", ("decided", "transactions"), """
+SELECT d.*, CASE WHEN t."timestamp" < TIMESTAMP '2024-01-16' THEN 1 ELSE 2 END
+            + again::INTEGER AS arrival
+FROM decided d JOIN transactions t ON CAST(t.transaction_id AS VARCHAR) = d.transaction_id""")
+q("stream_enriched", ["decided_arrivals", "kyc_loads"], """
+SELECT transaction_id, seq, d.customer_id, decision, fraud_score, kyc_status, risk_tier
+FROM decided_arrivals d LEFT JOIN kyc_loads k
+  ON CAST(k.customer_id AS VARCHAR) = d.customer_id AND k.load = d.arrival - 1""")
+q("stream_enriched_as_of", ["decided", "kyc_versions"], """
+SELECT transaction_id, seq, d.customer_id, decision, kyc_status, risk_tier
+FROM decided d LEFT JOIN kyc_versions k
+  ON CAST(k.customer_id AS VARCHAR) = d.customer_id
+     AND k.valid_from <= d.event_time::DATE AND k.valid_to > d.event_time::DATE""")
+q("stream_labels", ["decided", "transactions"], """
+SELECT d.transaction_id, d.customer_id, event_time, fraud_score, decision,
+       label_time, label
+FROM decided d LEFT JOIN (
+  SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, is_fraud AS label,
+         date_trunc('second', "timestamp") + to_hours(CAST(transaction_id % 120 AS INTEGER))
+           AS label_time
+  FROM transactions WHERE transaction_id % 3 = 0) l
+  ON l.transaction_id = d.transaction_id
+     AND label_time BETWEEN event_time AND event_time + INTERVAL 72 HOURS
+WHERE NOT again AND event_time IS NOT NULL""")

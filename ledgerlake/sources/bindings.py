@@ -276,6 +276,48 @@ def arriving_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         (own + F.col("delivery") - 1).alias("arrival"), "kinesis")
 
 
+# Which transactions get a fraud label, and up to how many hours later.
+LABELLED_MOD, LABEL_HOURS = 3, 120
+CLOSING_TIME = "2024-06-01T00:00:00"
+
+
+def arriving_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels (arrival, transaction_id, labelled_at, fraud), by the time of the label; the third
+    arrival is one label of a far later time, which moves the watermark past all others."""
+    t = transactions(spark, sf_dir)
+    tid = F.col("transaction_id")
+    at = F.timestamp_add("HOUR", tid % LABEL_HOURS, F.col("timestamp"))
+    own = t.filter(tid % LABELLED_MOD == 0).select(
+        F.when(at < F.lit(SECOND_ARRIVAL), 1).otherwise(2).alias("arrival"),
+        tid.cast("string").alias("transaction_id"),
+        F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss").alias("labelled_at"),
+        F.col("is_fraud").alias("fraud"))
+    return own.unionByName(_closing(t).select(
+        F.lit(3).alias("arrival"), F.lit("closing").alias("transaction_id"),
+        F.lit(CLOSING_TIME).alias("labelled_at"), F.lit(0).alias("fraud")))
+
+
+def _closing(t: DataFrame) -> DataFrame:
+    """One row, if there are transactions."""
+    return t.agg(F.count(F.lit(1)).alias("n")).filter("n > 0")
+
+
+def first_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrivals 1 and 2 of ``arriving_records`` as first sent, and one closing record in 3."""
+    own = _stream_records(spark, sf_dir).filter(F.col("delivery") == 1).select(
+        F.when(F.col("timestamp") < F.lit(SECOND_ARRIVAL), 1).otherwise(2).alias("arrival"),
+        "kinesis")
+    doc = F.to_json(F.struct(
+        F.lit("closing").alias("transaction_id"), F.lit("closing").alias("customer_id"),
+        F.lit(1.0).alias("amount"), F.lit(CLOSING_TIME).alias("timestamp"),
+        F.lit("device-closing").alias("device_id"), F.lit(20.0).alias("location_lat")))
+    closing = _closing(transactions(spark, sf_dir)).select(
+        F.lit(3).alias("arrival"),
+        F.struct(F.base64(doc.cast("binary")).alias("data"),
+                 F.lit("9").alias("sequenceNumber")).alias("kinesis"))
+    return own.unionByName(closing)
+
+
 def _stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = transactions(spark, sf_dir)
     tid = F.col("transaction_id")
