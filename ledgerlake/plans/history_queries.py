@@ -1,11 +1,12 @@
-"""Registered queries on type-2 history and point-in-time joins."""
+"""Registered queries on type-2 history, point-in-time joins and mergeable daily state."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import clean, history, marts
+from ledgerlake.operators import clean, history, marts, sketches
 from ledgerlake.plans import defaults as D
+from ledgerlake.plans import pipeline
 from ledgerlake.plans.registry import register, silver_tickets, silver_transactions
 from ledgerlake.sources import bindings as B
 from ledgerlake.sources import lake as L
@@ -62,3 +63,32 @@ def q_valid_at_day(spark, sf_dir):
     """The kyc table as it was on a day between two loads."""
     return history.valid_at(kyc_history(spark, sf_dir), B.HISTORY_LOADS[1]).select(
         "customer_id", "kyc_status", "risk_tier", "valid_from", "valid_to")
+
+
+# How far an estimate may be from the exact distinct count.
+SKETCH_ERROR = 0.02
+
+
+@register("customer_sketches")
+def q_customer_sketches(spark, sf_dir):
+    """The summary from sketches: silver up to the last load but one, then that load's days one
+    by one as daily runs; with whether each distinct count is within 2 % of the exact one."""
+    lake = L.Lake.scratch(spark, "sketches")
+    table, txn = lake.table("silver", "transactions"), silver_transactions(spark, sf_dir)
+    last = txn.agg(F.max("transaction_date")).first()[0]
+    first = F.col("transaction_date") < F.lit(last)
+    table.write_snapshot(txn.filter(first), "transaction_date")
+    if not table.read().isEmpty():
+        pipeline.update_sketches(lake, last)
+    table.replace_partitions(txn.filter(~first), "transaction_date", days=[last])
+    as_of = pipeline.update_sketches(lake, last)
+    state = lake.table(*pipeline.SKETCH_TABLE).read().filter(F.col("as_of") == F.lit(as_of))
+    found = sketches.summary_from_state(state.drop("as_of"))
+    exact = marts.distinct_counts(table.read()).select(
+        F.col("customer_id").alias("_id"), *[F.col(n).alias(f"exact_{n}")
+                                             for _, n in marts.DISTINCT_DIMENSIONS[1:]])
+    close = [(F.abs(F.col(n) - F.col(f"exact_{n}")) <= F.col(f"exact_{n}") * SKETCH_ERROR)
+             .alias(f"{n}_close") for _, n in marts.DISTINCT_DIMENSIONS[1:]]
+    return found.join(exact, F.col("customer_id") == F.col("_id")).select(
+        "customer_id", "total_transactions", "total_spend", "active_days", "fraud_rate",
+        "latest_location_lat", *[f"exact_{n}" for _, n in marts.DISTINCT_DIMENSIONS[1:]], *close)

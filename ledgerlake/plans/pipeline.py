@@ -18,7 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import clean, erasure, history, marts, notify, quality
+from ledgerlake.operators import clean, erasure, history, marts, notify, quality, sketches
 from ledgerlake.sources import lake as L
 
 
@@ -205,6 +205,32 @@ def update_totals(lake: L.Lake, run_date: dt.date) -> dt.date:
     return run_date
 
 
+SKETCH_TABLE = ("gold", "txn_customer_sketch")
+
+
+def update_sketches(lake: L.Lake, run_date: dt.date) -> dt.date:
+    """Bring the sketched state up to ``run_date``; returns the day it is as of.
+
+    Reads one day of silver and the state of the day before, a row per customer. As with the
+    exact totals, a rerun of the newest day starts from the day before it; a run of
+    an earlier day, or the first, sums up silver anew.
+    """
+    table = lake.table(*SKETCH_TABLE)
+    txn = lake.table("silver", "transactions").read()
+    have = [] if not table.exists() else sorted(
+        r[0] for r in table.read().select("as_of").distinct().collect())  # two days at most
+    before = [d for d in have if d < run_date]
+    if not before or have[-1] > run_date:
+        last = txn.agg(F.max("transaction_date")).first()[0] or run_date
+        table.write_snapshot(sketches.state_of(txn).withColumn("as_of", F.lit(last)), "as_of")
+        return last
+    day = sketches.state_of(txn.filter(F.col("transaction_date") == F.lit(run_date)))
+    old = table.read().filter(F.col("as_of") == F.lit(before[-1])).drop("as_of")
+    table.replace_partitions(sketches.add_state(old, day).withColumn("as_of", F.lit(run_date)),
+                             "as_of", days=[run_date, *before[:-1]])
+    return run_date
+
+
 def customer_360_of(lake: L.Lake, run_date: dt.date, run_ts: dt.datetime) -> DataFrame:
     """customer_360 from the whole stored silver history; the distinct counts come from a
     second, narrow read of it instead of a five-fold Expand."""
@@ -216,15 +242,23 @@ def customer_360_of(lake: L.Lake, run_date: dt.date, run_ts: dt.datetime) -> Dat
 
 
 def run_gold_customer_360(spark: SparkSession, lake: L.Lake, run_date: dt.date,
-                          run_ts: dt.datetime, incremental: bool = False) -> int:
+                          run_ts: dt.datetime, incremental: bool = False,
+                          distinct: str = "exact") -> int:
     """Write customer_360 anew.
 
     ``incremental`` merges the run day into the totals per customer; otherwise the whole
     silver history is read, with the distinct counts from a second narrow read of the stored,
-    columnar transactions instead of a five-fold Expand.
+    columnar transactions instead of a five-fold Expand. With ``distinct="sketch"`` the
+    incremental distinct counts are estimates from merged sketches, and no set of values is kept.
     """
+    if distinct not in ("exact", "sketch"):
+        raise ValueError(f"distinct counts are exact or sketch, not {distinct}")
     silver = _silver(lake)
-    if incremental:
+    if incremental and distinct == "sketch":
+        as_of = update_sketches(lake, run_date)
+        summary = sketches.summary_from_state(
+            lake.table(*SKETCH_TABLE).read().filter(F.col("as_of") == F.lit(as_of)).drop("as_of"))
+    elif incremental:
         update_summary_state(lake, run_date)
         as_of = update_totals(lake, run_date)
         summary = marts.summary_from_totals(
@@ -249,9 +283,10 @@ def update_customer_history(lake: L.Lake, run_date: dt.date) -> None:
 
 
 def run_gold(spark: SparkSession, lake: L.Lake, run_date: dt.date,
-             run_ts: dt.datetime, incremental: bool = True, keep_history: bool = False) -> dict:
+             run_ts: dt.datetime, incremental: bool = True, keep_history: bool = False,
+             distinct: str = "exact") -> dict:
     counts = {"gold_customer_360": run_gold_customer_360(spark, lake, run_date, run_ts,
-                                                         incremental)}
+                                                         incremental, distinct)}
     if keep_history:
         update_customer_history(lake, run_date)
     silver = _silver(lake)
@@ -266,10 +301,12 @@ def run_gold(spark: SparkSession, lake: L.Lake, run_date: dt.date,
 
 def run_daily(spark: SparkSession, lake: L.Lake, run_date: dt.date | None = None,
               run_ts: dt.datetime | None = None, min_rows: int = quality.DAILY_MIN_ROWS,
-              register_catalog: bool = True, keep_history: bool = False) -> RunReport:
+              register_catalog: bool = True, keep_history: bool = False,
+              distinct: str = "exact") -> RunReport:
     """catalog refresh -> silver -> quality gate -> gold -> notification.
 
-    ``keep_history`` also loads customer_360 into its type-2 history.
+    ``keep_history`` also loads customer_360 into its type-2 history; ``distinct`` is as in
+    ``run_gold_customer_360``.
     """
     run_date = run_date or default_run_date()
     run_ts = run_ts or dt.datetime.combine(run_date + dt.timedelta(days=1), dt.time(1))
@@ -287,7 +324,8 @@ def run_daily(spark: SparkSession, lake: L.Lake, run_date: dt.date | None = None
         report.quality = quality.gate(
             quality.run_suite(spark, "gate", day, quality.gate_rules(min_rows)))
         step = "gold"
-        report.counts.update(run_gold(spark, lake, run_date, run_ts, keep_history=keep_history))
+        report.counts.update(run_gold(spark, lake, run_date, run_ts, keep_history=keep_history,
+                                      distinct=distinct))
     except Exception:
         notify.write_outbox(notify.pipeline_failure(spark, "daily_pipeline", step, run_date,
                                                     run_ts), lake.outbox_path(),
