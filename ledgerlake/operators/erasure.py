@@ -16,6 +16,7 @@ malformed: such requests are rejected, and get no audit row and no notice.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -129,9 +130,13 @@ AUDIT_SCHEMA = ("batch_id STRING, processed_at TIMESTAMP_NTZ, total_requests INT
                 "status STRING")
 
 
-def erase_table(table, keys: DataFrame, key: str = "customer_id") -> tuple[int, int]:
+def erase_table(table, keys: DataFrame, key: str = "customer_id",
+                counted: Callable[[int, int], None] = lambda before, deleted: None
+                ) -> tuple[int, int]:
     """Delete the keys' rows from a lake table; (rows before, rows deleted).
 
+    ``counted`` is told both numbers before anything is changed.
+
     One pass over the key and day columns counts rows and hits by day. Of a table with days
     only the days that hold such rows are then read in full and written anew, without a
     shuffle: rows already lie by day. The days' counts reach the driver.
@@ -142,6 +147,7 @@ def erase_table(table, keys: DataFrame, key: str = "customer_id") -> tuple[int,
     counts = marked.groupBy(*([by] if by else [])).agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col("_erase")).alias("hits")).collect()
     before, deleted = sum(r["rows"] for r in counts), sum(r["hits"] for r in counts)
+    counted(before, deleted)
     if not deleted:
         return before, 0
     if not by:
@@ -161,7 +167,9 @@ READY = "_ready"
 
 
 def erase_from_log(spark: SparkSession, path: str, keys: DataFrame, scratch: str,
-                   key: str = "customer_id", by: str = "batch_id") -> tuple[int, int]:
+                   key: str = "customer_id", by: str = "batch_id",
+                   counted: Callable[[int, int], None] = lambda before, deleted: None
+                   ) -> tuple[int, int]:
     """Delete the keys' rows from an append-only Parquet log with a folder per batch.
 
     What is left of the batches that hold such rows is written to ``scratch``, in full, and
@@ -181,6 +189,7 @@ def erase_from_log(spark: SparkSession, path: str, keys: DataFrame, scratch: str
     hits.write.parquet(f"{scratch}/_hits")
     hits = spark.read.parquet(f"{scratch}/_hits")
     deleted = hits.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+    counted(before, deleted)
     if deleted:
         kept = anti_join_delete(df.join(hits.select(by), by, "left_semi"), keys, key)
         kept.write.mode("append").partitionBy(by).parquet(scratch)
@@ -205,41 +214,116 @@ def _put_in_place(spark: SparkSession, path: str, scratch: str) -> None:
             L.delete(spark, f"{scratch}/{batch}")
 
 
+STEP_SCHEMA = ("step STRING, rows_before LONG, rows_deleted LONG, status STRING, error STRING, "
+               "at TIMESTAMP_NTZ")
+STEP_STARTED, STEP_OK, STEP_FAILED, STEP_MISSING = "STARTED", "OK", "FAILED", "MISSING"
+
+
+class StepLedger:
+    """The steps of one erasure batch, each a small JSON document per state it has reached.
+
+    A document is written once a target's rows are counted, before they are deleted, and another
+    when that is done. So a run that was stopped can be taken up after its last
+    finished step, and its counts stay those of the first attempt.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, batch_id: str,
+                 clock: Callable[[], dt.datetime] = lambda: dt.datetime.now(dt.timezone.utc)):
+        self.spark, self.root, self.batch_id, self.clock = spark, root, batch_id, clock
+        self.path = f"{root}/batch_id={batch_id}"
+
+    def write(self, step: str, status: str, before: int = 0, deleted: int = 0,
+              error: str | None = None) -> None:
+        from ledgerlake.sources.lake import write_text
+        doc = {"step": step, "rows_before": before, "rows_deleted": deleted, "status": status,
+               "error": error, "at": self.clock().strftime("%Y-%m-%dT%H:%M:%S")}
+        write_text(self.spark, f"{self.path}/{step}-{status}.json", json.dumps(doc))
+
+    def reached(self) -> dict[str, dict[str, tuple[int, int]]]:
+        """step -> status -> (rows before, rows deleted); a batch has a few dozen documents."""
+        from ledgerlake.sources.lake import path_exists
+        if not path_exists(self.spark, self.path):
+            return {}
+        out: dict[str, dict[str, tuple[int, int]]] = {}
+        for r in self.spark.read.schema(STEP_SCHEMA).json(self.path).collect():
+            out.setdefault(r["step"], {})[r["status"]] = (r["rows_before"], r["rows_deleted"])
+        return out
+
+
+def stored_steps(spark: SparkSession, root: str) -> DataFrame:
+    """Every step of every batch: its last state, and whether it was taken up again."""
+    docs = spark.read.schema(STEP_SCHEMA + ", batch_id STRING").json(root)
+    rank = F.when(F.col("status") == STEP_STARTED, 0).when(F.col("status") == STEP_OK, 2) \
+        .otherwise(1)
+    return docs.groupBy("batch_id", "step").agg(
+        F.max_by(F.struct("status", "rows_before", "rows_deleted", "error", "at"),
+                 F.struct(rank, "at")).alias("s")).select("batch_id", "step", "s.*")
+
+
 def erase_from_lake(lake, keys: DataFrame, targets=ERASURE_TARGETS,
-                    optional=OPTIONAL_TARGETS, logs: dict[str, str] | None = None) -> list[tuple]:
+                    optional=OPTIONAL_TARGETS, logs: dict[str, str] | None = None,
+                    ledger: StepLedger | None = None) -> list[tuple]:
     """Delete the keys from every target, and from the logs (label -> path).
 
     Returns one tuple per target: (table_name, rows_before, rows_deleted,
     rows_kept, status, error). A target that is MISSING, or FAILED and so left
-    as it was, makes the batch PARTIAL.
+    as it was, makes the batch PARTIAL. With a ``ledger``, targets that it has as
+    done are not read again.
     """
     keys = keys.cache()
     rows = []
+    reached = ledger.reached() if ledger else {}
+
+    def entry(label: str, work: Callable[[Callable], tuple[int, int]]) -> None:
+        known = reached.get(label, {})
+        if STEP_OK in known:
+            before, deleted = known[STEP_OK]
+            rows.append((label, before, deleted, before - deleted, STEP_OK, None))
+            return
+
+        def counted(before: int, deleted: int) -> None:
+            if ledger and STEP_STARTED not in known:
+                ledger.write(label, STEP_STARTED, before, deleted)
 
-    def entry(label: str, work: Callable[[], tuple[int, int]]) -> None:
         try:
-            before, deleted = work()
-            rows.append((label, before, deleted, before - deleted, "OK", None))
+            before, deleted = work(counted)
+            # what an attempt that was stopped had counted, and may have deleted already
+            before, deleted = known.get(STEP_STARTED, (before, deleted))
+            rows.append((label, before, deleted, before - deleted, STEP_OK, None))
+            if ledger:
+                ledger.write(label, STEP_OK, before, deleted)
         except Exception as e:  # keep the batch going; the audit names the error
-            rows.append((label, 0, 0, 0, "FAILED", f"{type(e).__name__}: {str(e)[:500]}"))
+            error = f"{type(e).__name__}: {str(e)[:500]}"
+            rows.append((label, 0, 0, 0, STEP_FAILED, error))
+            if ledger:
+                ledger.write(label, STEP_FAILED, error=error)
 
     for layer, name, label in targets:
         table = lake.table(layer, name)
         if not table.exists():
-            rows.append((label, 0, 0, 0, "MISSING", f"no table {table.name}"))
+            rows.append((label, 0, 0, 0, STEP_MISSING, f"no table {table.name}"))
         else:
-            entry(label, lambda: erase_table(table, keys))
+            entry(label, lambda counted: erase_table(table, keys, counted=counted))
     for layer, name, label in optional:
         table = lake.table(layer, name)
         if table.exists():
-            entry(label, lambda: erase_table(table, keys))
+            entry(label, lambda counted: erase_table(table, keys, counted=counted))
     for label, path in (logs or {}).items():
-        entry(label, lambda: erase_from_log(lake.spark, path, keys,
-                                            f"{lake.root}/staging/{label}"))
+        entry(label, lambda counted: erase_from_log(
+            lake.spark, path, keys, f"{lake.root}/staging/{label}", counted=counted))
     keys.unpersist()
     return rows
 
 
+def sla_status(requests: DataFrame, now: Column) -> DataFrame:
+    """requests with ``sla``: MET or LATE once complete, else OPEN or OVERDUE at ``now``."""
+    done = F.col("status") == STATUS_COMPLETE
+    due = F.col("sla_deadline")
+    return requests.withColumn("sla", F.when(
+        done, F.when(F.col("completed_at") <= due, "MET").otherwise("LATE"))
+        .when(F.col("status") == STATUS_PENDING, F.when(now <= due, "OPEN").otherwise("OVERDUE")))
+
+
 def summary_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return spark.createDataFrame(rows, SUMMARY_SCHEMA)
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from ledgerlake.plans.oracle import cte, q, txn_summary_sql
+from ledgerlake.plans.oracle import (
+    _ERASED, _ERASED_FROM, RUN_STAMP, TS, UPDATED, cte, q, txn_summary_sql)
 
 DAYS = ("2024-01-10", "2024-01-20", "2024-01-31")
 ENDS = (*DAYS[1:], "9999-12-31")
@@ -65,3 +66,14 @@ SELECT customer_id, total_transactions, total_spend, active_days, fraud_rate, la
        unique_devices AS exact_unique_devices, TRUE AS unique_merchants_close,
        TRUE AS unique_categories_close, TRUE AS unique_devices_close
 FROM txn_summary""")
+q("erasure_steps", _ERASED_FROM, f"""
+SELECT 'GDPR-BATCH-{RUN_STAMP}' AS batch_id, table_name AS step, status, rows_before, rows_deleted,
+       {TS} AS at FROM ({_ERASED})
+UNION ALL SELECT 'GDPR-BATCH-{RUN_STAMP}', 'finish', 'OK', 0, 0, {TS}""")
+q("erasure_sla", ["deletion_requests", "valid"], f"""
+SELECT customer_id, requested_at, status, sla_deadline, completed_at,
+       CASE status WHEN 'COMPLETE' THEN CASE WHEN completed_at <= sla_deadline THEN 'MET'
+                                             ELSE 'LATE' END
+                   WHEN 'PENDING' THEN CASE WHEN {TS} <= sla_deadline THEN 'OPEN'
+                                            ELSE 'OVERDUE' END END AS sla
+FROM ({UPDATED})""")

@@ -1,13 +1,15 @@
-"""Registered queries on type-2 history, point-in-time joins and mergeable daily state."""
+"""Registered queries on type-2 history, point-in-time joins, mergeable daily state and the
+steps of erasure batches."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import clean, history, marts, sketches
+from ledgerlake.operators import clean, erasure, history, marts, sketches
 from ledgerlake.plans import defaults as D
 from ledgerlake.plans import pipeline
-from ledgerlake.plans.registry import register, silver_tickets, silver_transactions
+from ledgerlake.plans.registry import (own_lake, register, requests_df, silver_tickets,
+                                       silver_transactions)
 from ledgerlake.sources import bindings as B
 from ledgerlake.sources import lake as L
 
@@ -65,6 +67,24 @@ def q_valid_at_day(spark, sf_dir):
         "customer_id", "kyc_status", "risk_tier", "valid_from", "valid_to")
 
 
+@register("erasure_steps")
+def q_erasure_steps(spark, sf_dir):
+    """The steps of one erasure batch, as its ledger has them."""
+    lake = own_lake(spark, sf_dir)
+    pipeline.run_erasure(spark, lake, requests_df(spark, sf_dir), D.RUN_TS, B.customer_key)
+    return erasure.stored_steps(spark, lake.steps_path()).select(
+        "batch_id", "step", "status", "rows_before", "rows_deleted", "at")
+
+
+@register("erasure_sla")
+def q_erasure_sla(spark, sf_dir):
+    """Whether each request was, or still can be, served by its deadline."""
+    lake = own_lake(spark, sf_dir)
+    out = pipeline.run_erasure(spark, lake, requests_df(spark, sf_dir), D.RUN_TS, B.customer_key)
+    return erasure.sla_status(out["requests"], F.lit(D.RUN_TS)).select(
+        "customer_id", "requested_at", "status", "sla_deadline", "completed_at", "sla")
+
+
 # How far an estimate may be from the exact distinct count.
 SKETCH_ERROR = 0.02
 

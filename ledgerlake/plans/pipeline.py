@@ -353,6 +353,19 @@ def insert_requests(lake: L.Lake, requests: DataFrame) -> int:
     return lake.table("control", "deletion_requests").append(requests, REQUEST_KEY)
 
 
+FINISH = "finish"
+
+
+def open_batch(spark: SparkSession, lake: L.Lake) -> str | None:
+    """The erasure batch that was begun and not finished, if there is one."""
+    if not L.path_exists(spark, lake.steps_path()):
+        return None
+    steps = erasure.stored_steps(spark, lake.steps_path())
+    return steps.groupBy("batch_id").agg(
+        F.max((F.col("step") == FINISH) & (F.col("status") == erasure.STEP_OK)).alias("done")) \
+        .filter(~F.col("done")).agg(F.min("batch_id")).first()[0]
+
+
 def run_erasure(spark: SparkSession, lake: L.Lake, requests: DataFrame | None,
                 run_ts: dt.datetime, to_key: Callable[[Column], Column] = erasure.same_key,
                 logs: dict[str, str] | None = None) -> dict:
@@ -363,18 +376,36 @@ def run_erasure(spark: SparkSession, lake: L.Lake, requests: DataFrame | None,
     PARTIAL batch stay PENDING for the next run. ``to_key`` maps a request's id to the tables'
     key; ``logs`` are further Parquet logs (label -> path) to erase from. Returns the batch id,
     the summary per table, and the stored requests.
+
+    Each step is kept in a ledger. A run that finds a batch begun and not finished takes that
+    one up, with the requests it began with, after its last finished step; requests
+    that came since wait for the next run.
     """
     stored = lake.table("control", "deletion_requests")
     if requests is not None:
         insert_requests(lake, requests)
-    pending = erasure.pending_requests(stored.read()).cache()
+    batch_id = open_batch(spark, lake)
+    resumed = batch_id is not None
+    batch_id = batch_id or f"GDPR-BATCH-{run_ts.strftime('%Y%m%d%H%M%S')}"
+    ledger = erasure.StepLedger(spark, lake.steps_path(), batch_id, clock=lambda: run_ts)
+    members = f"{lake.root}/batches/batch_id={batch_id}"
+    pending = erasure.pending_requests(stored.read())
+    if resumed:
+        begun = spark.read.parquet(members).select(*REQUEST_KEY)
+        pending = pending.join(begun, REQUEST_KEY, "left_semi")
+    pending = pending.cache()
     valid = pending.filter(erasure.well_formed(to_key))
     malformed = pending.filter(~erasure.well_formed(to_key))
     n_valid, n_pending = valid.count(), pending.count()
     if n_pending == 0:
         pending.unpersist()
+        if resumed:  # it was stopped after the statuses were stored
+            ledger.write(FINISH, erasure.STEP_OK)
         return {"batch_id": None, "summary": [], "requests": stored.read()}
-    batch_id = f"GDPR-BATCH-{run_ts.strftime('%Y%m%d%H%M%S')}"
+    if not resumed:
+        L.delete(spark, ledger.path)  # of a finished batch of the same time
+        pending.select(*REQUEST_KEY).write.mode("overwrite").parquet(members)
+        ledger.write(FINISH, erasure.STEP_STARTED)
     keys = erasure.erasure_keys(valid, to_key)
     audit_key = f"{lake.audit_path()}/batch_id={batch_id}"
     rows, status = [], None
@@ -382,7 +413,7 @@ def run_erasure(spark: SparkSession, lake: L.Lake, requests: DataFrame | None,
         # record the suppression first: a crash after this point re-runs safely
         lake.table("control", "erased_customers").append(
             keys.select("customer_id", F.lit(batch_id).alias("batch_id")), ["customer_id"])
-        rows = erasure.erase_from_lake(lake, keys, logs=logs)
+        rows = erasure.erase_from_lake(lake, keys, logs=logs, ledger=ledger)
         erasure.audit_record(spark, batch_id, run_ts, n_valid, rows).coalesce(1) \
             .write.mode("overwrite").json(f"{audit_key}/header")
         erasure.audit_ids(valid, batch_id).write.mode("overwrite").json(f"{audit_key}/ids")
@@ -392,6 +423,7 @@ def run_erasure(spark: SparkSession, lake: L.Lake, requests: DataFrame | None,
         notify.write_outbox(notify.deletion_complete(valid, run_ts), lake.outbox_path(), batch_id)
     stored.write_snapshot(erasure.update_request_status(stored.read(), done, audit_key, run_ts,
                                                         malformed))
+    ledger.write(FINISH, erasure.STEP_OK)
     pending.unpersist()
     return {"batch_id": batch_id, "summary": rows, "requests": stored.read(),
             "audit_key": audit_key, "status": status}

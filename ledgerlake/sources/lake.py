@@ -230,6 +230,17 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(target, True).close()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file whole: under a hidden name first, then moved to its own."""
+    folder, _, name = path.rpartition("/")
+    fs, draft = file_system(spark, f"{folder}/_{name}")
+    out = fs.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    delete(spark, path)
+    rename(spark, f"{folder}/_{name}", path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, target = file_system(spark, path)
     return fs.exists(target)
@@ -295,6 +306,9 @@ class Lake:
     def audit_path(self) -> str:
         return f"{self.root}/audit"
 
+    def steps_path(self) -> str:
+        return f"{self.root}/steps"
+
 
 # ---- bronze -------------------------------------------------------------------
 
