@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -125,10 +126,17 @@ def _element_score(tag: str, attrs: str, inside: frozenset, w: Weights) -> float
 def blocks(page: str, w: Weights = Weights()) -> list[Block]:
     """The page's text blocks in order."""
     out: list[Block] = []
-    # open elements: tag, own number, evidence so far, tags so far, inside a link
-    stack: list[tuple[str, int, float, frozenset, bool]] = [("", 0, 0.0, frozenset(), False)]
+    # open elements: tag, own number, evidence so far, tags so far, inside a link, and the place
+    # in the stack of the innermost block element
+    stack: list[tuple[str, int, float, frozenset, bool, int]] = [
+        ("", 0, 0.0, frozenset(), False, 0)]
+    opened: Counter[str] = Counter()
     number, block = 0, None
 
+    def close(upto: int) -> None:
+        opened.subtract(e[0] for e in stack[upto:])
+        del stack[upto:]
+
     def text(s: str) -> None:
         nonlocal block
         if not s:
@@ -136,9 +144,8 @@ def blocks(page: str, w: Weights = Weights()) -> list[Block]:
         if block is None:
             if not s.strip():
                 return
-            holder = next(e for e in reversed(stack) if e[0] in BLOCK or not e[0])
-            above = next((e for e in reversed(stack[:stack.index(holder)])
-                          if e[0] in BLOCK or not e[0]), holder)
+            holder = stack[-1][5]
+            above = stack[stack[holder - 1][5]] if holder else stack[0]
             block = Block(above[1], stack[-1][3], stack[-1][2])
             out.append(block)
         block.parts.append((s, stack[-1][4]))
@@ -151,10 +158,11 @@ def blocks(page: str, w: Weights = Weights()) -> list[Block]:
         if not tag:
             continue
         if m["end"]:
-            if any(e[0] == tag for e in stack[1:]):
-                while stack[-1][0] != tag:
-                    stack.pop()
-                stack.pop()
+            if opened[tag] > 0:
+                k = len(stack) - 1
+                while stack[k][0] != tag:
+                    k -= 1
+                close(k)
             if tag in BLOCK:
                 block = None
             continue
@@ -164,19 +172,19 @@ def blocks(page: str, w: Weights = Weights()) -> list[Block]:
         if tag in BLOCK:
             block = None
             # a block's start ends an open paragraph and what was opened in it
-            if any(e[0] == "p" for e in stack):
-                k = max(i for i, e in enumerate(stack) if e[0] == "p")
-                if not any(e[0] in BLOCK for e in stack[k + 1:]):
-                    del stack[k:]
+            if stack[stack[-1][5]][0] == "p":
+                close(stack[-1][5])
             ended = ENDS.get(tag)
             if ended and stack[-1][0] in ended:
-                stack.pop()
+                close(len(stack) - 1)
         if tag in VOID or m["attrs"].endswith("/"):
             continue
-        _, _, score, tags, link = stack[-1]
+        _, _, score, tags, link, holder = stack[-1]
         number += 1
+        opened[tag] += 1
         stack.append((tag, number, score + _element_score(tag, m["attrs"], tags, w),
-                      tags | {tag}, link or tag == "a"))
+                      tags | {tag}, link or tag == "a",
+                      len(stack) if tag in BLOCK else holder))
     rest = page[at:]
     cut = re.search(r"<[a-zA-Z/!?][^>]*\Z", rest)
     text(rest[:cut.start()] if cut else rest)
@@ -194,43 +202,71 @@ def evidence(b: Block, w: Weights) -> float:
             + w.links * min(1.0, b.link_words / max(1, b.words)))
 
 
+TINY = 1e-9
+
+
 def min_cut(odds: list[float], edges: dict[tuple[int, int], float]) -> list[bool]:
     """Which nodes stay with the source: capacities are the odds, edges work both ways.
 
-    Shortest augmenting paths; what no path can leave to the sink is content.
+    Blocking flows over level graphs: each round sends flow along all shortest paths at
+    once, so there are as many rounds as path lengths, which the small edges keep
+    few, not as many as paths. What the source still reaches at the end is content.
     """
     n = len(odds)
     supply, demand = [max(0.0, x) for x in odds], [max(0.0, -x) for x in odds]
-    left: list[dict[int, float]] = [{} for _ in range(n)]
+    to: list[list[int]] = [[] for _ in range(n)]  # arcs of a node: numbers into the three below
+    head, left = [], []
     for (i, j), c in edges.items():
-        left[i][j] = left[i].get(j, 0.0) + c
-        left[j][i] = left[j].get(i, 0.0) + c
-    tiny = 1e-9
+        to[i].append(len(head))
+        to[j].append(len(head) + 1)
+        head += [j, i]
+        left += [c, c]
     while True:
-        came: dict[int, int] = {i: -1 for i in range(n) if supply[i] > tiny}
-        queue, sink = list(came), -1
+        level, queue, found = [-1] * n, [], -1
+        for i in range(n):
+            if supply[i] > TINY:
+                level[i] = 0
+                queue.append(i)
         for i in queue:
-            if demand[i] > tiny:
-                sink = i
-                break
-            for j, c in left[i].items():
-                if c > tiny and j not in came:
-                    came[j] = i
-                    queue.append(j)
-        if sink < 0:
-            # no more flow: what the source still reaches is its side, and ties are content
-            return [i in came or odds[i] > 0 and demand[i] <= tiny and supply[i] > tiny
-                    for i in range(n)]
-        path = [sink]
-        while came[path[-1]] >= 0:
-            path.append(came[path[-1]])
-        flow = min([supply[path[-1]], demand[sink],
-                    *(left[a][b] for b, a in zip(path, path[1:]))])
-        supply[path[-1]] -= flow
-        demand[sink] -= flow
-        for b, a in zip(path, path[1:]):
-            left[a][b] -= flow
-            left[b][a] += flow
+            if demand[i] > TINY and found < 0:
+                found = level[i]
+            if 0 <= found <= level[i]:
+                continue  # farther nodes are no part of a shortest path
+            for a in to[i]:
+                if left[a] > TINY and level[head[a]] < 0:
+                    level[head[a]] = level[i] + 1
+                    queue.append(head[a])
+        if found < 0:
+            return [x >= 0 for x in level]
+        at = [0] * n
+        for source in range(n):
+            while supply[source] > TINY:
+                path, i = [], source
+                while True:
+                    if level[i] == found and demand[i] > TINY:
+                        break
+                    arcs = to[i]
+                    while at[i] < len(arcs) and not (
+                            left[arcs[at[i]]] > TINY
+                            and level[head[arcs[at[i]]]] == level[i] + 1 <= found):
+                        at[i] += 1
+                    if at[i] < len(arcs):
+                        path.append(arcs[at[i]])
+                        i = head[arcs[at[i]]]
+                    elif path:  # a dead end: step back and past it
+                        i = head[path.pop() ^ 1]
+                        at[i] += 1
+                    else:
+                        i = -1
+                        break
+                if i < 0 or level[source]:
+                    break
+                flow = min([supply[source], demand[i], *(left[a] for a in path)])
+                supply[source] -= flow
+                demand[i] -= flow
+                for a in path:
+                    left[a] -= flow
+                    left[a ^ 1] += flow
 
 
 def extract(page: str, w: Weights = Weights()) -> str:

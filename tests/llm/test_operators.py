@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -631,6 +632,22 @@ def test_min_cut_is_minimal():
         assert cost(html.min_cut(odds, edges)) == pytest.approx(best)
 
 
+def test_min_cut_of_long_and_deep_pages():
+    """Flows of all shortest paths at once, and no scan of the open elements per tag."""
+    n = 20_000
+    page = "<body>" + "".join(
+        f"<p>text words here number {i} and some more words in it</p><p><a href=x>link {i} one</a></p>"
+        for i in range(n // 2))
+    begun = time.monotonic()
+    assert html.extract(page).count("number") == n // 2
+    odds = [6.0 if i % 500 == 0 else -0.01 for i in range(n)]  # flows that go far
+    kept = html.min_cut(odds, {(i - 1, i): 0.4 for i in range(1, n)})
+    assert kept[0] and not kept[250] and sum(kept) < n
+    deep = "<div>" * n + "x" + "</div>" * n + "<span>" * 3000 + "<p>y y</p>" * 3000
+    assert html.extract(deep).startswith("x\n\ny y\n\ny y")
+    assert time.monotonic() - begun < 60
+
+
 def test_html_edges(spark):
     kind = "page_id long, url string, html string, text int, n_chars string"
     d = spark.createDataFrame([(1, None, None, 1, "x"), (None, "u", "", 1, "x"),
