@@ -11,8 +11,11 @@ Patterns are the only thing sent to the tasks, in blocks of items with at most
 ``block_bytes`` of text: the item table's size is measured, and a larger one is
 searched block by block, each pass adding to the columns of the pass before.
 
+The tables take some 45 bytes per word of the items, so a full block some 150 MB.
+
 Edge cases: null texts and items have no words and match nothing; a repeated
-item_id counts once; repeated documents are searched separately; an empty
+item_id counts once, a null one is the id None; an empty table of documents gives an
+empty table; repeated documents are searched separately; an empty
 benchmark leaves all documents clean. A very long text is read as a whole, in
 one task. Columns of documents are read by name, extra ones never clash.
 """
@@ -39,43 +42,63 @@ WORD_BYTES = byte_set((0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F))
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
+class Items:
+    """The words of some test items: one buffer, and where each word lies in it."""
+
+    def __init__(self, rows: list[tuple]):
+        self.ids = [str(item) for item, _ in rows]
+        texts = [(text or "").encode() for _, text in rows]
+        raw, start, end, hashes, count, at = [], [], [], [], [], 0
+        for lo, hi in chunks(texts, CHUNK):
+            w = Words(texts[lo:hi], WORD_BYTES)
+            raw.append(w.raw.lower())
+            start.append(w.start + at)
+            end.append(w.end + at)
+            hashes.append(w.hash)
+            count.append(np.diff(w.first))
+            at += len(w.raw)
+        join = lambda parts, kind: np.concatenate(parts) if parts else np.empty(0, kind)
+        self.raw = b"".join(raw)
+        self.start, self.end = join(start, np.int64), join(end, np.int64)
+        self.hash, self.count = join(hashes, np.uint64), join(count, np.int64)
+
+    def word(self, i: int) -> bytes:
+        return self.raw[self.start[i]:self.end[i]]
+
+
 class Patterns:
-    """The tables for patterns of one length in words."""
-
-    def __init__(self, length: int, found: dict[tuple[bytes, ...], set[str]]):
-        self.length, self.block = length, min(2, length)
-        self.words = list(found)
-        self.items = [sorted(found[w]) for w in self.words]
-        w = Words([b" ".join(p) for p in self.words], WORD_BYTES)
-        h = w.hash.reshape(len(self.words), length)
-        self.bits = np.uint64(64 - min(22, max(12, int(8 * len(h) * length).bit_length())))
+    """The tables for the items' windows of one length in words.
+
+    A window is its first word's number and its item: 20 bytes beside the items' words.
+    """
+
+    def __init__(self, length: int, items: Items, at: np.ndarray, item: np.ndarray):
+        self.length, self.block, self.items = length, min(2, length), items
+        h = items.hash
+        self.bits = np.uint64(64 - min(22, max(12, int(8 * len(at) * length).bit_length())))
         top = length - self.block + 1
         self.shift = np.full(1 << int(64 - int(self.bits)), top, np.uint8)
         for j in range(top):  # block that ends at word j + block - 1
-            at = self.slot(h, j)
-            np.minimum.at(self.shift, at, np.uint8(min(255, top - 1 - j)))
-        # suffix buckets: patterns sorted by the hash of all their words
-        whole = self.whole(h, np.zeros(len(h), np.int64), rows=True)
-        self.order = np.argsort(whole, kind="stable")
-        self.sorted = whole[self.order]
-
-    def slot(self, h: np.ndarray, j: int) -> np.ndarray:
-        code = h[:, j] * _STEP if self.block == 2 else h[:, j]
-        return (mix(code + h[:, j + 1]) if self.block == 2 else mix(code)) >> self.bits
+            np.minimum.at(self.shift, self.end_slot(h, at + j + self.block - 1),
+                          np.uint8(min(255, top - 1 - j)))
+        # suffix buckets: windows sorted by the hash of all their words
+        whole = self.whole(h, at)
+        order = np.argsort(whole, kind="stable")
+        self.sorted, self.at, self.item = whole[order], at[order], item[order]
 
     def end_slot(self, h: np.ndarray, end: np.ndarray) -> np.ndarray:
         if self.block == 2:
             return mix(h[end - 1] * _STEP + h[end]) >> self.bits
         return mix(h[end]) >> self.bits
 
-    def whole(self, h: np.ndarray, at: np.ndarray, rows: bool = False) -> np.ndarray:
+    def whole(self, h: np.ndarray, at: np.ndarray) -> np.ndarray:
         out = np.zeros(len(at), np.uint64)
         for k in range(self.length):
-            out = mix(out * _STEP + (h[:, k] if rows else h[at + k]))
+            out = mix(out * _STEP + h[at + k])
         return out
 
-    def search(self, w: Words) -> Iterator[tuple[int, int]]:
-        """(first word, pattern) of each occurrence; no window spans two texts."""
+    def search(self, w: Words) -> Iterator[tuple[int, set[str]]]:
+        """(first word, ids of the items) of each occurrence; no window spans two texts."""
         n = np.diff(w.first)
         lanes = []
         for lo, count in zip(w.first[:-1][n >= self.length], n[n >= self.length]):
@@ -96,24 +119,30 @@ class Patterns:
         key = self.whole(w.hash, at)
         lo = np.searchsorted(self.sorted, key, side="left")
         hi = np.searchsorted(self.sorted, key, side="right")
+        items, words = self.items, range(self.length)
         for i in np.flatnonzero(lo < hi):
-            own = tuple(w.word(at[i] + k) for k in range(self.length))
-            for p in self.order[lo[i]:hi[i]]:
-                if self.words[p] == own:
-                    yield int(at[i]), int(p)
+            own = [w.word(at[i] + k) for k in words]
+            found = {items.ids[self.item[p]] for p in range(lo[i], hi[i])
+                     if all(items.word(self.at[p] + k) == own[k] for k in words)}
+            if found:
+                yield int(at[i]), found
 
 
-def build(items: list[tuple], window: int = WINDOW) -> list[Patterns]:
+def build(rows: list[tuple], window: int = WINDOW) -> list[Patterns]:
     """Tables by length from (item_id, text) rows."""
-    by_length: dict[int, dict[tuple[bytes, ...], set[str]]] = {}
-    for item, text in items:
-        w = Words([(text or "").encode()], WORD_BYTES)
-        own = [w.word(i) for i in range(len(w.start))]
-        if own:
-            n = min(window, len(own))
-            for i in range(len(own) - n + 1):
-                by_length.setdefault(n, {}).setdefault(tuple(own[i:i + n]), set()).add(str(item))
-    return [Patterns(n, found) for n, found in sorted(by_length.items())]
+    items = Items(rows)
+    n = items.count
+    first = np.cumsum(n) - n
+    length = np.minimum(n, window)
+    out = []
+    for m in np.unique(length[length > 0]).tolist():
+        own = np.flatnonzero(length == m)
+        windows = n[own] - m + 1
+        item = np.repeat(own, windows)
+        at = np.repeat(first[own] - (np.cumsum(windows) - windows), windows) \
+            + np.arange(len(item))
+        out.append(Patterns(m, items, at, item.astype(np.int32)))
+    return out
 
 
 def item_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple]]:
@@ -161,11 +190,11 @@ def _searcher(sent, text: int):
                 hit: dict[int, list[tuple[int, int]]] = {}
                 ids: dict[int, set[str]] = {}
                 for t in tables:
-                    for at, p in t.search(w):
+                    for at, found in t.search(w):
                         i = int(np.searchsorted(w.first, at, side="right")) - 1
                         at -= int(w.first[i])
                         hit.setdefault(i, []).append((at, at + t.length))
-                        ids.setdefault(i, set()).update(t.items[p])
+                        ids.setdefault(i, set()).update(found)
                 for i in range(hi - lo):
                     old = [(s["lo"], s["hi"]) for s in before[lo + i] or []]
                     spans.append(_merged(old + hit.get(i, [])))

@@ -499,16 +499,25 @@ def test_wu_manber_equals_scan():
     for n in (1, 2, 3, 10):
         text = [rng.choice("abc") for _ in range(400)]
         pats = {tuple(x.encode() for x in text[k:k + n]) for k in rng.sample(range(380), 8)}
-        t = decontam.Patterns(n, {p: {"i"} for p in pats})
+        t, = decontam.build([(b" ".join(p).decode(), b" ".join(p).decode()) for p in pats], n)
         raw = " ".join(text).encode()
         w = decontam.Words([raw, b"", raw], decontam.WORD_BYTES)
-        got = sorted((at, t.words[p]) for at, p in t.search(w))
+        got = sorted((at, tuple(x.encode() for x in p.split()))
+                     for at, found in t.search(w) for p in found)
         want = sorted((at + d, tuple(x.encode() for x in text[at:at + n])) for d in (0, 400)
                       for at in range(400 - n + 1)
                       if tuple(x.encode() for x in text[at:at + n]) in pats)
         assert got == want
 
 
+def test_wu_manber_tables_stay_small():
+    """Of a block of items: its words' places and windows, not copies of their words."""
+    import pickle
+    text = " ".join(f"w{i * 7919 % 100_003}" for i in range(100_000))
+    tables = decontam.build([(k, text[k * 5000:(k + 1) * 5000]) for k in range(len(text) // 5000)])
+    assert len(pickle.dumps(tables, 5)) < 12 * len(text) + (1 << 23)
+
+
 # 8 ----------------------------------------------------------------- SimHash
 
 def slow_fingerprint(text):
