@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.session import scratch_path, shared_dir
@@ -39,6 +39,29 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# monotonically_increasing_id: partition above these bits, place in it below.
+PLACE_BITS = 33
+
+
+def ranked(df: DataFrame, order: list[str], rank: str, name: str) -> DataFrame:
+    """df, stored, with each row's place (from 0) in the order of these columns, nulls last.
+
+    Rows are range-partitioned and sorted; places in partitions and counts of the partitions
+    before make the rank. The counts, a row per shuffle partition, are broadcast.
+    """
+    mid, part, before = (fresh(df.columns, c) for c in ("mid", "part", "before"))
+    by = [F.col(c).asc_nulls_last() for c in order]
+    own = materialize(df.repartitionByRange(*by).sortWithinPartitions(*by)
+                      .withColumn(mid, F.monotonically_increasing_id()), name)
+    own = own.withColumn(part, F.shiftright(mid, PLACE_BITS))
+    upto = Window.orderBy(part)  # one row per partition
+    counts = own.groupBy(part).agg(F.count("*").alias("n")).select(
+        part, (F.sum("n").over(upto) - F.col("n")).alias(before))
+    at = F.col(mid).bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    return own.join(F.broadcast(counts), part).select(
+        *[F.col(f"`{c}`") for c in df.columns], (F.col(before) + at).alias(rank))
+
+
 def fresh(columns: list[str], base: str) -> str:
     """A column name that clashes with none of ``columns`` (in any case)."""
     taken, name = {c.lower() for c in columns}, base

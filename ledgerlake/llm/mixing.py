@@ -8,12 +8,14 @@ numbers, a new one for each round, and slots and blocks are joined by number.
 
 A hot source is only a third of evenly spread (source, block) keys; its
 stream offsets come from a two-level prefix sum, never from one sorted group.
-The source list (one row per source) is the only thing that is broadcast, and
-its size is checked.
+Sources are a table like any other, of any number: their targets come from sums over
+it, and shards draw in two steps, first how many slots go to each group of
+``GROUP_SOURCES`` sources, then to the sources in it. Only sums per group reach the driver.
 
 Edge cases: a null text has no words and is in no block; a null source is a
 source of its own, last in order; repeated rows are packed and counted
-separately; an empty table gives an empty mix. Draws beyond ``max_repeat``
+separately, in one bucket if they are equal in id, source and text; an empty table
+gives an empty mix. A very long text is one row of many blocks. Draws beyond ``max_repeat``
 rounds of a source are not used. Only doc_id, source and text are read, so
 extra columns never clash.
 """
@@ -27,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import WORD, materialize, mix, prepare, word_count
+from ledgerlake.llm.common import WORD, materialize, mix, prepare, ranked, word_count
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_REPEAT = 3
@@ -35,35 +37,39 @@ BLOCK_WORDS = 32
 SHARD_SLOTS = 4096
 SEED = 11
 TASK_SLOTS = 250_000
-# The source list is collected and broadcast; more sources raise an error.
-MAX_SOURCES = 100_000
+# Sources that a shard draws among in one go.
+GROUP_SOURCES = 50_000
 # Prefix sums run over about so many rows each, and over at most so many sums of them.
 OFFSET_BUCKET_ROWS = 2_000
 MAX_OFFSET_BUCKETS = 100_000
 SHARD_GROUP = 1024
 
 
-def source_targets(sizes: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT) -> list[dict]:
-    """Rows sid, source, source_size, target; the excess over the cap is reshared by weight."""
-    rows = sizes.groupBy("source").agg(F.sum("size").alias("source_size")) \
-        .limit(MAX_SOURCES + 1).collect()
-    if len(rows) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources: merge them before mixing")
-    rows = sorted(rows, key=lambda r: (r.source is None, (r.source or "").encode()))
-    total = float(sum(r.source_size for r in rows))
-    out = [{"sid": i, "source": r.source, "source_size": int(r.source_size), "target": 0.0,
-            "weight": float(weights[i % len(weights)])} for i, r in enumerate(rows)]
-    free, left = out, total
-    while free and left > 0:
-        unit = left / sum(r["weight"] for r in free)
-        over = [r for r in free if unit * r["weight"] > max_repeat * r["source_size"]]
-        for r in over or free:
-            r["target"] = float(max_repeat * r["source_size"]) if over else unit * r["weight"]
-        if not over:
+def source_targets(sizes: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataFrame:
+    """Rows sid, source, source_size, target; the excess over the cap is reshared by weight.
+
+    Where some sources are over their cap, the others' unit grows, so a source that is over once
+    stays so: rounds of sums go on until no source is added.
+    """
+    rows = sizes.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
+    rows = ranked(rows, ["source"], "sid", "mix-sources")
+    turn = F.pmod("sid", F.lit(len(weights)))
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (turn + 1).cast("int"))
+    rows = rows.withColumn("weight", weight)
+    cap = max_repeat * F.col("source_size")
+    total, unit, over, before = None, 0.0, F.lit(False), -1
+    while True:
+        n, size, capped, free = rows.agg(
+            F.count_if(over), F.coalesce(F.sum("source_size"), F.lit(0)),
+            F.coalesce(F.sum(F.when(over, cap)), F.lit(0)),
+            F.coalesce(F.sum(F.when(~over, F.col("weight"))), F.lit(0.0))).first()
+        total = float(size)
+        if n == before or not free:
             break
-        left -= sum(r["target"] for r in over)
-        free = [r for r in free if unit * r["weight"] <= max_repeat * r["source_size"]]
-    return out
+        before, unit = n, (total - capped) / free
+        over = F.lit(unit) * F.col("weight") > cap
+    target = F.when(over, cap.cast("double")).otherwise(F.lit(unit) * F.col("weight"))
+    return rows.select("sid", "source", "source_size", target.alias("target"))
 
 
 def permuted(x: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -85,8 +91,8 @@ def packed(docs: DataFrame, by_source: DataFrame) -> DataFrame:
     """docs (doc_id, source, size, ...) with sid and offset, its place in the source's stream."""
     n = docs.count()
     buckets = min(MAX_OFFSET_BUCKETS, max(1, n // OFFSET_BUCKET_ROWS))
-    d = docs.join(F.broadcast(by_source), docs["source"].eqNullSafe(by_source["__source"])) \
-        .drop("__source").withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)))
+    d = docs.join(by_source, docs["source"].eqNullSafe(by_source["__source"])) \
+        .drop("__source").withColumn("bucket", F.pmod("k1", F.lit(buckets)))
     sums = d.groupBy("sid", "bucket").agg(F.sum("size").alias("n"))
     base = sums.select("sid", "bucket", (F.sum("n").over(
         Window.partitionBy("sid").orderBy("bucket")) - F.col("n")).alias("base"))
@@ -97,45 +103,62 @@ def packed(docs: DataFrame, by_source: DataFrame) -> DataFrame:
         .withColumn("offset", F.col("base") + F.col("inside")).drop("inside", "base", "bucket")
 
 
-def draw_slots(spark, sources: list[dict], block_words: int = BLOCK_WORDS,
+def draw_slots(sources: DataFrame, block_words: int = BLOCK_WORDS,
                max_repeat: int = MAX_REPEAT, shard_slots: int = SHARD_SLOTS,
-               seed: int = SEED) -> DataFrame:
-    """Rows shard, slot, sid, epoch, block: which block of which source fills each output slot."""
-    live = [s for s in sources if s["source_size"] > 0 and s["target"] > 0]
-    sid = np.array([s["sid"] for s in live], np.int64)
-    n = np.array([-(-s["source_size"] // block_words) for s in live], np.int64)
-    want = np.array([s["target"] / s["source_size"] for s in live]) * n
-    shards = max(1, int(np.ceil(want.sum() / shard_slots))) if live else 0
-    per = want / max(1, shards)
-    sure = np.floor(per + 1e-9).astype(np.int64)
-    rest = np.clip(per - sure, 0, None)
-    extra = rest.sum()
+               seed: int = SEED, group_sources: int = GROUP_SOURCES) -> DataFrame:
+    """Rows shard, sid, epoch, block: which block of which source fills each output slot."""
+    spark = sources.sparkSession
+    blocks = F.ceil(F.col("source_size") / block_words)
+    live = sources.where("source_size > 0 AND target > 0").select(
+        "sid", blocks.alias("n"), (F.col("target") / F.col("source_size") * blocks).alias("want"))
+    groups = live.groupBy(F.expr(f"sid div {group_sources}").alias("g")).agg(
+        F.sort_array(F.collect_list(F.struct("sid", "n", "want"))).alias("s"))
+    groups = materialize(groups.select("g", "s.sid", "s.n", "s.want"), "mix-groups")
+    # sums are taken in the order of sources, so that reruns agree
+    in_turn = lambda x: F.aggregate(x, F.lit(0.0), lambda a, y: a + y)
+    wanted = sum(r[0] for r in groups.orderBy("g").select(in_turn("want")).collect())
+    shards = max(1, int(np.ceil(wanted / shard_slots))) if wanted else 0
+    part = lambda w: w / max(1, shards)
+    rest = lambda w: F.greatest(F.lit(0.0), part(w) - F.floor(part(w) + 1e-9))
+    per_group = groups.orderBy("g").select("g", in_turn(F.transform("want", rest))).collect()
+    numbers = {r[0]: i for i, r in enumerate(per_group)}
+    group_rest = np.array([r[1] for r in per_group])
+    extra = float(group_rest.sum())
 
     def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = []
-            for shard in b["id"]:
-                rng = np.random.default_rng([seed, int(shard)])
-                # a fractional total is rounded at random, so its expectation is kept
-                c = sure.copy()
-                if extra > 1e-9:
-                    c = c + rng.multinomial(int(np.floor(extra + rng.random())), rest / extra)
-                hit = np.flatnonzero(c)
-                out.append(pd.DataFrame({"shard": shard, "i": hit, "n": c[hit],
-                                         "grp": shard // SHARD_GROUP}))
-            if out:
+            for g, sid, n, want, grp in zip(b["g"], b["sid"], b["n"], b["want"], b["grp"]):
+                per = np.asarray(want, float) / shards
+                sure = np.floor(per + 1e-9).astype(np.int64)
+                left = np.clip(per - sure, 0, None)
+                sid, n, out = np.asarray(sid, np.int64), np.asarray(n, np.int64), []
+                for shard in range(grp * SHARD_GROUP, min(shards, (grp + 1) * SHARD_GROUP)):
+                    # a fractional total is rounded at random, so its expectation is kept
+                    c, own = sure, 0
+                    if extra > 1e-9:
+                        rng = np.random.default_rng([seed, shard])
+                        own = rng.multinomial(int(np.floor(extra + rng.random())),
+                                              group_rest / extra)[numbers[g]]
+                    if own:
+                        rng = np.random.default_rng([seed, shard, int(g) + 1])
+                        c = c + rng.multinomial(own, left / left.sum())
+                    hit = np.flatnonzero(c)
+                    out.append(pd.DataFrame({"shard": shard, "sid": sid[hit], "blocks": n[hit],
+                                             "n": c[hit], "grp": grp}))
                 yield pd.concat(out)
 
-    tasks = max(1, min(shards, spark.sparkContext.defaultParallelism * 4))
-    drawn = spark.range(0, shards, 1, tasks).mapInPandas(
-        counts, "shard long, i long, n long, grp long")
-    base = drawn.groupBy("i", "grp").agg(F.sum("n").alias("g"))
-    base = base.select("i", "grp", (F.sum("g").over(
-        Window.partitionBy("i").orderBy("grp")) - F.col("g")).alias("base"))
-    inside = Window.partitionBy("i", "grp").orderBy("shard").rowsBetween(
+    chunks = F.explode(F.sequence(F.lit(0), F.lit(max(0, (shards - 1) // SHARD_GROUP))))
+    drawn = groups.withColumn("grp", chunks).where(F.lit(shards > 0)) \
+        .repartition("g", "grp").mapInPandas(
+            counts, "shard long, sid long, blocks long, n long, grp long")
+    base = drawn.groupBy("sid", "grp").agg(F.sum("n").alias("g"))
+    base = base.select("sid", "grp", (F.sum("g").over(
+        Window.partitionBy("sid").orderBy("grp")) - F.col("g")).alias("base"))
+    inside = Window.partitionBy("sid", "grp").orderBy("shard").rowsBetween(
         Window.unboundedPreceding, 0)
     placed = drawn.withColumn("j", F.sum("n").over(inside) - F.col("n")).join(
-        base, ["i", "grp"]).select("shard", "i", "n", (F.col("base") + F.col("j")).alias("j"))
+        base, ["sid", "grp"]).select("shard", "sid", "blocks", "n",
+                                     (F.col("base") + F.col("j")).alias("j"))
 
     def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -143,18 +166,20 @@ def draw_slots(spark, sources: list[dict], block_words: int = BLOCK_WORDS,
                 continue
             k = b["n"].to_numpy()
             within = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
-            i = np.repeat(b["i"].to_numpy(), k)
+            sid = np.repeat(b["sid"].to_numpy(), k)
+            n = np.repeat(b["blocks"].to_numpy(), k)
             j = np.repeat(b["j"].to_numpy(), k) + within
-            epoch = j // n[i]
-            key = mix(np.uint64(seed) + mix(sid[i].astype(np.uint64) * np.uint64(1 << 20)
+            epoch = j // n
+            key = mix(np.uint64(seed) + mix(sid.astype(np.uint64) * np.uint64(1 << 20)
                                             + epoch.astype(np.uint64)))
             yield pd.DataFrame({
-                "shard": np.repeat(b["shard"].to_numpy(), k), "sid": sid[i], "epoch": epoch,
-                "block": permuted(j % n[i], n[i], key)})[epoch < max_repeat]
+                "shard": np.repeat(b["shard"].to_numpy(), k), "sid": sid, "epoch": epoch,
+                "block": permuted(j % n, n, key)})[epoch < max_repeat]
 
     # a few counts become very many slots: deal them out by what they become
-    tasks = max(1, int(want.sum()) // TASK_SLOTS)
-    return placed.repartition(tasks, "shard", "i").mapInPandas(fill, "shard long, sid long, epoch long, block long")
+    tasks = max(1, int(wanted) // TASK_SLOTS)
+    return placed.repartition(tasks, "shard", "sid").mapInPandas(
+        fill, "shard long, sid long, epoch long, block long")
 
 
 def _parts(spark, docs: DataFrame, with_text: bool, weights, block_words, max_repeat, seed):
@@ -168,11 +193,9 @@ def _parts(spark, docs: DataFrame, with_text: bool, weights, block_words, max_re
         d = materialize(d, "mix-sizes")
     sizes = materialize(d.drop("text"), "mix-sizes") if with_text else d
     sources = source_targets(sizes, weights, max_repeat)
-    by_source = spark.createDataFrame(
-        [(s["sid"], s["source"], s["source_size"], s["target"]) for s in sources],
-        "sid long, __source string, source_size long, target double")
-    slots = draw_slots(spark, sources, block_words, max_repeat, seed=seed)
-    return d, sizes, by_source, slots
+    sources = materialize(sources, "mix-targets")
+    slots = draw_slots(sources, block_words, max_repeat, seed=seed)
+    return d, sizes, sources.withColumnRenamed("source", "__source"), slots
 
 
 def _pieces(placed: DataFrame, block_words: int, *more: str) -> DataFrame:
@@ -207,18 +230,10 @@ def mix_documents(spark, docs: DataFrame, weights=WEIGHTS, block_words: int = BL
                   max_repeat: int = MAX_REPEAT, seed: int = SEED) -> DataFrame:
     """The mix itself: shard, source, epoch, block, n_words, doc_ids, text; a row per slot."""
     d, sizes, by_source, slots = _parts(spark, docs, True, weights, block_words, max_repeat, seed)
-    placed = materialize(packed(sizes, by_source), "mix-placed")
-    spots = placed.where("size > 0").select(
-        F.col("k1").alias("p1"), F.col("k2").alias("p2"), "sid", "offset",
-        F.row_number().over(Window.partitionBy("k1", "k2").orderBy("offset")).alias("p_nth"))
-    # Repeated rows have equal keys; the nth of a key takes the nth spot. The comparison is
-    # no join key, so that the window's partitioning serves the join and texts move once.
-    words = d.where("size > 0").withColumn("nth", F.row_number().over(
-        Window.partitionBy("k1", "k2").orderBy("size")))
-    joined = words.join(spots, (F.col("k1") == F.col("p1")) & (F.col("k2") == F.col("p2"))
-                        & (F.abs(F.col("nth") - F.col("p_nth")) < 1))
-    split = joined.select("doc_id", "source", "sid", "offset", "size", F.regexp_extract_all(
-        "text", F.lit(f"({WORD})"), F.lit(0)).alias("words"))
+    # texts go with their rows: they move once, and equal rows need no telling apart
+    split = packed(d, by_source).where("size > 0").select(
+        "doc_id", "source", "sid", "offset", "size", F.regexp_extract_all(
+            "text", F.lit(f"({WORD})"), F.lit(0)).alias("words"))
     first = F.floor(F.col("offset") / block_words)
     last = F.floor((F.col("offset") + F.col("size") - 1) / block_words)
 

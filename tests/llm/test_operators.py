@@ -668,22 +668,58 @@ def test_html_edges(spark):
 
 # 10 ------------------------------------------------------------------- mixing
 
-def test_targets():
-    from types import SimpleNamespace as N
-
-    class Sizes:
-        def groupBy(self, *_): return self
-        def agg(self, *_): return self
-        def limit(self, _): return self
-        def collect(self):
-            return [N(source=None, source_size=50), N(source="é", source_size=10),
-                    N(source="z", source_size=100), N(source="a", source_size=40)]
-    import unittest.mock as m
-    with m.patch.object(mixing.F, "sum"):
-        got = {s["source"]: s["target"] for s in mixing.source_targets(Sizes())}
-    # weights a 5, z 2, é 1, null 5; a is capped at 120, the rest go by weight
+def test_targets(spark):
+    sizes = spark.createDataFrame([(None, 50), ("é", 10), ("z", 60), ("z", 40), ("a", 40)],
+                                  "source string, size long")
+    got = {s["source"]: s["target"] for s in mixing.source_targets(sizes).collect()}
+    # weights a 5, z 2, é 1, null 5; none is over three times its size
     assert got == {"a": pytest.approx(200 * 5 / 13), "z": pytest.approx(200 * 2 / 13),
                    "é": pytest.approx(200 / 13), None: pytest.approx(200 * 5 / 13)}
+    assert mixing.source_targets(sizes.limit(0)).count() == 0
+
+
+def test_targets_of_many_capped_sources(spark):
+    """Against resharing the excess source by source."""
+    rng = random.Random(8)
+    rows = [(f"s{i:04d}", rng.choice([0, 1, 3, 10, 1000])) for i in range(500)]
+    size = dict(rows)
+    weight = {s: (5.0, 2.0, 1.0)[i % 3] for i, s in enumerate(sorted(size))}
+    want, free, left = {}, set(size), float(sum(size.values()))
+    while free:
+        unit = left / sum(weight[s] for s in free)
+        over = {s for s in free if unit * weight[s] > 3 * size[s]}
+        if not over:
+            want.update({s: unit * weight[s] for s in free})
+            break
+        want.update({s: 3.0 * size[s] for s in over})
+        left -= sum(want[s] for s in over)
+        free -= over
+    got = {r.source: r.target for r in mixing.source_targets(
+        spark.createDataFrame(rows, "source string, size long")).collect()}
+    assert got == pytest.approx(want) and sum(got.values()) == pytest.approx(sum(size.values()))
+
+
+def test_draws_among_groups_of_sources(spark):
+    """More sources than one group: each still gets its expectation, no shard more than its slots."""
+    rows = [(i, f"s{i}", 3200 * (1 + i % 4), 3200.0 * (1 + i % 4)) for i in range(50)]
+    sources = spark.createDataFrame(rows, "sid long, source string, source_size long, target double")
+    runs = [mixing.draw_slots(sources, 32, shard_slots=200, group_sources=g) for g in (7, 1000)]
+    for slots in runs:
+        got = slots.groupBy("sid").count().collect()
+        for r in got:
+            assert r["count"] == pytest.approx(100 * (1 + r.sid % 4), rel=.2)
+        assert len(got) == 50 and slots.count() == pytest.approx(12_450, rel=.02)
+        assert sorted(slots.collect()) == sorted(slots.collect())
+        # a round of a source has each of its blocks once
+        assert slots.groupBy("sid", "epoch", "block").count().where("count > 1").count() == 0
+
+
+def test_mixing_of_repeated_rows(spark):
+    d = frame(spark, [(1, "one two three", "a")] * 300 + [(None, f"x{i} y", "b") for i in range(300)])
+    got = mixing.mix_usage(spark, d).collect()
+    assert len(got) == 600 and sum(r.size for r in got) == 1500
+    mixed = mixing.mix_documents(spark, d).collect()
+    assert sum(r.n_words for r in mixed) == sum(r.taken for r in got)
 
 
 def test_permutation_is_one():
