@@ -18,6 +18,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -159,7 +160,7 @@ def erase_table(table, keys: DataFrame, key: str = "customer_id",
     if None in days:
         touched = touched | F.col(by).isNull()
     table.replace_partitions(anti_join_delete(df.filter(touched), keys, key), by,
-                             days=days, cluster=False)
+                             days=days, cluster=False, sweep=True)
     return before, deleted
 
 
@@ -262,24 +263,24 @@ def stored_steps(spark: SparkSession, root: str) -> DataFrame:
 
 def erase_from_lake(lake, keys: DataFrame, targets=ERASURE_TARGETS,
                     optional=OPTIONAL_TARGETS, logs: dict[str, str] | None = None,
-                    ledger: StepLedger | None = None) -> list[tuple]:
+                    ledger: StepLedger | None = None, parallel: int = 4) -> list[tuple]:
     """Delete the keys from every target, and from the logs (label -> path).
 
+    ``parallel`` targets are worked on at once: they share nothing but the keys.
+
     Returns one tuple per target: (table_name, rows_before, rows_deleted,
     rows_kept, status, error). A target that is MISSING, or FAILED and so left
     as it was, makes the batch PARTIAL. With a ``ledger``, targets that it has as
     done are not read again.
     """
     keys = keys.cache()
-    rows = []
     reached = ledger.reached() if ledger else {}
 
-    def entry(label: str, work: Callable[[Callable], tuple[int, int]]) -> None:
+    def entry(label: str, work: Callable[[Callable], tuple[int, int]]) -> tuple:
         known = reached.get(label, {})
         if STEP_OK in known:
             before, deleted = known[STEP_OK]
-            rows.append((label, before, deleted, before - deleted, STEP_OK, None))
-            return
+            return label, before, deleted, before - deleted, STEP_OK, None
 
         def counted(before: int, deleted: int) -> None:
             if ledger and STEP_STARTED not in known:
@@ -289,30 +290,36 @@ def erase_from_lake(lake, keys: DataFrame, targets=ERASURE_TARGETS,
             before, deleted = work(counted)
             # what an attempt that was stopped had counted, and may have deleted already
             before, deleted = known.get(STEP_STARTED, (before, deleted))
-            rows.append((label, before, deleted, before - deleted, STEP_OK, None))
             if ledger:
                 ledger.write(label, STEP_OK, before, deleted)
+            return label, before, deleted, before - deleted, STEP_OK, None
         except Exception as e:  # keep the batch going; the audit names the error
             error = f"{type(e).__name__}: {str(e)[:500]}"
-            rows.append((label, 0, 0, 0, STEP_FAILED, error))
             if ledger:
                 ledger.write(label, STEP_FAILED, error=error)
+            return label, 0, 0, 0, STEP_FAILED, error
 
-    for layer, name, label in targets:
-        table = lake.table(layer, name)
-        if not table.exists():
-            rows.append((label, 0, 0, 0, STEP_MISSING, f"no table {table.name}"))
-        else:
-            entry(label, lambda counted: erase_table(table, keys, counted=counted))
-    for layer, name, label in optional:
+    def of_table(layer: str, name: str, label: str, required: bool) -> tuple | None:
         table = lake.table(layer, name)
         if table.exists():
-            entry(label, lambda counted: erase_table(table, keys, counted=counted))
-    for label, path in (logs or {}).items():
-        entry(label, lambda counted: erase_from_log(
+            return entry(label, lambda counted: erase_table(table, keys, counted=counted))
+        return (label, 0, 0, 0, STEP_MISSING, f"no table {table.name}") if required else None
+
+    def of_log(label: str, path: str) -> tuple:
+        return entry(label, lambda counted: erase_from_log(
             lake.spark, path, keys, f"{lake.root}/staging/{label}", counted=counted))
-    keys.unpersist()
-    return rows
+
+    work = [*[(of_table, (*t, True)) for t in targets], *[(of_table, (*t, False)) for t in optional],
+            *[(of_log, x) for x in (logs or {}).items()]]
+    try:
+        if parallel > 1:
+            with ThreadPoolExecutor(parallel) as pool:
+                rows = list(pool.map(lambda x: x[0](*x[1]), work))
+        else:
+            rows = [step(*args) for step, args in work]
+    finally:
+        keys.unpersist()
+    return [r for r in rows if r]
 
 
 def sla_status(requests: DataFrame, now: Column) -> DataFrame:

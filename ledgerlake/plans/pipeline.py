@@ -368,14 +368,14 @@ def open_batch(spark: SparkSession, lake: L.Lake) -> str | None:
 
 def run_erasure(spark: SparkSession, lake: L.Lake, requests: DataFrame | None,
                 run_ts: dt.datetime, to_key: Callable[[Column], Column] = erasure.same_key,
-                logs: dict[str, str] | None = None) -> dict:
+                logs: dict[str, str] | None = None, parallel: int = 4) -> dict:
     """Pending requests -> delete from the lake -> audit -> status -> notices.
 
     ``requests`` are inserted into the stored table first, and the new status is stored there:
     COMPLETE for the requests of a complete batch, REJECTED for malformed ids; requests of a
     PARTIAL batch stay PENDING for the next run. ``to_key`` maps a request's id to the tables'
-    key; ``logs`` are further Parquet logs (label -> path) to erase from. Returns the batch id,
-    the summary per table, and the stored requests.
+    key; ``logs`` are further Parquet logs (label -> path) to erase from; ``parallel`` targets
+    are worked on at once. Returns the batch id, the summary per table, and the stored requests.
 
     Each step is kept in a ledger. A run that finds a batch begun and not finished takes that
     one up, with the requests it began with, after its last finished step; requests
@@ -413,7 +413,7 @@ def run_erasure(spark: SparkSession, lake: L.Lake, requests: DataFrame | None,
         # record the suppression first: a crash after this point re-runs safely
         lake.table("control", "erased_customers").append(
             keys.select("customer_id", F.lit(batch_id).alias("batch_id")), ["customer_id"])
-        rows = erasure.erase_from_lake(lake, keys, logs=logs, ledger=ledger)
+        rows = erasure.erase_from_lake(lake, keys, logs=logs, ledger=ledger, parallel=parallel)
         erasure.audit_record(spark, batch_id, run_ts, n_valid, rows).coalesce(1) \
             .write.mode("overwrite").json(f"{audit_key}/header")
         erasure.audit_ids(valid, batch_id).write.mode("overwrite").json(f"{audit_key}/ids")

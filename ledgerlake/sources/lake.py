@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
@@ -105,29 +106,37 @@ class LakeTable:
             self._purge(old)
 
     def replace_partitions(self, df: DataFrame, partition_by: str, days: list | None = None,
-                           drop_others: bool = False, cluster: bool = True) -> None:
+                           drop_others: bool = False, cluster: bool = True,
+                           sweep: bool = False) -> None:
         """Replace the days that ``df`` holds, each by a swap of its folder.
 
         A day named in ``days`` that ``df`` leaves empty is dropped, if the table has it;
         nothing else is touched. The names of the days in this load reach the driver, as
-        catalog statements need them.
+        catalog statements need them. Of a few days the replaced folders are known and
+        deleted; with ``sweep``, or for many days, all loads are searched for
+        copies of these days, those of crashed loads included.
         """
         path = self._stage(df, partition_by, cluster)
         new_table = self._declare(df.schema, partition_by, path)
         staged = folders(self.spark, path)
-        there = set() if new_table else self._partitions(
-            None if drop_others else [f"{partition_by}={d}" for d in days or []] + staged)
-        add = [p for p in staged if p not in there]
+        named = None if drop_others else [f"{partition_by}={d}" for d in days or []] + staged
+        old = {} if new_table else self._partitions(named)
+        add = [p for p in staged if p not in old]
         if add:
             self.spark.sql(f"ALTER TABLE {self.name} ADD IF NOT EXISTS " + " ".join(
                 f"{spec_of(p)} LOCATION '{path}/{p}'" for p in add))
-        for p in (p for p in staged if p in there):
-            self.spark.sql(f"ALTER TABLE {self.name} {spec_of(p)} SET LOCATION '{path}/{p}'")
-        gone = sorted(there.difference(staged))
+        together(lambda p: self.spark.sql(
+            f"ALTER TABLE {self.name} {spec_of(p)} SET LOCATION '{path}/{p}'"),
+            [p for p in staged if p in old])
+        gone = sorted(set(old).difference(staged))
         if gone:
             self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS "
                            + ", ".join(map(spec_of, gone)))
-        self._purge_days(path, [*staged, *gone])
+        if sweep or None in old.values():
+            self._purge_days(path, [*staged, *gone])
+        else:
+            for folder in old.values():
+                self._purge(folder)
 
     def append(self, df: DataFrame, key: list[str]) -> int:
         """Insert the rows whose key the table does not hold; returns their number."""
@@ -155,13 +164,15 @@ class LakeTable:
             if self._partitions(None) != other._partitions(None):
                 raise ValueError(f"{other.name} was loaded in several steps")
 
-    def _partitions(self, wanted: list[str] | None) -> set[str]:
-        """The partitions the table has, of the wanted ones or of all."""
-        if wanted is not None and len(wanted) <= 8:
-            return {p for p in wanted if self.location(spec_of(p)) is not None}
+    def _partitions(self, wanted: list[str] | None) -> dict[str, str | None]:
+        """The partitions the table has, of the wanted ones or of all, with their folders where
+        few were asked for."""
+        if wanted is not None and len(set(wanted)) <= FEW_DAYS:
+            found = {p: self.location(spec_of(p)) for p in dict.fromkeys(wanted)}
+            return {p: at for p, at in found.items() if at is not None}
         have = {r["partition"] for r in
                 self.spark.sql(f"SHOW PARTITIONS {self.name}").collect()}
-        return have if wanted is None else have & set(wanted)
+        return dict.fromkeys(have if wanted is None else have & set(wanted))
 
     def _purge(self, path: str | None) -> None:
         """Delete a replaced folder, if it is this table's own."""
@@ -170,12 +181,33 @@ class LakeTable:
             fs.delete(target, True)
 
     def _purge_days(self, path: str, days: list[str]) -> None:
-        """Delete these days' folders of all earlier loads (a crashed one's too)."""
-        fs, root = file_system(self.spark, self.root)
-        for load in (f.getPath() for f in fs.listStatus(root) if f.isDirectory()):
-            if load.getName() != path.rsplit("/", 1)[-1]:
-                for name in set(days).intersection(folders(self.spark, load.toString())):
-                    fs.delete(file_system(self.spark, f"{load.toString()}/{name}")[1], True)
+        """Delete these days' folders of all earlier loads (a crashed one's too), and loads
+        that are left without a day, so that only live ones are searched next time."""
+        own = path.rsplit("/", 1)[-1]
+
+        def sweep(load: str) -> None:
+            there = folders(self.spark, f"{self.root}/{load}")
+            for name in set(days).intersection(there):
+                delete(self.spark, f"{self.root}/{load}/{name}")
+            if there and not set(there).difference(days):
+                delete(self.spark, f"{self.root}/{load}")
+
+        together(sweep, [n for n in names(self.spark, self.root) if n != own])
+
+
+FEW_DAYS = 8
+# Catalog statements and folder listings that the driver has under way at once.
+DRIVER_CALLS = 8
+
+
+def together(call, items: list) -> None:
+    """call(item) for every item, a few at once; the first error is raised."""
+    if len(items) < 2:
+        for item in items:
+            call(item)
+        return
+    with ThreadPoolExecutor(DRIVER_CALLS) as pool:
+        list(pool.map(call, items))
 
 
 def norm(path: str) -> str:

@@ -22,7 +22,7 @@ class Stopped(BaseException):
 def lake(spark, monkeypatch):
     monkeypatch.setattr(erasure, "ERASURE_TARGETS", TARGETS)
     monkeypatch.setattr(erasure.erase_from_lake, "__defaults__",
-                        (TARGETS, (), None, None))
+                        (TARGETS, (), None, None, 4))
     lake = L.Lake.scratch(spark, "steps")
     ids = spark.createDataFrame([(f"CUST{i:04d}", i) for i in range(20)], "customer_id string, n int")
     lake.table("silver", "customers").write_snapshot(ids)
@@ -49,7 +49,7 @@ def state(lake):
 
 
 def run(spark, lake, reqs=None):
-    return pipeline.run_erasure(spark, lake, reqs, TS)
+    return pipeline.run_erasure(spark, lake, reqs, TS, parallel=1)
 
 
 @pytest.fixture(scope="module")
