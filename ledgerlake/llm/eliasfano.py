@@ -39,6 +39,7 @@ class EliasFano:
     def __init__(self, n: int, width: int, low: np.ndarray, high: np.ndarray):
         self.n, self.width, self.low, self.high = n, width, low, high
         self._starts: np.ndarray | None = None
+        self._ones: np.ndarray | None = None
 
     @staticmethod
     def arrays(values: np.ndarray, universe: int) -> tuple[int, np.ndarray, np.ndarray]:
@@ -84,6 +85,29 @@ class EliasFano:
         out[inside[hit]] = lo[hit]
         return out
 
+    def at(self, i: np.ndarray) -> np.ndarray:
+        """The values at these places: select over the ones, for a batch of queries."""
+        if self._ones is None:
+            self._ones = np.flatnonzero(np.unpackbits(np.asarray(self.high), bitorder="little"))
+        h = (self._ones[i] - i).astype(np.uint64)
+        return (h << np.uint64(self.width)) | _unpacked(self.low, self.width, i)
+
+    def between(self, x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """The place of each x among the values at places lo to hi (excluded), -1 if absent."""
+        out, lo, last = np.full(len(x), -1, np.int64), lo.copy(), hi
+        hi = hi.copy()
+        todo = np.flatnonzero(lo < hi)
+        while len(todo):  # halved: a frequent context has very many successors
+            mid = (lo[todo] + hi[todo]) >> 1
+            less = self.at(mid) < x[todo]
+            lo[todo[less]] = mid[less] + 1
+            hi[todo[~less]] = mid[~less]
+            todo = todo[lo[todo] < hi[todo]]
+        own = np.flatnonzero(lo < last)
+        hit = own[self.at(lo[own]) == x[own]]
+        out[hit] = lo[hit]
+        return out
+
     def values(self) -> np.ndarray:
         bits = np.unpackbits(np.asarray(self.high), bitorder="little")
         h = (np.flatnonzero(bits)[:self.n] - np.arange(self.n)).astype(np.uint64)
@@ -93,9 +117,11 @@ class EliasFano:
 class Trie:
     """Contexts, their successors, and the quantised log10 probabilities of those.
 
-    Level one: the contexts' hashes. Pointers: where each context's successors begin. Level two:
-    successor numbers relative to their context, one monotone sequence as each context adds its
-    own base. All arrays lie in one file that is mapped, not read.
+    Level one: the contexts' hashes. Pointers: where each context's successors begin and the
+    one before it ends. Level two: successor numbers relative to their context, one monotone
+    sequence as each context adds its own base. A bigram is found by its context's
+    place in level one, the two pointers there, and a search of the successors between them.
+    All arrays lie in one file that is mapped, not read.
     """
 
     def __init__(self, contexts: np.ndarray, degree: np.ndarray, successors: np.ndarray,
@@ -139,8 +165,10 @@ class Trie:
         w[w == len(self.words)] = 0
         known = (c >= 0) & (self.words[w] == word if len(self.words) else False)
         out = np.zeros(len(context), np.int64)
-        x = c[known].astype(np.uint64) * self.width + w[known].astype(np.uint64)
-        at = self.successors.find(x)
+        own = c[known]
+        begin, end = (self.pointers.at(own + k).astype(np.int64) for k in (0, 1))
+        x = own.astype(np.uint64) * self.width + w[known].astype(np.uint64)
+        at = self.successors.between(x, begin, end)
         out[known] = np.where(at >= 0, self.codes[np.maximum(at, 0)].astype(np.int64) + 1, 0) \
             if len(self.codes) else 0
         return out

@@ -144,7 +144,8 @@ class Bigrams:
         return np.bincount(self.token[self.train], minlength=len(self.vocab))
 
     def shards(self, hot: dict[int, int], shards: int):
-        """Per shard: (number, places of its words, places of its bigrams by context and word)."""
+        """Per shard that has any: (number, places of its words, of its bigrams by context and
+        word). A block meets only the shards of its own words, however many there are."""
         mixed = mix(self.vocab)
         home = (mixed % np.uint64(shards)).astype(np.int64)
         split = np.ones(len(self.vocab), np.int64)
@@ -156,14 +157,12 @@ class Bigrams:
         to = (home[self.context] + (mixed[self.word] >> np.uint64(20)).astype(np.int64)
               % split[self.context]) % shards
         # stable: bigrams of a shard stay grouped by context
-        order, cuts = np.argsort(to, kind="stable"), np.arange(shards + 1)
-        ends = np.searchsorted(to[order], cuts)
-        own = np.argsort(home, kind="stable")
-        own_ends = np.searchsorted(home[own], cuts)
-        for s in range(shards):
-            w, p = own[own_ends[s]:own_ends[s + 1]], order[ends[s]:ends[s + 1]]
-            if len(w) or len(p):
-                yield s, w, p
+        order, own = np.argsort(to, kind="stable"), np.argsort(home, kind="stable")
+        met = np.union1d(to, home)
+        cuts = [np.searchsorted(x, met, side) for x in (to[order], home[own])
+                for side in ("left", "right")]
+        for s, a, b, c, d in zip(met.tolist(), *cuts):
+            yield s, own[c:d], order[a:b]
 
 
 def _runs(context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
