@@ -1,15 +1,18 @@
 """Token counts without token ids.
 
-A text's pre-tokens are counted, each distinct pre-token is tokenised once,
-and its number of pieces is joined to the per-document frequencies. The
-distinct pre-tokens are those of an Arrow batch, with a bounded memory of
-earlier ones, so the join needs no shuffle and a task's memory is bounded.
+Texts are cut into pre-tokens and counted, block by block of some ``BLOCK_BYTES`` of text: a
+block keeps its distinct pre-tokens once, and for each document which of them it
+has and how often. The distinct pre-tokens of all blocks are tokenised, each once
+for the whole table; their numbers of pieces are joined to the blocks'
+pre-tokens, and multiplied by the frequencies and summed per document. What is
+shuffled is a block's distinct pre-tokens, not a document's, and no token id is kept.
 
 The file tells how texts are cut: special strings first (each is one token
 wherever it occurs, the library's default), then the pre-tokeniser's pattern.
 
 Edge cases: a null or empty text has 0 bytes and 0 tokens; repeated rows are
-counted separately; a very long text is cut as a whole; an empty table gives
+counted separately; a very long text is cut as a whole, and may be a block of its own; a
+pre-token that is in every block is split by Spark's skew join; an empty table gives
 an empty result. Only doc_id and text are read, so extra columns never clash.
 """
 
@@ -19,23 +22,27 @@ import json
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import prepare
+from ledgerlake.llm.common import materialize, prepare
 
 LIMIT = 512
-# Pre-tokens remembered by a task; beyond it the memory starts anew.
-MEMORY = 400_000
+BLOCK_BYTES = 8 << 20
+# Bytes of blocks in one Arrow batch.
+BATCH_BYTES = 32 << 20
 # Fixed value: the pattern of byte-level pre-tokenisers.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 class PieceCounter:
-    """Counts the tokens of texts for a byte-level tokenizer file."""
+    """Cuts texts for a byte-level tokenizer file, and counts the tokens of pre-tokens."""
 
-    def __init__(self, path: str, memory: int = MEMORY):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
@@ -51,55 +58,118 @@ class PieceCounter:
         names = sorted((t["content"] for t in special), key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, names))) if names else None
         self.pattern = regex.compile(BYTE_LEVEL)
-        self.pieces: dict[str, int] = {}
-        self.memory = memory
-
-    def counts(self, texts: list[str]) -> list[int]:
-        own, extra = [], []
-        for t in texts:
-            n, parts = 0, [t]
-            if self.special is not None and self.special.search(t):
-                parts = self.special.split(t)
-                n = len(parts) - 1
-            freq: Counter = Counter()
-            for p in parts:
-                freq.update(self.pattern.findall(p))
-            own.append(freq)
-            extra.append(n)
-        if len(self.pieces) > self.memory:
-            self.pieces = {}
-        new = list(set().union(*own).difference(self.pieces)) if own else []
-        for lo in range(0, len(new), 20_000):
-            part = new[lo:lo + 20_000]
-            encoded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            self.pieces.update(zip(part, map(len, encoded)))
-        known = self.pieces
-        return [n + sum(known[p] * c for p, c in f.items()) for f, n in zip(own, extra)]
-
-
-def token_counts(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
+
+    def cut(self, text: str) -> tuple[Counter, int]:
+        """(frequencies of the pre-tokens, special strings)."""
+        n, parts = 0, [text]
+        if self.special is not None and self.special.search(text):
+            parts = self.special.split(text)
+            n = len(parts) - 1
+        freq: Counter = Counter()
+        for p in parts:
+            freq.update(self.pattern.findall(p))
+        return freq, n
+
+    def pieces(self, pre_tokens: list[str]) -> list[int]:
+        return list(map(len, self.tokenizer.encode_batch_fast(pre_tokens, add_special_tokens=False)))
+
+
+def blocks(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Rows block, ids, n_bytes, specials, kinds (distinct pre-tokens per document), places (of
+    those in vocab, document by document), counts, vocab."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter, number = PieceCounter(path), TaskContext.get().partitionId() << 32
+        vocab: dict[str, int] = {}
+        ids, sizes, specials, kinds, places, counts, held = [], [], [], [], [], [], 0
+
+        def made() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([number]), pa.array([pa.concat_arrays(ids).to_pylist()],
+                                              pa.list_(ids[0].type)),
+                 pa.array([sizes], pa.list_(pa.int64())), pa.array([specials], pa.list_(pa.int64())),
+                 pa.array([kinds], pa.list_(pa.int32())), pa.array([places], pa.list_(pa.int32())),
+                 pa.array([counts], pa.list_(pa.int32())),
+                 pa.array([list(vocab)], pa.list_(pa.string()))],
+                names=["block", "ids", "n_bytes", "specials", "kinds", "places", "counts", "vocab"])
+
+        for b in batches:
+            for i, t in enumerate(b.column("text").to_pylist()):
+                freq, n = counter.cut(t or "")
+                ids.append(b.column("doc_id").slice(i, 1))
+                sizes.append(len((t or "").encode()))
+                specials.append(n)
+                kinds.append(len(freq))
+                places += [vocab.setdefault(p, len(vocab)) for p in freq]
+                counts += freq.values()
+                held += sizes[-1]
+                if held >= block_bytes:
+                    yield made()
+                    vocab, number = {}, number + 1
+                    ids, sizes, specials, kinds, places, counts, held = [], [], [], [], [], [], 0
+        if ids:
+            yield made()
+
+    return docs.select("doc_id", "text").mapInArrow(
+        run, f"block long, ids array<{kind}>, n_bytes array<long>, specials array<long>, "
+             "kinds array<int>, places array<int>, counts array<int>, vocab array<string>")
+
+
+def piece_counts(pre_tokens: DataFrame, path: str) -> DataFrame:
+    """Rows piece, n: the tokens of each distinct pre-token."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter, held = PieceCounter(path), []
+
+        def made() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(held, pa.string()), pa.array(counter.pieces(held), pa.int32())],
+                names=["piece", "n"])
+
+        for b in batches:
+            held += b.column("piece").to_pylist()
+            if len(held) >= 20_000:
+                yield made()
+                held = []
+        if held:
+            yield made()
+
+    return pre_tokens.select("piece").distinct().mapInArrow(run, "piece string, n int")
+
+
+def token_counts(docs: DataFrame, path: str, limit: int = LIMIT,
+                 block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Rows doc_id, n_bytes, n_tokens, over_limit for the tokenizer file at ``path``.
 
     The file must be at ``path`` on every executor.
     """
-    prepare(docs.sparkSession)
+    spark = docs.sparkSession
+    prepare(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    found = materialize(blocks(docs, path, block_bytes), "token-blocks")
+    own = found.select("block", F.posexplode("vocab").alias("place", "piece"))
+    pieces = materialize(piece_counts(own, path), "token-pieces")
+    joined = own.join(pieces, "piece").groupBy("block").agg(F.sort_array(F.collect_list(
+        F.struct("place", "n"))).alias("s")).select(F.col("block").alias("b"), "s.n")
+    rows = found.drop("vocab").join(joined, F.col("block") == F.col("b"), "left").drop("b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PieceCounter(path)
-        for b in batches:
-            texts = [t or "" for t in b.column("text").to_pylist()]
-            n: list[int] = []
-            lo = size = 0
-            for i, t in enumerate(texts):
-                size += len(t)
-                if size > 1_000_000 or i == len(texts) - 1:
-                    n += counter.counts(texts[lo:i + 1])
-                    lo, size = i + 1, 0
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([len(t.encode()) for t in texts], pa.int64()),
-                 pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())],
-                names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
+        for batch in batches:
+            for r in range(batch.num_rows):
+                ids, size, special, kinds, places, counts, n = (
+                    batch.column(c)[r].values for c in (
+                        "ids", "n_bytes", "specials", "kinds", "places", "counts", "n"))
+                ends = np.cumsum(kinds.to_numpy(zero_copy_only=False).astype(np.int64))
+                parts = np.zeros(1, np.int64)
+                if n is not None:
+                    each = n.to_numpy()[places.to_numpy()].astype(np.int64) * counts.to_numpy()
+                    parts = np.append(0, np.cumsum(each))
+                starts = np.append(0, ends[:-1])
+                tokens = parts[ends] - parts[starts] + special.to_numpy()
+                yield pa.RecordBatch.from_arrays(
+                    [ids, size, pa.array(tokens), pa.array(tokens > limit)],
+                    names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
+    return rows.mapInArrow(
         run, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")

@@ -462,12 +462,26 @@ def test_token_counts_edges(spark, edge, empty):
     path = str(public_tokenizers.path("byte_bpe_50k.json"))
     t = Tokenizer.from_file(path)
     assert tokens.token_counts(empty, path).count() == 0
-    assert sorted(r.n_tokens for r in tokens.token_counts(edge, path).collect()) == sorted(
-        len(t.encode(x or "").ids) for _, x, _ in EDGE)
-    c = tokens.PieceCounter(path, memory=2)
+    for block_bytes in (tokens.BLOCK_BYTES, 10):  # one block a task, then one a document
+        got = tokens.token_counts(edge, path, block_bytes=block_bytes).collect()
+        assert sorted(r.n_tokens for r in got) == sorted(
+            len(t.encode(x or "").ids) for _, x, _ in EDGE)
+    c = tokens.PieceCounter(path)
     for text in ("a<|endoftext|>b <|endoftext|>", "  lead", "x  \n\n  y\t", "don't we'll 12 345",
                  "<|endoftext|", "  　z", "🙂🙂 naïve", "\r\n", "1²³ á"):
-        assert c.counts([text]) == [len(t.encode(text).ids)]
+        freq, n = c.cut(text)
+        assert n + sum(k * m for k, m in zip(freq.values(), c.pieces(list(freq)))) == len(
+            t.encode(text).ids)
+
+
+def test_each_pre_token_is_tokenised_once(spark, edge):
+    """Of all documents together: distinct pieces, joined back to each block."""
+    import public_tokenizers
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    found = tokens.blocks(edge.repartition(3), path, 10)
+    own = found.select("block", F.posexplode("vocab").alias("place", "piece"))
+    got = [r.piece for r in tokens.piece_counts(own, path).collect()]
+    assert len(got) == len(set(got)) < own.count()
 
 
 # 7 ------------------------------------------------------------ decontamination
