@@ -291,6 +291,7 @@ def q(name: str, deps, body: str) -> None:
 
 
 q("gold_customer_360", ["customer_360"], "SELECT * FROM customer_360")
+q("gold_customer_360_raw", ["customer_360"], "SELECT * FROM customer_360")
 q("agg_transaction_summary", ["txn_summary"], "SELECT * FROM txn_summary")
 q("agg_ticket_summary", ["ticket_summary"], "SELECT * FROM ticket_summary")
 

@@ -77,6 +77,12 @@ def q_gold_customer_360(spark, sf_dir):
     return pipeline.customer_360_of(_clean_silver(spark, sf_dir), D.RUN_DATE, D.RUN_TS)
 
 
+@register("gold_customer_360_raw")
+def q_gold_customer_360_raw(spark, sf_dir):
+    """From the raw tables: dedup, validation and masking in the same plan, nothing stored."""
+    return gold_customer_360_df(spark, sf_dir)
+
+
 @register("agg_transaction_summary")
 def q_agg_transaction_summary(spark, sf_dir):
     return marts.transaction_summary(silver_transactions(spark, sf_dir))

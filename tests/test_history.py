@@ -1,6 +1,7 @@
 """Type-2 history and point-in-time joins on small frames."""
 import datetime as dt
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -150,9 +151,11 @@ def test_asof_never_sorts_all_of_a_key(spark):
     f = spark.range(1000).select("id", F.lit(1).cast("long").alias("k"), F.timestamp_seconds(
         F.col("id") * 3600).cast("timestamp_ntz").alias("t"))
     v = f.limit(3).select("k", F.col("t").alias("since"), F.lit("x").alias("tier"))
-    plan = H.asof_join(f, v, "k", "t", "since", ["tier"])._jdf.queryExecution().executedPlan() \
-        .toString()
-    windows = [line for line in plan.split("\n") if "Window [" in line or "Window (" in line]
-    keyed = [w for w in plan.split("Window [")[1:]]
-    assert any("_k" in w and "_day" in w.split("]")[1] for w in keyed) or windows
-    assert H.asof_join(f, v, "k", "t", "since", ["tier"]).count() == 1000
+    joined = H.asof_join(f, v, "k", "t", "since", ["tier"])
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    specs = re.findall(r"\[(_k#\d+L?(?:, _day#\d+)?)\], \[", plan)  # partitions of the windows
+    assert sorted("_day" in s for s in specs) == [False, True]
+    # the window over all of a key is fed by distinct days and versions
+    below = plan[[m.start() for m in re.finditer(r"\[_k#\d+L?\], \[", plan)][0]:]
+    assert "Aggregate [" in below
+    assert joined.count() == 1000
