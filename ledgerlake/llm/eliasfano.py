@@ -150,6 +150,7 @@ class Trie:
             for p in parts:
                 f.write(p.tobytes())
         self.map = np.memmap(self.path, np.uint8, "r")
+        os.unlink(self.path)  # the map keeps it: a task that fails leaves no file
         at, levels = 0, []
         for count, width, low, high in shape:
             levels.append(EliasFano(count, width, self.map[at:at + low],
@@ -175,4 +176,3 @@ class Trie:
 
     def close(self) -> None:
         del self.map, self.codes
-        os.unlink(self.path)

@@ -10,9 +10,10 @@ The classifier's weights are fixed parameters: no table labels blocks.
 
 Edge cases: a null or empty page, and a page without content, give an empty
 text; a page cut off in a tag, comment or script ends there; text outside any
-element is a block of its own; repeated rows are extracted separately. Pages
-are read one at a time, whole. Columns are selected by name, extra ones never
-clash.
+element is a block of its own; repeated rows are extracted separately; an empty
+table gives an empty table; a block whose cut costs the same on either side is
+boilerplate. Pages are read one at a time, whole, in time that grows with the page.
+Columns are selected by name, extra ones never clash.
 """
 
 from __future__ import annotations

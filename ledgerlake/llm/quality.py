@@ -13,8 +13,11 @@ counts, whose number is fixed.
 Edge cases: null and empty texts have no words and fail the base rules; a
 document labelled several times counts with its lowest label, null labels are
 ignored; repeated rows are judged alike; without labels the list is empty and
-keeps all that passes the base rules. Only doc_id and text (and labels'
-doc_id, quality) are read, so extra columns never clash.
+keeps all that passes the base rules; an empty table gives an empty result. A very
+long text is one row like others. Of conditions of equal gain the first in the order of
+features and cuts is taken; every rule says the same verdict, so rules that overlap never
+contradict each other. Only doc_id and text (and labels' doc_id, quality) are read, so
+extra columns never clash.
 """
 
 from __future__ import annotations
