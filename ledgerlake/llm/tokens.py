@@ -2,9 +2,9 @@
 
 Texts are cut into pre-tokens and counted, block by block of some ``BLOCK_BYTES`` of text: a
 block keeps its distinct pre-tokens once, and for each document which of them it
-has and how often. The distinct pre-tokens of all blocks are tokenised, each once
-for the whole table; their numbers of pieces are joined to the blocks'
-pre-tokens, and multiplied by the frequencies and summed per document. What is
+has and how often. The blocks' pre-tokens are brought together, sorted, and each is
+tokenised once for the whole table; its number of pieces goes back to the blocks that have it,
+is joined to their frequencies, multiplied and summed per document. What is
 shuffled is a block's distinct pre-tokens, not a document's, and no token id is kept.
 
 The file tells how texts are cut: special strings first (each is one token
@@ -12,19 +12,21 @@ wherever it occurs, the library's default), then the pre-tokeniser's pattern.
 
 Edge cases: a null or empty text has 0 bytes and 0 tokens; repeated rows are
 counted separately; a very long text is cut as a whole, and may be a block of its own; a
-pre-token that is in every block is split by Spark's skew join; an empty table gives
+pre-token that is in every block is one row of each; an empty table gives
 an empty result. Only doc_id and text are read, so extra columns never clash.
 """
 
 from __future__ import annotations
 
 import json
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,13 +34,28 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.common import materialize, prepare
 
 LIMIT = 512
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
+# Rows of one Arrow batch of pre-tokens.
+PIECE_ROWS = 4_000
 # Bytes of blocks in one Arrow batch.
-BATCH_BYTES = 32 << 20
+BATCH_BYTES = 8 << 20
+# Pre-tokens of blocks that a task holds before it sends their numbers.
+TASK_PIECES = 250_000
 # Fixed value: the pattern of byte-level pre-tokenisers.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+def _zip(a: array | np.ndarray) -> bytes:
+    """Numbers below 2**32, the bytes of each place together, compressed."""
+    planes = np.asarray(a).astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def _unzip(b: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint8)
+    return np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").reshape(-1).astype(np.int64)
+
+
 class PieceCounter:
     """Cuts texts for a byte-level tokenizer file, and counts the tokens of pre-tokens."""
 
@@ -82,15 +99,16 @@ def blocks(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter, number = PieceCounter(path), TaskContext.get().partitionId() << 32
         vocab: dict[str, int] = {}
-        ids, sizes, specials, kinds, places, counts, held = [], [], [], [], [], [], 0
+        ids, sizes, specials, kinds, held = [], [], [], [], 0
+        places, counts = array("I"), array("I")
 
         def made() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
                 [pa.array([number]), pa.array([pa.concat_arrays(ids).to_pylist()],
                                               pa.list_(ids[0].type)),
                  pa.array([sizes], pa.list_(pa.int64())), pa.array([specials], pa.list_(pa.int64())),
-                 pa.array([kinds], pa.list_(pa.int32())), pa.array([places], pa.list_(pa.int32())),
-                 pa.array([counts], pa.list_(pa.int32())),
+                 pa.array([kinds], pa.list_(pa.int32())), pa.array([_zip(places)]),
+                 pa.array([_zip(counts)]),
                  pa.array([list(vocab)], pa.list_(pa.string()))],
                 names=["block", "ids", "n_bytes", "specials", "kinds", "places", "counts", "vocab"])
 
@@ -101,40 +119,60 @@ def blocks(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES) -> DataFr
                 sizes.append(len((t or "").encode()))
                 specials.append(n)
                 kinds.append(len(freq))
-                places += [vocab.setdefault(p, len(vocab)) for p in freq]
-                counts += freq.values()
+                places.extend([vocab.setdefault(p, len(vocab)) for p in freq])
+                counts.extend(freq.values())
                 held += sizes[-1]
                 if held >= block_bytes:
                     yield made()
                     vocab, number = {}, number + 1
-                    ids, sizes, specials, kinds, places, counts, held = [], [], [], [], [], [], 0
+                    ids, sizes, specials, kinds, held = [], [], [], [], 0
+                    places, counts = array("I"), array("I")
         if ids:
             yield made()
 
     return docs.select("doc_id", "text").mapInArrow(
         run, f"block long, ids array<{kind}>, n_bytes array<long>, specials array<long>, "
-             "kinds array<int>, places array<int>, counts array<int>, vocab array<string>")
+             "kinds array<int>, places binary, counts binary, vocab array<string>")
 
 
-def piece_counts(pre_tokens: DataFrame, path: str) -> DataFrame:
-    """Rows piece, n: the tokens of each distinct pre-token."""
+def piece_counts(own: DataFrame, path: str) -> DataFrame:
+    """Rows block, places, n (zipped) for rows block, place, piece: equal pieces lie together, so
+    each is tokenised once. A task sends each block's numbers as one row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter, held = PieceCounter(path), []
+        counter, last, n_last = PieceCounter(path), None, 0
+        held: list[list[np.ndarray]] = [[], [], []]
 
         def made() -> pa.RecordBatch:
+            block, place, n = (np.concatenate(x) for x in held)
+            order = np.argsort(block, kind="stable")
+            block, place, n = block[order], place[order], n[order]
+            cut = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+            ends = np.append(cut[1:], len(block))
             return pa.RecordBatch.from_arrays(
-                [pa.array(held, pa.string()), pa.array(counter.pieces(held), pa.int32())],
-                names=["piece", "n"])
+                [pa.array(block[cut]), *[pa.array([_zip(x[lo:hi]) for lo, hi in zip(cut, ends)])
+                                         for x in (place, n)]], names=["block", "places", "n"])
 
         for b in batches:
-            held += b.column("piece").to_pylist()
-            if len(held) >= 20_000:
+            coded = b.column("piece").dictionary_encode()
+            names = coded.dictionary.to_pylist()
+            new = names[1:] if names and names[0] == last else names
+            counts = counter.pieces(new)
+            if len(new) < len(names):  # a piece that began in the batch before
+                counts = [n_last, *counts]
+            if not names:
+                continue
+            last, n_last = names[-1], counts[-1]
+            for x, y in zip(held, (b.column("block").to_numpy(), b.column("place").to_numpy(),
+                                   np.array(counts)[coded.indices.to_numpy()])):
+                x.append(y)
+            if sum(map(len, held[0])) >= TASK_PIECES:
                 yield made()
-                held = []
-        if held:
+                held = [[], [], []]
+        if held[0]:
             yield made()
 
-    return pre_tokens.select("piece").distinct().mapInArrow(run, "piece string, n int")
+    return own.repartition("piece").sortWithinPartitions("piece").mapInArrow(
+        run, "block long, places binary, n binary")
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = LIMIT,
@@ -148,22 +186,24 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT,
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     found = materialize(blocks(docs, path, block_bytes), "token-blocks")
     own = found.select("block", F.posexplode("vocab").alias("place", "piece"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(PIECE_ROWS))
     pieces = materialize(piece_counts(own, path), "token-pieces")
-    joined = own.join(pieces, "piece").groupBy("block").agg(F.sort_array(F.collect_list(
-        F.struct("place", "n"))).alias("s")).select(F.col("block").alias("b"), "s.n")
+    prepare(spark)
+    joined = pieces.groupBy(F.col("block").alias("b")).agg(
+        F.collect_list(F.struct("places", "n")).alias("parts"))
     rows = found.drop("vocab").join(joined, F.col("block") == F.col("b"), "left").drop("b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
-                ids, size, special, kinds, places, counts, n = (
-                    batch.column(c)[r].values for c in (
-                        "ids", "n_bytes", "specials", "kinds", "places", "counts", "n"))
+                ids, size, special, kinds = (batch.column(c)[r].values for c in (
+                    "ids", "n_bytes", "specials", "kinds"))
+                places, counts = (_unzip(batch.column(c)[r].as_py()) for c in ("places", "counts"))
                 ends = np.cumsum(kinds.to_numpy(zero_copy_only=False).astype(np.int64))
-                parts = np.zeros(1, np.int64)
-                if n is not None:
-                    each = n.to_numpy()[places.to_numpy()].astype(np.int64) * counts.to_numpy()
-                    parts = np.append(0, np.cumsum(each))
+                n = np.zeros(int(places.max()) + 1 if len(places) else 0, np.int64)
+                for part in batch.column("parts")[r].as_py() or []:
+                    n[_unzip(part["places"])] = _unzip(part["n"])
+                parts = np.append(0, np.cumsum(n[places] * counts))
                 starts = np.append(0, ends[:-1])
                 tokens = parts[ends] - parts[starts] + special.to_numpy()
                 yield pa.RecordBatch.from_arrays(
