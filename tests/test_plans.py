@@ -9,6 +9,7 @@ from conftest import SF_SMALL
 from ledgerlake.operators import clean, erasure, profiling
 from ledgerlake.plans import defaults as D, registry as R
 from ledgerlake.sources import lake as L
+from ledgerlake.streaming import fraud_stream as FS, velocity
 
 
 def plan(df) -> str:
@@ -68,3 +69,12 @@ def test_erasure_reads_only_the_days_that_hold_the_keys(spark):
     erasure.erase_table(t, spark.createDataFrame([(one[0],)], "customer_id bigint"))
     after = {r[0] for r in t.read().select(F.input_file_name()).distinct().collect()}
     assert {f for f, d in files.items() if d not in days} == after.intersection(files)
+
+
+def test_a_record_is_parsed_once_whatever_is_filtered(spark):
+    """A filter on the error must not be moved below the parse, which it would repeat."""
+    records = R.landed_records(spark, SF_SMALL)
+    decided = FS.decisions(FS.score_decoded(FS.decode_records(records)), D.RUN_TS)
+    for df in (decided, velocity.event_rows(FS.decode_records(records))):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("parseJson(") == 1
