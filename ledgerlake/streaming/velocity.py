@@ -2,10 +2,11 @@
 
 Each scored transaction gets the number and sum of its customer's transactions
 with an event time in [t - span, t], t its own, over all that arrived in its
-micro-batch or before. State is kept per customer, in a map from hour to the
-transactions of that hour, so a batch rewrites only the hours it brings and a
-busy customer's old hours are read, not rewritten. A transaction delivered again
-(same id and event time) replaces its earlier amount.
+micro-batch or before. State is kept per group of customers (``GROUPS``, by a hash of
+the customer), in a map from hour to the group's transactions of that hour: a batch
+rewrites only the hours it brings, old hours are read, not rewritten, and what
+a call costs (of the state, of Python) is paid per group and hour, not per customer. A
+transaction delivered again (same customer, id and event time) replaces its earlier amount.
 
 State expires by event time: a timer per hour fires once the watermark has
 passed the hour's end by the longest span. No transaction ahead of the watermark
@@ -15,7 +16,7 @@ out with ``late`` set and without features, and leaves the state as it is. (The
 event time goes to the state as a plain number: a column that carries the
 watermark would make Spark drop such rows before the state sees them.)
 
-A micro-batch is bounded (files per trigger) and so is what a customer's state
+A micro-batch is bounded (files per trigger) and so is what a group's state
 can hold (span plus lateness); state lives in RocksDB, checkpointed to the
 shared folder. ``batch_features`` gives the same features of a finished table
 by range windows over days (a busy customer is split by day).
@@ -24,6 +25,7 @@ by range windows over days (a busy customer is split by day).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -42,19 +44,50 @@ OUTPUT = ("customer_id string, transaction_id string, seq string, event_ms long,
           + ", ".join(f"n_{h}h long, cents_{h}h long" for h in SPANS_H))
 COLUMNS = ["customer_id", "transaction_id", "seq", "event_ms", "cents", "late",
            *[x for h in SPANS_H for x in (f"n_{h}h", f"cents_{h}h")]]
-HOUR_STATE = "id array<string>, at array<long>, cents array<long>"
-
-
-def window_sums(at: np.ndarray, cents: np.ndarray, of: np.ndarray, span_ms: int):
-    """(count, sum) of the sorted times ``at`` within [t - span, t] for each t in ``of``."""
-    upto = np.append(0, np.cumsum(cents))
-    lo = np.searchsorted(at, of - span_ms, side="left")
-    hi = np.searchsorted(at, of, side="right")
-    return hi - lo, upto[hi] - upto[lo]
+HOUR_STATE = "customer array<string>, id array<string>, at array<long>, cents array<long>"
+# Groups of customers that share state; fixed, as the state of a checkpoint rests on it.
+GROUPS = 512
+ID = ["customer_id", "transaction_id", "event_ms"]
+# State partitions per core; no more than the session's shuffle partitions.
+PARTITIONS_PER_CORE = 2
+
+
+@contextmanager
+def keyed_state(spark: SparkSession):
+    """Session settings of a stream that starts inside: RocksDB, and as many state partitions as
+    keep the cores busy. Every partition of a stateful step is a store that each batch opens and
+    commits, and each of its tasks sends the driver a counter for every partition."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    some = max(PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism, 8)
+    spark.conf.set("spark.sql.shuffle.partitions", str(min(int(was), some)))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+
+
+def window_sums(held: pd.DataFrame, new: pd.DataFrame, spans_ms: list[int]):
+    """(count, sum) per span of the held rows of the same customer within [t - span, t], for
+    each new row of time t."""
+    codes = pd.factorize(pd.concat([held["customer_id"], new["customer_id"]], ignore_index=True),
+                         use_na_sentinel=False)[0].astype(np.int64)
+    own, of = codes[:len(held)], codes[len(held):]
+    at, t = (x["event_ms"].to_numpy(np.int64) for x in (held, new))
+    times = np.unique(at)
+    # customer and time as one number, which orders rows by both
+    place = lambda code, x: code * (len(times) + 1) + np.searchsorted(times, x)
+    key = place(own, at)
+    order = np.argsort(key, kind="stable")
+    key, upto = key[order], np.append(0, np.cumsum(held["cents"].to_numpy(np.int64)[order]))
+    hi = np.searchsorted(key, place(of, t), side="right")
+    for span in spans_ms:
+        lo = np.searchsorted(key, place(of, t - span), side="left")
+        yield hi - lo, upto[hi] - upto[lo]
 
 
 class VelocityState(StatefulProcessor):
-    """One customer's transactions by hour."""
+    """The transactions of one group of customers by hour."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -64,35 +97,29 @@ class VelocityState(StatefulProcessor):
         new = pd.concat(list(rows), ignore_index=True)
         late = new["event_ms"] <= timerValues.getCurrentWatermarkInMs()
         if late.any():
-            out = new[late].assign(customer_id=key[0], late=True)
-            yield out.reindex(columns=COLUMNS)
+            yield new[late].assign(late=True).reindex(columns=COLUMNS)
             new = new[~late]
             if new.empty:
                 return
         digits = new["seq"].fillna("").str.len()
         # the last arrival of an id and time: as in the decision log, longer numbers are later
         new = new.assign(digits=digits).sort_values(["digits", "seq"], kind="stable") \
-            .drop_duplicates(["transaction_id", "event_ms"], keep="last")
-        new["hour"] = new["event_ms"] // HOUR_MS
-        old = [pd.DataFrame({"hour": hour[0], "transaction_id": list(v[0]),
-                             "event_ms": list(v[1]), "cents": list(v[2])})
-               for hour, v in self.hours.iterator()]
-        own = ["hour", "transaction_id", "event_ms", "cents"]
-        held = pd.concat([*old, new[own]], ignore_index=True) \
-            .drop_duplicates(["transaction_id", "event_ms"], keep="last").sort_values("event_ms")
-        touched = set(new["hour"].tolist())
-        for hour, part in held[held["hour"].isin(touched)].groupby("hour"):
-            self.hours.updateValue((int(hour),), (
-                part["transaction_id"].tolist(), part["event_ms"].astype(int).tolist(),
-                part["cents"].astype(int).tolist()))
-            self.handle.registerTimer((int(hour) + 1 + max(SPANS_H)) * HOUR_MS)
-        at, cents = (held[c].to_numpy(np.int64) for c in ("event_ms", "cents"))
-        of = new["event_ms"].to_numpy(np.int64)
-        out = {"customer_id": key[0], "transaction_id": new["transaction_id"], "seq": new["seq"],
-               "event_ms": of, "cents": new["cents"].to_numpy(np.int64), "late": False}
-        for h in SPANS_H:
-            out[f"n_{h}h"], out[f"cents_{h}h"] = window_sums(at, cents, of, h * HOUR_MS)
-        yield pd.DataFrame(out)
+            .drop_duplicates(ID, keep="last")
+        old = [pd.DataFrame(dict(zip([*ID, "cents"], map(list, v))))
+               for _, v in self.hours.iterator()]
+        held = pd.concat([*old, new[[*ID, "cents"]]], ignore_index=True) \
+            .drop_duplicates(ID, keep="last")
+        hour = held["event_ms"].to_numpy(np.int64) // HOUR_MS
+        touched = np.isin(hour, new["event_ms"].to_numpy(np.int64) // HOUR_MS)
+        for own, part in held[touched].groupby(hour[touched]):
+            self.hours.updateValue((int(own),), tuple(
+                [None if x is None or x != x else x for x in part[c].tolist()]
+                for c in (*ID, "cents")))
+            self.handle.registerTimer((int(own) + 1 + max(SPANS_H)) * HOUR_MS)
+        out = new.assign(late=False)
+        for h, (n, cents) in zip(SPANS_H, window_sums(held, new, [h * HOUR_MS for h in SPANS_H])):
+            out[f"n_{h}h"], out[f"cents_{h}h"] = n, cents
+        yield out[COLUMNS]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         hour = expiredTimerInfo.getExpiryTimeInMs() // HOUR_MS - 1 - max(SPANS_H)
@@ -143,7 +170,8 @@ def feature_columns() -> list[Column]:
 
 def velocity_stream(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """Streaming rows with their features; ``events`` as ``event_rows`` gives them."""
-    rows = events.withWatermark("event_time", lateness).drop("event_time").groupBy("customer_id") \
+    rows = events.withWatermark("event_time", lateness).drop("event_time").withColumn(
+        "grp", F.pmod(F.xxhash64("customer_id"), F.lit(GROUPS))).groupBy("grp") \
         .transformWithStateInPandas(VelocityState(), OUTPUT, "append", "eventTime")
     return rows.select(
         "customer_id", "transaction_id", "seq", F.timestamp_millis("event_ms").alias("event_time"),
@@ -154,7 +182,6 @@ def start_velocity_stream(spark: SparkSession, source_dir: str, out_path: str, c
                           lateness: str = LATENESS,
                           max_files_per_trigger: int = FS.MAX_FILES_PER_TRIGGER):
     """readStream -> decode -> keyed state -> one folder of features per micro-batch."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     records = spark.readStream.schema(FS.ENVELOPE_SCHEMA) \
         .option("maxFilesPerTrigger", max_files_per_trigger).json(source_dir)
     features = velocity_stream(event_rows(FS.decode_records(records)), lateness)
@@ -163,5 +190,6 @@ def start_velocity_stream(spark: SparkSession, source_dir: str, out_path: str, c
         (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out_path))
 
-    return features.writeStream.foreachBatch(write_batch).outputMode("append") \
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    with keyed_state(spark):
+        return features.writeStream.foreachBatch(write_batch).outputMode("append") \
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.session import scratch_path
+from ledgerlake.streaming import enrich as EN
 from ledgerlake.streaming import velocity as V
 from ledgerlake.streaming import windows as W
 
@@ -131,3 +132,49 @@ def test_windows_and_late_records(spark, kind):
         assert late == [("b", 1)]
     else:  # at the mark of 1.5 h the session of b (until 1.9 h) still takes records
         assert closed == {(0.2, 3, 11.0), (3.5, 1, 4.0)} and late == []
+
+
+def test_velocity_state_is_paid_per_group_not_per_customer(velocity):
+    """Many customers share a group's state, and each gets the features of its own rows."""
+    n = V.GROUPS + 300
+    velocity(*[record(f"t{i}-{j}", f"c{i}", 0.2 + 0.1 * j, i + 1.0) for i in range(n) for j in (0, 1)])
+    assert held_hours(velocity) <= V.GROUPS
+    got = {k[0]: v for k, v in features(velocity).items()}
+    assert got == {f"t{i}-{j}": (False, *[j + 1, (j + 1) * (i + 1.0)] * 2)
+                   for i in range(n) for j in (0, 1)}
+
+
+def test_state_partitions_follow_the_cores(spark):
+    """However many shuffle partitions a session has; the session's own setting stays."""
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    feed = Feed(spark, lambda root: W.start_window_stream(
+        spark, f"{root}/in", f"{root}/w", f"{root}/l", f"{root}/ck", W.Windows("sliding", 2 * HOUR, HOUR),
+        "category", "2 hours"))
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        feed(record("a", "c", 0.2, 1.0))
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    stores = spark.read.format("state-metadata").load(f"{feed.root}/ck").collect()
+    assert stores and {r.numPartitions for r in stores} == {
+        max(8, V.PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism)}
+
+
+def test_a_batch_joined_with_a_history_is_decoded_once(spark, monkeypatch):
+    kyc = spark.createDataFrame([("c1", "OK", dt.date(2024, 1, 1), dt.date(9999, 12, 31))],
+                                "customer_id string, kyc string, valid_from date, valid_to date")
+    levels, enrich = [], EN.enrich
+
+    def seen(batch, *args):
+        levels.append(batch.storageLevel.useMemory)
+        return enrich(batch, *args)
+
+    monkeypatch.setattr(EN, "enrich", seen)
+    feed = Feed(spark, lambda root: EN.start_enriched_stream(
+        spark, f"{root}/in", lambda: kyc, ["kyc"], f"{root}/out", f"{root}/ck",
+        dt.datetime(2024, 3, 2), as_of=True))
+    feed(record("a", "c1", 0.2, 1.0), record("b", "c2", 0.2, 1.0))
+    assert levels == [True]
+    assert sorted(map(tuple, spark.read.parquet(f"{feed.root}/out").select(
+        "transaction_id", "kyc").collect())) == [("a", "OK"), ("b", None)]
