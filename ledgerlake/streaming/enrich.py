@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators import history
 from ledgerlake.streaming import fraud_stream as FS
-from ledgerlake.streaming.velocity import ROCKSDB
+from ledgerlake.streaming.velocity import keyed_state
 
 LABEL_SCHEMA = "transaction_id string, labelled_at string, fraud int"
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
@@ -60,9 +60,16 @@ def start_enriched_stream(spark: SparkSession, source_dir: str, lookup: Callable
     decided = FS.decisions(scored, processed_at)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = enrich(batch, lookup(), columns, as_of)
-        (rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out_path))
+        if as_of:  # it is read three times, and would be decoded and scored as often
+            batch.persist()
+        try:
+            rows = enrich(batch, lookup(), columns, as_of)
+            (rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
+             .parquet(out_path))
+        finally:
+            if as_of:
+                batch.unpersist()
 
     return decided.writeStream.foreachBatch(write_batch) \
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -88,7 +95,6 @@ def start_label_stream(spark: SparkSession, source_dir: str, labels_dir: str, ou
                        checkpoint: str, processed_at: dt.datetime, within: str = "72 HOURS",
                        lateness: str = "24 hours"):
     """Two file streams -> interval join -> labelled decisions, a folder per batch."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     records = spark.readStream.schema(FS.ENVELOPE_SCHEMA).json(source_dir)
     labels = spark.readStream.schema(LABEL_SCHEMA).json(labels_dir)
     scored = FS.score_decoded(FS.decode_records(records))
@@ -101,5 +107,6 @@ def start_label_stream(spark: SparkSession, source_dir: str, labels_dir: str, ou
         (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out_path))
 
-    return joined.writeStream.foreachBatch(write_batch).outputMode("append") \
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    with keyed_state(spark):
+        return joined.writeStream.foreachBatch(write_batch).outputMode("append") \
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
