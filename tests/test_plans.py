@@ -78,3 +78,12 @@ def test_a_record_is_parsed_once_whatever_is_filtered(spark):
     for df in (decided, velocity.event_rows(FS.decode_records(records))):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("parseJson(") == 1
+
+
+def test_rewrite_delete_builds_only_the_table_it_rewrites(spark, monkeypatch):
+    monkeypatch.setattr(R, "_FIXTURES", {})
+    left = R.q_rewrite_delete(spark, SF_SMALL)
+    assert left.count() > 0
+    assert {k[2] for k in R._FIXTURES} == {"silver_transactions"}
+    held = R.own_lake(spark, SF_SMALL)  # the larger seed takes that table over
+    assert held.table("silver", "transactions").read().count() > left.count()
