@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
 from ledgerlake.operators import history as H
 from ledgerlake.sources import lake as L
 
@@ -159,3 +160,17 @@ def test_asof_never_sorts_all_of_a_key(spark):
     below = plan[[m.start() for m in re.finditer(r"\[_k#\d+L?\], \[", plan)][0]:]
     assert "Aggregate [" in below
     assert joined.count() == 1000
+
+
+def test_history_loads_read_stored_silver(spark, monkeypatch):
+    """Transactions and tickets are cleaned once, not by every load that reads them."""
+    from ledgerlake.plans import history_queries as H
+    plans = []
+    load = H.history.load_history
+    monkeypatch.setattr(H.history, "load_history", lambda table, df, *args: (
+        plans.append(df._jdf.queryExecution().analyzed().toString()), load(table, df, *args)))
+    H.q_customer_360_history(spark, SF_SMALL).count()
+    assert len(plans) == len(H.LOADS) + 1
+    for p in plans:
+        assert "events.parquet" not in p and "props" not in p and "silver_transactions" in p
+        assert "o_orderkey" not in p and "silver_support_tickets" in p
