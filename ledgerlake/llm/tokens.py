@@ -5,7 +5,8 @@ block keeps its distinct pre-tokens once, and for each document which of them it
 has and how often. The blocks' pre-tokens are brought together, sorted, and each is
 tokenised once for the whole table; its number of pieces goes back to the blocks that have it,
 is joined to their frequencies, multiplied and summed per document. What is
-shuffled is a block's distinct pre-tokens, not a document's, and no token id is kept.
+shuffled is a block's distinct pre-tokens, not a document's, and no token id is kept. A Python
+worker keeps one tokenizer for all its tasks.
 
 The file tells how texts are cut: special strings first (each is one token
 wherever it occurs, the library's default), then the pre-tokeniser's pattern.
@@ -19,9 +20,11 @@ an empty result. Only doc_id and text are read, so extra columns never clash.
 from __future__ import annotations
 
 import json
+import os
 from array import array
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -88,7 +91,20 @@ class PieceCounter:
         return freq, n
 
     def pieces(self, pre_tokens: list[str]) -> list[int]:
-        return list(map(len, self.tokenizer.encode_batch_fast(pre_tokens, add_special_tokens=False)))
+        # One by one: the library's batches start a thread per core in every Python worker.
+        encode = self.tokenizer.encode
+        return [len(encode(p, add_special_tokens=False)) for p in pre_tokens]
+
+
+@lru_cache(maxsize=1)
+def _kept_counter(path: str, _changed: int) -> PieceCounter:
+    return PieceCounter(path)
+
+
+def piece_counter(path: str) -> PieceCounter:
+    """One counter for all tasks of a Python worker: the library keeps the memory of counters
+    that are dropped, so one a task grows with the number of tasks."""
+    return _kept_counter(path, os.stat(path).st_mtime_ns)
 
 
 def blocks(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -97,7 +113,7 @@ def blocks(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES) -> DataFr
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter, number = PieceCounter(path), TaskContext.get().partitionId() << 32
+        counter, number = piece_counter(path), TaskContext.get().partitionId() << 32
         vocab: dict[str, int] = {}
         ids, sizes, specials, kinds, held = [], [], [], [], 0
         places, counts = array("I"), array("I")
@@ -139,7 +155,7 @@ def piece_counts(own: DataFrame, path: str) -> DataFrame:
     """Rows block, places, n (zipped) for rows block, place, piece: equal pieces lie together, so
     each is tokenised once. A task sends each block's numbers as one row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter, last, n_last = PieceCounter(path), None, 0
+        counter, last, n_last = piece_counter(path), None, 0
         held: list[list[np.ndarray]] = [[], [], []]
 
         def made() -> pa.RecordBatch:

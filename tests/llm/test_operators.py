@@ -490,6 +490,44 @@ def test_pieces_go_back_to_their_blocks(spark, edge):
     assert all(got[r.block, r.place] == len(t.encode(r.piece).ids) for r in rows)
 
 
+# Tasks of one Python worker, one after another; prints MB after a few and after all of them.
+TASKS = """
+import random, re, string, sys
+import pyarrow as pa
+from ledgerlake.llm import tokens
+
+class Own:
+    repartition = sortWithinPartitions = lambda self, *by: self
+    mapInArrow = lambda self, run, kind: run
+
+def mb():
+    return int(re.search(r"RssAnon:\\s+(\\d+)", open("/proc/self/status").read())[1]) / 1024
+
+draw, run = random.Random(1), tokens.piece_counts(Own(), sys.argv[1])
+for task in range(12):
+    made = [pa.RecordBatch.from_pydict({
+        "block": [0] * 4000, "place": list(range(i, i + 4000)),
+        "piece": ["".join(draw.choices(string.ascii_letters, k=9)) for _ in range(4000)]})
+        for i in range(0, 20000, 4000)]
+    assert sum(b.num_rows for b in run(iter(made))) == 1
+    if task in (3, 11):
+        print(mb())
+"""
+
+
+def test_pieces_of_more_tasks_take_no_more_memory():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    import public_tokenizers
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    out = subprocess.run([sys.executable, "-c", TASKS, path], check=True, capture_output=True,
+                         text=True, cwd=Path(tokens.__file__).parents[2]).stdout
+    few, many = map(float, out.split())
+    assert many - few < 40, (few, many)
+
+
 # 7 ------------------------------------------------------------ decontamination
 
 def test_decontamination_equals_sql(spark):
