@@ -5,7 +5,8 @@ block keeps its distinct pre-tokens once, and for each document which of them it
 has and how often. The blocks' pre-tokens are brought together, sorted, and each is
 tokenised once for the whole table; its number of pieces goes back to the blocks that have it,
 is joined to their frequencies, multiplied and summed per document. What is
-shuffled is a block's distinct pre-tokens, not a document's, and no token id is kept. A Python
+shuffled is a block's distinct pre-tokens, not a document's, and no token id is kept. Their
+shuffle files go as soon as their numbers are stored, before the blocks are joined. A Python
 worker keeps one tokenizer for all its tasks.
 
 The file tells how texts are cut: special strings first (each is one token
@@ -48,15 +49,20 @@ TASK_PIECES = 250_000
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-def _zip(a: array | np.ndarray) -> bytes:
-    """Numbers below 2**32, the bytes of each place together, compressed."""
-    planes = np.asarray(a).astype("<u4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(planes).tobytes())
+def _zip(a: array | np.ndarray, rising: bool = False) -> bytes:
+    """Numbers below 2**32, the bytes of each place together, compressed; ``rising``: as
+    differences modulo 2**32, small wherever the numbers rise. The first byte tells which."""
+    a = np.asarray(a).astype("<u4")
+    if rising:
+        a = np.diff(a, prepend=a.dtype.type(0))
+    planes = np.ascontiguousarray(a.view(np.uint8).reshape(-1, 4).T).tobytes()
+    return bytes([rising]) + zstandard.ZstdCompressor(level=3).compress(planes)
 
 
 def _unzip(b: bytes) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint8)
-    return np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").reshape(-1).astype(np.int64)
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(b[1:]), np.uint8)
+    a = np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").reshape(-1)
+    return (np.cumsum(a, dtype=a.dtype) if b[0] else a).astype(np.int64)
 
 
 class PieceCounter:
@@ -109,7 +115,7 @@ def piece_counter(path: str) -> PieceCounter:
 
 def blocks(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Rows block, ids, n_bytes, specials, kinds (distinct pre-tokens per document), places (of
-    those in vocab, document by document), counts, vocab."""
+    those in vocab, document by document, ascending in each), counts, vocab."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,7 +129,7 @@ def blocks(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES) -> DataFr
                 [pa.array([number]), pa.array([pa.concat_arrays(ids).to_pylist()],
                                               pa.list_(ids[0].type)),
                  pa.array([sizes], pa.list_(pa.int64())), pa.array([specials], pa.list_(pa.int64())),
-                 pa.array([kinds], pa.list_(pa.int32())), pa.array([_zip(places)]),
+                 pa.array([kinds], pa.list_(pa.int32())), pa.array([_zip(places, True)]),
                  pa.array([_zip(counts)]),
                  pa.array([list(vocab)], pa.list_(pa.string()))],
                 names=["block", "ids", "n_bytes", "specials", "kinds", "places", "counts", "vocab"])
@@ -135,8 +141,10 @@ def blocks(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES) -> DataFr
                 sizes.append(len((t or "").encode()))
                 specials.append(n)
                 kinds.append(len(freq))
-                places.extend([vocab.setdefault(p, len(vocab)) for p in freq])
-                counts.extend(freq.values())
+                own = np.array([vocab.setdefault(p, len(vocab)) for p in freq], np.uintc)
+                order = np.argsort(own)
+                places.frombytes(own[order].tobytes())
+                counts.frombytes(np.array(list(freq.values()), np.uintc)[order].tobytes())
                 held += sizes[-1]
                 if held >= block_bytes:
                     yield made()
@@ -160,13 +168,15 @@ def piece_counts(own: DataFrame, path: str) -> DataFrame:
 
         def made() -> pa.RecordBatch:
             block, place, n = (np.concatenate(x) for x in held)
-            order = np.argsort(block, kind="stable")
+            order = np.lexsort((place, block))
             block, place, n = block[order], place[order], n[order]
             cut = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
             ends = np.append(cut[1:], len(block))
             return pa.RecordBatch.from_arrays(
-                [pa.array(block[cut]), *[pa.array([_zip(x[lo:hi]) for lo, hi in zip(cut, ends)])
-                                         for x in (place, n)]], names=["block", "places", "n"])
+                [pa.array(block[cut]), *[
+                    pa.array([_zip(x[lo:hi], rising) for lo, hi in zip(cut, ends)])
+                    for x, rising in ((place, True), (n, False))]],
+                names=["block", "places", "n"])
 
         for b in batches:
             coded = b.column("piece").dictionary_encode()
@@ -200,10 +210,10 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT,
     spark = docs.sparkSession
     prepare(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    found = materialize(blocks(docs, path, block_bytes), "token-blocks")
+    found = materialize(blocks(docs, path, block_bytes), "token-blocks", compact=True)
     own = found.select("block", F.posexplode("vocab").alias("place", "piece"))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(PIECE_ROWS))
-    pieces = materialize(piece_counts(own, path), "token-pieces")
+    pieces = materialize(piece_counts(own, path), "token-pieces", compact=True)
     prepare(spark)
     joined = pieces.groupBy(F.col("block").alias("b")).agg(
         F.collect_list(F.struct("places", "n")).alias("parts"))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm import (chat, decontam, html, lines, lm, mixing, quality, simhash, tokens,
                             toxicity)
+from ledgerlake.llm.common import SHUFFLE_CLEANUP
 from ledgerlake.llm.oracle import ORACLE
 from ledgerlake.llm.queries import QUERIES
 
@@ -528,6 +529,51 @@ def test_pieces_of_more_tasks_take_no_more_memory():
     assert many - few < 40, (few, many)
 
 
+def test_places_of_a_document_rise_and_take_little(spark):
+    import public_tokenizers
+    draw = random.Random(3)
+    words = [f"{draw.getrandbits(40):x}" for _ in range(20_000)]
+    docs = frame(spark, [(i, " ".join(draw.choices(words, k=300)), "a") for i in range(400)])
+    made = tokens.blocks(docs.coalesce(1), str(public_tokenizers.path("byte_bpe_50k.json")))
+    [block] = made.collect()
+    places, lo = tokens._unzip(block.places), 0
+    for k in block.kinds:
+        assert (places[lo + 1:lo + k] > places[lo:lo + k - 1]).all()
+        lo += k
+    assert lo == len(places) and set(places) == set(range(len(block.vocab)))
+    assert len(block.places) < 1.25 * len(places)
+
+
+@pytest.mark.parametrize("rising", [False, True])
+@pytest.mark.parametrize("numbers", [[], [0], [5, 5, 0, 2**32 - 1, 0, 7], [1, 2, 300, 70_000]])
+def test_zipped_numbers_come_back(numbers, rising):
+    assert tokens._unzip(tokens._zip(numbers, rising)).tolist() == numbers
+
+
+def test_shuffle_of_pieces_is_gone_when_blocks_are_joined(spark, edge):
+    """Only rows that are still to be joined lie on disk; the session's setting is as before."""
+    import public_tokenizers
+    from pathlib import Path
+    dirs = spark._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+
+    def files():
+        return {f.name for d in dirs for f in Path(d).rglob("shuffle_*.data")}
+
+    before, setting = files(), spark.conf.get(SHUFFLE_CLEANUP)
+    docs = edge.repartition(3)
+    assert docs.count() == len(EDGE)  # its own shuffle, and proof that files are seen
+    assert files() - before
+    before = files()
+    got = tokens.token_counts(edge, str(public_tokenizers.path("byte_bpe_50k.json")))
+    for _ in range(100):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert spark.conf.get(SHUFFLE_CLEANUP) == setting
+    assert got.count() == len(EDGE)
+
+
 # 7 ------------------------------------------------------------ decontamination
 
 def test_decontamination_equals_sql(spark):
