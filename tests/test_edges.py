@@ -359,6 +359,64 @@ def test_missing_target_makes_the_batch_partial(spark):
     assert not L.path_exists(spark, lake.outbox_path())
 
 
+def unwritable(monkeypatch, name):
+    """Writes to the days of the tables called ``name`` fail from here on."""
+    real = L.LakeTable.replace_partitions
+
+    def write(table, *args, **kwargs):
+        if table.name.endswith(name):
+            raise OSError("No space left on device")
+        return real(table, *args, **kwargs)
+
+    monkeypatch.setattr(L.LakeTable, "replace_partitions", write)
+
+
+def test_rewrite_delete_that_fails_gives_no_rows(spark, monkeypatch):
+    from ledgerlake.plans import registry as R
+    seed, _ = text_lake(spark)
+    keys = spark.createDataFrame([("CUST0002",)], "customer_id string")
+    monkeypatch.setattr(R, "seed_silver_transactions", lambda spark, sf_dir: seed)
+    monkeypatch.setattr(R, "_erasure_keys", lambda spark, sf_dir: keys)
+    left = [r["customer_id"] for r in R.q_rewrite_delete(spark, "").collect()]
+    assert sorted(left) == ["CUST0001", "CUST0003", "CUST0004"]
+    unwritable(monkeypatch, "silver_transactions")
+    with pytest.raises(erasure.ErasureFailed, match="silver_transactions: OSError: No space"):
+        R.q_rewrite_delete(spark, "")
+
+
+def test_erasure_that_fails_does_the_other_targets_and_raises(spark, monkeypatch):
+    lake, _ = text_lake(spark)
+    spark.sql(f"DROP TABLE {lake.table('gold', 'customer_360').name}")
+    unwritable(monkeypatch, "silver_transactions")
+    keys = spark.createDataFrame([("CUST0002",)], "customer_id string")
+    with pytest.raises(erasure.ErasureFailed, match="gold_customer_360: no table") as e:
+        erasure.erase_from_lake(lake, keys)
+    assert isinstance(e.value.__cause__, OSError)
+    status = {r[0]: r[4] for r in e.value.rows}
+    assert status.pop("silver_transactions") == "FAILED"
+    assert status.pop("gold_customer_360") == "MISSING" and set(status.values()) == {"OK"}
+    left = {r["customer_id"] for r in lake.table("silver", "customers").read().collect()}
+    assert left == {"CUST0001", "CUST0003", "CUST0004"}
+    # who asks for it gets the summary; nothing but the failed target is left to erase
+    again = {r[0]: r for r in erasure.erase_from_lake(lake, keys, partial=True)}
+    assert again["silver_transactions"][4] == "FAILED"
+    assert {r[2] for r in again.values()} == {0}
+
+
+def test_failed_target_makes_the_batch_partial(spark, monkeypatch):
+    lake, _ = text_lake(spark)
+    with monkeypatch.context() as m:
+        unwritable(m, "silver_transactions")
+        out = pipeline.run_erasure(spark, lake, text_requests(spark, "CUST0001"), RUN_TS)
+    assert out["status"] == erasure.STATUS_PARTIAL
+    assert {r[0] for r in out["summary"] if r[4] == "FAILED"} == {"silver_transactions"}
+    assert [r["status"] for r in out["requests"].collect()] == ["PENDING"]
+    out = pipeline.run_erasure(spark, lake, None, RUN_TS + dt.timedelta(hours=1))
+    assert out["status"] == erasure.STATUS_COMPLETE, out["summary"]
+    assert "CUST0001" not in {r["customer_id"] for r in
+                              lake.table("silver", "transactions").read().collect()}
+
+
 def test_compaction_keeps_the_decisions_and_truncates_the_log(spark):
     path = f"{L.Lake.scratch(spark, 't').root}/log"
     for b in range(3):
